@@ -22,7 +22,8 @@ def _c(col) -> Column:
 def as_text(col) -> Column:
     """Scalar JSON to text: strings unquoted, numbers and booleans as written,
     ``null`` to NULL, arrays and objects left as JSON."""
-    return F.get_json_object(_c(col), "$")
+    v = _c(col)
+    return F.when(F.trim(v) != "null", F.get_json_object(v, "$"))
 
 
 def truthy(col) -> Column:
