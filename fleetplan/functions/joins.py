@@ -43,6 +43,7 @@ def dim_join(
     how: str = "inner",
     max_rows: int = BROADCAST_MAX_ROWS,
     salts: int = SALTS,
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table to a dimension table on equal keys.
 
@@ -51,11 +52,15 @@ def dim_join(
     Large dimension: salted shuffle join; each big row goes to one of ``salts``
     copies of its key, chosen by a hash of the row (deterministic, so a retried
     task sends rows to the same place).
+
+    ``bounded_by``: a table whose row count bounds ``small`` by construction
+    (e.g. a per-site profile has at most one row per site-layer row); the
+    check then runs on it, once, instead of on every derived table.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    if fits_broadcast(small, max_rows):
+    if fits_broadcast(bounded_by if bounded_by is not None else small, max_rows):
         return big.join(F.broadcast(small), keys, how)
     salt_col = "__salt"
     salted_big = big.withColumn(

@@ -162,16 +162,17 @@ SETTING_KEYS = [
 
 def cluster_documents(clusters: DataFrame, keys: Sequence[str] = SETTING_KEYS) -> DataFrame:
     """Identity and own keys of every cluster document in one aggregate:
-    cluster_name, name, site, segment, vlan_id, then one column per key."""
-    key, value = F.col("key"), F.col("value")
-    agg = clusters.groupBy("cluster_name").agg(
-        F.max(F.when(key == "cluster_name", J.as_text(value))).alias("name"),
-        F.max(F.when(key == "site", J.as_text(value))).alias("site"),
-        F.max(F.when(key == "segment", value)).alias("__seg"),
-        F.max(F.when(key == "vlan_id", value)).alias("__vlan"),
-        F.max((key == "vlan_id").cast("int")).alias("__has_vlan"),
-        *[F.max(F.when(key == k, value)).alias(k) for k in keys],
-    )
+    cluster_name, name, site, segment, vlan_id, then one column per key.
+    The per-key aggregates are generated as SQL text (one expression each)."""
+    aggs = [
+        F.max(F.when(F.col("key") == "cluster_name", J.as_text("value"))).alias("name"),
+        F.max(F.when(F.col("key") == "site", J.as_text("value"))).alias("site"),
+        F.expr("max(CASE WHEN key = 'segment' THEN value END)").alias("__seg"),
+        F.expr("max(CASE WHEN key = 'vlan_id' THEN value END)").alias("__vlan"),
+        F.expr("max(CASE WHEN key = 'vlan_id' THEN 1 ELSE 0 END)").alias("__has_vlan"),
+        *[F.expr(f"max(CASE WHEN key = '{k}' THEN value END)").alias(k) for k in keys],
+    ]
+    agg = clusters.groupBy("cluster_name").agg(*aggs)
     return agg.select(
         "cluster_name",
         "name",
@@ -194,9 +195,10 @@ def merge_settings(
     identity columns and one resolved JSON-text column per key.
 
     The fleet is grouped once (by cluster_name); the per-site profile, one
-    small row per site, is joined by a size-checked broadcast; the winner per
-    key is a ``coalesce`` (the cluster value is NULL only when absent, so an
-    explicit null still wins). No other shuffle.
+    small row per site, is joined by a broadcast whose size is checked on the
+    site layer (the profile has at most one row per site-layer row, plus one);
+    the winner per key is a ``coalesce`` (the cluster value is NULL only when
+    absent, so an explicit null still wins). No other shuffle.
     """
     docs = cluster_documents(clusters, keys)
     prof = site_profiles(defaults, sites, env)
@@ -205,21 +207,20 @@ def merge_settings(
         .groupBy("profile_key")
         .pivot("key", list(keys))
         .agg(F.first("value"))
+        .selectExpr("profile_key", *[f"`{k}` AS `__p_{k}`" for k in keys])
     )
-    prof_wide = prof_wide.select("profile_key", *[F.col(k).alias(f"__p_{k}") for k in keys])
     known = sites.select(F.col("site").alias("profile_key")).distinct().withColumn("__known", F.lit(True))
-    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left").withColumn(
-        "profile_key", F.when(F.col("__known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE))
-    )
-    merged = dim_join(docs, prof_wide, "profile_key", "left")
+    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left", bounded_by=sites)
+    docs = docs.withColumn("profile_key", F.when(F.col("__known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE)))
+    merged = dim_join(docs, prof_wide, "profile_key", "left", bounded_by=sites)
     fallback = dict(code_defaults or ())
-    cols = []
+    exprs = []
     for k in keys:
-        candidates = [F.col(k), F.col(f"__p_{k}")]
+        parts = [f"`{k}`", f"`__p_{k}`"]
         if k in fallback:
-            candidates.append(F.lit(fallback[k]))
-        cols.append(F.coalesce(*candidates).alias(k))
-    return merged.select("cluster_name", "name", "site", "segment", "vlan_id", *cols)
+            parts.append("'" + fallback[k].replace("'", "''") + "'")
+        exprs.append(f"coalesce({', '.join(parts)}) AS `{k}`")
+    return merged.selectExpr("cluster_name", "name", "site", "segment", "vlan_id", *exprs)
 
 
 # --------------------------------------------------------------------------- C5

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
-from ..operators import address, config, dns, nodes
+from ..operators import address, config, dns, nodes, readiness, registration, runs, validate
 from .fleet import Fleet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,4 +127,167 @@ def q_record_set(spark, sf_dir):
     return _fleet(spark, sf_dir).records
 
 
+# ============================================================== validation
+@register("check_names")
+def q_check_names(spark, sf_dir):
+    return validate.check_names(_fleet(spark, sf_dir).identity)
+
+
+@register("check_required")
+def q_check_required(spark, sf_dir):
+    return validate.check_required(_fleet(spark, sf_dir).settings)
+
+
+@register("check_sites")
+def q_check_sites(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return validate.check_sites(f.identity, f.sites)
+
+
+@register("check_allocations")
+def q_check_allocations(spark, sf_dir):
+    return address.check_allocations(_fleet(spark, sf_dir).allocs)
+
+
+@register("check_conditional")
+def q_check_conditional(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return validate.check_conditional(f.runs, f.settings)
+
+
+@register("missing_tools")
+def q_missing_tools(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return validate.missing_tools(f.runs, f.settings, f.host_tools)
+
+
+# ============================================================== readiness
+TIMEOUT_MINUTES = 2880  # the fixture runs span days; see FIXTURES.md
+
+
+@register("csr_items")
+def q_csr_items(spark, sf_dir):
+    return readiness.csr_items(_fleet(spark, sf_dir).polls)
+
+
+@register("bad_polls")
+def q_bad_polls(spark, sf_dir):
+    return readiness.bad_polls(_fleet(spark, sf_dir).polls)
+
+
+@register("pending_requests")
+def q_pending_requests(spark, sf_dir):
+    return readiness.pending_requests(_fleet(spark, sf_dir).polls)
+
+
+@register("pending_per_poll")
+def q_pending_per_poll(spark, sf_dir):
+    return readiness.pending_per_poll(_fleet(spark, sf_dir).polls)
+
+
+@register("availability")
+def q_availability(spark, sf_dir):
+    return readiness.availability(_fleet(spark, sf_dir).polls).select("run_id", "poll_id", "available")
+
+
+@register("time_to_available")
+def q_time_to_available(spark, sf_dir):
+    return readiness.time_to_available(_fleet(spark, sf_dir).polls, TIMEOUT_MINUTES)
+
+
+@register("poll_buckets")
+def q_poll_buckets(spark, sf_dir):
+    return readiness.poll_buckets(_fleet(spark, sf_dir).polls)
+
+
+@register("first_non_empty")
+def q_first_non_empty(spark, sf_dir):
+    return readiness.first_non_empty(_fleet(spark, sf_dir).attempts)
+
+
+@register("pending_age")
+def q_pending_age(spark, sf_dir):
+    return readiness.pending_age(_fleet(spark, sf_dir).polls)
+
+
+# ============================================================== runs, logs, state
+@register("phase_plan")
+def q_phase_plan(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return runs.phase_plan(f.runs, f.settings)
+
+
+@register("parse_logs")
+def q_parse_logs(spark, sf_dir):
+    return runs.parse_logs(_fleet(spark, sf_dir).log_lines).select(
+        "cluster_name", "line_no", "is_start", "logged_at", "level", "message"
+    )
+
+
+@register("log_at_least_info")
+def q_at_least(spark, sf_dir):
+    return runs.at_least(runs.parse_logs(_fleet(spark, sf_dir).log_lines), "INFO").select("cluster_name", "line_no", "level")
+
+
+@register("join_multiline")
+def q_join_multiline(spark, sf_dir):
+    return runs.join_multiline(runs.parse_logs(_fleet(spark, sf_dir).log_lines))
+
+
+@register("log_facts")
+def q_log_facts(spark, sf_dir):
+    return runs.log_facts(runs.parse_logs(_fleet(spark, sf_dir).log_lines))
+
+
+@register("destroyable")
+def q_destroyable(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return runs.destroyable(f.identity, f.artifacts)
+
+
+def _recorded_nodes(desired: DataFrame) -> DataFrame:
+    """Recorded state derived from the desired roster: some nodes missing,
+    some with other memory, some extra."""
+    r = F.col("ordinal") + F.char_length("cluster_name")
+    kept = desired.where(r % 7 != 0).withColumn(
+        "memory_mb", F.when(r % 11 == 0, F.col("memory_mb") + 1024).otherwise(F.col("memory_mb"))
+    )
+    extra = desired.where(r % 13 == 0).withColumn("fqdn", F.concat(F.lit("old-"), F.col("fqdn")))
+    return kept.unionByName(extra)
+
+
+@register("diff_state")
+def q_diff_state(spark, sf_dir):
+    desired = nodes.size_nodes(_fleet(spark, sf_dir).plan)
+    return runs.diff_state(desired, _recorded_nodes(desired), ["cluster_name", "fqdn"], ["num_cpus", "memory_mb", "disk_gb"])
+
+
+@register("diff_records")
+def q_diff_records(spark, sf_dir):
+    desired = dns.forward_records(_fleet(spark, sf_dir).plan)
+    r = F.char_length("name")
+    recorded = desired.where(r % 7 != 0).withColumn(
+        "value", F.when(r % 5 == 0, F.concat(F.col("value"), F.lit("0"))).otherwise(F.col("value"))
+    ).unionByName(desired.where(r % 9 == 0).withColumn("name", F.concat(F.lit("old-"), F.col("name"))))
+    return runs.diff_state(desired, recorded, ["cluster_name", "name"], mode="keys_only")
+
+
+@register("summary")
+def q_summary(spark, sf_dir):
+    return runs.summary(_fleet(spark, sf_dir).plan)
+
+
+# ============================================================== registration
+@register("registration_candidates")
+def q_reg_candidates(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return registration.registration_candidates(f.runs, f.settings, f.env)
+
+
+@register("registration_records")
+def q_reg_records(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return registration.registration_records(registration.registration_candidates(f.runs, f.settings, f.env), f.settings)
+
+
 __all__ = ["QUERIES", "register", "F", "J"]

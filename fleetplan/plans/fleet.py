@@ -60,6 +60,26 @@ class Fleet:
     def runs(self) -> DataFrame:
         return views.runs(self.spark, self.sf_dir, self.seed)
 
+    @cached_property
+    def artifacts(self) -> DataFrame:
+        return views.artifacts(self.seed)
+
+    @cached_property
+    def host_tools(self) -> DataFrame:
+        return views.host_tools(self.spark, self.sf_dir)
+
+    @cached_property
+    def polls(self) -> DataFrame:
+        return views.polls(self.spark, self.sf_dir)
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        return views.attempts(self.spark, self.sf_dir)
+
+    @cached_property
+    def log_lines(self) -> DataFrame:
+        return views.log_lines(self.spark, self.sf_dir)
+
     # configuration ------------------------------------------------------------
     @cached_property
     def identity(self) -> DataFrame:

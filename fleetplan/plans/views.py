@@ -401,7 +401,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit(""))
         .alias("value"),
     )
-    return ordinal_within(ev, ["run_id"], ["ts", "event_id"], "attempt").select(
+    hour = F.expr("unix_micros(cast(ts AS timestamp)) div 3600000000")
+    return ordinal_within(ev, ["run_id"], ["ts", "event_id"], hour, "attempt").select(
         "run_id", F.col("attempt").cast("int").alias("attempt"), "value"
     )
 

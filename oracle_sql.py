@@ -397,3 +397,225 @@ SELECT DISTINCT * FROM (
   UNION ALL SELECT * FROM api_rec
   UNION ALL SELECT * FROM apps_rec)""")
 query("record_set", ["records"], "SELECT * FROM records")
+
+# ============================================================== validation
+TR = truthy
+query("check_names", ["identity"], """
+SELECT cluster_name, 'name_too_long' AS rule, CAST(length(name) AS VARCHAR) AS detail FROM identity WHERE name IS NOT NULL AND length(name) > 27
+UNION ALL SELECT cluster_name, 'name_characters', name FROM identity WHERE name IS NOT NULL AND NOT regexp_full_match(name, '[\\p{L}\\p{N}-]*')
+UNION ALL SELECT cluster_name, 'name_hyphen_edge', name FROM identity WHERE name IS NOT NULL AND (starts_with(name, '-') OR ends_with(name, '-'))""")
+
+query("check_required", ["settings"], f"""
+SELECT cluster_name, 'required' AS rule, 'cluster_name' AS detail FROM settings WHERE coalesce(name, '') = ''
+UNION ALL SELECT cluster_name, 'required', 'site' FROM settings WHERE coalesce(site, '') = ''
+UNION ALL SELECT cluster_name, 'required', 'vm_network' FROM settings WHERE NOT {TR('vm_network')}""")
+
+query("check_sites", ["identity", "sites"], """
+SELECT cluster_name, 'unknown_site' AS rule, site AS detail FROM identity
+WHERE coalesce(site, '') <> '' AND site NOT IN (SELECT site FROM sites)""")
+
+query("check_allocations", ["allocs"], """
+SELECT cluster_name, 'allocation_segment' AS rule, 'segment missing' AS detail FROM allocs WHERE coalesce(segment, '') = ''
+UNION ALL SELECT cluster_name, 'allocation_vlan', 'vlan_id missing' FROM allocs WHERE vlan_id IS NULL""")
+
+view("runs", ["seed"], """
+SELECT o.o_orderkey AS run_id, s.cluster_name, o.o_orderkey % 13 = 0 AS destroy, o.o_orderkey % 2 = 0 AS skip_dns,
+  o.o_orderkey % 3 = 0 AS skip_terraform, o.o_orderkey % 5 = 0 AS skip_csr, o.o_orderkey % 7 = 0 AS skip_ignition,
+  o.o_orderkey % 11 = 0 AS skip_argocd, 45 AS csr_timeout, 'bastion-' || (o.o_orderkey % 10) AS host
+FROM orders o JOIN seed s ON s.k = o.o_custkey""")
+
+query("check_conditional", ["runs", "settings"], f"""
+SELECT r.run_id, r.cluster_name, 'dns_url_missing' AS rule, 'wildcard_dns_api_url' AS detail
+FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND NOT skip_dns AND NOT {TR('s.wildcard_dns_api_url')}
+UNION ALL SELECT r.run_id, r.cluster_name, 'vlan_url_missing', 'vlan_manager_url'
+FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND s.segment = '' AND NOT {TR('s.vlan_manager_url')}""")
+
+view("host_tools", [], """
+SELECT 'bastion-' || s_suppkey AS host, t.tool FROM supplier,
+  (VALUES (0, '/usr/local/bin/openshift-install-4.20'), (1, '/usr/local/bin/terraform'), (2, 'oc')) t(i, tool)
+WHERE (s_suppkey + t.i) % 4 <> 0""")
+
+query("missing_tools", ["runs", "settings", "host_tools"], f"""
+SELECT * FROM (
+  SELECT r.run_id, r.cluster_name, r.host, 'openshift-install' AS label,
+         coalesce({txt('s.openshift_install_bin')}, 'openshift-install-4.20') AS tool
+  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_ignition
+  UNION ALL SELECT r.run_id, r.cluster_name, r.host, 'terraform', coalesce({txt('s.terraform_bin')}, 'terraform')
+  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_terraform
+  UNION ALL SELECT r.run_id, r.cluster_name, r.host, 'oc', 'oc'
+  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE (NOT skip_csr AND NOT skip_terraform) OR {TR('s.argocd_hub_api_url')}
+) n WHERE NOT EXISTS (SELECT 1 FROM host_tools h WHERE h.host = n.host AND h.tool = n.tool)""")
+
+# ============================================================== readiness
+CSR_S = '{"items":[{"metadata":{"name":"VARCHAR"},"status":{"conditions":[{"type":"VARCHAR","status":"VARCHAR"}]}}]}'
+VER_S = '{"status":{"conditions":[{"type":"VARCHAR","status":"VARCHAR"}]}}'
+
+view("polls", [], """
+SELECT user_id AS run_id, event_id AS poll_id, ts AS polled_at,
+  CASE WHEN event_type = 'error' THEN '{"items":[{"metadata":'
+       WHEN event_type = 'signup' THEN '{"items":[{"metadata":{"name":"csr-' || user_id || '-' || (event_id % 3) || '"}' ||
+            CASE event_id % 4 WHEN 0 THEN ',"status":{}}' WHEN 1 THEN '}' WHEN 2 THEN ',"status":{"conditions":[]}}'
+                 ELSE ',"status":{"conditions":null}}' END ||
+            ',{"metadata":{"name":"csr-a' || event_id || '"},"status":{"conditions":[{"type":"Approved","status":"True"}]}}]}'
+       WHEN event_type = 'click' THEN '{"items":[{"metadata":{"name":"csr-' || user_id || '-' || (event_id % 3) ||
+            '"},"status":{"conditions":[{"type":"Approved","status":"True"}]}}]}'
+       ELSE '{"items":[]}' END AS csr_json,
+  CASE WHEN event_type = 'purchase' AND event_id % 50 = 7
+         THEN '{"status":{"conditions":[{"type":"Available","status":"True"},{"type":"Available","status":"True"}]}}'
+       WHEN event_type IN ('purchase', 'error')
+         THEN '{"status":{"conditions":[{"type":"Progressing","status":"False"},{"type":"Available","status":"True"}]}}'
+       WHEN event_type = 'view' THEN '{"status":{"conditions":[{"type":"Available","status":"False"}]}}'
+       ELSE '{"status":{}}' END AS version_json
+FROM events""")
+
+view("csr_items", ["polls"], f"""
+SELECT run_id, poll_id, polled_at, it.metadata.name AS name,
+  CAST(coalesce(len(it.status.conditions), 0) AS INTEGER) AS n_conditions,
+  coalesce(len(it.status.conditions), 0) = 0 AS pending
+FROM (SELECT run_id, poll_id, polled_at, unnest(from_json(csr_json, '{CSR_S}').items) AS it FROM polls WHERE json_valid(csr_json))""")
+
+view("avail", ["polls"], f"""
+SELECT *, json_valid(csr_json) AS good, coalesce(len(h) = 1 AND trim(h[1].status) = 'True', FALSE) AS available
+FROM (SELECT *, list_filter(coalesce(from_json(version_json, '{VER_S}').status.conditions, []), lambda c: c.type = 'Available') AS h
+      FROM polls)""")
+
+query("csr_items", ["csr_items"], "SELECT * FROM csr_items")
+query("bad_polls", ["polls"], "SELECT run_id, poll_id, polled_at FROM polls WHERE NOT json_valid(csr_json)")
+query("pending_requests", ["csr_items"], "SELECT run_id, poll_id, polled_at, name FROM csr_items WHERE pending")
+query("pending_per_poll", ["polls"], f"""
+SELECT run_id, poll_id, polled_at, CAST(len(p) AS BIGINT) AS n_pending,
+  array_to_string(list_sort(list_transform(p, lambda i: i.metadata.name)), ',') AS pending
+FROM (SELECT run_id, poll_id, polled_at,
+        list_filter(coalesce(from_json(csr_json, '{CSR_S}').items, []), lambda i: coalesce(len(i.status.conditions), 0) = 0) AS p
+      FROM polls WHERE json_valid(csr_json))""")
+query("availability", ["avail"], "SELECT run_id, poll_id, available FROM avail")
+query("time_to_available", ["avail"], """
+SELECT run_id, started_at, CASE WHEN ok THEN first_av END AS available_at,
+  CAST(CASE WHEN ok THEN (epoch_us(first_av) - epoch_us(started_at)) // 1000000 END AS BIGINT) AS seconds,
+  CASE WHEN ok THEN 'available' ELSE 'timed_out' END AS status
+FROM (SELECT *, first_av IS NOT NULL AND first_av < started_at + INTERVAL 2880 MINUTE AS ok
+      FROM (SELECT run_id, min(polled_at) AS started_at, min(CASE WHEN good AND available THEN polled_at END) AS first_av
+            FROM avail GROUP BY run_id))""")
+query("poll_buckets", ["polls"], """
+SELECT run_id, time_bucket(INTERVAL 30 SECOND, polled_at) AS window_start, count(*) AS polls FROM polls GROUP BY 1, 2""")
+view("attempts", [], """
+SELECT user_id AS run_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS attempt,
+  CASE WHEN event_type = 'purchase' THEN 'dG9rZW4=' WHEN event_type = 'view' AND event_id % 13 = 0 THEN '  ' ELSE '' END AS value
+FROM events""")
+query("first_non_empty", ["attempts"], """
+SELECT run_id, CAST(a AS INTEGER) AS attempt, CASE WHEN a IS NOT NULL THEN 'ok' ELSE 'failed' END AS status
+FROM (SELECT run_id, min(CASE WHEN attempt <= 10 AND trim(value) <> '' THEN attempt END) AS a FROM attempts GROUP BY run_id)""")
+query("pending_age", ["csr_items"], """
+SELECT run_id, name, CAST(count(DISTINCT poll_id) AS BIGINT) AS polls, min(polled_at) AS first_seen, max(polled_at) AS last_seen
+FROM csr_items WHERE pending GROUP BY run_id, name""")
+
+# ============================================================== runs, logs, state
+_PH = [
+    ("preflight", "TRUE"), ("destroy", "destroy"), ("network", "NOT destroy"), ("templates", "NOT destroy"),
+    ("ignition", "NOT destroy AND NOT skip_ignition"), ("dns", "NOT destroy AND NOT skip_dns"),
+    ("terraform", "NOT destroy AND NOT skip_terraform"), ("csr", "NOT destroy AND NOT skip_terraform AND NOT skip_csr"),
+    ("argocd", "NOT destroy AND NOT skip_terraform AND NOT skip_argocd AND hub"), ("save_context", "NOT destroy"),
+]
+view("runs_hub", ["runs", "settings"], f"""
+SELECT r.*, coalesce({TR('s.argocd_hub_api_url')}, FALSE) AS hub FROM runs r LEFT JOIN settings s ON s.cluster_name = r.cluster_name""")
+query("phase_plan", ["runs_hub"], "\nUNION ALL ".join(
+    f"SELECT run_id, {i + 1} AS ordinal, '{p}' AS phase, ({cond}) AS enabled FROM runs_hub" for i, (p, cond) in enumerate(_PH)))
+
+view("log_lines", [], """
+SELECT 'cluster-' || user_id AS cluster_name, event_id * 2 AS line_no,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' || rpad(level, 7, ' ') || '] ' || message AS text
+FROM (SELECT *,
+  CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'WARNING'
+       WHEN event_type IN ('view', 'click') THEN 'DEBUG' ELSE 'INFO' END AS level,
+  CASE WHEN event_type = 'error' THEN 'Command failed (rc=' || (event_id % 5 + 1) || '): oc get csr -o json'
+       WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'Failed to approve CSR csr-' || event_id || ', will retry'
+       WHEN event_type = 'signup' THEN 'Approving ' || (event_id % 3 + 1) || ' pending CSR(s): [''csr-' || event_id || ''']'
+       WHEN event_type = 'click' THEN '  stdout: certificatesigningrequest/csr-' || event_id || ' approved'
+       WHEN event_type = 'view' THEN 'Cluster not yet available, sleeping 30s...'
+       ELSE 'Cluster is Available! (took ' || CAST(floor(value * 10) AS BIGINT) || 's)' END AS message
+  FROM events)
+UNION ALL SELECT 'cluster-' || user_id, event_id * 2 + 1, 'stderr: connection refused' FROM events WHERE event_type = 'error'""")
+
+LOGP = "^(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}) \\[([A-Z]+) *\\] (.*)$"
+view("parsed", ["log_lines"], f"""
+SELECT cluster_name, line_no, s AS is_start,
+  CASE WHEN s THEN strptime(regexp_extract(text, '{LOGP}', 1), '%Y-%m-%d %H:%M:%S') END AS logged_at,
+  CASE WHEN s THEN regexp_extract(text, '{LOGP}', 2) END AS level,
+  CASE WHEN s THEN regexp_extract(text, '{LOGP}', 3) ELSE text END AS message
+FROM (SELECT *, regexp_matches(text, '{LOGP}') AS s FROM log_lines)""")
+query("parse_logs", ["parsed"], "SELECT * FROM parsed")
+query("log_at_least_info", ["parsed"], "SELECT cluster_name, line_no, level FROM parsed WHERE level IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL')")
+query("join_multiline", ["parsed"], """
+SELECT cluster_name, start_line, max(CASE WHEN is_start THEN logged_at END) AS logged_at,
+  max(CASE WHEN is_start THEN level END) AS level, string_agg(message, chr(10) ORDER BY line_no) AS message,
+  count(*) AS n_lines
+FROM (SELECT *, max(CASE WHEN is_start THEN line_no END) OVER (PARTITION BY cluster_name ORDER BY line_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS start_line FROM parsed)
+WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line""")
+_FACTS = [("took_seconds", "took (\\d+)s"), ("rc", "rc=(\\d+)"), ("pending_count", "Approving (\\d+) pending")]
+query("log_facts", ["parsed"], "\nUNION ALL ".join(
+    [f"SELECT cluster_name, line_no, '{n}' AS fact, CAST(regexp_extract(message, '{p}', 1) AS BIGINT) AS value FROM parsed "
+     f"WHERE regexp_matches(message, '{p}')" for n, p in _FACTS]
+    + [f"SELECT cluster_name, line_no, '{s}', CAST(NULL AS BIGINT) FROM parsed WHERE starts_with(ltrim(message), '{s}:')"
+       for s in ("stdout", "stderr")]))
+
+view("artifacts", ["seed"], """
+SELECT cluster_name, 'terraform.tfvars' AS file FROM seed WHERE k % 3 <> 0
+UNION ALL SELECT cluster_name, 'terraform.tfstate' FROM seed WHERE k % 5 <> 0""")
+query("destroyable", ["identity", "artifacts"], """
+SELECT i.cluster_name, coalesce(v, 0) = 1 AND coalesce(st, 0) = 1 AS destroyable,
+  CASE WHEN coalesce(v, 0) <> 1 THEN 'no_variables_file' WHEN coalesce(st, 0) <> 1 THEN 'no_state_file' ELSE 'ok' END AS reason
+FROM identity i LEFT JOIN (SELECT cluster_name, max(CASE WHEN file = 'terraform.tfvars' THEN 1 ELSE 0 END) AS v,
+  max(CASE WHEN file = 'terraform.tfstate' THEN 1 ELSE 0 END) AS st FROM artifacts GROUP BY cluster_name) a
+ON a.cluster_name = i.cluster_name""")
+
+view("sized", ["nodes", "plan"], f"""
+SELECT n.cluster_name, n.fqdn, n.role, n.ordinal,
+  CAST(CASE n.role WHEN 'bootstrap' THEN 2 WHEN 'control_plane' THEN {_size('control_plane_num_cpus')}
+    WHEN 'compute' THEN {_size('compute_num_cpus')} ELSE {_size('infra_num_cpus')} END AS INTEGER) AS num_cpus,
+  CAST(CASE n.role WHEN 'bootstrap' THEN 8192 WHEN 'control_plane' THEN {_size('control_plane_memory')}
+    WHEN 'compute' THEN {_size('compute_memory')} ELSE {_size('infra_memory')} END AS INTEGER) AS memory_mb,
+  CAST(CASE n.role WHEN 'bootstrap' THEN {_size('bootstrap_disk_size')} WHEN 'control_plane' THEN {_size('control_plane_disk_size')}
+    WHEN 'compute' THEN {_size('compute_disk_size')} ELSE {_size('infra_disk_size')} END AS INTEGER) AS disk_gb
+FROM nodes n JOIN plan p ON p.cluster_name = n.cluster_name""")
+query("diff_state", ["sized"], """
+SELECT coalesce(d.cluster_name, a.cluster_name) AS cluster_name, coalesce(d.fqdn, a.fqdn) AS fqdn,
+  CASE WHEN a.fqdn IS NULL THEN 'create' WHEN d.fqdn IS NULL THEN 'delete'
+       WHEN d.num_cpus IS NOT DISTINCT FROM a.num_cpus AND d.memory_mb IS NOT DISTINCT FROM a.memory_mb
+            AND d.disk_gb IS NOT DISTINCT FROM a.disk_gb THEN 'unchanged' ELSE 'update' END AS action
+FROM sized d FULL OUTER JOIN (
+  SELECT cluster_name, fqdn, num_cpus, CASE WHEN r % 11 = 0 THEN memory_mb + 1024 ELSE memory_mb END AS memory_mb, disk_gb
+  FROM (SELECT *, ordinal + length(cluster_name) AS r FROM sized) WHERE r % 7 <> 0
+  UNION ALL SELECT cluster_name, 'old-' || fqdn, num_cpus, memory_mb, disk_gb
+  FROM (SELECT *, ordinal + length(cluster_name) AS r FROM sized) WHERE r % 13 = 0) a
+ON d.cluster_name = a.cluster_name AND d.fqdn = a.fqdn""")
+view("fwd", ["nodes"], "SELECT cluster_name, fqdn AS name, ip AS value FROM nodes")
+query("diff_records", ["fwd"], """
+SELECT coalesce(d.cluster_name, a.cluster_name) AS cluster_name, coalesce(d.name, a.name) AS name,
+  CASE WHEN a.name IS NULL THEN 'create' WHEN d.name IS NULL THEN 'forget' ELSE 'unchanged' END AS action
+FROM fwd d FULL OUTER JOIN (
+  SELECT cluster_name, name, CASE WHEN length(name) % 5 = 0 THEN value || '0' ELSE value END AS value FROM fwd WHERE length(name) % 7 <> 0
+  UNION ALL SELECT cluster_name, 'old-' || name, value FROM fwd WHERE length(name) % 9 = 0) a
+ON d.cluster_name = a.cluster_name AND d.name = a.name""")
+query("summary", ["plan"], f"""
+SELECT cluster_name, coalesce({txt('site_name')}, site) AS site, segment, gateway,
+  array_to_string(control_plane_ips, ', ') AS control_plane, array_to_string(infra_ips, ', ') AS infra,
+  coalesce(nullif(array_to_string(compute_ips, ', '), ''), '(none)') AS compute FROM plan""")
+
+# ============================================================== registration
+view("reg_candidates", ["runs", "settings", "env"], f"""
+SELECT run_id, cluster_name, src AS token_source, src <> 'none' AS registrable FROM (
+  SELECT r.run_id, r.cluster_name,
+    CASE WHEN {TR('s.argocd_hub_token')} THEN 'plain' WHEN coalesce(e.value <> '', FALSE) THEN 'env' ELSE 'none' END AS src
+  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name
+  LEFT JOIN env e ON e.name = coalesce({txt('s.argocd_hub_token_env')}, '')
+  WHERE NOT destroy AND NOT skip_terraform AND NOT skip_argocd AND {TR('s.argocd_hub_api_url')})""")
+query("registration_candidates", ["reg_candidates"], "SELECT * FROM reg_candidates")
+query("registration_records", ["reg_candidates", "settings"], f"""
+SELECT run_id, 'cluster-' || c.cluster_name AS secret_name, coalesce({txt('s.argocd_namespace')}, 'argocd') AS namespace,
+  'argocd.argoproj.io/secret-type=cluster' AS label,
+  'https://api.' || c.cluster_name || '.' || coalesce({txt('s.base_domain')}, '') || ':6443' AS server,
+  {TR('s.argocd_insecure_skip_tls')} AS insecure,
+  '{{"tlsClientConfig": {{"insecure": ' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN 'true' ELSE 'false' END ||
+  ', "caData": "' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN '' ELSE to_base64(encode('CA of ' || c.cluster_name)) END || '"}}}}' AS config_json
+FROM reg_candidates c JOIN settings s ON s.cluster_name = c.cluster_name WHERE registrable""")
