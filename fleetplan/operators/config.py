@@ -235,13 +235,23 @@ def default_if_absent(
 
 
 # --------------------------------------------------------------------------- pivot
+def key_column(key: str) -> str:
+    """Column name of a key in a pivoted row (the ``cluster_name`` key would
+    clash with the grouping column)."""
+    return "key_cluster_name" if key == "cluster_name" else key
+
+
 def pivot_keys(effective: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Wide row per cluster with one JSON-text column per key (NULL = absent).
+    """Wide row per cluster with one JSON-text column per key (NULL = absent);
+    a cluster with none of the keys has no row (left-join it where needed).
     The fixed value list spares Spark a distinct job."""
+    names = [key_column(k) for k in keys]
+    pcol = F.when(F.col("key") == "cluster_name", F.lit(key_column("cluster_name"))).otherwise(F.col("key"))
     return (
         effective.where(F.col("key").isin(*keys))
+        .withColumn("__pkey", pcol)
         .groupBy("cluster_name")
-        .pivot("key", list(keys))
+        .pivot("__pkey", names)
         .agg(F.first("value"))
     )
 
@@ -346,13 +356,13 @@ _SOURCES = [
 ]
 
 
-def first_available(effective: DataFrame, files: DataFrame, env: DataFrame) -> DataFrame:
+def first_available(fleet: DataFrame, files: DataFrame, env: DataFrame) -> DataFrame:
     """Where each secret input comes from: file at the profile path (content
     used even if blank), else the environment, else a literal. Only the source
     and whether a non-empty value results are kept, never the value.
+    ``fleet``: wide settings rows (one per cluster, path keys as columns).
     Returns (cluster_name, item, path, source, present)."""
-    wide = pivot_keys(effective, [s[1] for s in _SOURCES])
-    items = wide.select(
+    items = fleet.select(
         "cluster_name",
         F.inline(
             F.array(
@@ -425,7 +435,7 @@ _STRING_VARS = [
     ("vsphere_folder", "vsphere_folder"),
     ("vm_template", "vm_template"),
     ("vm_network", "vm_network"),
-    ("cluster_id", "cluster_name"),
+    ("cluster_id", "key_cluster_name"),
     ("base_domain", "base_domain"),
     ("machine_cidr", "machine_network_cidr"),
     ("gateway_ip", "gateway"),
@@ -454,7 +464,7 @@ def variables_long(context: DataFrame) -> DataFrame:
     pairs += [
         ("vsphere_password", F.lit("<redacted>")),
         ("vm_dns_addresses", F.coalesce(F.col("dns_servers"), F.lit("[]"))),
-        ("cluster_domain", F.concat(_text("cluster_name"), F.lit("."), _text("base_domain"))),
+        ("cluster_domain", F.concat(_text("key_cluster_name"), F.lit("."), _text("base_domain"))),
         ("bootstrap_ignition_path", F.concat(ign, F.lit("/bootstrap.ign"))),
         ("control_plane_ignition_path", F.concat(ign, F.lit("/master.ign"))),
         ("compute_ignition_path", F.concat(ign, F.lit("/worker.ign"))),
@@ -525,11 +535,11 @@ def to_install_struct(context: DataFrame, sources: DataFrame) -> DataFrame:
     wide = pivot_keys(
         context,
         ["cluster_name", "base_domain", "cluster_network_cidr", "cluster_network_host_prefix", "service_network_cidr", "image_mirrors"],
-    ).withColumnRenamed("cluster_name", "__name")
+    )
     bundle = sources.where(F.col("item") == "trust_bundle").select("cluster_name", F.col("present").alias("__bundle"))
     joined = wide.join(bundle, "cluster_name", "left")
     install = F.struct(
-        _text("__name").alias("name"),
+        _text("key_cluster_name").alias("name"),
         _text("base_domain").alias("base_domain"),
         F.struct(
             F.lit(NETWORK_TYPE).alias("network_type"),

@@ -290,4 +290,74 @@ def q_reg_records(spark, sf_dir):
     return registration.registration_records(registration.registration_candidates(f.runs, f.settings, f.env), f.settings)
 
 
+# ============================================================== context, variables, lookups
+@register("config_mirrors")
+def q_mirrors(spark, sf_dir):
+    return config.explode_mirrors(_fleet(spark, sf_dir).settings_long)
+
+
+@register("config_sources")
+def q_sources(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return config.first_available(f.settings, f.files, f.env)
+
+
+@register("inventory_ids")
+def q_inventory_ids(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return nodes.resolve_inventory(f.settings, f.inventory)[0]
+
+
+@register("inventory_issues")
+def q_inventory_issues(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return nodes.resolve_inventory(f.settings, f.inventory)[1]
+
+
+@register("node_specs")
+def q_node_specs(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return nodes.node_specs(f.plan, f.inventory)
+
+
+@register("config_context")
+def q_context(spark, sf_dir):
+    return _fleet(spark, sf_dir).context
+
+
+@register("config_variables")
+def q_variables(spark, sf_dir):
+    return config.variables_long(_fleet(spark, sf_dir).context)
+
+
+@register("check_contract")
+def q_contract(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    return validate.check_contract(config.variables_long(f.context), validate.contract_table(spark))
+
+
+@register("check_counts")
+def q_counts(spark, sf_dir):
+    return validate.check_counts(config.to_variables(_fleet(spark, sf_dir).context))
+
+
+@register("config_install")
+def q_install(spark, sf_dir):
+    f = _fleet(spark, sf_dir)
+    inst = config.to_install_struct(f.context, config.first_available(f.settings, f.files, f.env))
+    i = F.col("install")
+    return inst.select(
+        "cluster_name",
+        i.getField("name").alias("name"),
+        i.getField("base_domain").alias("base_domain"),
+        i.networking.network_type.alias("network_type"),
+        i.networking.cluster_network_cidr.alias("cluster_network_cidr"),
+        i.networking.host_prefix.alias("host_prefix"),
+        i.networking.service_network_cidr.alias("service_network_cidr"),
+        i.networking.v4_internal_subnet.alias("v4_internal_subnet"),
+        i.has_trust_bundle.alias("has_trust_bundle"),
+        F.size(i.mirrors).cast("bigint").alias("mirror_count"),
+    )
+
+
 __all__ = ["QUERIES", "register", "F", "J"]

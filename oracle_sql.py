@@ -619,3 +619,73 @@ SELECT run_id, 'cluster-' || c.cluster_name AS secret_name, coalesce({txt('s.arg
   '{{"tlsClientConfig": {{"insecure": ' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN 'true' ELSE 'false' END ||
   ', "caData": "' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN '' ELSE to_base64(encode('CA of ' || c.cluster_name)) END || '"}}}}' AS config_json
 FROM reg_candidates c JOIN settings s ON s.cluster_name = c.cluster_name WHERE registrable""")
+
+# ============================================================== context, variables, lookups
+MIR_S = '[{"source":"VARCHAR","mirror":"VARCHAR"}]'
+query("config_mirrors", ["settings_long"], f"""
+SELECT cluster_name, CAST(i AS INTEGER) AS position, m[i].source AS source, m[i].mirror AS mirror
+FROM (SELECT cluster_name, from_json(value, '{MIR_S}') AS m FROM settings_long WHERE key = 'image_mirrors'), range(1, len(m) + 1) t(i)""")
+
+query("config_sources", ["settings", "host_files", "env"], f"""
+SELECT cluster_name, item, path,
+  CASE WHEN f.path IS NOT NULL THEN 'file'
+       WHEN item = 'pull_secret' AND e.value IS NOT NULL THEN 'env'
+       WHEN item = 'ssh_key' AND coalesce(e.value, '') <> '' THEN 'env'
+       WHEN item = 'pull_secret' THEN 'literal' ELSE 'none' END AS source,
+  CASE WHEN f.path IS NOT NULL THEN f.nonblank
+       WHEN item = 'pull_secret' AND e.value IS NOT NULL THEN e.value <> '{{}}'
+       WHEN item = 'ssh_key' AND coalesce(e.value, '') <> '' THEN TRUE ELSE FALSE END AS present
+FROM (
+  SELECT cluster_name, 'pull_secret' AS item, coalesce({txt('pull_secret_path')}, 'config/pull-secret.json') AS path, 'PULL_SECRET' AS env_name FROM settings
+  UNION ALL SELECT cluster_name, 'ssh_key', coalesce({txt('ssh_public_key_path')}, '~/.ssh/id_rsa.pub'), 'SSH_PUBLIC_KEY' FROM settings
+  UNION ALL SELECT cluster_name, 'trust_bundle', coalesce({txt('additional_trust_bundle_path')}, 'config/additional-trust-bundle.pem'), NULL FROM settings
+) x LEFT JOIN host_files f USING (path) LEFT JOIN env e ON e.name = x.env_name""")
+
+view("inventory", ["nation", "seed"] if False else ["seed"], """
+SELECT 'datacenter' AS kind, NULL AS datacenter_id, 'DC-' || n_name AS name, 'datacenter-' || n_nationkey AS id, NULL AS switch_id,
+  NULL AS guest_id, NULL AS thin FROM nation
+UNION ALL SELECT 'compute_cluster', 'datacenter-' || n_nationkey, 'Cluster-' || n_nationkey, 'domain-c' || n_nationkey, NULL, NULL, NULL FROM nation
+UNION ALL SELECT 'compute_cluster', 'datacenter-' || n_nationkey, 'Cluster-' || n_nationkey, 'domain-c' || n_nationkey || '-dup', NULL, NULL, NULL
+  FROM nation WHERE n_nationkey % 12 = 7
+UNION ALL SELECT 'datastore_cluster', 'datacenter-' || n_nationkey, 'DSC-' || n_nationkey, 'group-p' || n_nationkey, NULL, NULL, NULL
+  FROM nation WHERE n_nationkey % 12 <> 11
+UNION ALL SELECT 'dvs', 'datacenter-' || n_nationkey, 'DVS-' || n_nationkey, 'dvs-' || n_nationkey, NULL, NULL, NULL FROM nation
+UNION ALL SELECT 'template', 'datacenter-' || n_nationkey, 'rhcos-420', 'vm-tmpl-' || n_nationkey, NULL, 'rhcos_64Guest', n_nationkey % 2 = 0 FROM nation
+UNION ALL SELECT 'network', 'datacenter-' || nation, 'VLAN' || (100 + k % 3900) || '-OCP', 'dvportgroup-' || k, 'dvs-' || nation, NULL, NULL
+  FROM seed WHERE k % 17 <> 0""")
+view("inv_index", ["inventory"], """
+SELECT kind, datacenter_id, switch_id, name, count(*) AS n, min(id) AS id, any_value(guest_id) AS guest_id, any_value(thin) AS thin
+FROM inventory GROUP BY ALL""")
+
+
+def _lookup(kind: str, key: str, dc: str | None, sw: str | None) -> str:
+    cond = [f"x.kind = '{kind}'", f"x.name = {txt('s.' + key)}"]
+    cond.append(f"x.datacenter_id = {dc}" if dc else "x.datacenter_id IS NULL")
+    if sw:
+        cond.append(f"x.switch_id = {sw}")
+    return " AND ".join(cond)
+
+
+view("inv_res", ["settings", "inv_index"], f"""
+SELECT s.cluster_name,
+  {txt('s.datacenter')} AS r_dc, dc.n AS n_dc, CASE WHEN dc.n = 1 THEN dc.id END AS datacenter_id
+FROM settings s LEFT JOIN inv_index dc ON {_lookup('datacenter', 'datacenter', None, None).replace('x.', 'dc.')}""")
+_KINDS = [("compute_cluster", "vsphere_cluster", "compute_cluster_id"), ("datastore_cluster", "vsphere_datastore_cluster", "datastore_cluster_id"),
+          ("dvs", "vsphere_dvs_name", "dvs_id"), ("network", "vm_network", "network_id"), ("template", "vm_template", "template_id")]
+_joins = []
+_cols = []
+for i, (kind, key, out) in enumerate(_KINDS):
+    a = f"j{i}"
+    sw = "j2_id" if kind == "network" else None
+    _joins.append(f"LEFT JOIN inv_index {a} ON {a}.kind = '{kind}' AND {a}.name = {txt('s.' + key)} AND {a}.datacenter_id = r.datacenter_id"
+                  + (f" AND {a}.switch_id = (CASE WHEN j2.n = 1 THEN j2.id END)" if sw else ""))
+    _cols.append(f"{txt('s.' + key)} AS r_{out}, {a}.n AS n_{out}, CASE WHEN {a}.n = 1 THEN {a}.id END AS {out}")
+view("inv_all", ["inv_res", "settings", "inv_index"], "SELECT r.cluster_name, r.r_dc, r.n_dc, r.datacenter_id, "
+     + ", ".join(_cols) + ", CASE WHEN j4.n = 1 THEN j4.guest_id END AS guest_id, CASE WHEN j4.n = 1 THEN j4.thin END AS thin_provisioned "
+     + "FROM inv_res r JOIN settings s ON s.cluster_name = r.cluster_name " + " ".join(_joins))
+query("inventory_ids", ["inv_all"], "SELECT cluster_name, datacenter_id, " + ", ".join(o for _, _, o in _KINDS)
+      + ", guest_id, thin_provisioned FROM inv_all")
+query("inventory_issues", ["inv_all"], "\nUNION ALL ".join(
+    [f"SELECT cluster_name, '{obj}' AS object, {ref} AS name, CASE WHEN {ref} IS NULL OR {n} IS NULL THEN 'missing' ELSE 'ambiguous' END AS problem "
+     f"FROM inv_all WHERE {ref} IS NULL OR {n} IS NULL OR {n} > 1"
+     for obj, ref, n in [("datacenter", "r_dc", "n_dc")] + [(k, f"r_{o}", f"n_{o}") for k, _, o in _KINDS]]))
