@@ -320,7 +320,9 @@ def build_context(
         F.inline(
             F.array(
                 F.struct(F.lit("segment").alias("key"), J.quote(F.col("segment")).alias("value")),
-                F.struct(F.lit("vlan_id").alias("key"), J.quote(F.col("vlan_id")).alias("value")),
+                F.struct(
+                    F.lit("vlan_id").alias("key"), F.coalesce(J.quote(F.col("vlan_id")), F.lit("null")).alias("value")
+                ),
                 F.struct(F.lit("vm_network").alias("key"), F.col("vm_network").alias("value")),
                 F.struct(
                     F.lit("ignition_dir").alias("key"),

@@ -689,3 +689,130 @@ query("inventory_issues", ["inv_all"], "\nUNION ALL ".join(
     [f"SELECT cluster_name, '{obj}' AS object, {ref} AS name, CASE WHEN {ref} IS NULL OR {n} IS NULL THEN 'missing' ELSE 'ambiguous' END AS problem "
      f"FROM inv_all WHERE {ref} IS NULL OR {n} IS NULL OR {n} > 1"
      for obj, ref, n in [("datacenter", "r_dc", "n_dc")] + [(k, f"r_{o}", f"n_{o}") for k, _, o in _KINDS]]))
+
+# ============================================================== context (C4) and what reads it
+view("context", ["fleet", "settings_long", "plan", "settings"], """
+SELECT cluster_name, key, value, source FROM (
+  SELECT *, row_number() OVER (PARTITION BY cluster_name, key ORDER BY rank DESC) AS rn FROM (
+    SELECT cluster_name, 'cluster_name' AS key, '"' || name || '"' AS value, 'base' AS source, 0 AS rank FROM fleet
+    UNION ALL SELECT cluster_name, 'timestamp', '"1970-01-01T00:00:00Z"', 'base', 0 FROM fleet
+    UNION ALL SELECT cluster_name, key, value, 'profile', 1 FROM settings_long
+    UNION ALL SELECT cluster_name, k, v, 'plan', 2 FROM plan, (SELECT unnest([
+        {'k': 'network', 'v': '"' || network || '/' || prefix_length || '"'},
+        {'k': 'machine_network_cidr', 'v': '"' || network || '/' || prefix_length || '"'},
+        {'k': 'prefix_length', 'v': CAST(prefix_length AS VARCHAR)},
+        {'k': 'netmask', 'v': '"' || netmask || '"'},
+        {'k': 'gateway', 'v': '"' || gateway || '"'},
+        {'k': 'infra_ips', 'v': CAST(to_json(infra_ips) AS VARCHAR)},
+        {'k': 'control_plane_ips', 'v': CAST(to_json(control_plane_ips) AS VARCHAR)},
+        {'k': 'bootstrap_ip', 'v': '"' || bootstrap_ip || '"'},
+        {'k': 'compute_ips', 'v': CAST(to_json(compute_ips) AS VARCHAR)}], recursive := true))
+    UNION ALL SELECT cluster_name, 'segment', '"' || segment || '"', 'explicit', 3 FROM fleet
+    UNION ALL SELECT cluster_name, 'vlan_id', coalesce('"' || vlan_id || '"', 'null'), 'explicit', 3 FROM fleet
+    UNION ALL SELECT f.cluster_name, 'vm_network', s.vm_network, 'explicit', 3 FROM fleet f JOIN settings s USING (cluster_name)
+      WHERE s.vm_network IS NOT NULL
+    UNION ALL SELECT cluster_name, 'ignition_dir', '"clusters/' || name || '/ignition"', 'explicit', 3 FROM fleet WHERE name IS NOT NULL
+    UNION ALL SELECT f.cluster_name, 'cluster_network_cidr', coalesce(s.cluster_network_cidr, '"10.132.0.0/14"'), 'explicit', 3
+      FROM fleet f JOIN settings s USING (cluster_name)
+    UNION ALL SELECT f.cluster_name, 'cluster_network_host_prefix', coalesce(s.cluster_network_host_prefix, '23'), 'explicit', 3
+      FROM fleet f JOIN settings s USING (cluster_name)
+    UNION ALL SELECT f.cluster_name, 'service_network_cidr', coalesce(s.service_network_cidr, '"172.31.0.0/16"'), 'explicit', 3
+      FROM fleet f JOIN settings s USING (cluster_name)))
+WHERE rn = 1""")
+query("config_context", ["context"], "SELECT * FROM context")
+
+CTX_KEYS = ["cluster_name", "vcenter", "vcenter_user", "vsphere_cluster", "datacenter", "vsphere_datastore_cluster",
+            "vsphere_dvs_name", "vsphere_folder", "vm_template", "vm_network", "dns_servers", "base_domain",
+            "machine_network_cidr", "gateway", "ignition_dir", "bootstrap_ip", "control_plane_ips", "compute_ips",
+            "infra_ips", *TEMPLATE_DEFAULTS.keys()]
+
+
+def kc(k: str) -> str:
+    return "key_cluster_name" if k == "cluster_name" else k
+
+
+view("ctx_wide", ["context"], "SELECT cluster_name, " + ", ".join(
+    f"max(CASE WHEN key = '{k}' THEN value END) AS {kc(k)}" for k in CTX_KEYS) + " FROM context GROUP BY cluster_name")
+
+
+def rtext(c: str) -> str:
+    return f"(CASE WHEN {c} IS NULL THEN '' WHEN {c} = 'null' THEN 'None' ELSE {txt(c)} END)"
+
+
+def ntext(k: str) -> str:
+    return f"(CASE WHEN {k} IS NULL THEN '{TEMPLATE_DEFAULTS[k]}' WHEN {k} = 'null' THEN 'None' ELSE {txt(k)} END)"
+
+
+_VARS = [(n, rtext(k)) for n, k in [
+    ("vsphere_server", "vcenter"), ("vsphere_user", "vcenter_user"), ("vsphere_cluster", "vsphere_cluster"),
+    ("vsphere_datacenter", "datacenter"), ("vsphere_datastore_cluster", "vsphere_datastore_cluster"),
+    ("vsphere_dvs_name", "vsphere_dvs_name"), ("vsphere_folder", "vsphere_folder"), ("vm_template", "vm_template"),
+    ("vm_network", "vm_network"), ("cluster_id", "key_cluster_name"), ("base_domain", "base_domain"),
+    ("machine_cidr", "machine_network_cidr"), ("gateway_ip", "gateway"), ("bootstrap_ip", "bootstrap_ip")]]
+_VARS += [
+    ("vsphere_password", "'<redacted>'"),
+    ("vm_dns_addresses", "coalesce(dns_servers, '[]')"),
+    ("cluster_domain", f"{rtext('key_cluster_name')} || '.' || {rtext('base_domain')}"),
+    ("bootstrap_ignition_path", f"{rtext('ignition_dir')} || '/bootstrap.ign'"),
+    ("control_plane_ignition_path", f"{rtext('ignition_dir')} || '/master.ign'"),
+    ("compute_ignition_path", f"{rtext('ignition_dir')} || '/worker.ign'"),
+    ("infra_ignition_path", f"{rtext('ignition_dir')} || '/worker.ign'"),
+]
+for _r in ("control_plane", "compute", "infra"):
+    _VARS.append((f"{_r}_ips", f"coalesce({_r}_ips, '[]')"))
+    _VARS.append((f"{_r}_count", f"CAST(len(CAST(json(coalesce({_r}_ips, '[]')) AS VARCHAR[])) AS VARCHAR)"))
+for _k in TEMPLATE_DEFAULTS:
+    _VARS.append((_k, ntext(_k)))
+view("variables", ["ctx_wide"], "\nUNION ALL ".join(
+    f"SELECT cluster_name, '{n}' AS variable, {e} AS value FROM ctx_wide" for n, e in _VARS))
+query("config_variables", ["variables"], "SELECT * FROM variables")
+
+view("contract", [], "SELECT * FROM " + _values(VARIABLE_CONTRACT, ["variable", "type", "required", "dflt"]))
+query("check_contract", ["variables", "contract"], """
+SELECT cluster_name, variable, rule FROM (
+  SELECT v.cluster_name, v.variable,
+    CASE WHEN c.variable IS NULL THEN 'undeclared'
+         WHEN c.required AND v.value IS NULL THEN 'missing_required'
+         WHEN c.type = 'number' AND TRY_CAST(v.value AS DOUBLE) IS NULL THEN 'not_a_number'
+         WHEN c.type = 'list(string)' AND NOT coalesce(json_valid(v.value) AND json_type(v.value) = 'ARRAY', FALSE) THEN 'not_a_list'
+    END AS rule
+  FROM variables v LEFT JOIN contract c ON c.variable = v.variable)
+WHERE rule IS NOT NULL
+UNION ALL
+SELECT w.cluster_name, c.variable, 'missing_required' FROM (SELECT DISTINCT cluster_name FROM variables) w, contract c
+WHERE c.required AND NOT EXISTS (SELECT 1 FROM variables v WHERE v.cluster_name = w.cluster_name AND v.variable = c.variable)""")
+query("check_counts", ["variables"], """
+SELECT cluster_name, r || '_count' AS rule, r || '_count' AS detail FROM (
+  SELECT cluster_name, regexp_replace(variable, '_count$', '') AS r, TRY_CAST(value AS INTEGER) AS n FROM variables WHERE variable LIKE '%\\_count' ESCAPE '\\') c
+JOIN (SELECT cluster_name, regexp_replace(variable, '_ips$', '') AS r, len(CAST(json(value) AS VARCHAR[])) AS m
+      FROM variables WHERE variable LIKE '%\\_ips' ESCAPE '\\') l USING (cluster_name, r)
+WHERE coalesce(n, -1) <> coalesce(m, -1)""")
+
+query("config_install", ["context", "settings", "host_files"], f"""
+SELECT w.cluster_name, {rtext('w.key_cluster_name')} AS name, {rtext('w.base_domain')} AS base_domain,
+  'OVNKubernetes' AS network_type, {rtext('w.cluster_network_cidr')} AS cluster_network_cidr,
+  TRY_CAST({txt('w.cluster_network_host_prefix')} AS INTEGER) AS host_prefix,
+  {rtext('w.service_network_cidr')} AS service_network_cidr, '100.65.0.0/16' AS v4_internal_subnet,
+  coalesce(f.nonblank, FALSE) AS has_trust_bundle,
+  CAST(coalesce(len(from_json(w.image_mirrors, '{MIR_S}')), 0) AS BIGINT) AS mirror_count
+FROM (SELECT cluster_name,
+        max(CASE WHEN key = 'cluster_name' THEN value END) AS key_cluster_name,
+        max(CASE WHEN key = 'base_domain' THEN value END) AS base_domain,
+        max(CASE WHEN key = 'cluster_network_cidr' THEN value END) AS cluster_network_cidr,
+        max(CASE WHEN key = 'cluster_network_host_prefix' THEN value END) AS cluster_network_host_prefix,
+        max(CASE WHEN key = 'service_network_cidr' THEN value END) AS service_network_cidr,
+        max(CASE WHEN key = 'image_mirrors' THEN value END) AS image_mirrors
+      FROM context GROUP BY cluster_name) w
+JOIN settings s ON s.cluster_name = w.cluster_name
+LEFT JOIN host_files f ON f.path = coalesce({txt('s.additional_trust_bundle_path')}, 'config/additional-trust-bundle.pem')""")
+
+query("node_specs", ["sized", "plan", "inv_all"], f"""
+SELECT n.cluster_name, n.role, n.ordinal, n.fqdn, split_part(n.fqdn, '.', 1) AS vm_name, x.ip,
+  coalesce({txt('p.vsphere_folder')}, '') || '/' || n.cluster_name AS folder, n.cluster_name AS resource_pool,
+  n.num_cpus, n.memory_mb, n.disk_gb,
+  'ip=' || x.ip || '::' || p.gateway || ':' || p.netmask || ':' || split_part(n.fqdn, '.', 1) || ':ens192:none:' ||
+    CAST(json(p.dns_servers) AS VARCHAR[])[1] AS kargs,
+  i.datacenter_id, i.compute_cluster_id, i.datastore_cluster_id, i.network_id, i.template_id, i.guest_id, i.thin_provisioned
+FROM sized n JOIN nodes x ON x.cluster_name = n.cluster_name AND x.fqdn = n.fqdn
+JOIN plan p ON p.cluster_name = n.cluster_name
+LEFT JOIN inv_all i ON i.cluster_name = n.cluster_name""")
