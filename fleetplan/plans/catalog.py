@@ -360,4 +360,25 @@ def q_install(spark, sf_dir):
     )
 
 
+# ============================================================== file sources
+@register("scan_layers")
+def q_scan_layers(spark, sf_dir):
+    """Cluster documents derived from the tables, written as JSON files,
+    scanned back into layer rows."""
+    from ..sources.documents import scan_layers
+    from .staging import stage_cluster_documents
+
+    return scan_layers(spark, stage_cluster_documents(spark, sf_dir), "cluster_name")
+
+
+@register("scan_logs")
+def q_scan_logs(spark, sf_dir):
+    """Run logs derived from the events, written as text files, read back
+    with line numbers."""
+    from ..sources.logs import scan_logs
+    from .staging import stage_logs
+
+    return scan_logs(spark, stage_logs(spark, sf_dir), suffix=None)
+
+
 __all__ = ["QUERIES", "register", "F", "J"]

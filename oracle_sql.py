@@ -816,3 +816,8 @@ SELECT n.cluster_name, n.role, n.ordinal, n.fqdn, split_part(n.fqdn, '.', 1) AS
 FROM sized n JOIN nodes x ON x.cluster_name = n.cluster_name AND x.fqdn = n.fqdn
 JOIN plan p ON p.cluster_name = n.cluster_name
 LEFT JOIN inv_all i ON i.cluster_name = n.cluster_name""")
+
+# ============================================================== file sources (round trips)
+query("scan_layers", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
+query("scan_logs", ["log_lines"], """
+SELECT cluster_name, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY line_no) AS BIGINT) AS line_no, text FROM log_lines""")
