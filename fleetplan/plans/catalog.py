@@ -381,4 +381,16 @@ def q_scan_logs(spark, sf_dir):
     return scan_logs(spark, stage_logs(spark, sf_dir), suffix=None)
 
 
+# ============================================================== streaming
+@register("readiness_stream")
+def q_readiness_stream(spark, sf_dir):
+    """L4 as Structured Streaming over the events file: per-run state in
+    update mode, upserted per micro-batch; the current state evaluated against
+    the deadline. Equals the batch ``time_to_available`` once input is read."""
+    from ..streaming import readiness as stream
+
+    table = stream.run_time_to_available(spark, stream.poll_stream(spark, sf_dir))
+    return stream.current_time_to_available(spark, table, TIMEOUT_MINUTES)
+
+
 __all__ = ["QUERIES", "register", "F", "J"]

@@ -346,7 +346,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readiness poll snapshots ``(run_id, poll_id, polled_at, csr_json,
     version_json)``, one per event."""
-    ev = _events(spark, sf_dir)
+    return polls_from_events(_events(spark, sf_dir))
+
+
+def polls_from_events(ev: DataFrame) -> DataFrame:
+    """The poll derivation on any events frame (batch or stream)."""
     t = F.col("event_type")
     eid = F.col("event_id").cast("string")
     repeat = F.concat(F.lit("csr-"), F.col("user_id").cast("string"), F.lit("-"), (F.col("event_id") % 3).cast("string"))

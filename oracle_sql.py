@@ -821,3 +821,6 @@ LEFT JOIN inv_all i ON i.cluster_name = n.cluster_name""")
 query("scan_layers", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
 query("scan_logs", ["log_lines"], """
 SELECT cluster_name, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY line_no) AS BIGINT) AS line_no, text FROM log_lines""")
+
+# ============================================================== streaming (same answer as batch L4)
+Q["readiness_stream"] = Q["time_to_available"]
