@@ -21,7 +21,13 @@ def to_long(col) -> Column:
     """Dotted quad to BIGINT; NULL when not a strict dotted quad (no leading
     zeros, every octet at most 255)."""
     s = _c(col)
-    value = F.aggregate(F.split(s, r"\."), F.lit(0).cast("bigint"), lambda acc, x: acc * 256 + x.cast("bigint"))
+    parts = F.split(s, r"\.")
+    value = (
+        F.element_at(parts, 1).cast("bigint") * 16777216
+        + F.element_at(parts, 2).cast("bigint") * 65536
+        + F.element_at(parts, 3).cast("bigint") * 256
+        + F.element_at(parts, 4).cast("bigint")
+    )
     return F.when(s.rlike(DOTTED_QUAD), value)
 
 
@@ -52,49 +58,52 @@ def _mask_prefix(mask_long: Column) -> Column:
     )
 
 
-def with_cidr(df: DataFrame, col: str, out: str = "__cidr") -> DataFrame:
-    """Normalise the CIDR text in ``col`` (host bits allowed) into a struct
-    column ``out`` = (network BIGINT, prefix INT, mask BIGINT); every field NULL
-    when the text is not an IPv4 network. No ``/`` means /32; the suffix may be
-    a length (leading zeros allowed) or a dotted net or host mask.
+def with_cidr(df: DataFrame, col: str, out: str = "cidr") -> DataFrame:
+    """Normalise the CIDR text in ``col`` (host bits allowed) into three
+    columns ``<out>_network``, ``<out>_prefix``, ``<out>_mask`` (BIGINT, INT,
+    BIGINT); all NULL when the text is not an IPv4 network. No ``/`` means /32;
+    the suffix may be a length (leading zeros allowed) or a dotted net or host
+    mask.
 
-    Built in steps (one projection each) so no sub-expression is repeated.
-    """
+    Each intermediate is its own column, computed once and referred to by name
+    (no struct wrappers, whose fields Catalyst would inline at every use)."""
     s = F.col(col)
     slash = F.instr(s, "/")
-    step = df.withColumn(
-        "__cidr_a",
-        F.struct(
-            to_long(F.when(slash > 0, F.substring_index(s, "/", 1)).otherwise(s)).alias("addr"),
-            F.when(slash > 0, F.substring(s, slash + 1, F.lit(1 << 20))).alias("suffix"),
-        ),
+    step = df.withColumns(
+        {
+            "__cidr_addr": to_long(F.when(slash > 0, F.substring_index(s, "/", 1)).otherwise(s)),
+            "__cidr_suffix": F.when(slash > 0, F.substring(s, slash + 1, F.lit(1 << 20))),
+        }
     )
-    suffix = F.col("__cidr_a.suffix")
-    step = step.withColumn(
-        "__cidr_b",
-        F.struct(
-            F.when(suffix.rlike(r"^[0-9]{1,10}$"), suffix.cast("bigint")).alias("length"),
-            to_long(suffix).alias("dotted"),
-        ),
+    suffix = F.col("__cidr_suffix")
+    step = step.withColumns(
+        {
+            "__cidr_len": F.when(suffix.rlike(r"^[0-9]{1,10}$"), suffix.cast("bigint")),
+            "__cidr_dotted": to_long(suffix),
+        }
     )
-    length = F.col("__cidr_b.length")
+    length = F.col("__cidr_len")
     step = step.withColumn(
         "__cidr_p",
-        F.when(F.col("__cidr_a.suffix").isNull(), F.lit(32))
+        F.when(suffix.isNull(), F.lit(32))
         .when(length.isNotNull(), F.when(length <= 32, length))
-        .otherwise(_mask_prefix(F.col("__cidr_b.dotted")))
+        .otherwise(_mask_prefix(F.col("__cidr_dotted")))
         .cast("int"),
     )
-    step = step.withColumn("__cidr_m", prefix_mask(F.col("__cidr_p")))
-    valid = F.col("__cidr_a.addr").isNotNull() & F.col("__cidr_p").isNotNull()
-    return step.withColumn(
-        out,
-        F.struct(
-            F.when(valid, F.col("__cidr_a.addr").bitwiseAND(F.col("__cidr_m"))).alias("network"),
-            F.when(valid, F.col("__cidr_p")).alias("prefix"),
-            F.when(valid, F.col("__cidr_m")).alias("mask"),
-        ),
-    ).drop("__cidr_a", "__cidr_b", "__cidr_p", "__cidr_m")
+    step = step.withColumns(
+        {
+            "__cidr_m": prefix_mask(F.col("__cidr_p")),
+            "__cidr_ok": F.col("__cidr_addr").isNotNull() & F.col("__cidr_p").isNotNull(),
+        }
+    )
+    ok = F.col("__cidr_ok")
+    return step.withColumns(
+        {
+            f"{out}_network": F.when(ok, F.col("__cidr_addr").bitwiseAND(F.col("__cidr_m"))),
+            f"{out}_prefix": F.when(ok, F.col("__cidr_p")),
+            f"{out}_mask": F.when(ok, F.col("__cidr_m")),
+        }
+    ).drop("__cidr_addr", "__cidr_suffix", "__cidr_len", "__cidr_dotted", "__cidr_p", "__cidr_m", "__cidr_ok")
 
 
 def address_at(network, offset) -> Column:

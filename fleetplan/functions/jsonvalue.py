@@ -39,7 +39,7 @@ def truthy(col) -> Column:
 
 def quote(col) -> Column:
     """Encode text as a JSON string (NULL stays NULL)."""
-    escaped = F.regexp_replace(F.regexp_replace(_c(col), r"\\", r"\\\\"), '"', '\\\\"')
+    escaped = F.replace(F.replace(_c(col), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
     return F.concat(F.lit('"'), escaped, F.lit('"'))
 
 

@@ -70,76 +70,108 @@ def normalize_cidr(df: DataFrame, col: str = "segment") -> DataFrame:
     CIDR in ``col`` (host bits allowed, no '/' means /32, dotted masks ok)."""
     return (
         ip.with_cidr(df, col, "__n")
-        .withColumn("network", ip.to_text(F.col("__n.network")))
-        .withColumn("prefix_length", F.col("__n.prefix"))
-        .withColumn("netmask", ip.to_text(F.col("__n.mask")))
-        .withColumn("valid", F.col("__n.network").isNotNull())
-        .drop("__n")
+        .withColumns(
+            {
+                "network": ip.to_text(F.col("__n_network")),
+                "prefix_length": F.col("__n_prefix"),
+                "netmask": ip.to_text(F.col("__n_mask")),
+                "valid": F.col("__n_network").isNotNull(),
+            }
+        )
+        .drop("__n_network", "__n_prefix", "__n_mask")
     )
 
 
 # --------------------------------------------------------------------------- N4/N5
 def plan_addresses(fleet: DataFrame) -> DataFrame:
     """Add the address plan to every wide fleet row with a valid segment:
+    net and mask (BIGINT), the offsets (bootstrap_offset, <role>_offsets),
     network, prefix_length, netmask, gateway, bootstrap_ip, infra_ips,
     control_plane_ips, compute_ips, all_in_segment. Row-local (no shuffle).
+    The address lists are for consumers that want lists (summary, context);
+    per-node work explodes the offsets instead (``nodes.node_rows``), and
+    columns nobody reads are pruned by Catalyst.
 
     ``fleet`` carries segment (after allocation) and the offset settings with
     code defaults folded in.
     """
-    parsed = ip.with_cidr(fleet.where(F.col("segment") != ""), "segment", "__n")
-    j = parsed.where(F.col("__n.network").isNotNull())
-    net, mask = F.col("__n.network"), F.col("__n.mask")
-
-    def at(offset):
-        return ip.address_at(net, offset)
+    # No filter on the computed network: Catalyst would push it below these
+    # projections and inline the whole CIDR computation into it. Rows with no
+    # valid segment keep a NULL ``net``; node generation skips them and
+    # ``planned`` selects the others.
+    parsed = ip.with_cidr(fleet, "segment", "__n")
+    j = (
+        parsed
+        .withColumnsRenamed({"__n_network": "net", "__n_mask": "mask", "__n_prefix": "prefix_length"})
+        .withColumns(
+            {
+                "bootstrap_offset": J.as_int("bootstrap_ip_offset"),
+                "__gw_offset": J.as_int("gateway_offset"),
+                "infra_offsets": J.as_int_array("infra_ip_offsets"),
+                "control_plane_offsets": J.as_int_array("control_plane_ip_offsets"),
+                "compute_offsets": J.as_int_array("compute_ip_offsets"),
+            }
+        )
+    )
+    net, mask = F.col("net"), F.col("mask")
+    j = j.withColumns(
+        {
+            "__gw": ip.address_at(net, F.col("__gw_offset")),
+            "__boot": ip.address_at(net, F.col("bootstrap_offset")),
+        }
+    )
 
-    def ips(key):
-        return F.transform(J.as_int_array(key), lambda o: ip.to_text(at(o)))
+    def ips(offsets):
+        return F.transform(F.col(offsets), lambda o: ip.to_text(ip.address_at(net, o)))
 
-    def inside(key):
-        return F.forall(J.as_int_array(key), lambda o: F.coalesce(ip.in_segment(at(o), net, mask), F.lit(False)))
+    def inside(offsets):
+        return F.forall(F.col(offsets), lambda o: F.coalesce(ip.in_segment(ip.address_at(net, o), net, mask), F.lit(False)))
 
-    gw = at(J.as_int("gateway_offset"))
-    boot = at(J.as_int("bootstrap_ip_offset"))
+    gw, boot = F.col("__gw"), F.col("__boot")
     return j.withColumns(
         {
             "network": ip.to_text(net),
-            "prefix_length": F.col("__n.prefix"),
             "netmask": ip.to_text(mask),
             "gateway": ip.to_text(gw),
             "bootstrap_ip": ip.to_text(boot),
-            "infra_ips": ips("infra_ip_offsets"),
-            "control_plane_ips": ips("control_plane_ip_offsets"),
-            "compute_ips": ips("compute_ip_offsets"),
+            "infra_ips": ips("infra_offsets"),
+            "control_plane_ips": ips("control_plane_offsets"),
+            "compute_ips": ips("compute_offsets"),
             "all_in_segment": (
                 F.coalesce(ip.in_segment(gw, net, mask), F.lit(False))
                 & F.coalesce(ip.in_segment(boot, net, mask), F.lit(False))
-                & F.coalesce(inside("infra_ip_offsets"), F.lit(True))
-                & F.coalesce(inside("control_plane_ip_offsets"), F.lit(True))
-                & F.coalesce(inside("compute_ip_offsets"), F.lit(True))
+                & F.coalesce(inside("infra_offsets"), F.lit(True))
+                & F.coalesce(inside("control_plane_offsets"), F.lit(True))
+                & F.coalesce(inside("compute_offsets"), F.lit(True))
             ),
         }
-    ).drop("__n")
+    ).drop("__gw", "__boot", "__gw_offset")
 
 
 def addresses(plan: DataFrame) -> DataFrame:
     """One row per planned address: (cluster_name, role, ordinal, ip,
-    in_segment). Gateway and bootstrap have ordinal 0, list roles 1-based."""
-    roles = F.array(
-        F.struct(F.lit("gateway").alias("role"), F.array(F.col("gateway")).alias("ips")),
-        F.struct(F.lit("bootstrap").alias("role"), F.array(F.col("bootstrap_ip")).alias("ips")),
-        *[F.struct(F.lit(r).alias("role"), F.col(f"{r}_ips").alias("ips")) for r in LIST_ROLES],
+    in_segment). Gateway and bootstrap have ordinal 0, list roles 1-based.
+    Offsets are exploded (a generator) and each address is scalar arithmetic."""
+    from .nodes import node_rows
+
+    gw_row = F.struct(
+        F.lit("gateway").alias("role"),
+        F.lit(0).alias("ordinal"),
+        ip.address_at(F.col("net"), J.as_int("gateway_offset")).alias("__a"),
+    )
+    gw = plan.select(
+        "cluster_name", "net", "mask", F.inline(F.when(F.col("net").isNotNull(), F.array(gw_row)))
+    ).select("cluster_name", "role", "ordinal", "__a", "net", "mask")
+    hosts = node_rows(plan, carry=["net", "mask"]).select(
+        "cluster_name", "role", "ordinal", ip.address_at(F.col("net"), F.col("offset")).alias("__a"), "net", "mask"
     )
-    per_role = ip.with_cidr(plan, "segment", "__n").select("cluster_name", "__n", F.inline(roles))
-    out = per_role.select("cluster_name", "__n", "role", F.posexplode("ips").alias("pos", "ip"))
-    addr = ip.to_long(F.col("ip"))
-    return out.select(
+    both = gw.unionByName(hosts)
+    return both.select(
         "cluster_name",
         "role",
-        F.when(F.col("role").isin("gateway", "bootstrap"), F.lit(0)).otherwise(F.col("pos") + 1).cast("int").alias("ordinal"),
-        "ip",
-        F.coalesce(ip.in_segment(addr, F.col("__n.network"), F.col("__n.mask")), F.lit(False)).alias("in_segment"),
+        F.col("ordinal").cast("int").alias("ordinal"),
+        ip.to_text(F.col("__a")).alias("ip"),
+        F.coalesce(ip.in_segment(F.col("__a"), F.col("net"), F.col("mask")), F.lit(False)).alias("in_segment"),
     )
 
 

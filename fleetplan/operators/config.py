@@ -1,12 +1,12 @@
 """Configuration resolution (C1-C10): layered merge, identity, reference keys,
 defaults, context, typed variables, install document, mirrors.
 
-Long form everywhere: one row per (cluster_name, key) with the value as JSON
-text. A merge is a union of candidate rows with a rank and one aggregate per
-(cluster_name, key) that keeps the highest rank (``max_by`` over a struct, so
-an explicit ``null`` winner is kept). The per-site profile (defaults + site +
-resolved references) is computed once per site, which is small, and reaches
-the clusters through one equi-join on the site.
+Values are JSON text, keyed by (cluster_name, key). The per-site profile
+(defaults + site + resolved references) is computed once per site, which is
+small, and reaches the clusters by a broadcast join on the site; each
+cluster's own document is one map, so the winner per key is decided inside the
+cluster's row. Small tables (site profiles, context candidates) use a ranked
+union with one ``max_by`` per key, which keeps an explicit ``null`` winner.
 """
 
 from __future__ import annotations
@@ -37,30 +37,45 @@ def _winner(rows: DataFrame, keys: Sequence[str], rank: str = "rank", carry: Seq
 
 
 # --------------------------------------------------------------------------- C2
-def fleet_identity(clusters: DataFrame) -> DataFrame:
-    """Identity of each cluster document, read from the cluster layer only.
-
-    ``segment``: falsy -> ''. ``vlan_id``: absent -> '0', else its text
-    (an explicit null gives NULL). Columns: cluster_name (scope), name, site,
-    segment, vlan_id.
-    """
-    key, value = F.col("key"), F.col("value")
-    agg = clusters.groupBy("cluster_name").agg(
-        F.max(F.when(key == "cluster_name", J.as_text(value))).alias("name"),
-        F.max(F.when(key == "site", J.as_text(value))).alias("site"),
-        F.max(F.when(key == "segment", value)).alias("__seg"),
-        F.max(F.when(key == "vlan_id", value)).alias("__vlan"),
-        F.max((key == "vlan_id").cast("int")).alias("__has_vlan"),
+def documents_from_layer(clusters: DataFrame) -> DataFrame:
+    """Long layer rows (cluster_name, key, value) to one row per document
+    (cluster_name, doc MAP key -> JSON text). One aggregate: each group is one
+    configuration document (a file a person writes), bounded by that document,
+    not by the fleet; keys are unique within a document. Inputs that already
+    hold one document per row (``scan_documents``, the fleet views) skip this."""
+    return clusters.groupBy("cluster_name").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("doc")
     )
-    return agg.select(
+
+
+def _as_documents(clusters: DataFrame) -> DataFrame:
+    return clusters if "doc" in clusters.columns else documents_from_layer(clusters)
+
+
+def cluster_documents(clusters: DataFrame) -> DataFrame:
+    """One row per cluster document: cluster_name, doc (MAP key -> JSON text),
+    and the identity read from the cluster layer only: name, site, segment
+    (falsy -> ''), vlan_id (absent -> '0', explicit null -> NULL).
+    ``clusters``: documents (cluster_name, doc) or long layer rows."""
+    docs = _as_documents(clusters).select("cluster_name", "doc")
+    seg = F.try_element_at(F.col("doc"), F.lit("segment"))
+    vlan = F.try_element_at(F.col("doc"), F.lit("vlan_id"))
+    return docs.select(
         "cluster_name",
-        "name",
-        "site",
-        F.when(J.truthy("__seg"), J.as_text("__seg")).otherwise(F.lit("")).alias("segment"),
-        F.when(F.col("__has_vlan") == 1, J.as_text("__vlan")).otherwise(F.lit("0")).alias("vlan_id"),
+        "doc",
+        J.as_text(F.try_element_at(F.col("doc"), F.lit("cluster_name"))).alias("name"),
+        J.as_text(F.try_element_at(F.col("doc"), F.lit("site"))).alias("site"),
+        F.when(J.truthy(seg), J.as_text(seg)).otherwise(F.lit("")).alias("segment"),
+        F.when(F.map_contains_key("doc", "vlan_id"), J.as_text(vlan)).otherwise(F.lit("0")).alias("vlan_id"),
     )
 
 
+def fleet_identity(clusters: DataFrame) -> DataFrame:
+    """Identity of each cluster document: cluster_name (scope), name, site,
+    segment, vlan_id."""
+    return cluster_documents(clusters).drop("doc")
+
+
 # --------------------------------------------------------------------------- C3
 def resolve_references(profile: DataFrame, env: DataFrame, scope: str = "site") -> DataFrame:
     """Reference keys: every ``<k>_env`` key of a (defaults + site) profile sets
@@ -85,10 +100,16 @@ def resolve_references(profile: DataFrame, env: DataFrame, scope: str = "site")
 
 
 # --------------------------------------------------------------------------- C1
-def site_profiles(defaults: DataFrame, sites: DataFrame, env: DataFrame | None = None) -> DataFrame:
+def site_profiles(
+    defaults: DataFrame,
+    sites: DataFrame,
+    env: DataFrame | None = None,
+    code_defaults: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
     """Merged profile per site document, plus one for clusters whose site has
     no document (defaults only): (profile_key, key, value, layer, rank).
-    Small: (number of sites + 1) x keys."""
+    Small: (number of sites + 1) x keys. Code defaults, when given, are the
+    lowest layer (they fill keys no document sets)."""
     site_ids = sites.select("site").distinct().unionByName(
         sites.sparkSession.createDataFrame([(_NO_SITE,)], "site string")
     )
@@ -98,40 +119,79 @@ def site_profiles(defaults: DataFrame, sites: DataFrame, env: DataFrame | None =
     per_site_defaults = site_ids.crossJoin(F.broadcast(d))
     site_rows = sites.select("site", "key", "value", F.lit("site").alias("layer"), F.lit(RANK["site"]).alias("rank"))
     merged = _winner(per_site_defaults.unionByName(site_rows), ["site", "key"], carry=("value", "layer", "rank"))
+    extra = []
     if env is not None:
-        refs = resolve_references(merged, env).select(
-            "site", "key", "value", F.lit("env").alias("layer"), F.lit(RANK["env"]).alias("rank")
+        extra.append(
+            resolve_references(merged, env).select(
+                "site", "key", "value", F.lit("env").alias("layer"), F.lit(RANK["env"]).alias("rank")
+            )
+        )
+    if code_defaults:
+        entries = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in code_defaults])
+        extra.append(
+            site_ids.select("site", F.inline(entries)).select(
+                "site", "key", "value", F.lit("code").alias("layer"), F.lit(RANK["code"]).alias("rank")
+            )
         )
-        merged = _winner(merged.unionByName(refs), ["site", "key"], carry=("value", "layer", "rank"))
+    for rows in extra:
+        merged = merged.unionByName(rows)
+    if extra:
+        merged = _winner(merged, ["site", "key"], carry=("value", "layer", "rank"))
     return merged.withColumnRenamed("site", "profile_key")
 
 
-def merge_layers(
-    identity: DataFrame,
+def profile_maps(
     defaults: DataFrame,
     sites: DataFrame,
+    env: DataFrame | None = None,
+    code_defaults: Sequence[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """One row per site profile: (profile_key, profile MAP key ->
+    struct(value, layer)). Small: one row per site document, plus one."""
+    prof = site_profiles(defaults, sites, env, code_defaults)
+    return prof.groupBy("profile_key").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", F.struct("value", "layer")))).alias("profile")
+    )
+
+
+def _with_profiles(docs: DataFrame, sites: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Attach each cluster's site profile (broadcast, size checked on the site
+    layer: a profile table has at most one row per site-layer row, plus one)."""
+    known = sites.select(F.col("site").alias("profile_key")).distinct().withColumn("__known", F.lit(True))
+    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left", bounded_by=sites)
+    docs = docs.withColumn("profile_key", F.when(F.col("__known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE)))
+    return dim_join(docs.drop("__known"), profiles, "profile_key", "left", bounded_by=sites)
+
+
+def merge_layers(
     clusters: DataFrame,
+    defaults: DataFrame,
+    sites: DataFrame,
     env: DataFrame | None = None,
     code_defaults: Sequence[tuple[str, str]] | None = None,
 ) -> DataFrame:
     """Three-layer merge: cluster > resolved references > site > defaults
     (> code defaults when given). Values are replaced whole; an explicit null
     wins over a lower layer. ``cluster_name`` and ``site`` of the cluster layer
-    stay out of the overlay. Returns (cluster_name, key, value, layer)."""
-    profiles = site_profiles(defaults, sites, env)
-    known = sites.select("site").distinct().withColumn("__known", F.lit(True))
-    fleet = dim_join(identity.select("cluster_name", "site"), known, "site", "left").select(
-        "cluster_name",
-        F.when(F.col("__known"), F.col("site")).otherwise(F.lit(_NO_SITE)).alias("profile_key"),
+    stay out of the overlay. Returns (cluster_name, key, value, layer).
+
+    ``clusters``: one document per row (cluster_name, doc), or long rows that
+    are grouped into documents first. The profile arrives by broadcast, and the
+    winner per key is decided inside the cluster's row: its own keys, then the
+    profile keys it does not set. With document rows there is no shuffle."""
+    docs = _with_profiles(cluster_documents(clusters), sites, profile_maps(defaults, sites, env, code_defaults))
+    own = (
+        docs.select("cluster_name", F.explode("doc").alias("key", "value"))
+        .where(~F.col("key").isin(*IDENTITY_KEYS))
+        .withColumn("layer", F.lit("cluster"))
     )
-    inherited = dim_join(fleet, profiles, "profile_key").select("cluster_name", "key", "value", "layer", "rank")
-    own = clusters.where(~F.col("key").isin(*IDENTITY_KEYS)).select(
-        "cluster_name", "key", "value", F.lit("cluster").alias("layer"), F.lit(RANK["cluster"]).alias("rank")
+    overridden = F.map_contains_key("doc", F.col("key")) & ~F.col("key").isin(*IDENTITY_KEYS)
+    inherited = (
+        docs.select("cluster_name", "doc", F.explode("profile").alias("key", "__p"))
+        .where(~overridden)
+        .select("cluster_name", "key", F.col("__p.value").alias("value"), F.col("__p.layer").alias("layer"))
     )
-    rows = inherited.unionByName(own)
-    if code_defaults is not None:
-        rows = rows.unionByName(_spread_defaults(identity, code_defaults))
-    return _winner(rows, ["cluster_name", "key"])
+    return own.unionByName(inherited)
 
 
 def _spread_defaults(frame: DataFrame, defaults: Sequence[tuple[str, str]], rank: int = RANK["code"]) -> DataFrame:
@@ -160,29 +220,6 @@ SETTING_KEYS = [
 ]
 
 
-def cluster_documents(clusters: DataFrame, keys: Sequence[str] = SETTING_KEYS) -> DataFrame:
-    """Identity and own keys of every cluster document in one aggregate:
-    cluster_name, name, site, segment, vlan_id, then one column per key.
-    The per-key aggregates are generated as SQL text (one expression each)."""
-    aggs = [
-        F.max(F.when(F.col("key") == "cluster_name", J.as_text("value"))).alias("name"),
-        F.max(F.when(F.col("key") == "site", J.as_text("value"))).alias("site"),
-        F.expr("max(CASE WHEN key = 'segment' THEN value END)").alias("__seg"),
-        F.expr("max(CASE WHEN key = 'vlan_id' THEN value END)").alias("__vlan"),
-        F.expr("max(CASE WHEN key = 'vlan_id' THEN 1 ELSE 0 END)").alias("__has_vlan"),
-        *[F.expr(f"max(CASE WHEN key = '{k}' THEN value END)").alias(k) for k in keys],
-    ]
-    agg = clusters.groupBy("cluster_name").agg(*aggs)
-    return agg.select(
-        "cluster_name",
-        "name",
-        "site",
-        F.when(J.truthy("__seg"), J.as_text("__seg")).otherwise(F.lit("")).alias("segment"),
-        F.when(F.col("__has_vlan") == 1, J.as_text("__vlan")).otherwise(F.lit("0")).alias("vlan_id"),
-        *keys,
-    )
-
-
 def merge_settings(
     clusters: DataFrame,
     defaults: DataFrame,
@@ -194,32 +231,29 @@ def merge_settings(
     """Wide form of the merge for a fixed key list: one row per cluster with
     identity columns and one resolved JSON-text column per key.
 
-    The fleet is grouped once (by cluster_name); the per-site profile, one
-    small row per site, is joined by a broadcast whose size is checked on the
-    site layer (the profile has at most one row per site-layer row, plus one);
-    the winner per key is a ``coalesce`` (the cluster value is NULL only when
-    absent, so an explicit null still wins). No other shuffle.
+    A cluster's document map becomes a struct of the wanted keys in one pass
+    (``from_json(to_json(doc))``: one scan of the document instead of one map
+    lookup per key); the per-site profile is pivoted to one small row per site
+    and joined by a size-checked broadcast; each key is ``coalesce(own,
+    profile)`` (the own value is NULL only when absent, so an explicit null
+    still wins). With document rows as input there is no shuffle.
     """
-    docs = cluster_documents(clusters, keys)
-    prof = site_profiles(defaults, sites, env)
+    schema = "struct<" + ",".join(f"`{k}`:string" for k in keys) + ">"
+    docs = cluster_documents(clusters)
+    own = docs.select(
+        "cluster_name", "name", "site", "segment", "vlan_id",
+        F.from_json(F.to_json("doc"), schema).alias("__own"),
+    )
     prof_wide = (
-        prof.where(F.col("key").isin(*keys))
+        site_profiles(defaults, sites, env, code_defaults)
+        .where(F.col("key").isin(*keys))
         .groupBy("profile_key")
         .pivot("key", list(keys))
         .agg(F.first("value"))
         .selectExpr("profile_key", *[f"`{k}` AS `__p_{k}`" for k in keys])
     )
-    known = sites.select(F.col("site").alias("profile_key")).distinct().withColumn("__known", F.lit(True))
-    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left", bounded_by=sites)
-    docs = docs.withColumn("profile_key", F.when(F.col("__known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE)))
-    merged = dim_join(docs, prof_wide, "profile_key", "left", bounded_by=sites)
-    fallback = dict(code_defaults or ())
-    exprs = []
-    for k in keys:
-        parts = [f"`{k}`", f"`__p_{k}`"]
-        if k in fallback:
-            parts.append("'" + fallback[k].replace("'", "''") + "'")
-        exprs.append(f"coalesce({', '.join(parts)}) AS `{k}`")
+    merged = _with_profiles(own, sites, prof_wide)
+    exprs = [f"coalesce(`__own`.`{k}`, `__p_{k}`) AS `{k}`" for k in keys]
     return merged.selectExpr("cluster_name", "name", "site", "segment", "vlan_id", *exprs)
 
 
@@ -295,7 +329,7 @@ def build_context(
     plan_rows = plan.select(
         "cluster_name",
         F.inline(
-            F.array(
+            F.when(F.col("net").isNotNull(), F.array(
                 *[
                     F.struct(F.lit(k).alias("key"), v.alias("value"))
                     for k, v in [
@@ -310,7 +344,7 @@ def build_context(
                         ("compute_ips", F.to_json(F.col("compute_ips"))),
                     ]
                 ]
-            )
+            ))
         ),
     ).select("cluster_name", "key", "value", F.lit("plan").alias("source"), F.lit(2).alias("rank"))
     wide = pivot_keys(effective, ["vm_network", "cluster_network_cidr", "cluster_network_host_prefix", "service_network_cidr"])

@@ -30,44 +30,56 @@ def cluster_domain() -> Column:
     return F.concat(F.col("cluster_name"), F.lit("."), text_or_empty("base_domain"))
 
 
-def node_array() -> Column:
-    """Per plan row: array of (role, ordinal, fqdn, ip) for every node.
+ROLE_OFFSETS = [("control_plane", "control_plane_offsets"), ("compute", "compute_offsets"), ("infra", "infra_offsets")]
+
+
+def node_rows(plan: DataFrame, carry: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """One row per node from each plan row: cluster_name, role, ordinal,
+    offset, ip, fqdn, domain, plus ``carry`` columns of the plan.
 
     Host names are ``<cluster>-<label>-NN.<cluster domain>`` (1-based, two
-    digits), the bootstrap without ordinal. Names are made from the positions
-    of the address list, so names and addresses pair one to one."""
-    domain = cluster_domain()
+    digits), the bootstrap without ordinal; names come from the positions of
+    the offset list, so names and addresses pair one to one. Built with two
+    generators (``inline`` of the roles, ``posexplode`` of their offsets) and
+    scalar expressions, all inside whole-stage codegen."""
+    roles = F.array(
+        F.struct(F.lit("bootstrap").alias("role"), F.array(F.col("bootstrap_offset")).alias("__offs")),
+        *[F.struct(F.lit(r).alias("role"), F.col(c).alias("__offs")) for r, c in ROLE_OFFSETS],
+    )
+    keep = ["cluster_name", "net", *[c for c in carry if c not in ("cluster_name", "net")]]
+    domain = cluster_domain() if "base_domain" in plan.columns else F.concat(F.col("cluster_name"), F.lit("."))
+    # rows without a valid network get a NULL array: no nodes, and no filter
+    # for Catalyst to push into the plan's projections
+    per_role = plan.select(*keep, domain.alias("domain"), F.inline(F.when(F.col("net").isNotNull(), roles)))
+    exploded = per_role.select(*keep, "domain", "role", F.posexplode("__offs").alias("__pos", "offset"))
+    label = F.create_map(*[x for r, lab, _ in ROLES for x in (F.lit(r), F.lit(lab))])[F.col("role")]
     name = F.col("cluster_name")
+    host = F.when(F.col("role") == "bootstrap", F.concat(name, F.lit("-bootstrap"))).otherwise(
+        F.concat(name, F.lit("-"), label, F.lit("-"), F.format_string("%02d", F.col("__pos") + 1))
+    )
+    out = [
+        *keep,
+        "role",
+        F.when(F.col("role") == "bootstrap", F.lit(0)).otherwise(F.col("__pos") + 1).cast("int").alias("ordinal"),
+        F.col("offset"),
+        ip_text(F.col("net"), F.col("offset")).alias("ip"),
+        F.concat(host, F.lit("."), F.col("domain")).alias("fqdn"),
+        "domain",
+    ]
+    rows = exploded.select(*out)
+    return rows if "net" in carry else rows.drop("net")
 
-    def role_nodes(role: str) -> Column:
-        ips = F.col(f"{role}_ips")
-        return F.transform(
-            ips,
-            lambda a, i: F.struct(
-                F.lit(role).alias("role"),
-                (i + 1).cast("int").alias("ordinal"),
-                F.concat(name, F.lit(f"-{ROLE_LABEL[role]}-"), F.format_string("%02d", i + 1), F.lit("."), domain).alias("fqdn"),
-                a.alias("ip"),
-            ),
-        )
 
-    bootstrap = F.array(
-        F.struct(
-            F.lit("bootstrap").alias("role"),
-            F.lit(0).alias("ordinal"),
-            F.concat(name, F.lit("-bootstrap."), domain).alias("fqdn"),
-            F.col("bootstrap_ip").alias("ip"),
-        )
-    )
-    return F.concat(bootstrap, role_nodes("control_plane"), role_nodes("compute"), role_nodes("infra"))
+def ip_text(net: Column, offset: Column) -> Column:
+    from ..functions import ipv4
+
+    return ipv4.to_text(ipv4.address_at(net, offset))
 
 
 # --------------------------------------------------------------------------- R1/R2
 def name_nodes(plan: DataFrame) -> DataFrame:
     """One row per node: (cluster_name, role, ordinal, fqdn, ip, domain)."""
-    return plan.select("cluster_name", cluster_domain().alias("domain"), F.inline(node_array())).select(
-        "cluster_name", "role", "ordinal", "fqdn", "ip", "domain"
-    )
+    return node_rows(plan).select("cluster_name", "role", "ordinal", "fqdn", "ip", "domain")
 
 
 # --------------------------------------------------------------------------- R3
@@ -103,7 +115,7 @@ def sizing_by_role() -> Column:
 def size_nodes(plan: DataFrame) -> DataFrame:
     """Nodes with sizing: (cluster_name, role, ordinal, fqdn, ip, num_cpus,
     memory_mb, disk_gb)."""
-    rows = plan.select("cluster_name", sizing_by_role().alias("__size"), F.inline(node_array()))
+    rows = node_rows(plan.withColumn("__size", sizing_by_role()), carry=["__size"])
     s = F.col("__size")[F.col("role")]
     return rows.select(
         "cluster_name", "role", "ordinal", "fqdn", "ip",
@@ -120,11 +132,11 @@ def count_nodes(plan: DataFrame) -> DataFrame:
     roles = F.array(
         F.struct(F.lit("bootstrap").alias("role"), F.lit(1).alias("node_count")),
         *[
-            F.struct(F.lit(r).alias("role"), F.size(F.col(f"{r}_ips")).alias("node_count"))
+            F.struct(F.lit(r).alias("role"), F.size(F.col(f"{r}_offsets")).alias("node_count"))
             for r in ("control_plane", "compute", "infra")
         ],
     )
-    return plan.select("cluster_name", F.inline(roles)).select(
+    return plan.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), roles))).select(
         "cluster_name", "role", F.col("node_count").cast("bigint").alias("node_count")
     )
 
@@ -134,26 +146,25 @@ def network_args(plan: DataFrame) -> DataFrame:
     """Boot network arguments per node:
     ``ip=<ip>::<gateway>:<netmask>:<host>:ens192:none:<first dns>`` and the
     numbered ``DNSn=`` lines. Columns: cluster_name, fqdn, host, kargs,
-    dns_lines, prefix."""
-    rows = plan.select(
-        "cluster_name", "gateway", "netmask", "prefix_length",
-        J.as_str_array("dns_servers").alias("__dns"), F.inline(node_array()),
-    )
-    host = F.substring_index(F.col("fqdn"), ".", 1)
-    dns1 = F.try_element_at(F.col("__dns"), F.lit(1))
-    kargs = F.concat(
-        F.lit("ip="), F.col("ip"), F.lit("::"), F.col("gateway"), F.lit(":"), F.col("netmask"), F.lit(":"),
-        host, F.lit(f":{BOOT_INTERFACE}:none:"), dns1,
-    )
+    dns_lines, prefix. The DNS lines are the same for every node of a
+    cluster, so they are built once per plan row."""
+    dns = J.as_str_array("dns_servers")
     lines = F.array_join(
         F.transform(
-            F.coalesce(F.col("__dns"), F.array().cast("array<string>")),
+            F.coalesce(dns, F.array().cast("array<string>")),
             lambda d, i: F.concat(F.lit("DNS"), (i + 1).cast("string"), F.lit("="), d),
         ),
         "\n",
     )
+    with_cols = plan.withColumns({"__dns1": F.try_element_at(dns, F.lit(1)), "__lines": lines})
+    rows = node_rows(with_cols, carry=["gateway", "netmask", "prefix_length", "__dns1", "__lines"])
+    host = F.substring_index(F.col("fqdn"), ".", 1)
+    kargs = F.concat(
+        F.lit("ip="), F.col("ip"), F.lit("::"), F.col("gateway"), F.lit(":"), F.col("netmask"), F.lit(":"),
+        host, F.lit(f":{BOOT_INTERFACE}:none:"), F.col("__dns1"),
+    )
     return rows.select(
-        "cluster_name", "fqdn", host.alias("host"), kargs.alias("kargs"), lines.alias("dns_lines"),
+        "cluster_name", "fqdn", host.alias("host"), kargs.alias("kargs"), F.col("__lines").alias("dns_lines"),
         F.col("prefix_length").alias("prefix"),
     )
 
@@ -210,7 +221,7 @@ def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, Data
             on.append("dvs_id")
         if kind == "template":
             cols += [F.col("guest_id"), F.col("thin_provisioned")]
-        joined = dim_join(frame, side.select(*cols), on, "left")
+        joined = dim_join(frame, side.select(*cols), on, "left", bounded_by=index)
         n = F.col(f"__n_{out}")
         return joined.withColumns(
             {
@@ -253,21 +264,23 @@ def node_specs(plan: DataFrame, inv: DataFrame) -> DataFrame:
     ``<vsphere_folder>/<cluster>``, resource pool (the cluster), sizing, boot
     arguments and inventory ids."""
     ids, _ = resolve_inventory(plan, inv)
-    withids = plan.join(ids, "cluster_name", "left")
-    rows = withids.select(
-        "cluster_name",
-        F.concat(text_or_empty("vsphere_folder"), F.lit("/"), F.col("cluster_name")).alias("folder"),
-        sizing_by_role().alias("__size"),
-        "gateway", "netmask", J.as_str_array("dns_servers").alias("__dns"),
-        "datacenter_id", "compute_cluster_id", "datastore_cluster_id", "network_id", "template_id",
-        "guest_id", "thin_provisioned",
-        F.inline(node_array()),
+    withids = plan.join(ids, "cluster_name", "left").withColumns(
+        {
+            "folder": F.concat(text_or_empty("vsphere_folder"), F.lit("/"), F.col("cluster_name")),
+            "__size": sizing_by_role(),
+            "__dns1": F.try_element_at(J.as_str_array("dns_servers"), F.lit(1)),
+        }
     )
+    carry = [
+        "folder", "__size", "gateway", "netmask", "__dns1", "datacenter_id", "compute_cluster_id",
+        "datastore_cluster_id", "network_id", "template_id", "guest_id", "thin_provisioned",
+    ]
+    rows = node_rows(withids, carry=carry)
     host = F.substring_index(F.col("fqdn"), ".", 1)
     s = F.col("__size")[F.col("role")]
     kargs = F.concat(
         F.lit("ip="), F.col("ip"), F.lit("::"), F.col("gateway"), F.lit(":"), F.col("netmask"), F.lit(":"),
-        host, F.lit(f":{BOOT_INTERFACE}:none:"), F.try_element_at(F.col("__dns"), F.lit(1)),
+        host, F.lit(f":{BOOT_INTERFACE}:none:"), F.col("__dns1"),
     )
     return rows.select(
         "cluster_name", "role", "ordinal", "fqdn", host.alias("vm_name"), "ip", "folder",

@@ -27,7 +27,9 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     provisioning phase, so skipping it skips them; registration also needs a
     truthy hub URL. Columns: run_id, ordinal, phase, enabled."""
     hub = fleet.select("cluster_name", J.truthy("argocd_hub_api_url").alias("__hub"))
-    j = dim_join(runs, hub, "cluster_name", "left")
+    # per-cluster table on its unique key: a plain join (AQE broadcasts it when
+    # small at run time and splits a run-heavy cluster with its skew handling)
+    j = runs.join(hub, "cluster_name", "left")
     live = ~F.col("destroy")
     tf = live & ~F.col("skip_terraform")
     flags = [
@@ -171,12 +173,13 @@ def diff_state(
 def summary(plan: DataFrame) -> DataFrame:
     """Completion summary per cluster: site (site_name, else the site), segment,
     gateway, addresses joined by ', ' per role, compute '(none)' when empty."""
-    return plan.select(
-        "cluster_name",
+    row = F.struct(
         F.coalesce(J.as_text("site_name"), F.col("site")).alias("site"),
-        "segment",
-        "gateway",
+        F.col("segment").alias("segment"),
+        F.col("gateway").alias("gateway"),
         F.array_join("control_plane_ips", ", ").alias("control_plane"),
         F.array_join("infra_ips", ", ").alias("infra"),
         F.coalesce(F.nullif(F.array_join("compute_ips", ", "), F.lit("")), F.lit("(none)")).alias("compute"),
     )
+    # clusters with a plan only (NULL array -> no row; see plan_addresses)
+    return plan.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), F.array(row))))

@@ -138,7 +138,7 @@ def required_tools(runs: DataFrame, fleet: DataFrame) -> DataFrame:
             F.struct(F.lit("oc").alias("label"), F.lit("oc").alias("tool")),
         ),
     )
-    return j.select("run_id", "cluster_name", "host", F.inline(F.array_compact(need)))
+    return j.select("run_id", "cluster_name", "host", F.inline(need)).where(F.col("tool").isNotNull())
 
 
 def missing_tools(runs: DataFrame, fleet: DataFrame, host_tools: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import address, config, dns, nodes
 from ..sources.fixed_values import CODE_DEFAULTS
@@ -28,9 +29,15 @@ class Fleet:
     def seed(self) -> DataFrame:
         return views.fleet_seed(self.spark, self.sf_dir, self.base)
 
+    @cached_property
+    def docs(self) -> DataFrame:
+        """Cluster documents, one row per cluster (cluster_name, doc)."""
+        return views.cluster_docs(self.seed)
+
     @cached_property
     def clusters(self) -> DataFrame:
-        return views.cluster_layer(self.seed)
+        """The cluster layer as long rows (cluster_name, key, value)."""
+        return self.docs.select("cluster_name", F.explode("doc").alias("key", "value"))
 
     @cached_property
     def sites(self) -> DataFrame:
@@ -83,17 +90,17 @@ class Fleet:
     # configuration ------------------------------------------------------------
     @cached_property
     def identity(self) -> DataFrame:
-        return config.fleet_identity(self.clusters)
+        return config.fleet_identity(self.docs)
 
     @cached_property
     def effective(self) -> DataFrame:
         """C1 + C3: layers merged, reference keys resolved."""
-        return config.merge_layers(self.identity, self.defaults, self.sites, self.clusters, self.env)
+        return config.merge_layers(self.docs, self.defaults, self.sites, self.env)
 
     @cached_property
     def settings(self) -> DataFrame:
         """Wide settings row per cluster (C1 + C3 + C5 for the planning keys)."""
-        return config.merge_settings(self.clusters, self.defaults, self.sites, self.env)
+        return config.merge_settings(self.docs, self.defaults, self.sites, self.env)
 
     # addressing and roster ------------------------------------------------------
     @cached_property
@@ -116,7 +123,7 @@ class Fleet:
     @cached_property
     def settings_long(self) -> DataFrame:
         """Effective configuration with code defaults, long form."""
-        return config.default_if_absent(self.effective, self.identity, CODE_DEFAULTS)
+        return config.merge_layers(self.docs, self.defaults, self.sites, self.env, code_defaults=CODE_DEFAULTS)
 
     @cached_property
     def context(self) -> DataFrame:

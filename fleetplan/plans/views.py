@@ -27,8 +27,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _entry(key: str, value: Column) -> Column:
+    """A single-entry document map; empty when the value is NULL (key absent)."""
+    return F.when(value.isNotNull(), F.create_map(F.lit(key), value)).otherwise(F.create_map().cast("map<string,string>"))
+
+
 def _kv(key: str, value: Column) -> Column:
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
+    """A document entry; NULL (no entry) when the value is NULL (key absent)."""
+    return F.when(value.isNotNull(), F.struct(F.lit(key).alias("key"), value.alias("value")))
 
 
 def fleet_seed(spark: SparkSession, sf_dir: str, base: str = "customer") -> DataFrame:
@@ -78,24 +84,25 @@ def fleet_seed(spark: SparkSession, sf_dir: str, base: str = "customer") -> Data
     )
 
 
-def cluster_layer(seed: DataFrame) -> DataFrame:
-    """Cluster documents as rows ``(cluster_name, key, value)``; a NULL value
-    means the key is absent, the text ``null`` an explicit null."""
+def cluster_docs(seed: DataFrame) -> DataFrame:
+    """Cluster documents, one row per cluster: (cluster_name, doc MAP key ->
+    JSON text), built inside the seed row (no shuffle). An absent key has no
+    entry; the text ``null`` is an explicit null."""
     k = F.col("k")
     vlan_text = (F.lit(100) + k % 3900).cast("string")
-    entries = F.array(
-        _kv("cluster_name", J.quote(F.col("cluster_name"))),
-        _kv("site", J.quote(F.col("site"))),
-        _kv(
+    entries = [
+        _entry("cluster_name", J.quote(F.col("cluster_name"))),
+        _entry("site", J.quote(F.col("site"))),
+        _entry(
             "segment",
             F.when(F.col("segment").isNotNull(), J.quote(F.col("segment"))).when(k % 20 == 10, F.lit("null")),
         ),
-        _kv("vlan_id", F.col("vlan_id").cast("string")),
-        _kv(
+        _entry("vlan_id", F.col("vlan_id").cast("string")),
+        _entry(
             "vm_network",
             F.when(k % 25 != 7, J.quote(F.concat(F.lit("VLAN"), vlan_text, F.lit("-OCP")))),
         ),
-        _kv(
+        _entry(
             "compute_ip_offsets",
             F.when(k % 8 == 4, F.lit(None).cast("string"))
             .when(k % 4 == 0, F.lit("[]"))
@@ -103,31 +110,32 @@ def cluster_layer(seed: DataFrame) -> DataFrame:
             .when(k % 4 == 2, F.lit("[8,9]"))
             .otherwise(F.lit("[8,9,10]")),
         ),
-        _kv("search_domain", F.when(k % 9 == 0, F.lit("null"))),
-        _kv("control_plane_memory", F.when(k % 6 == 0, F.lit("32768"))),
-        _kv("infra_memory", F.when(k % 23 == 0, F.lit('"32G"'))),
-        _kv(
+        _entry("search_domain", F.when(k % 9 == 0, F.lit("null"))),
+        _entry("control_plane_memory", F.when(k % 6 == 0, F.lit("32768"))),
+        _entry("infra_memory", F.when(k % 23 == 0, F.lit('"32G"'))),
+        _entry(
             "argocd_hub_api_url",
             F.when(
                 k % 3 == 0,
                 J.quote(F.concat(F.lit("https://api.hub-"), (k % 7).cast("string"), F.lit(".example.local:6443"))),
             ),
         ),
-        _kv("argocd_hub_token", F.when(k % 6 == 0, J.quote(F.concat(F.lit("token-"), k.cast("string"))))),
-        _kv(
+        _entry("argocd_hub_token", F.when(k % 6 == 0, J.quote(F.concat(F.lit("token-"), k.cast("string"))))),
+        _entry(
             "argocd_hub_token_env",
             F.when(k % 6 == 3, J.quote(F.concat(F.lit("HUB_TOKEN_"), (k % 4).cast("string")))),
         ),
-        _kv("argocd_namespace", F.when(k % 5 == 0, F.lit('"gitops"'))),
-        _kv("argocd_insecure_skip_tls", F.when(k % 7 == 0, F.lit("true"))),
-        _kv("wildcard_dns_api_url", F.when(k % 31 == 5, F.lit('""'))),
-        _kv("vlan_manager_url", F.when(k % 37 == 10, F.lit("null"))),
-    )
-    return (
-        seed.select("cluster_name", F.inline(entries))
-        .where(F.col("value").isNotNull())
-        .select("cluster_name", "key", "value")
-    )
+        _entry("argocd_namespace", F.when(k % 5 == 0, F.lit('"gitops"'))),
+        _entry("argocd_insecure_skip_tls", F.when(k % 7 == 0, F.lit("true"))),
+        _entry("wildcard_dns_api_url", F.when(k % 31 == 5, F.lit('""'))),
+        _entry("vlan_manager_url", F.when(k % 37 == 10, F.lit("null"))),
+    ]
+    return seed.select("cluster_name", F.map_concat(*entries).alias("doc"))
+
+
+def cluster_layer(seed: DataFrame) -> DataFrame:
+    """The cluster documents as long rows ``(cluster_name, key, value)``."""
+    return cluster_docs(seed).select("cluster_name", F.explode("doc").alias("key", "value"))
 
 
 def site_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,11 +178,7 @@ def site_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(n % 3 == 1, J.quote(F.concat(F.lit("config/pull-secret-"), ns, F.lit(".json")))),
         ),
     )
-    return (
-        nr.select(site.alias("site"), F.inline(entries))
-        .where(F.col("value").isNotNull())
-        .select("site", "key", "value")
-    )
+    return nr.select(site.alias("site"), F.inline(F.array_compact(entries))).select("site", "key", "value")
 
 
 def defaults_layer(spark: SparkSession) -> DataFrame:

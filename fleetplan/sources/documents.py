@@ -29,24 +29,27 @@ def _scope_from_path(path_col):
     return F.url_decode(F.regexp_extract(path_col, _STEM, 1))
 
 
+def scan_documents(spark: SparkSession, path: str, scope: str) -> DataFrame:
+    """JSON documents under ``path``, one row per file: (<scope>, doc MAP key
+    -> JSON text). Parsed by Spark (``map<string,variant>`` keeps ``"1"`` and
+    ``1`` apart and an explicit null as ``null``); no shuffle."""
+    raw = spark.read.option("wholetext", True).text(path).withColumn("__path", F.col("_metadata.file_path"))
+    if scope not in raw.columns:
+        raw = raw.withColumn(scope, _scope_from_path(F.col("__path")))
+    parsed = F.from_json(F.col("value"), "map<string,variant>")
+    return raw.select(scope, F.transform_values(parsed, lambda k, v: F.to_json(v)).alias("doc")).where(
+        F.col("doc").isNotNull()
+    )
+
+
 def scan_layers(spark: SparkSession, path: str, scope: str | None = None, fmt: str = "json") -> DataFrame:
     """Rows ``(<scope>, key, value)`` for every top-level key of every
     document under ``path``; ``scope=None`` for a single-document layer
     (defaults) gives ``(key, value)``. An empty document gives no rows."""
     if fmt == "json":
-        raw = (
-            spark.read.option("wholetext", True)
-            .option("recursiveFileLookup", "false")
-            .text(path)
-            .withColumn("__path", F.col("_metadata.file_path"))
-        )
-        if scope is not None and scope not in raw.columns:
-            raw = raw.withColumn(scope, _scope_from_path(F.col("__path")))
-        pairs = raw.select(
-            *([scope] if scope else []),
-            F.explode(F.from_json(F.col("value"), "map<string,variant>")).alias("key", "__v"),
-        )
-        return pairs.select(*([scope] if scope else []), "key", F.to_json(F.col("__v")).alias("value"))
+        docs = scan_documents(spark, path, scope or "__scope")
+        rows = docs.select(*([scope] if scope else []), F.explode("doc").alias("key", "value"))
+        return rows
     if fmt == "yaml":
         return _scan_yaml(spark, path, scope)
     raise ValueError(fmt)

@@ -387,7 +387,7 @@ SELECT cluster_name, p || '.' || domain AS name, 'A' AS type, 86400 AS ttl, ip A
 FROM (SELECT DISTINCT cluster_name, domain, ip FROM nodes WHERE role IN ('bootstrap', 'control_plane')),
      (VALUES ('api'), ('api-int')) t(p)""")
 query("api_records", ["api_rec"], "SELECT * FROM api_rec")
-view("apps_rec", ["nodes"], "SELECT cluster_name, '*.apps.' || domain AS name, 'A' AS type, 86400 AS ttl, ip AS value FROM nodes WHERE role = 'infra'")
+view("apps_rec", ["nodes"], "SELECT DISTINCT cluster_name, '*.apps.' || domain AS name, 'A' AS type, 86400 AS ttl, ip AS value FROM nodes WHERE role = 'infra'")
 query("wildcard_records", ["apps_rec"], "SELECT * FROM apps_rec")
 view("records", ["nodes", "api_rec", "apps_rec"], """
 SELECT DISTINCT * FROM (

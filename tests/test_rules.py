@@ -72,7 +72,7 @@ def _layers(spark, cluster_rows, site_rows=(), env_rows=()):
     )
     env = spark.createDataFrame(list(env_rows), "name string, value string")
     identity = config.fleet_identity(clusters)
-    eff = config.merge_layers(identity, defaults, sites, clusters, env)
+    eff = config.merge_layers(clusters, defaults, sites, env)
     return {r.key: (r.value, r.layer) for r in eff.collect()}, identity
 
 
