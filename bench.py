@@ -3,7 +3,9 @@
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is fully executed (written to a no-op sink) and timed end to end,
-planning included; the value is the sum over the queries.
+planning included; the value is the sum over the queries. The per-cluster
+settings table is checkpointed once (its own timed step) and the planning
+queries after it read the checkpoint, as a job reusing it would.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ def headline(spark, sf_dir):
     f = Fleet(spark, sf_dir, base="orders")
     c = Fleet(spark, sf_dir, base="customer")
     return {
+        # the cluster documents and the shared per-cluster settings table,
+        # checkpointed once (timed here); every later query reads them
+        "fleet_checkpoint": lambda: f.materialize().settings,
         "effective_config": lambda: f.effective,
-        "settings_wide": lambda: f.settings,
         "address_plan": lambda: address.addresses(f.plan),
         "node_roster": lambda: nodes.size_nodes(f.plan),
         "record_set": lambda: f.records,

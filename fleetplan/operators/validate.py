@@ -26,8 +26,10 @@ def _violations(df: DataFrame, keys: list[str], rules: list[tuple[str, object, o
 def check_names(identity: DataFrame) -> DataFrame:
     """V1: at most 27 characters; letters, digits, hyphen; no edge hyphen."""
     name = F.col("name")
+    # no pre-filter on name: a NULL name fails no rule here (each rule is NULL),
+    # and a filter would be pushed into the projection that computes the name
     return _violations(
-        identity.where(name.isNotNull()),
+        identity,
         ["cluster_name"],
         [
             ("name_too_long", F.char_length(name) > NAME_MAX_CHARS, F.char_length(name).cast("string")),

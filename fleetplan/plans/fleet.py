@@ -102,6 +102,34 @@ class Fleet:
         """Wide settings row per cluster (C1 + C3 + C5 for the planning keys)."""
         return config.merge_settings(self.docs, self.defaults, self.sites, self.env)
 
+    def materialize(self) -> "Fleet":
+        """Cut lineage at the cluster documents and at the per-cluster settings
+        table, which every output reads: each is written once as a table in the
+        shared folder named by ``spark.checkpoint.dir`` (it survives executor
+        loss; never a local checkpoint) and read back. Later tables of this
+        fleet read the stored rows, so no derivation is recomputed or inlined."""
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        for name in ("docs", "identity", "effective", "settings", "settings_long", "fleet", "plan", "nodes",
+                     "records", "clusters", "context"):
+            self.__dict__.pop(name, None)
+        self.__dict__["docs"] = self._write_table(self.docs, "docs")
+        self.__dict__["settings"] = self._write_table(self.settings, "settings")
+        return self
+
+    def _write_table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as a parquet table under the shared checkpoint folder and
+        read it back (one computation, unlike an RDD checkpoint that recomputes
+        for the write); the reads get column pruning."""
+        import uuid
+
+        from ..session import scratch_path
+
+        path = scratch_path(self.spark, f"fleet/{name}-{uuid.uuid4().hex}")
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     # addressing and roster ------------------------------------------------------
     @cached_property
     def fleet(self) -> DataFrame:
