@@ -24,18 +24,15 @@ _checked: dict[tuple[int, int], bool] = {}
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
-    The answer is remembered per DataFrame object, so a dimension used by
-    several joins is checked once."""
-    key = (id(df), max_rows)
+    The answer is remembered per plan (Spark's semantic hash of the analysed
+    plan), so a dimension used by several joins or queries is checked once per
+    session."""
+    key = (df.semanticHash(), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-        _keep.append(df)
     return _checked[key]
 
 
-_keep: list[DataFrame] = []  # keeps checked objects alive so ids stay unique
-
-
 def dim_join(
     big: DataFrame,
     small: DataFrame,
