@@ -61,6 +61,20 @@ def discard(table: DataFrame) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Up to so many ids (16 MB of longs) are sent to every executor.
+BROADCAST_IDS = 1 << 21
+
+
+def join_ids(docs: DataFrame, ids: DataFrame, how: str, doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` semi- or anti-joined (``how``) on ``doc_id`` to a stored table of
+    ids, its only column. The ids are counted: up to ``BROADCAST_IDS`` they are
+    broadcast, so that the texts stay where they are; beyond, both sides are
+    shuffled."""
+    (name,) = ids.columns
+    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return docs.join(side, docs[doc_id] == side[name], how)
+
+
 @lru_cache(maxsize=4)
 def rank_encoding(path: str, special: tuple[tuple[str, int], ...] = ()) -> tiktoken.Encoding:
     """The encoding of a rank file, loaded once in a worker process."""
