@@ -113,12 +113,16 @@ def ngrams(text: str, sizes: Sequence[int], buckets: int) -> np.ndarray | None:
 def fit(texts: Sequence[str], langs: Sequence[str], settings: Settings = Settings()) -> Model:
     """Train on a bounded sample given in a fixed order; without a usable row,
     the model rejects everything."""
-    rows = [(g, lang) for t, lang in zip(texts, langs, strict=True) if t and (g := ngrams(t, settings.sizes, settings.buckets)) is not None]
-    names = tuple(sorted({lang for _, lang in rows}))
+    rows = []
+    for text, lang in zip(texts, langs, strict=True):
+        grams = ngrams(text, settings.sizes, settings.buckets) if text else None
+        if grams is not None:  # kept small: the distinct n-grams and their shares
+            found, count = np.unique(grams, return_counts=True)
+            rows.append((found.astype(np.int32), (count / count.sum()).astype(np.float32), lang))
+    names = tuple(sorted({lang for *_, lang in rows}))
     if not names:
         return Model((), np.zeros((settings.buckets, 0)), np.zeros(0), 1.0, settings.sizes)
-    data = [(*np.unique(g, return_counts=True), names.index(lang)) for g, lang in rows]
-    data = [(u, c / c.sum(), y) for u, c, y in data]
+    data = [(found, share, names.index(lang)) for found, share, lang in rows]
     rng = np.random.default_rng(settings.seed)
     held = rng.random(len(data)) < settings.calibration_share
     if held.all() or not held.any():

@@ -128,7 +128,8 @@ def fit(texts: Sequence[str], n_chars: Sequence[int | None], quality: Sequence[i
     if not len(texts):
         return Machine(0.0, weights, factors * 0, np.zeros((len(STATISTICS), settings.bins - 1)), settings.buckets, settings.accept)
     edges = bin_edges(texts, n_chars, settings.bins)
-    rows = [features(t, n, edges, settings.buckets) for t, n in zip(texts, n_chars, strict=True)]
+    small = lambda x: (x[0].astype(np.int32), x[1].astype(np.float32))
+    rows = [small(features(t, n, edges, settings.buckets)) for t, n in zip(texts, n_chars, strict=True)]
     good = np.array(quality, float)
     share = np.clip(good.mean(), 0.001, 0.999)
     bias = float(np.log(share / (1 - share)))
