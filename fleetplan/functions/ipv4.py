@@ -72,13 +72,14 @@ def with_cidr(df: DataFrame, col: str, out: str = "cidr") -> DataFrame:
     step = df.withColumns(
         {
             "__cidr_addr": to_long(F.when(slash > 0, F.substring_index(s, "/", 1)).otherwise(s)),
-            "__cidr_suffix": F.when(slash > 0, F.substring(s, slash + 1, F.lit(1 << 20))),
+            "__cidr_suffix": F.when(slash > 0, F.substr(s, slash + 1)),
         }
     )
     suffix = F.col("__cidr_suffix")
     step = step.withColumns(
         {
-            "__cidr_len": F.when(suffix.rlike(r"^[0-9]{1,10}$"), suffix.cast("bigint")),
+            "__cidr_len": F.when(suffix.rlike(r"^0*[0-9]{1,2}$"), F.substring(suffix, -2, 2).cast("bigint")),
+            "__cidr_digits": suffix.rlike(r"^[0-9]+$"),
             "__cidr_dotted": to_long(suffix),
         }
     )
@@ -86,7 +87,7 @@ def with_cidr(df: DataFrame, col: str, out: str = "cidr") -> DataFrame:
     step = step.withColumn(
         "__cidr_p",
         F.when(suffix.isNull(), F.lit(32))
-        .when(length.isNotNull(), F.when(length <= 32, length))
+        .when(F.col("__cidr_digits"), F.when(length <= 32, length))
         .otherwise(_mask_prefix(F.col("__cidr_dotted")))
         .cast("int"),
     )
@@ -103,7 +104,7 @@ def with_cidr(df: DataFrame, col: str, out: str = "cidr") -> DataFrame:
             f"{out}_prefix": F.when(ok, F.col("__cidr_p")),
             f"{out}_mask": F.when(ok, F.col("__cidr_m")),
         }
-    ).drop("__cidr_addr", "__cidr_suffix", "__cidr_len", "__cidr_dotted", "__cidr_p", "__cidr_m", "__cidr_ok")
+    ).drop("__cidr_addr", "__cidr_suffix", "__cidr_len", "__cidr_digits", "__cidr_dotted", "__cidr_p", "__cidr_m", "__cidr_ok")
 
 
 def address_at(network, offset) -> Column:

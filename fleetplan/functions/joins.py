@@ -1,9 +1,10 @@
-"""Joins against dimension tables (sites, env, inventory, roles, tools).
+"""Joins against dimension tables (sites, environment, host tools).
 
-A side is broadcast only after its row count is checked against a bound; the
-check reads at most ``max_rows + 1`` rows. Beyond the bound the join is a
-shuffle join and the big side is salted, so one hot key (one site holding a
-third of the fleet) is spread over ``salts`` tasks instead of one.
+A side is broadcast only if the plan's own statistics bound its size in bytes;
+no job runs for that. Beyond the bound it is a shuffle join: adaptive execution
+splits skewed keys, and where a few keys hold most rows by design (sites), the
+big side is salted by a hash of its row key, so that one site holding a third of
+the fleet is spread over ``salts`` tasks.
 """
 
 from __future__ import annotations
@@ -13,24 +14,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound for a broadcast side. Rows of the dimension tables here are under
-# 200 bytes, so the bound keeps a broadcast under ~40 MB.
-BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 32 << 20
 SALTS = 32
 
 
-_checked: dict[tuple[int, int], bool] = {}
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1).
-    The answer is remembered per plan (Spark's semantic hash of the analysed
-    plan), so a dimension used by several joins or queries is checked once per
-    session."""
-    key = (df.semanticHash(), max_rows)
-    if key not in _checked:
-        _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the table's size (stored tables: file sizes;
+    joins and unions of them: an upper estimate)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def dim_join(
@@ -38,30 +29,25 @@ def dim_join(
     small: DataFrame,
     on: Sequence[str] | str,
     how: str = "inner",
-    max_rows: int = BROADCAST_MAX_ROWS,
+    row_key: Sequence[str] | str = (),
     salts: int = SALTS,
-    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table to a dimension table on equal keys.
 
     ``how`` is one of inner, left, left_semi, left_anti (the big side is the
-    left side). Small dimension: broadcast hash join, no shuffle of ``big``.
-    Large dimension: salted shuffle join; each big row goes to one of ``salts``
-    copies of its key, chosen by a hash of the row (deterministic, so a retried
-    task sends rows to the same place).
-
-    ``bounded_by``: a table whose row count bounds ``small`` by construction
-    (e.g. a per-site profile has at most one row per site-layer row); the
-    check then runs on it, once, instead of on every derived table.
+    left side). ``row_key``: scalar columns of the big side that tell its rows
+    apart; with them, a join that is too large to broadcast is salted. The salt
+    is a hash of them, so retried tasks send rows to the same place.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    rows = [row_key] if isinstance(row_key, str) else list(row_key)
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    if fits_broadcast(bounded_by if bounded_by is not None else small, max_rows):
+    if plan_bytes(small) <= BROADCAST_MAX_BYTES:
         return big.join(F.broadcast(small), keys, how)
-    salt_col = "__salt"
-    salted_big = big.withColumn(
-        salt_col, F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int")
-    )
-    replicated = small.withColumn(salt_col, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_big.join(replicated, keys + [salt_col], how).drop(salt_col)
+    if not rows:
+        return big.join(small, keys, how)
+    salt = "__salt"
+    salted = big.withColumn(salt, F.pmod(F.xxhash64(*rows), F.lit(salts)).cast("int"))
+    copies = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*keys, salt], how).drop(salt)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..sources.fixed_values import REDACTED, SECRET_KEYS
+
 # JSON texts that Python treats as falsy. Numbers equal to zero are handled by
 # the pattern below.
 _FALSY_TEXTS = ["null", "false", '""', "[]", "{}"]
@@ -38,9 +40,10 @@ def truthy(col) -> Column:
 
 
 def quote(col) -> Column:
-    """Encode text as a JSON string (NULL stays NULL)."""
-    escaped = F.replace(F.replace(_c(col), F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), escaped, F.lit('"'))
+    """Encode text as a JSON string, control characters included (NULL stays
+    NULL): the only element of a one-element JSON array."""
+    v = _c(col)
+    return F.when(v.isNotNull(), F.regexp_replace(F.to_json(F.array(v)), r"^\[|\]$", ""))
 
 
 def as_int(col) -> Column:
@@ -55,3 +58,14 @@ def as_int_array(col) -> Column:
 def as_str_array(col) -> Column:
     return F.from_json(_c(col), "array<string>")
 
+
+
+def redacted(key, value) -> Column:
+    """``value`` (JSON text) of ``key``, a secret one replaced by a fixed text;
+    empty and null secrets stay, since absence is not a secret."""
+    return F.when(_c(key).isin(*SECRET_KEYS) & truthy(value), F.lit(REDACTED)).otherwise(_c(value))
+
+
+def redacted_document(doc) -> Column:
+    """A document map (key -> JSON text) without secret values."""
+    return F.transform_values(_c(doc), redacted)

@@ -13,16 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import ipv4 as ip
 from ..functions import jsonvalue as J
-
-PLAN_SETTING_KEYS = [
-    "gateway_offset",
-    "infra_ip_offsets",
-    "control_plane_ip_offsets",
-    "bootstrap_ip_offset",
-    "compute_ip_offsets",
-]
-LIST_ROLES = ["infra", "control_plane", "compute"]
-
+from ..sources.fixed_values import ALLOCATION_ENDPOINT
+from .validate import planning_allowed
 
 # --------------------------------------------------------------------------- N1
 def allocation_requests(fleet: DataFrame) -> DataFrame:
@@ -34,7 +26,7 @@ def allocation_requests(fleet: DataFrame) -> DataFrame:
         "cluster_name",
         "site",
         J.as_text("vlan_manager_vrf").alias("vrf"),
-        F.concat(F.regexp_replace(url, "/+$", ""), F.lit("/api/allocate-vlan")).alias("endpoint"),
+        F.concat(F.regexp_replace(url, "/+$", ""), F.lit(ALLOCATION_ENDPOINT)).alias("endpoint"),
     )
 
 
@@ -44,24 +36,25 @@ def apply_allocations(fleet: DataFrame, allocs: DataFrame) -> DataFrame:
     allocation answer for (cluster_name, site). Replaces ``segment`` and
     ``vlan_id`` and adds ``segment_source`` ('own', 'allocated', 'missing').
 
-    Joined on cluster_name alone (answers are unique per cluster), so a fleet
-    already grouped by cluster_name keeps its partitioning; the site is
-    compared after the join."""
+    Only clusters without a segment are joined (on cluster_name, unique in the
+    answers; the site is compared after the join); the wide rows of all others
+    stay where they are."""
     a = allocs.select(
         "cluster_name",
         F.col("site").alias("__a_site"),
         F.col("segment").alias("__a_seg"),
         F.col("vlan_id").cast("string").alias("__a_vlan"),
     )
-    joined = fleet.join(a, "cluster_name", "left")
-    own = F.col("segment") != ""
+    own = fleet.where(F.col("segment") != "").withColumn("segment_source", F.lit("own"))
+    joined = fleet.where(F.col("segment") == "").join(a, "cluster_name", "left")
     got = (F.coalesce(F.col("__a_seg"), F.lit("")) != "") & F.col("site").eqNullSafe(F.col("__a_site"))
-    return (
-        joined.withColumn("segment_source", F.when(own, F.lit("own")).when(got, F.lit("allocated")).otherwise(F.lit("missing")))
-        .withColumn("vlan_id", F.when(own, F.col("vlan_id")).when(got, F.col("__a_vlan")))
-        .withColumn("segment", F.when(own, F.col("segment")).when(got, F.col("__a_seg")).otherwise(F.lit("")))
+    answered = (
+        joined.withColumn("segment_source", F.when(got, F.lit("allocated")).otherwise(F.lit("missing")))
+        .withColumn("vlan_id", F.when(got, F.col("__a_vlan")))
+        .withColumn("segment", F.when(got, F.col("__a_seg")).otherwise(F.lit("")))
         .drop("__a_site", "__a_seg", "__a_vlan")
     )
+    return own.unionByName(answered)
 
 
 # --------------------------------------------------------------------------- N3
@@ -83,43 +76,51 @@ def normalize_cidr(df: DataFrame, col: str = "segment") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- N4/N5
+OFFSET_LISTS = ("infra_offsets", "control_plane_offsets", "compute_offsets")
+
+
 def plan_addresses(fleet: DataFrame) -> DataFrame:
-    """Add the address plan to every wide fleet row with a valid segment:
-    net and mask (BIGINT), the offsets (bootstrap_offset, <role>_offsets),
-    network, prefix_length, netmask, gateway, bootstrap_ip, infra_ips,
-    control_plane_ips, compute_ips, all_in_segment. Row-local (no shuffle).
-    The address lists are for consumers that want lists (summary, context);
-    per-node work explodes the offsets instead (``nodes.node_rows``), and
-    columns nobody reads are pruned by Catalyst.
+    """Add the address plan to every wide fleet row: net and mask (BIGINT), the
+    offsets (bootstrap_offset, <role>_offsets), network, prefix_length, netmask,
+    gateway, bootstrap_ip, infra_ips, control_plane_ips, compute_ips,
+    all_in_segment. Row-local (no shuffle). The address lists are for consumers
+    that want lists (summary, context); per-node work explodes the offsets
+    instead (``nodes.node_rows``), and columns nobody reads are pruned.
+
+    The tool stops before planning a cluster that is not valid (V1 to V3), has
+    no usable segment or an address outside IPv4. Such rows have a NULL ``net``,
+    and no consumer takes anything from them; ``check_plan`` says why.
 
     ``fleet`` carries segment (after allocation) and the offset settings with
     code defaults folded in.
     """
     # No filter on the computed network: Catalyst would push it below these
-    # projections and inline the whole CIDR computation into it. Rows with no
-    # valid segment keep a NULL ``net``; node generation skips them and
-    # ``planned`` selects the others.
-    parsed = ip.with_cidr(fleet, "segment", "__n")
-    j = (
-        parsed
-        .withColumnsRenamed({"__n_network": "net", "__n_mask": "mask", "__n_prefix": "prefix_length"})
-        .withColumns(
-            {
-                "bootstrap_offset": J.as_int("bootstrap_ip_offset"),
-                "__gw_offset": J.as_int("gateway_offset"),
-                "infra_offsets": J.as_int_array("infra_ip_offsets"),
-                "control_plane_offsets": J.as_int_array("control_plane_ip_offsets"),
-                "compute_offsets": J.as_int_array("compute_ip_offsets"),
-            }
-        )
-    )
-    net, mask = F.col("net"), F.col("mask")
-    j = j.withColumns(
+    # projections and inline the whole CIDR computation into it.
+    parsed = ip.with_cidr(fleet, "segment", "__n").withColumn("allowed", planning_allowed())
+    j = parsed.withColumnsRenamed({"__n_network": "__net", "__n_mask": "mask", "__n_prefix": "prefix_length"}).withColumns(
         {
-            "__gw": ip.address_at(net, F.col("__gw_offset")),
-            "__boot": ip.address_at(net, F.col("bootstrap_offset")),
+            "bootstrap_offset": J.as_int("bootstrap_ip_offset"),
+            "gateway_at": J.as_int("gateway_offset"),
+            "infra_offsets": J.as_int_array("infra_ip_offsets"),
+            "control_plane_offsets": J.as_int_array("control_plane_ip_offsets"),
+            "compute_offsets": J.as_int_array("compute_ip_offsets"),
         }
     )
+    single = [F.col("gateway_at"), F.col("bootstrap_offset")]
+    # greatest and least skip NULLs, array_max and array_min too
+    high = F.greatest(*single, *[F.array_max(c) for c in OFFSET_LISTS]).cast("bigint")
+    low = F.least(*single, *[F.array_min(c) for c in OFFSET_LISTS]).cast("bigint")
+    complete = F.lit(True)
+    for c in single:
+        complete = complete & c.isNotNull()
+    for c in OFFSET_LISTS:
+        complete = complete & F.coalesce(~F.exists(c, lambda o: o.isNull()), F.lit(False))
+    within = (F.col("__net") + low >= 0) & (F.col("__net") + high < ip.TWO_32)
+    j = j.withColumn("in_range", F.coalesce(complete & within, F.lit(False)))
+    j = j.withColumn("parsed", F.col("__net").isNotNull())
+    j = j.withColumn("net", F.when(F.col("allowed") & F.col("in_range"), F.col("__net"))).drop("__net")
+    net, mask = F.col("net"), F.col("mask")
+    j = j.withColumns({"__gw": ip.address_at(net, F.col("gateway_at")), "__boot": ip.address_at(net, F.col("bootstrap_offset"))})
 
     def ips(offsets):
         return F.transform(F.col(offsets), lambda o: ip.to_text(ip.address_at(net, o)))
@@ -140,38 +141,46 @@ def plan_addresses(fleet: DataFrame) -> DataFrame:
             "all_in_segment": (
                 F.coalesce(ip.in_segment(gw, net, mask), F.lit(False))
                 & F.coalesce(ip.in_segment(boot, net, mask), F.lit(False))
-                & F.coalesce(inside("infra_offsets"), F.lit(True))
-                & F.coalesce(inside("control_plane_offsets"), F.lit(True))
-                & F.coalesce(inside("compute_offsets"), F.lit(True))
+                & inside("infra_offsets")
+                & inside("control_plane_offsets")
+                & inside("compute_offsets")
             ),
         }
-    ).drop("__gw", "__boot", "__gw_offset")
+    ).drop("__gw", "__boot")
+
+
+def check_plan(plan: DataFrame) -> DataFrame:
+    """Valid clusters (V1 to V3) that get no plan: (cluster_name, rule, detail),
+    rule no_segment, ipv6_segment, invalid_cidr or address_out_of_range (an
+    address beyond IPv4, or an offset that is not a number)."""
+    rule = (
+        F.when(F.col("segment") == "", F.lit("no_segment"))
+        .when(F.col("segment").contains(":"), F.lit("ipv6_segment"))
+        .when(~F.col("parsed"), F.lit("invalid_cidr"))
+        .when(~F.col("in_range"), F.lit("address_out_of_range"))
+    )
+    row = F.struct(rule.alias("rule"), F.col("segment").alias("detail"))
+    found = plan.select("cluster_name", F.inline(F.when(F.col("allowed"), F.array(row))))
+    return found.where(F.col("rule").isNotNull())
 
 
 def addresses(plan: DataFrame) -> DataFrame:
     """One row per planned address: (cluster_name, role, ordinal, ip,
-    in_segment). Gateway and bootstrap have ordinal 0, list roles 1-based.
-    Offsets are exploded (a generator) and each address is scalar arithmetic."""
-    from .nodes import node_rows
-
-    gw_row = F.struct(
-        F.lit("gateway").alias("role"),
-        F.lit(0).alias("ordinal"),
-        ip.address_at(F.col("net"), J.as_int("gateway_offset")).alias("__a"),
-    )
-    gw = plan.select(
-        "cluster_name", "net", "mask", F.inline(F.when(F.col("net").isNotNull(), F.array(gw_row)))
-    ).select("cluster_name", "role", "ordinal", "__a", "net", "mask")
-    hosts = node_rows(plan, carry=["net", "mask"]).select(
-        "cluster_name", "role", "ordinal", ip.address_at(F.col("net"), F.col("offset")).alias("__a"), "net", "mask"
-    )
-    both = gw.unionByName(hosts)
-    return both.select(
+    in_segment). Gateway and bootstrap have ordinal 0, list roles 1-based. Roles
+    and their offsets come from two generators, each address is scalar
+    arithmetic."""
+    single = lambda role, offset: F.struct(F.lit(role).alias("role"), F.lit(0).alias("first"), F.array(offset).alias("offsets"))
+    lists = [F.struct(F.lit(c.removesuffix("_offsets")).alias("role"), F.lit(1).alias("first"), F.col(c).alias("offsets")) for c in OFFSET_LISTS]
+    roles = F.array(single("gateway", F.col("gateway_at")), single("bootstrap", F.col("bootstrap_offset")), *lists)
+    rows = plan.select("cluster_name", "net", "mask", F.inline(F.when(F.col("net").isNotNull(), roles)))
+    rows = rows.select("cluster_name", "net", "mask", "role", "first", F.posexplode("offsets").alias("__pos", "offset"))
+    address = ip.address_at(F.col("net"), F.col("offset"))
+    return rows.select(
         "cluster_name",
         "role",
-        F.col("ordinal").cast("int").alias("ordinal"),
-        ip.to_text(F.col("__a")).alias("ip"),
-        F.coalesce(ip.in_segment(F.col("__a"), F.col("net"), F.col("mask")), F.lit(False)).alias("in_segment"),
+        (F.col("first") + F.col("__pos")).cast("int").alias("ordinal"),
+        ip.to_text(address).alias("ip"),
+        F.coalesce(ip.in_segment(address, F.col("net"), F.col("mask")), F.lit(False)).alias("in_segment"),
     )
 
 
@@ -185,6 +194,3 @@ def check_allocations(allocs: DataFrame) -> DataFrame:
         F.struct(F.when(vlan_bad, F.lit("allocation_vlan")).alias("rule"), F.lit("vlan_id missing").alias("detail")),
     )
     return allocs.select("cluster_name", F.inline(rows)).where(F.col("rule").isNotNull())
-
-
-

@@ -3,10 +3,14 @@ defaults, context, typed variables, install document, mirrors.
 
 Values are JSON text, keyed by (cluster_name, key). The per-site profile
 (defaults + site + resolved references) is computed once per site, which is
-small, and reaches the clusters by a broadcast join on the site; each
-cluster's own document is one map, so the winner per key is decided inside the
-cluster's row. Small tables (site profiles, context candidates) use a ranked
-union with one ``max_by`` per key, which keeps an explicit ``null`` winner.
+small, and reaches the clusters by a join on the site; each cluster's own
+document is one map, so the winner per key is decided inside the cluster's row.
+The site profiles use a ranked union with one ``max_by`` per key, which keeps an
+explicit ``null`` winner. Context, variables and the install document are built
+inside the plan's row and exploded last.
+
+Secret values never leave this module: documents, site rows and resolved
+references carry a fixed text in their place.
 """
 
 from __future__ import annotations
@@ -21,6 +25,9 @@ from ..functions.joins import dim_join
 from ..sources.fixed_values import (
     CODE_DEFAULTS,
     NETWORK_TYPE,
+    REDACTED,
+    SECRET_SOURCES,
+    STRING_VARIABLES,
     TEMPLATE_DEFAULTS,
     V4_INTERNAL_SUBNET,
 )
@@ -52,12 +59,17 @@ def _as_documents(clusters: DataFrame) -> DataFrame:
     return clusters if "doc" in clusters.columns else documents_from_layer(clusters)
 
 
+def redacted_documents(docs: DataFrame) -> DataFrame:
+    """Document rows (cluster_name, doc) without secret values."""
+    return docs.withColumn("doc", J.redacted_document("doc"))
+
+
 def cluster_documents(clusters: DataFrame) -> DataFrame:
     """One row per cluster document: cluster_name, doc (MAP key -> JSON text),
     and the identity read from the cluster layer only: name, site, segment
     (falsy -> ''), vlan_id (absent -> '0', explicit null -> NULL).
     ``clusters``: documents (cluster_name, doc) or long layer rows."""
-    docs = _as_documents(clusters).select("cluster_name", "doc")
+    docs = redacted_documents(_as_documents(clusters)).select("cluster_name", "doc")
     seg = F.try_element_at(F.col("doc"), F.lit("segment"))
     vlan = F.try_element_at(F.col("doc"), F.lit("vlan_id"))
     return docs.select(
@@ -79,7 +91,8 @@ def fleet_identity(clusters: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- C3
 def resolve_references(profile: DataFrame, env: DataFrame, scope: str = "site") -> DataFrame:
     """Reference keys: every ``<k>_env`` key of a (defaults + site) profile sets
-    ``<k>`` to the named environment value, '' when missing or empty.
+    ``<k>`` to the named environment value, '' when missing or empty. What such
+    a key names is a secret, so a value that is there becomes the redacted text.
 
     ``profile``: (scope, key, value). Returns (scope, key, value, env_name,
     resolved) where ``key`` is the base key and ``value`` its JSON text.
@@ -89,14 +102,11 @@ def resolve_references(profile: DataFrame, env: DataFrame, scope: str = "site")
         F.regexp_replace("key", "_env$", "").alias("key"),
         J.as_text("value").alias("env_name"),
     )
-    looked = dim_join(refs, env.select(F.col("name").alias("env_name"), F.col("value").alias("__env")), "env_name", "left")
-    return looked.select(
-        scope,
-        "key",
-        J.quote(F.coalesce(F.col("__env"), F.lit(""))).alias("value"),
-        "env_name",
-        (F.coalesce(F.col("__env"), F.lit("")) != "").alias("resolved"),
-    )
+    named = env.select(F.col("name").alias("env_name"), (F.col("value") != "").alias("__set"))
+    looked = dim_join(refs, named, "env_name", "left")
+    resolved = F.coalesce(F.col("__set"), F.lit(False))
+    value = F.when(resolved, F.lit(REDACTED)).otherwise(F.lit('""'))
+    return looked.select(scope, "key", value.alias("value"), "env_name", resolved.alias("resolved"))
 
 
 # --------------------------------------------------------------------------- C1
@@ -113,11 +123,15 @@ def site_profiles(
     site_ids = sites.select("site").distinct().unionByName(
         sites.sparkSession.createDataFrame([(_NO_SITE,)], "site string")
     )
-    d = defaults.select("key", "value", F.lit("defaults").alias("layer"), F.lit(RANK["defaults"]).alias("rank"))
-    # every site inherits every default key: (sites + 1) x (keys of one defaults
-    # document), both bounded by document counts, never by the fleet size
-    per_site_defaults = site_ids.crossJoin(F.broadcast(d))
-    site_rows = sites.select("site", "key", "value", F.lit("site").alias("layer"), F.lit(RANK["site"]).alias("rank"))
+    # every site inherits every default key; the defaults are one document, so
+    # they fit a row and are exploded next to each site
+    document = defaults.agg(F.collect_list(F.struct("key", J.redacted("key", "value").alias("value"))).alias("__defaults"))
+    per_site_defaults = dim_join(site_ids.withColumn("__one", F.lit(1)), document.withColumn("__one", F.lit(1)), "__one").select(
+        "site", F.inline("__defaults")
+    ).select("site", "key", "value", F.lit("defaults").alias("layer"), F.lit(RANK["defaults"]).alias("rank"))
+    site_rows = sites.select(
+        "site", "key", J.redacted("key", "value").alias("value"), F.lit("site").alias("layer"), F.lit(RANK["site"]).alias("rank")
+    )
     merged = _winner(per_site_defaults.unionByName(site_rows), ["site", "key"], carry=("value", "layer", "rank"))
     extra = []
     if env is not None:
@@ -140,27 +154,31 @@ def site_profiles(
     return merged.withColumnRenamed("site", "profile_key")
 
 
-def profile_maps(
-    defaults: DataFrame,
-    sites: DataFrame,
-    env: DataFrame | None = None,
-    code_defaults: Sequence[tuple[str, str]] | None = None,
-) -> DataFrame:
+def stored_profiles(profiles: DataFrame) -> DataFrame:
+    """The profiles written once under the shared checkpoint folder and read
+    back: every output reads the small table instead of merging it again, and
+    its file size is what broadcast decisions go by."""
+    from ..session import write_table
+
+    return write_table(profiles, "profiles")
+
+
+def profile_maps(profiles: DataFrame) -> DataFrame:
     """One row per site profile: (profile_key, profile MAP key ->
     struct(value, layer)). Small: one row per site document, plus one."""
-    prof = site_profiles(defaults, sites, env, code_defaults)
-    return prof.groupBy("profile_key").agg(
+    return profiles.groupBy("profile_key").agg(
         F.map_from_entries(F.collect_list(F.struct("key", F.struct("value", "layer")))).alias("profile")
     )
 
 
-def _with_profiles(docs: DataFrame, sites: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Attach each cluster's site profile (broadcast, size checked on the site
-    layer: a profile table has at most one row per site-layer row, plus one)."""
-    known = sites.select(F.col("site").alias("profile_key")).distinct().withColumn("__known", F.lit(True))
-    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left", bounded_by=sites)
-    docs = docs.withColumn("profile_key", F.when(F.col("__known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE)))
-    return dim_join(docs.drop("__known"), profiles, "profile_key", "left", bounded_by=sites)
+def _with_profiles(docs: DataFrame, profiles: DataFrame, attached: DataFrame) -> DataFrame:
+    """Attach each cluster's row of ``attached`` (keyed by ``profile_key``), the
+    defaults' one where its site has no document; adds ``site_known``."""
+    known = profiles.select("profile_key").where(F.col("profile_key") != _NO_SITE).distinct().withColumn("__known", F.lit(True))
+    docs = dim_join(docs.withColumn("profile_key", F.col("site")), known, "profile_key", "left", row_key="cluster_name")
+    docs = docs.withColumn("site_known", F.coalesce(F.col("__known"), F.lit(False))).drop("__known")
+    docs = docs.withColumn("profile_key", F.when(F.col("site_known"), F.col("profile_key")).otherwise(F.lit(_NO_SITE)))
+    return dim_join(docs, attached, "profile_key", "left", row_key="cluster_name")
 
 
 def merge_layers(
@@ -169,6 +187,7 @@ def merge_layers(
     sites: DataFrame,
     env: DataFrame | None = None,
     code_defaults: Sequence[tuple[str, str]] | None = None,
+    profiles: DataFrame | None = None,
 ) -> DataFrame:
     """Three-layer merge: cluster > resolved references > site > defaults
     (> code defaults when given). Values are replaced whole; an explicit null
@@ -176,10 +195,12 @@ def merge_layers(
     stay out of the overlay. Returns (cluster_name, key, value, layer).
 
     ``clusters``: one document per row (cluster_name, doc), or long rows that
-    are grouped into documents first. The profile arrives by broadcast, and the
-    winner per key is decided inside the cluster's row: its own keys, then the
-    profile keys it does not set. With document rows there is no shuffle."""
-    docs = _with_profiles(cluster_documents(clusters), sites, profile_maps(defaults, sites, env, code_defaults))
+    are grouped into documents first. The winner per key is decided inside the
+    cluster's row: its own keys, then the profile keys it does not set.
+    ``profiles``: the result of ``site_profiles``, where it is there already."""
+    if profiles is None:
+        profiles = site_profiles(defaults, sites, env, code_defaults)
+    docs = _with_profiles(cluster_documents(clusters), profiles, profile_maps(profiles))
     own = (
         docs.select("cluster_name", F.explode("doc").alias("key", "value"))
         .where(~F.col("key").isin(*IDENTITY_KEYS))
@@ -194,15 +215,6 @@ def merge_layers(
     return own.unionByName(inherited)
 
 
-def _spread_defaults(frame: DataFrame, defaults: Sequence[tuple[str, str]], rank: int = RANK["code"]) -> DataFrame:
-    """One candidate row per (cluster, default key) from a fixed list: a literal
-    array exploded per cluster row, no join."""
-    entries = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in defaults])
-    return frame.select("cluster_name", F.inline(entries)).select(
-        "cluster_name", "key", "value", F.lit("code").alias("layer"), F.lit(rank).alias("rank")
-    )
-
-
 # --------------------------------------------------------------------------- wide
 # Keys the planning operators read. A wide row carries one JSON-text column per
 # key (NULL = absent everywhere, the text ``null`` = explicit null).
@@ -227,9 +239,12 @@ def merge_settings(
     env: DataFrame | None = None,
     keys: Sequence[str] = SETTING_KEYS,
     code_defaults: Sequence[tuple[str, str]] | None = tuple(CODE_DEFAULTS),
+    profiles: DataFrame | None = None,
 ) -> DataFrame:
     """Wide form of the merge for a fixed key list: one row per cluster with
-    identity columns and one resolved JSON-text column per key.
+    identity columns, ``site_known``, the cluster's ``doc`` and ``profile_key``,
+    and one resolved JSON-text column per key. A key that is in neither layer
+    gets its code default (C5): absence only, an explicit null stays.
 
     A cluster's document map becomes a struct of the wanted keys in one pass
     (``from_json(to_json(doc))``: one scan of the document instead of one map
@@ -241,157 +256,87 @@ def merge_settings(
     schema = "struct<" + ",".join(f"`{k}`:string" for k in keys) + ">"
     docs = cluster_documents(clusters)
     own = docs.select(
-        "cluster_name", "name", "site", "segment", "vlan_id",
+        "cluster_name", "name", "site", "segment", "vlan_id", "doc",
         F.from_json(F.to_json("doc"), schema).alias("__own"),
     )
+    if profiles is None:
+        profiles = site_profiles(defaults, sites, env, code_defaults)
     prof_wide = (
-        site_profiles(defaults, sites, env, code_defaults)
-        .where(F.col("key").isin(*keys))
+        profiles.where(F.col("key").isin(*keys))
         .groupBy("profile_key")
         .pivot("key", list(keys))
         .agg(F.first("value"))
         .selectExpr("profile_key", *[f"`{k}` AS `__p_{k}`" for k in keys])
     )
-    merged = _with_profiles(own, sites, prof_wide)
+    merged = _with_profiles(own, profiles, prof_wide)
     exprs = [f"coalesce(`__own`.`{k}`, `__p_{k}`) AS `{k}`" for k in keys]
-    return merged.selectExpr("cluster_name", "name", "site", "segment", "vlan_id", *exprs)
+    return merged.selectExpr("cluster_name", "name", "site", "segment", "vlan_id", "site_known", "doc", "profile_key", *exprs)
 
 
-# --------------------------------------------------------------------------- C5
-def default_if_absent(
-    effective: DataFrame, identity: DataFrame, defaults: Sequence[tuple[str, str]] = tuple(CODE_DEFAULTS)
-) -> DataFrame:
-    """Add ``defaults`` (key, JSON value) for keys a cluster lacks; a present
-    key, even an explicit null, is kept. Returns (cluster_name, key, value, layer)."""
-    present = effective.select("cluster_name", "key", "value", "layer", F.lit(1).alias("rank"))
-    spread = _spread_defaults(identity, defaults, rank=0)
-    return _winner(present.unionByName(spread), ["cluster_name", "key"])
-
-
-# --------------------------------------------------------------------------- pivot
-def key_column(key: str) -> str:
-    """Column name of a key in a pivoted row (the ``cluster_name`` key would
-    clash with the grouping column)."""
-    return "key_cluster_name" if key == "cluster_name" else key
-
-
-def pivot_keys(effective: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Wide row per cluster with one JSON-text column per key (NULL = absent);
-    a cluster with none of the keys has no row (left-join it where needed).
-    The fixed value list spares Spark a distinct job."""
-    names = [key_column(k) for k in keys]
-    pcol = F.when(F.col("key") == "cluster_name", F.lit(key_column("cluster_name"))).otherwise(F.col("key"))
-    return (
-        effective.where(F.col("key").isin(*keys))
-        .withColumn("__pkey", pcol)
-        .groupBy("cluster_name")
-        .pivot("__pkey", names)
-        .agg(F.first("value"))
-    )
+# --------------------------------------------------------------------------- C4
+def _planned_values() -> list[tuple[str, Column]]:
+    """Context entries that the address plan sets."""
+    cidr = F.concat(F.col("network"), F.lit("/"), F.col("prefix_length").cast("string"))
+    return [
+        ("network", J.quote(cidr)),
+        ("machine_network_cidr", J.quote(cidr)),
+        ("prefix_length", F.col("prefix_length").cast("string")),
+        ("netmask", J.quote("netmask")),
+        ("gateway", J.quote("gateway")),
+        ("infra_ips", F.to_json("infra_ips")),
+        ("control_plane_ips", F.to_json("control_plane_ips")),
+        ("bootstrap_ip", J.quote("bootstrap_ip")),
+        ("compute_ips", F.to_json("compute_ips")),
+    ]
 
 
-# --------------------------------------------------------------------------- C4
-PLAN_KEYS = [
-    "network",
-    "machine_network_cidr",
-    "prefix_length",
-    "netmask",
-    "gateway",
-    "infra_ips",
-    "control_plane_ips",
-    "bootstrap_ip",
-    "compute_ips",
-]
+def _explicit_values(work_dir: str) -> list[tuple[str, Column]]:
+    """Context entries that are set last. The three network ranges have their
+    code default in the settings row already."""
+    return [
+        ("segment", J.quote("segment")),
+        ("vlan_id", F.coalesce(J.quote("vlan_id"), F.lit("null"))),
+        ("vm_network", F.col("vm_network")),
+        ("ignition_dir", J.quote(F.concat(F.lit(work_dir + "/"), F.col("name"), F.lit("/ignition")))),
+        ("cluster_network_cidr", F.col("cluster_network_cidr")),
+        ("cluster_network_host_prefix", F.col("cluster_network_host_prefix")),
+        ("service_network_cidr", F.col("service_network_cidr")),
+    ]
 
 
 def build_context(
-    effective: DataFrame,
     plan: DataFrame,
-    identity: DataFrame,
+    profiles: DataFrame,
     rendered_at: str = "1970-01-01T00:00:00Z",
     work_dir: str = "clusters",
 ) -> DataFrame:
-    """Render context per cluster: base (cluster_name, timestamp) < profile <
-    address plan < explicit fields. Secrets are left out. Returns
-    (cluster_name, key, value, source)."""
-    ident = identity.select("cluster_name", "name", "segment", "vlan_id")
-    base = ident.select(
-        "cluster_name",
-        F.inline(
-            F.array(
-                F.struct(F.lit("cluster_name").alias("key"), J.quote(F.col("name")).alias("value")),
-                F.struct(F.lit("timestamp").alias("key"), J.quote(F.lit(rendered_at)).alias("value")),
-            )
-        ),
-    ).select("cluster_name", "key", "value", F.lit("base").alias("source"), F.lit(0).alias("rank"))
-    prof = effective.select("cluster_name", "key", "value", F.lit("profile").alias("source"), F.lit(1).alias("rank"))
-    cidr = F.concat(F.col("network"), F.lit("/"), F.col("prefix_length").cast("string"))
-    plan_rows = plan.select(
-        "cluster_name",
-        F.inline(
-            F.when(F.col("net").isNotNull(), F.array(
-                *[
-                    F.struct(F.lit(k).alias("key"), v.alias("value"))
-                    for k, v in [
-                        ("network", J.quote(cidr)),
-                        ("machine_network_cidr", J.quote(cidr)),
-                        ("prefix_length", F.col("prefix_length").cast("string")),
-                        ("netmask", J.quote(F.col("netmask"))),
-                        ("gateway", J.quote(F.col("gateway"))),
-                        ("infra_ips", F.to_json(F.col("infra_ips"))),
-                        ("control_plane_ips", F.to_json(F.col("control_plane_ips"))),
-                        ("bootstrap_ip", J.quote(F.col("bootstrap_ip"))),
-                        ("compute_ips", F.to_json(F.col("compute_ips"))),
-                    ]
-                ]
-            ))
-        ),
-    ).select("cluster_name", "key", "value", F.lit("plan").alias("source"), F.lit(2).alias("rank"))
-    wide = pivot_keys(effective, ["vm_network", "cluster_network_cidr", "cluster_network_host_prefix", "service_network_cidr"])
-    explicit_src = ident.join(wide, "cluster_name", "left")
-    explicit = explicit_src.select(
-        "cluster_name",
-        F.inline(
-            F.array(
-                F.struct(F.lit("segment").alias("key"), J.quote(F.col("segment")).alias("value")),
-                F.struct(
-                    F.lit("vlan_id").alias("key"), F.coalesce(J.quote(F.col("vlan_id")), F.lit("null")).alias("value")
-                ),
-                F.struct(F.lit("vm_network").alias("key"), F.col("vm_network").alias("value")),
-                F.struct(
-                    F.lit("ignition_dir").alias("key"),
-                    J.quote(F.concat(F.lit(work_dir + "/"), F.col("name"), F.lit("/ignition"))).alias("value"),
-                ),
-                F.struct(
-                    F.lit("cluster_network_cidr").alias("key"),
-                    F.coalesce(F.col("cluster_network_cidr"), F.lit('"10.132.0.0/14"')).alias("value"),
-                ),
-                F.struct(
-                    F.lit("cluster_network_host_prefix").alias("key"),
-                    F.coalesce(F.col("cluster_network_host_prefix"), F.lit("23")).alias("value"),
-                ),
-                F.struct(
-                    F.lit("service_network_cidr").alias("key"),
-                    F.coalesce(F.col("service_network_cidr"), F.lit('"172.31.0.0/16"')).alias("value"),
-                ),
-            )
-        ),
-    ).where(F.col("value").isNotNull()).select(
-        "cluster_name", "key", "value", F.lit("explicit").alias("source"), F.lit(3).alias("rank")
+    """Render context of every planned cluster: base (cluster_name, timestamp) <
+    profile (own document over the site's, without code defaults) < address plan
+    < explicit fields. Returns (cluster_name, key, value, source).
+
+    All candidates stand in the cluster's row, so precedence is a matter of
+    leaving out keys that a later source sets; rows come from one ``inline`` at
+    the end, without a shuffle."""
+    maps = profile_maps(profiles.where(F.col("layer") != "code"))
+    rows = dim_join(plan, maps, "profile_key", "left", row_key="cluster_name")
+    last = [(k, v, "plan") for k, v in _planned_values()] + [(k, v, "explicit") for k, v in _explicit_values(work_dir)]
+    fixed = [k for k, _, _ in last]
+    entry = lambda k, v, source: F.struct(k.alias("key"), v.alias("value"), F.lit(source).alias("source"))
+    own = F.map_entries(F.map_filter("doc", lambda k, _: ~k.isin(*IDENTITY_KEYS, *fixed)))
+    set_by_cluster = lambda k: F.map_contains_key("doc", k) & ~k.isin(*IDENTITY_KEYS)
+    inherited = F.map_entries(F.map_filter("profile", lambda k, _: ~k.isin(*fixed) & ~set_by_cluster(k)))
+    free = lambda k: ~F.map_contains_key("profile", k) & ~set_by_cluster(F.lit(k))
+    base = [("cluster_name", J.quote("name")), ("timestamp", J.quote(F.lit(rendered_at)))]
+    entries = F.concat(
+        F.transform(own, lambda e: entry(e["key"], e["value"], "profile")),
+        F.transform(inherited, lambda e: entry(e["key"], e["value"]["value"], "profile")),
+        F.array_compact(F.array(*[F.when(free(k), entry(F.lit(k), v, "base")) for k, v in base])),
+        F.array(*[entry(F.lit(k), v, source) for k, v, source in last]),
     )
-    rows = base.unionByName(prof).unionByName(plan_rows).unionByName(explicit)
-    return _winner(rows, ["cluster_name", "key"], carry=("value", "source"))
+    return rows.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), entries)))
 
 
 # --------------------------------------------------------------------------- C6
-_SOURCES = [
-    # item, profile key of the path, default path, environment name
-    ("pull_secret", "pull_secret_path", "config/pull-secret.json", "PULL_SECRET"),
-    ("ssh_key", "ssh_public_key_path", "~/.ssh/id_rsa.pub", "SSH_PUBLIC_KEY"),
-    ("trust_bundle", "additional_trust_bundle_path", "config/additional-trust-bundle.pem", None),
-]
-
-
 def first_available(fleet: DataFrame, files: DataFrame, env: DataFrame) -> DataFrame:
     """Where each secret input comes from: file at the profile path (content
     used even if blank), else the environment, else a literal. Only the source
@@ -408,14 +353,15 @@ def first_available(fleet: DataFrame, files: DataFrame, env: DataFrame) -> DataF
                         F.coalesce(J.as_text(F.col(key)), F.lit(default)).alias("path"),
                         F.lit(env_name).cast("string").alias("env_name"),
                     )
-                    for item, key, default, env_name in _SOURCES
+                    for item, key, default, env_name in SECRET_SOURCES
                 ]
             )
         ),
     )
-    with_file = dim_join(items, files.select("path", F.col("nonblank").alias("__nonblank")), "path", "left")
+    rows = ["cluster_name", "item"]
+    with_file = dim_join(items, files.select("path", F.col("nonblank").alias("__nonblank")), "path", "left", row_key=rows)
     with_env = dim_join(
-        with_file, env.select(F.col("name").alias("env_name"), F.col("value").alias("__env")), "env_name", "left"
+        with_file, env.select(F.col("name").alias("env_name"), F.col("value").alias("__env")), "env_name", "left", row_key=rows
     )
     item = F.col("item")
     has_file = F.col("__nonblank").isNotNull()
@@ -437,52 +383,12 @@ def first_available(fleet: DataFrame, files: DataFrame, env: DataFrame) -> DataF
 
 
 # --------------------------------------------------------------------------- C7
-VARIABLE_KEYS = [
-    "cluster_name",
-    "vcenter",
-    "vcenter_user",
-    "vsphere_cluster",
-    "datacenter",
-    "vsphere_datastore_cluster",
-    "vsphere_dvs_name",
-    "vsphere_folder",
-    "vm_template",
-    "vm_network",
-    "dns_servers",
-    "base_domain",
-    "machine_network_cidr",
-    "gateway",
-    "ignition_dir",
-    "bootstrap_ip",
-    "control_plane_ips",
-    "compute_ips",
-    "infra_ips",
-    *TEMPLATE_DEFAULTS.keys(),
-]
-
-# variable <- context key, for plain string variables (undefined renders '')
-_STRING_VARS = [
-    ("vsphere_server", "vcenter"),
-    ("vsphere_user", "vcenter_user"),
-    ("vsphere_cluster", "vsphere_cluster"),
-    ("vsphere_datacenter", "datacenter"),
-    ("vsphere_datastore_cluster", "vsphere_datastore_cluster"),
-    ("vsphere_dvs_name", "vsphere_dvs_name"),
-    ("vsphere_folder", "vsphere_folder"),
-    ("vm_template", "vm_template"),
-    ("vm_network", "vm_network"),
-    ("cluster_id", "key_cluster_name"),
-    ("base_domain", "base_domain"),
-    ("machine_cidr", "machine_network_cidr"),
-    ("gateway_ip", "gateway"),
-    ("bootstrap_ip", "bootstrap_ip"),
-]
+LIST_VARIABLES = ("vm_dns_addresses", "control_plane_ips", "compute_ips", "infra_ips")
 
 
-def _text(key: str) -> Column:
+def _text(value: Column) -> Column:
     """Rendered text of a context value: undefined -> '', null -> 'None'."""
-    v = F.col(key)
-    return F.when(v.isNull(), F.lit("")).when(v == "null", F.lit("None")).otherwise(J.as_text(v))
+    return F.when(value.isNull(), F.lit("")).when(value == "null", F.lit("None")).otherwise(J.as_text(value))
 
 
 def _number_text(key: str) -> Column:
@@ -490,73 +396,52 @@ def _number_text(key: str) -> Column:
     return F.when(v.isNull(), F.lit(str(TEMPLATE_DEFAULTS[key]))).when(v == "null", F.lit("None")).otherwise(J.as_text(v))
 
 
-def variables_long(context: DataFrame) -> DataFrame:
-    """Provisioning variables as rendered text, one row per (cluster_name,
-    variable): (cluster_name, variable, value). Lists are JSON arrays. The
-    password is represented by presence only."""
-    wide = pivot_keys(context, VARIABLE_KEYS)
-    ign = _text("ignition_dir")
-    pairs = [(name, _text(key)) for name, key in _STRING_VARS]
+def _variables(work_dir: str = "clusters") -> list[tuple[str, Column]]:
+    """Every variable as rendered text, from a plan row."""
+    cidr = F.concat(F.col("network"), F.lit("/"), F.col("prefix_length").cast("string"))
+    planned = {"cluster_name": F.col("name"), "machine_network_cidr": cidr, "gateway": F.col("gateway"), "bootstrap_ip": F.col("bootstrap_ip")}
+    folder = F.concat(F.lit(work_dir + "/"), F.col("name"), F.lit("/ignition"))
+    ignition = {"bootstrap": "bootstrap", "control_plane": "master", "compute": "worker", "infra": "worker"}
+    pairs = [(name, F.coalesce(planned[key], F.lit("")) if key in planned else _text(F.col(key))) for name, key in STRING_VARIABLES]
     pairs += [
         ("vsphere_password", F.lit("<redacted>")),
         ("vm_dns_addresses", F.coalesce(F.col("dns_servers"), F.lit("[]"))),
-        ("cluster_domain", F.concat(_text("key_cluster_name"), F.lit("."), _text("base_domain"))),
-        ("bootstrap_ignition_path", F.concat(ign, F.lit("/bootstrap.ign"))),
-        ("control_plane_ignition_path", F.concat(ign, F.lit("/master.ign"))),
-        ("compute_ignition_path", F.concat(ign, F.lit("/worker.ign"))),
-        ("infra_ignition_path", F.concat(ign, F.lit("/worker.ign"))),
+        ("cluster_domain", F.concat(F.col("name"), F.lit("."), _text(F.col("base_domain")))),
+        *((f"{role}_ignition_path", F.concat(folder, F.lit(f"/{file}.ign"))) for role, file in ignition.items()),
     ]
     for role in ("control_plane", "compute", "infra"):
-        ips = F.coalesce(F.col(f"{role}_ips"), F.lit("[]"))
-        pairs.append((f"{role}_ips", ips))
-        pairs.append((f"{role}_count", F.size(J.as_str_array(ips)).cast("string")))
-    for key in TEMPLATE_DEFAULTS:
-        pairs.append((key, _number_text(key)))
-    return wide.select(
-        "cluster_name",
-        F.inline(F.array(*[F.struct(F.lit(n).alias("variable"), v.alias("value")) for n, v in pairs])),
-    )
+        ips = F.coalesce(F.col(f"{role}_ips"), F.array().cast("array<string>"))
+        pairs += [(f"{role}_ips", F.to_json(ips)), (f"{role}_count", F.size(ips).cast("string"))]
+    return pairs + [(key, _number_text(key)) for key in TEMPLATE_DEFAULTS]
 
 
-def to_variables(context: DataFrame) -> DataFrame:
-    """Typed variable row per cluster (numbers INT, lists ARRAY<STRING>)."""
-    long = variables_long(context)
-    names = [n for n, _ in _STRING_VARS] + [
-        "vm_dns_addresses",
-        "cluster_domain",
-        "bootstrap_ignition_path",
-        "control_plane_ignition_path",
-        "compute_ignition_path",
-        "infra_ignition_path",
-        "control_plane_ips",
-        "compute_ips",
-        "infra_ips",
-        "control_plane_count",
-        "compute_count",
-        "infra_count",
-        *TEMPLATE_DEFAULTS.keys(),
-    ]
-    wide = long.groupBy("cluster_name").pivot("variable", names).agg(F.first("value"))
-    out = [F.col("cluster_name")]
-    for n in names:
-        if n in ("vm_dns_addresses", "control_plane_ips", "compute_ips", "infra_ips"):
-            out.append(J.as_str_array(n).alias(n))
-        elif n.endswith("_count") or n in TEMPLATE_DEFAULTS:
-            out.append(F.col(n).try_cast("int").alias(n))
-        else:
-            out.append(F.col(n))
-    return wide.select(*out)
+def variables_long(plan: DataFrame) -> DataFrame:
+    """Provisioning variables of every planned cluster as rendered text:
+    (cluster_name, variable, value). Lists are JSON arrays. The password is
+    represented by presence only. One ``inline`` of the plan's row."""
+    rows = F.array(*[F.struct(F.lit(n).alias("variable"), v.alias("value")) for n, v in _variables()])
+    return plan.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), rows)))
+
+
+def to_variables(plan: DataFrame) -> DataFrame:
+    """Typed variable row per planned cluster (numbers INT, lists ARRAY<STRING>)."""
+
+    def typed(name: str, value: Column) -> Column:
+        if name in LIST_VARIABLES:
+            return J.as_str_array(value)
+        return value.try_cast("int") if name.endswith("_count") or name in TEMPLATE_DEFAULTS else value
+
+    row = F.struct(*[typed(n, v).alias(n) for n, v in _variables()])
+    return plan.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), F.array(row))))
 
 
 # --------------------------------------------------------------------------- C8/C9/C10
 MIRROR_SCHEMA = "array<struct<source:string,mirror:string>>"
 
 
-def explode_mirrors(context: DataFrame) -> DataFrame:
+def explode_mirrors(settings: DataFrame) -> DataFrame:
     """One row per (cluster, position, source, mirror), list order kept (1-based)."""
-    return context.where(F.col("key") == "image_mirrors").select(
-        "cluster_name", F.posexplode(F.from_json("value", MIRROR_SCHEMA))
-    ).select(
+    return settings.select("cluster_name", F.posexplode(F.from_json("image_mirrors", MIRROR_SCHEMA))).select(
         "cluster_name",
         (F.col("pos") + 1).cast("int").alias("position"),
         F.col("col.source").alias("source"),
@@ -564,27 +449,26 @@ def explode_mirrors(context: DataFrame) -> DataFrame:
     )
 
 
-def to_install_struct(context: DataFrame, sources: DataFrame) -> DataFrame:
-    """Install document per cluster as a nested row: networking block,
-    trust bundle flag (present only if truthy), mirrors. Columns:
-    cluster_name, install (STRUCT)."""
-    wide = pivot_keys(
-        context,
-        ["cluster_name", "base_domain", "cluster_network_cidr", "cluster_network_host_prefix", "service_network_cidr", "image_mirrors"],
-    )
-    bundle = sources.where(F.col("item") == "trust_bundle").select("cluster_name", F.col("present").alias("__bundle"))
-    joined = wide.join(bundle, "cluster_name", "left")
+def to_install_struct(plan: DataFrame, files: DataFrame) -> DataFrame:
+    """Install document per planned cluster as a nested row: networking block,
+    trust bundle flag (present only if the file holds something), mirrors.
+    ``files``: (path, nonblank). Columns: cluster_name, install (STRUCT)."""
+    _, key, default, _ = next(s for s in SECRET_SOURCES if s[0] == "trust_bundle")
+    bundle = files.select(F.col("path").alias("__path"), F.col("nonblank").alias("__bundle"))
+    path = F.coalesce(J.as_text(key), F.lit(default))
+    rows = dim_join(plan.withColumn("__path", path), bundle, "__path", "left", row_key="cluster_name")
     install = F.struct(
-        _text("key_cluster_name").alias("name"),
-        _text("base_domain").alias("base_domain"),
+        F.col("name").alias("name"),
+        _text(F.col("base_domain")).alias("base_domain"),
         F.struct(
             F.lit(NETWORK_TYPE).alias("network_type"),
-            _text("cluster_network_cidr").alias("cluster_network_cidr"),
+            _text(F.col("cluster_network_cidr")).alias("cluster_network_cidr"),
             J.as_int("cluster_network_host_prefix").alias("host_prefix"),
-            _text("service_network_cidr").alias("service_network_cidr"),
+            _text(F.col("service_network_cidr")).alias("service_network_cidr"),
             F.lit(V4_INTERNAL_SUBNET).alias("v4_internal_subnet"),
         ).alias("networking"),
         F.coalesce(F.col("__bundle"), F.lit(False)).alias("has_trust_bundle"),
         F.coalesce(F.from_json("image_mirrors", MIRROR_SCHEMA), F.array().cast(MIRROR_SCHEMA)).alias("mirrors"),
     )
-    return joined.select("cluster_name", install.alias("install"))
+    one = F.array(F.struct(install.alias("install")))
+    return rows.select("cluster_name", F.inline(F.when(F.col("net").isNotNull(), one)))

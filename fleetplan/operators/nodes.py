@@ -16,10 +16,6 @@ from ..functions import jsonvalue as J
 from ..functions.joins import dim_join
 from ..sources.fixed_values import BOOT_INTERFACE, BOOTSTRAP_CPUS, BOOTSTRAP_MEMORY_MB, ROLES, TEMPLATE_DEFAULTS
 
-ROLE_LABEL = {r: label for r, label, _ in ROLES}
-NODE_ROLES = ["bootstrap", "control_plane", "compute", "infra"]
-NODE_FIELDS = "struct<role:string,ordinal:int,fqdn:string,ip:string>"
-
 
 def text_or_empty(key: str) -> Column:
     """Rendered text of a setting: undefined -> ''."""
@@ -27,7 +23,9 @@ def text_or_empty(key: str) -> Column:
 
 
 def cluster_domain() -> Column:
-    return F.concat(F.col("cluster_name"), F.lit("."), text_or_empty("base_domain"))
+    """The cluster's domain. Names come from the document (``name``); the row
+    key ``cluster_name`` is the document's file, which may be called otherwise."""
+    return F.concat(F.col("name"), F.lit("."), text_or_empty("base_domain"))
 
 
 ROLE_OFFSETS = [("control_plane", "control_plane_offsets"), ("compute", "compute_offsets"), ("infra", "infra_offsets")]
@@ -37,7 +35,7 @@ def node_rows(plan: DataFrame, carry: list[str] | tuple[str, ...] = ()) -> DataF
     """One row per node from each plan row: cluster_name, role, ordinal,
     offset, ip, fqdn, domain, plus ``carry`` columns of the plan.
 
-    Host names are ``<cluster>-<label>-NN.<cluster domain>`` (1-based, two
+    Host names are ``<name>-<label>-NN.<cluster domain>`` (1-based, two
     digits), the bootstrap without ordinal; names come from the positions of
     the offset list, so names and addresses pair one to one. Built with two
     generators (``inline`` of the roles, ``posexplode`` of their offsets) and
@@ -46,14 +44,14 @@ def node_rows(plan: DataFrame, carry: list[str] | tuple[str, ...] = ()) -> DataF
         F.struct(F.lit("bootstrap").alias("role"), F.array(F.col("bootstrap_offset")).alias("__offs")),
         *[F.struct(F.lit(r).alias("role"), F.col(c).alias("__offs")) for r, c in ROLE_OFFSETS],
     )
-    keep = ["cluster_name", "net", *[c for c in carry if c not in ("cluster_name", "net")]]
-    domain = cluster_domain() if "base_domain" in plan.columns else F.concat(F.col("cluster_name"), F.lit("."))
+    keep = ["cluster_name", "name", "net", *[c for c in carry if c not in ("cluster_name", "name", "net")]]
+    domain = cluster_domain() if "base_domain" in plan.columns else F.concat(F.col("name"), F.lit("."))
     # rows without a valid network get a NULL array: no nodes, and no filter
     # for Catalyst to push into the plan's projections
     per_role = plan.select(*keep, domain.alias("domain"), F.inline(F.when(F.col("net").isNotNull(), roles)))
     exploded = per_role.select(*keep, "domain", "role", F.posexplode("__offs").alias("__pos", "offset"))
     label = F.create_map(*[x for r, lab, _ in ROLES for x in (F.lit(r), F.lit(lab))])[F.col("role")]
-    name = F.col("cluster_name")
+    name = F.col("name")
     host = F.when(F.col("role") == "bootstrap", F.concat(name, F.lit("-bootstrap"))).otherwise(
         F.concat(name, F.lit("-"), label, F.lit("-"), F.format_string("%02d", F.col("__pos") + 1))
     )
@@ -67,7 +65,7 @@ def node_rows(plan: DataFrame, carry: list[str] | tuple[str, ...] = ()) -> DataF
         "domain",
     ]
     rows = exploded.select(*out)
-    return rows if "net" in carry else rows.drop("net")
+    return rows.drop(*[c for c in ("net", "name") if c not in carry])
 
 
 def ip_text(net: Column, offset: Column) -> Column:
@@ -191,6 +189,29 @@ def inventory_index(inv: DataFrame) -> DataFrame:
     )
 
 
+STRUCTURAL = ("compute_cluster", "datastore_cluster", "dvs", "template")
+
+
+def datacenters(index: DataFrame) -> DataFrame:
+    """One row per datacenter name: how many match (``n_dc``), its id, and a map
+    of its structural objects 'kind|name' -> (matches, id, guest_id,
+    thin_provisioned). A datacenter's clusters, switches, datastore clusters and
+    templates are a few hundred at most; port groups are not in it."""
+    named = index.where((F.col("kind") == "datacenter") & F.col("datacenter_id").isNull())
+    named = named.groupBy("name").agg(F.sum("matches").alias("n_dc"), F.min("id").alias("datacenter_id"))
+    key = F.concat(F.col("kind"), F.lit("|"), F.col("name"))
+    # one object name may stand on several switches: the matches add up
+    per_name = index.where(F.col("kind").isin(*STRUCTURAL)).groupBy("datacenter_id", key.alias("key")).agg(
+        F.sum("matches").alias("n"), F.min("id").alias("id"), F.first("guest_id", ignorenulls=True).alias("guest_id"),
+        F.first("thin_provisioned", ignorenulls=True).alias("thin"),
+    )
+    value = F.struct("n", "id", "guest_id", "thin")
+    objects = per_name.groupBy("datacenter_id").agg(F.map_from_entries(F.collect_list(F.struct("key", value.alias("v")))).alias("objects"))
+    return named.select(F.col("name").alias("__dc"), "n_dc", F.when(F.col("n_dc") == 1, F.col("datacenter_id")).alias("datacenter_id")).join(
+        objects, "datacenter_id", "left"
+    )
+
+
 def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Look up inventory ids by name within the cluster's datacenter (the port
     group also on the switch). ``fleet``: wide settings rows. Returns (ids,
@@ -201,78 +222,54 @@ def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, Data
     lookup failed); issues: cluster_name, object, name, problem ('missing' or
     'ambiguous').
 
-    Each lookup is an equi-join on (kind, datacenter, name) against the
-    pre-aggregated index, broadcast when its size allows, salted otherwise."""
+    Structural objects come in one small row per datacenter; all of a cluster's
+    lookups in it are map reads. Port groups, as many as clusters, are one plain
+    join on (datacenter, switch, name)."""
     keys = ["datacenter"] + [k for _, k, _ in INVENTORY_LOOKUPS]
-    f = fleet.select("cluster_name", *[J.as_text(k).alias(f"__ref_{k}") for k in keys])
     index = inventory_index(inv)
-
-    def lookup(frame, kind, ref, out, by_dc, by_switch):
-        side = index.where(F.col("kind") == kind)
-        cols = [F.col("name").alias(ref), F.col("matches").alias(f"__n_{out}"), F.col("id").alias(f"__id_{out}")]
-        on = [ref]
-        if by_dc:
-            cols.append(F.col("datacenter_id").alias("datacenter_id"))
-            on.append("datacenter_id")
-        else:
-            side = side.where(F.col("datacenter_id").isNull())
-        if by_switch:
-            cols.append(F.col("switch_id").alias("dvs_id"))
-            on.append("dvs_id")
-        if kind == "template":
-            cols += [F.col("guest_id"), F.col("thin_provisioned")]
-        joined = dim_join(frame, side.select(*cols), on, "left", bounded_by=index)
-        n = F.col(f"__n_{out}")
-        return joined.withColumns(
-            {
-                out: F.when(n == 1, F.col(f"__id_{out}")),
-                f"__problem_{out}": F.when(F.col(ref).isNull() | n.isNull(), F.lit("missing")).when(n > 1, F.lit("ambiguous")),
-            }
-        ).drop(f"__id_{out}", f"__n_{out}")
-
-    f = lookup(f, "datacenter", "__ref_datacenter", "datacenter_id", False, False)
+    f = fleet.select("cluster_name", *[J.as_text(k).alias(f"__ref_{k}") for k in keys])
+    places = datacenters(index.where(F.col("kind") != "network"))
+    f = dim_join(f.withColumn("__dc", F.col("__ref_datacenter")), places, "__dc", "left", row_key="cluster_name")
+    problem = lambda ref, n: F.when(F.col(ref).isNull() | n.isNull(), F.lit("missing")).when(n > 1, F.lit("ambiguous"))
+    f = f.withColumn("__problem_datacenter_id", problem("__ref_datacenter", F.col("n_dc")))
     for kind, key, out in INVENTORY_LOOKUPS:
-        f = lookup(f, kind, f"__ref_{key}", out, True, kind == "network")
+        if kind != "network":
+            f = f.withColumn(f"__{out}", F.try_element_at("objects", F.concat(F.lit(kind + "|"), F.col(f"__ref_{key}"))))
+            n = F.col(f"__{out}.n")
+            f = f.withColumns({out: F.when(n == 1, F.col(f"__{out}.id")), f"__problem_{out}": problem(f"__ref_{key}", n)})
+    ports = index.where(F.col("kind") == "network").select(
+        "datacenter_id", F.col("switch_id").alias("dvs_id"), F.col("name").alias("__ref_vm_network"), F.col("matches").alias("__n"), F.col("id").alias("__id")
+    )
+    f = f.join(ports, ["datacenter_id", "dvs_id", "__ref_vm_network"], "left")
+    f = f.withColumns({"network_id": F.when(F.col("__n") == 1, F.col("__id")), "__problem_network_id": problem("__ref_vm_network", F.col("__n"))})
     outs = ["datacenter_id"] + [o for _, _, o in INVENTORY_LOOKUPS]
+    found = F.col("template_id").isNotNull()
     ids = f.select(
         "cluster_name", *outs,
-        F.when(F.col("template_id").isNotNull(), F.col("guest_id")).alias("guest_id"),
-        F.when(F.col("template_id").isNotNull(), F.col("thin_provisioned")).alias("thin_provisioned"),
+        F.when(found, F.col("__template_id.guest_id")).alias("guest_id"),
+        F.when(found, F.col("__template_id.thin")).alias("thin_provisioned"),
     )
     objects = ["datacenter"] + [k for k, _, _ in INVENTORY_LOOKUPS]
-    issues = f.select(
-        "cluster_name",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(obj).alias("object"),
-                        F.col(f"__ref_{key}").alias("name"),
-                        F.col(f"__problem_{o}").alias("problem"),
-                    )
-                    for obj, key, o in zip(objects, keys, outs)
-                ]
-            )
-        ),
-    ).where(F.col("problem").isNotNull())
-    return ids, issues
+    issue = lambda obj, key, o: F.struct(F.lit(obj).alias("object"), F.col(f"__ref_{key}").alias("name"), F.col(f"__problem_{o}").alias("problem"))
+    rows = F.array(*[issue(obj, key, o) for obj, key, o in zip(objects, keys, outs, strict=True)])
+    return ids, f.select("cluster_name", F.inline(rows)).where(F.col("problem").isNotNull())
 
 
 # --------------------------------------------------------------------------- R7/R8
 def node_specs(plan: DataFrame, inv: DataFrame) -> DataFrame:
     """One placement row per VM: VM name (first label), folder
-    ``<vsphere_folder>/<cluster>``, resource pool (the cluster), sizing, boot
+    ``<vsphere_folder>/<name>``, resource pool (the name), sizing, boot
     arguments and inventory ids."""
     ids, _ = resolve_inventory(plan, inv)
     withids = plan.join(ids, "cluster_name", "left").withColumns(
         {
-            "folder": F.concat(text_or_empty("vsphere_folder"), F.lit("/"), F.col("cluster_name")),
+            "folder": F.concat(text_or_empty("vsphere_folder"), F.lit("/"), F.col("name")),
             "__size": sizing_by_role(),
             "__dns1": F.try_element_at(J.as_str_array("dns_servers"), F.lit(1)),
         }
     )
     carry = [
-        "folder", "__size", "gateway", "netmask", "__dns1", "datacenter_id", "compute_cluster_id",
+        "name", "folder", "__size", "gateway", "netmask", "__dns1", "datacenter_id", "compute_cluster_id",
         "datastore_cluster_id", "network_id", "template_id", "guest_id", "thin_provisioned",
     ]
     rows = node_rows(withids, carry=carry)
@@ -284,7 +281,7 @@ def node_specs(plan: DataFrame, inv: DataFrame) -> DataFrame:
     )
     return rows.select(
         "cluster_name", "role", "ordinal", "fqdn", host.alias("vm_name"), "ip", "folder",
-        F.col("cluster_name").alias("resource_pool"),
+        F.col("name").alias("resource_pool"),
         s.num_cpus.cast("int").alias("num_cpus"),
         s.memory_mb.cast("int").alias("memory_mb"),
         s.disk_gb.cast("int").alias("disk_gb"),

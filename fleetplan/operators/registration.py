@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
 from ..functions.joins import dim_join
-
-SECRET_TYPE_LABEL = "argocd.argoproj.io/secret-type=cluster"
+from ..sources.fixed_values import SECRET_TYPE_LABEL
 
 
 def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -> DataFrame:
@@ -28,7 +27,7 @@ def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -
     live = runs.where(~F.col("destroy") & ~F.col("skip_terraform") & ~F.col("skip_argocd"))
     j = live.join(f, "cluster_name").where(F.col("__hub"))
     e = env.select(F.col("name").alias("__env_name"), (F.col("value") != "").alias("__env_ok"))
-    j = dim_join(j, e, "__env_name", "left")
+    j = dim_join(j, e, "__env_name", "left", row_key="run_id")
     source = (
         F.when(F.col("__plain"), F.lit("plain"))
         .when(F.coalesce(F.col("__env_ok"), F.lit(False)), F.lit("env"))
@@ -37,29 +36,26 @@ def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -
     return j.select("run_id", "cluster_name", source.alias("token_source"), (source != "none").alias("registrable"))
 
 
-def registration_records(candidates: DataFrame, fleet: DataFrame) -> DataFrame:
+def registration_records(candidates: DataFrame, fleet: DataFrame, spoke: DataFrame) -> DataFrame:
     """H3: the hub's cluster record per registrable run: name
-    ``cluster-<name>``, namespace (default 'argocd'), label, spoke server, and
-    the config JSON without the bearer token (CA data base64, empty when TLS
-    verification is off). The spoke CA is represented by a derived text."""
+    ``cluster-<name>``, namespace (default 'argocd'), label, the spoke's server,
+    and the config JSON without the bearer token (the spoke's CA data, empty
+    when TLS verification is off).
+
+    ``spoke``: (cluster_name, server, ca_data), what each cluster answers; a run
+    whose cluster has no answer gets a record with a NULL server and config."""
     f = fleet.select(
         "cluster_name",
+        "name",
         F.coalesce(J.as_text("argocd_namespace"), F.lit("argocd")).alias("namespace"),
         J.truthy("argocd_insecure_skip_tls").alias("insecure"),
-        F.concat(F.lit("https://api."), F.col("cluster_name"), F.lit("."), F.coalesce(J.as_text("base_domain"), F.lit("")), F.lit(":6443")).alias("server"),
-    )
-    j = candidates.where(F.col("registrable")).join(f, "cluster_name")
-    ca = F.base64(F.encode(F.concat(F.lit("CA of "), F.col("cluster_name")), "UTF-8"))
-    config = F.concat(
-        F.lit('{"tlsClientConfig": {"insecure": '),
-        F.when(F.col("insecure"), F.lit("true")).otherwise(F.lit("false")),
-        F.lit(', "caData": "'),
-        F.when(F.col("insecure"), F.lit("")).otherwise(ca),
-        F.lit('"}}'),
     )
+    j = candidates.where(F.col("registrable")).join(f, "cluster_name").join(spoke, "cluster_name", "left")
+    tls = F.struct("insecure", F.when(F.col("insecure"), F.lit("")).otherwise(F.col("ca_data")).alias("caData"))
+    config = F.when(F.col("server").isNotNull(), F.to_json(F.struct(tls.alias("tlsClientConfig"))))
     return j.select(
         "run_id",
-        F.concat(F.lit("cluster-"), F.col("cluster_name")).alias("secret_name"),
+        F.concat(F.lit("cluster-"), F.col("name")).alias("secret_name"),
         "namespace",
         F.lit(SECRET_TYPE_LABEL).alias("label"),
         "server",

@@ -11,13 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
-from ..functions.joins import dim_join
 from ..functions.scans import running_max_within
-from ..sources.fixed_values import LOG_LEVELS
+from ..sources.fixed_values import LOG_FACTS, LOG_LEVELS, LOG_LINE, PHASES
 
-PHASES = ["preflight", "destroy", "network", "templates", "ignition", "dns", "terraform", "csr", "argocd", "save_context"]
 LINES_PER_CHUNK = 4096
-LOG_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \[([A-Z]+) *\] (.*)$"
 
 
 # --------------------------------------------------------------------------- P1
@@ -50,7 +47,7 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     return j.select("run_id", F.inline(entries))
 
 
-# --------------------------------------------------------------------------- P2/P3
+# --------------------------------------------------------------------------- P2
 def parse_logs(lines: DataFrame) -> DataFrame:
     """Split ``yyyy-MM-dd HH:mm:ss [LEVEL  ] message`` lines; a line without
     the prefix continues the previous message (is_start = false).
@@ -71,45 +68,53 @@ def level_rank():
     return F.create_map(*[x for name, rank in LOG_LEVELS for x in (F.lit(name), F.lit(rank))])
 
 
-def at_least(parsed: DataFrame, level: str = "INFO") -> DataFrame:
-    """Lines at or above ``level`` (the console handler's threshold is INFO,
-    the file keeps everything)."""
-    threshold = dict(LOG_LEVELS)[level]
-    return parsed.where(level_rank()[F.col("level")] >= threshold)
-
-
 # --------------------------------------------------------------------------- P4
 def join_multiline(parsed: DataFrame) -> DataFrame:
-    """Group continuation lines with the line that started the message.
-
-    The start line of each line is a running max within its file, scanned per
-    chunk of 4096 line numbers (a huge file is split across tasks). Then one
-    aggregate per message. Columns: cluster_name, start_line, logged_at, level,
-    message (lines joined by newline), n_lines."""
+    """Each line with the message it belongs to: cluster_name, start_line, line_no,
+    logged_at, level, message. A continuation line has the level and time of the
+    line that started its message; lines before the first start have none
+    (NULL start_line, level and time), and stay.
+
+    The start of each line is a running max within its file, scanned per chunk
+    of 4096 line numbers, so a huge file, and a message of millions of lines,
+    are spread over many tasks. Nothing is gathered per message."""
+    head = F.struct("line_no", "logged_at", "level")
     marked = running_max_within(
-        parsed, ["cluster_name"], ["line_no"], F.expr(f"line_no div {LINES_PER_CHUNK}"),
-        F.when(F.col("is_start"), F.col("line_no")), "start_line",
+        parsed, ["cluster_name"], ["line_no"], F.expr(f"line_no div {LINES_PER_CHUNK}"), F.when(F.col("is_start"), head), "__head"
+    )
+    return marked.select(
+        "cluster_name", F.col("__head.line_no").alias("start_line"), "line_no",
+        F.col("__head.logged_at").alias("logged_at"), F.col("__head.level").alias("level"), "message",
     )
-    grouped = marked.where(F.col("start_line").isNotNull()).groupBy("cluster_name", "start_line").agg(
-        F.max(F.when(F.col("is_start"), F.col("logged_at"))).alias("logged_at"),
-        F.max(F.when(F.col("is_start"), F.col("level"))).alias("level"),
-        F.sort_array(F.collect_list(F.struct("line_no", "message"))).alias("__lines"),
-        F.count(F.lit(1)).cast("bigint").alias("n_lines"),
+
+
+def message_sizes(messages: DataFrame) -> DataFrame:
+    """One row per message: cluster_name, start_line, logged_at, level, n_lines
+    (counted before the shuffle)."""
+    return messages.where(F.col("start_line").isNotNull()).groupBy("cluster_name", "start_line").agg(
+        F.first("logged_at").alias("logged_at"), F.first("level").alias("level"), F.count(F.lit(1)).alias("n_lines")
     )
-    return grouped.select(
-        "cluster_name", "start_line", "logged_at", "level",
-        F.array_join(F.transform("__lines", lambda x: x.message), "\n").alias("message"), "n_lines",
+
+
+def message_texts(messages: DataFrame, max_lines: int = 1000) -> DataFrame:
+    """A bounded view: the lines of each message joined by newline, of messages
+    of at most ``max_lines`` lines; longer ones are left as lines."""
+    short = message_sizes(messages).where(F.col("n_lines") <= max_lines).select("cluster_name", "start_line")
+    lines = messages.join(short, ["cluster_name", "start_line"]).groupBy("cluster_name", "start_line").agg(
+        F.sort_array(F.collect_list(F.struct("line_no", "message"))).alias("__lines")
     )
+    return lines.select("cluster_name", "start_line", F.array_join("__lines.message", "\n").alias("message"))
 
 
-# --------------------------------------------------------------------------- P5
-FACTS = [
-    ("took_seconds", r"took (\d+)s"),
-    ("rc", r"rc=(\d+)"),
-    ("pending_count", r"Approving (\d+) pending"),
-]
+def at_least(messages: DataFrame, level: str = "INFO") -> DataFrame:
+    """Lines of messages at or above ``level`` (the console handler's
+    threshold is INFO, the file keeps everything). ``messages`` is the result of
+    ``join_multiline``: a message passes or goes as a whole."""
+    threshold = dict(LOG_LEVELS)[level]
+    return messages.where(level_rank()[F.col("level")] >= threshold)
 
 
+# --------------------------------------------------------------------------- P5
 def log_facts(parsed: DataFrame) -> DataFrame:
     """Facts in messages as rows (cluster_name, line_no, fact, value): elapsed
     seconds, exit codes, pending counts (BIGINT), and the stream (stdout /
@@ -118,7 +123,7 @@ def log_facts(parsed: DataFrame) -> DataFrame:
     entries = [
         F.struct(F.lit(name).alias("fact"), F.when(msg.rlike(pat), F.regexp_extract(msg, pat, 1).cast("bigint")).alias("value"),
                  msg.rlike(pat).alias("__hit"))
-        for name, pat in FACTS
+        for name, pat in LOG_FACTS
     ]
     for stream in ("stdout", "stderr"):
         hit = F.ltrim(msg).startswith(f"{stream}:")

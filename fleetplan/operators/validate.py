@@ -4,7 +4,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
@@ -23,6 +25,15 @@ def _violations(df: DataFrame, keys: list[str], rules: list[tuple[str, object, o
     return df.select(*keys, F.inline(entries)).where(F.col("rule").isNotNull())
 
 
+def planning_allowed() -> Column:
+    """Whether a wide settings row passes V1 to V3, so that the tool would go on
+    to plan it: a good name, the required keys, a known site."""
+    name, site = F.coalesce(F.col("name"), F.lit("")), F.coalesce(F.col("site"), F.lit(""))
+    good = (name != "") & (F.char_length(name) <= NAME_MAX_CHARS) & name.rlike(NAME_PATTERN)
+    good = good & ~name.startswith("-") & ~name.endswith("-")
+    return good & (site != "") & F.col("site_known") & J.truthy("vm_network")
+
+
 def check_names(identity: DataFrame) -> DataFrame:
     """V1: at most 27 characters; letters, digits, hyphen; no edge hyphen."""
     name = F.col("name")
@@ -57,7 +68,7 @@ def check_sites(identity: DataFrame, sites: DataFrame) -> DataFrame:
     """V3: the named site must have a site document."""
     known = sites.select("site").distinct()
     named = identity.where(F.coalesce(F.col("site"), F.lit("")) != "")
-    missing = dim_join(named, known, "site", "left_anti", bounded_by=sites)
+    missing = dim_join(named, known, "site", "left_anti", row_key="cluster_name")
     return missing.select("cluster_name", F.lit("unknown_site").alias("rule"), F.col("site").alias("detail"))
 
 
@@ -83,42 +94,43 @@ def check_conditional(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     )
 
 
-def contract_table(spark) -> DataFrame:
-    return spark.createDataFrame(VARIABLE_CONTRACT, "variable string, type string, required boolean, default string")
-
-
-def check_contract(vars_long: DataFrame, contract: DataFrame) -> DataFrame:
-    """V6: rendered variables against the declared contract: required ones
-    present, numbers parse, lists parse; undeclared names are reported.
-    Columns: cluster_name, variable, rule."""
-    c = contract.select("variable", F.col("type").alias("__type"), F.col("required").alias("__req"))
-    declared = dim_join(vars_long, c, "variable", "left", bounded_by=contract)
-    v = F.col("value")
-    rule = (
-        F.when(F.col("__type").isNull(), F.lit("undeclared"))
-        .when(F.col("__req") & v.isNull(), F.lit("missing_required"))
-        .when((F.col("__type") == "number") & v.try_cast("double").isNull(), F.lit("not_a_number"))
-        .when((F.col("__type") == "list(string)") & F.from_json(v, "array<string>").isNull(), F.lit("not_a_list"))
+def check_contract(supplied: DataFrame, contract: Sequence[tuple[str, str, bool, str | None]] = tuple(VARIABLE_CONTRACT)) -> DataFrame:
+    """V6: supplied variable rows (cluster_name, variable, value) against the
+    declared contract: required ones present, numbers parse, lists parse;
+    undeclared names are reported. Columns: cluster_name, variable, rule.
+
+    One aggregate by cluster (its variables file, a few dozen rows), then every
+    rule inside that row."""
+    names = {kind: [n for n, t, _, _ in contract if t == kind] for kind in ("number", "list(string)")}
+    required = F.array(*[F.lit(n) for n, _, needed, _ in contract if needed])
+    declared = [n for n, *_ in contract]
+    given = supplied.groupBy("cluster_name").agg(F.collect_list(F.struct("variable", "value")).alias("__given"))
+    v = lambda x: x["value"]
+    rule = lambda x: (
+        F.when(~x["variable"].isin(*declared), F.lit("undeclared"))
+        .when(F.array_contains(required, x["variable"]) & v(x).isNull(), F.lit("missing_required"))
+        .when(x["variable"].isin(*names["number"]) & v(x).try_cast("double").isNull(), F.lit("not_a_number"))
+        .when(x["variable"].isin(*names["list(string)"]) & F.from_json(v(x), "array<string>").isNull(), F.lit("not_a_list"))
     )
-    found = declared.select("cluster_name", "variable", rule.alias("rule")).where(F.col("rule").isNotNull())
-    required = [name for name, _, req, _ in VARIABLE_CONTRACT if req]
-    present = vars_long.where(F.col("variable").isin(*required)).groupBy("cluster_name").pivot("variable", required).agg(
-        F.count(F.lit(1))
+    found = F.transform("__given", lambda x: F.struct(x["variable"].alias("variable"), rule(x).alias("rule")))
+    absent = F.transform(
+        F.array_except(required, F.transform("__given", lambda x: x["variable"])),
+        lambda n: F.struct(n.alias("variable"), F.lit("missing_required").alias("rule")),
     )
-    absent = present.select(
-        "cluster_name",
-        F.inline(F.array(*[F.struct(F.lit(n).alias("variable"), F.when(F.col(n).isNull(), F.lit("missing_required")).alias("rule")) for n in required])),
-    ).where(F.col("rule").isNotNull())
-    return found.unionByName(absent)
+    return given.select("cluster_name", F.inline(F.concat(F.filter(found, lambda x: x["rule"].isNotNull()), absent)))
 
 
-def check_counts(variables: DataFrame) -> DataFrame:
-    """V7: counts equal list lengths (typed variable rows)."""
-    rules = [
-        (f"{r}_count", F.coalesce(F.col(f"{r}_count"), F.lit(-1)) != F.coalesce(F.size(F.col(f"{r}_ips")), F.lit(-1)), f"{r}_count")
-        for r in ("control_plane", "compute", "infra")
-    ]
-    return _violations(variables, ["cluster_name"], rules)
+def check_counts(supplied: DataFrame) -> DataFrame:
+    """V7: supplied counts equal the lengths of the supplied lists. A count or a
+    list that is missing or doesn't parse differs from one that is there."""
+    value = lambda name: F.max(F.when(F.col("variable") == name, F.col("value")))
+    roles = ("control_plane", "compute", "infra")
+    sides = [x for r in roles for x in (value(f"{r}_count").alias(f"{r}_count"), value(f"{r}_ips").alias(f"{r}_ips"))]
+    rows = supplied.groupBy("cluster_name").agg(*sides)
+    count = lambda r: F.coalesce(F.col(f"{r}_count").try_cast("int"), F.lit(-1))
+    length = lambda r: F.coalesce(F.size(J.as_str_array(f"{r}_ips")), F.lit(-1))
+    rules = [(f"{r}_count", count(r) != length(r), f"{r}_count") for r in roles]
+    return _violations(rows, ["cluster_name"], rules)
 
 
 def required_tools(runs: DataFrame, fleet: DataFrame) -> DataFrame:
@@ -147,4 +159,4 @@ def missing_tools(runs: DataFrame, fleet: DataFrame, host_tools: DataFrame) -> D
     """V8: required binaries not found on the run's host:
     (run_id, cluster_name, host, label, tool)."""
     need = required_tools(runs, fleet)
-    return dim_join(need, host_tools.select("host", "tool"), ["host", "tool"], "left_anti")
+    return dim_join(need, host_tools.select("host", "tool"), ["host", "tool"], "left_anti", row_key=["run_id", "label"])

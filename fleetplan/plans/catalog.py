@@ -7,6 +7,7 @@ one to one with the DuckDB oracle.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,10 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
 from ..operators import address, config, dns, nodes, readiness, registration, runs, validate
+from ..session import scratch_path, write_table
+from ..sources import documents, logs
+from ..streaming import readiness as stream
+from . import staging
 from .fleet import Fleet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,6 +154,11 @@ def q_check_allocations(spark, sf_dir):
     return address.check_allocations(_fleet(spark, sf_dir).allocs)
 
 
+@register("check_plan")
+def q_check_plan(spark, sf_dir):
+    return address.check_plan(_fleet(spark, sf_dir).plan)
+
+
 @register("check_conditional")
 def q_check_conditional(spark, sf_dir):
     f = _fleet(spark, sf_dir)
@@ -226,7 +236,8 @@ def q_parse_logs(spark, sf_dir):
 
 @register("log_at_least_info")
 def q_at_least(spark, sf_dir):
-    return runs.at_least(runs.parse_logs(_fleet(spark, sf_dir).log_lines), "INFO").select("cluster_name", "line_no", "level")
+    messages = runs.join_multiline(runs.parse_logs(_fleet(spark, sf_dir).log_lines))
+    return runs.at_least(messages, "INFO").select("cluster_name", "line_no", "level")
 
 
 @register("join_multiline")
@@ -234,6 +245,16 @@ def q_join_multiline(spark, sf_dir):
     return runs.join_multiline(runs.parse_logs(_fleet(spark, sf_dir).log_lines))
 
 
+@register("message_sizes")
+def q_message_sizes(spark, sf_dir):
+    return runs.message_sizes(runs.join_multiline(runs.parse_logs(_fleet(spark, sf_dir).log_lines)))
+
+
+@register("message_texts")
+def q_message_texts(spark, sf_dir):
+    return runs.message_texts(runs.join_multiline(runs.parse_logs(_fleet(spark, sf_dir).log_lines)))
+
+
 @register("log_facts")
 def q_log_facts(spark, sf_dir):
     return runs.log_facts(runs.parse_logs(_fleet(spark, sf_dir).log_lines))
@@ -258,13 +279,14 @@ def _recorded_nodes(desired: DataFrame) -> DataFrame:
 
 @register("diff_state")
 def q_diff_state(spark, sf_dir):
-    desired = nodes.size_nodes(_fleet(spark, sf_dir).plan)
+    # desired and recorded state come from one stored roster
+    desired = write_table(nodes.size_nodes(_fleet(spark, sf_dir).plan), "desired-nodes")
     return runs.diff_state(desired, _recorded_nodes(desired), ["cluster_name", "fqdn"], ["num_cpus", "memory_mb", "disk_gb"])
 
 
 @register("diff_records")
 def q_diff_records(spark, sf_dir):
-    desired = dns.forward_records(_fleet(spark, sf_dir).plan)
+    desired = write_table(dns.forward_records(_fleet(spark, sf_dir).plan), "desired-records")
     r = F.char_length("name")
     recorded = desired.where(r % 7 != 0).withColumn(
         "value", F.when(r % 5 == 0, F.concat(F.col("value"), F.lit("0"))).otherwise(F.col("value"))
@@ -287,13 +309,13 @@ def q_reg_candidates(spark, sf_dir):
 @register("registration_records")
 def q_reg_records(spark, sf_dir):
     f = _fleet(spark, sf_dir)
-    return registration.registration_records(registration.registration_candidates(f.runs, f.settings, f.env), f.settings)
+    return registration.registration_records(registration.registration_candidates(f.runs, f.settings, f.env), f.settings, f.spoke)
 
 
 # ============================================================== context, variables, lookups
 @register("config_mirrors")
 def q_mirrors(spark, sf_dir):
-    return config.explode_mirrors(_fleet(spark, sf_dir).settings_long)
+    return config.explode_mirrors(_fleet(spark, sf_dir).settings)
 
 
 @register("config_sources")
@@ -327,24 +349,23 @@ def q_context(spark, sf_dir):
 
 @register("config_variables")
 def q_variables(spark, sf_dir):
-    return config.variables_long(_fleet(spark, sf_dir).context)
+    return config.variables_long(_fleet(spark, sf_dir).plan)
 
 
 @register("check_contract")
 def q_contract(spark, sf_dir):
-    f = _fleet(spark, sf_dir)
-    return validate.check_contract(config.variables_long(f.context), validate.contract_table(spark))
+    return validate.check_contract(_fleet(spark, sf_dir).supplied)
 
 
 @register("check_counts")
 def q_counts(spark, sf_dir):
-    return validate.check_counts(config.to_variables(_fleet(spark, sf_dir).context))
+    return validate.check_counts(_fleet(spark, sf_dir).supplied)
 
 
 @register("config_install")
 def q_install(spark, sf_dir):
     f = _fleet(spark, sf_dir)
-    inst = config.to_install_struct(f.context, config.first_available(f.settings, f.files, f.env))
+    inst = config.to_install_struct(f.plan, f.files)
     i = F.col("install")
     return inst.select(
         "cluster_name",
@@ -365,32 +386,74 @@ def q_install(spark, sf_dir):
 def q_scan_layers(spark, sf_dir):
     """Cluster documents derived from the tables, written as JSON files,
     scanned back into layer rows."""
-    from ..sources.documents import scan_layers
-    from .staging import stage_cluster_documents
+    return documents.scan_layers(spark, staging.stage_cluster_documents(spark, sf_dir), "cluster_name", many=True)
+
+
+@register("scan_layers_yaml")
+def q_scan_layers_yaml(spark, sf_dir):
+    """S1 from YAML documents."""
+    path = staging.stage_cluster_documents(spark, sf_dir, "yaml")
+    return documents.scan_layers(spark, path, "cluster_name", "yaml", many=True)
 
-    return scan_layers(spark, stage_cluster_documents(spark, sf_dir), "cluster_name")
+
+@register("bad_documents")
+def q_bad_documents(spark, sf_dir):
+    """Documents of both formats that don't parse."""
+    formats = ("json", "yaml")
+    bad = [documents.bad_documents(spark, staging.stage_cluster_documents(spark, sf_dir, x), "cluster_name", x, many=True) for x in formats]
+    one, two = (rows.withColumn("format", F.lit(x)) for rows, x in zip(bad, formats, strict=True))
+    return one.unionByName(two)
+
+
+@register("list_artifacts")
+def q_list_artifacts(spark, sf_dir):
+    """Artifact files, listed by path."""
+    files = documents.list_artifacts(spark, staging.stage_artifacts(spark, sf_dir), folders=True)
+    return files.select(F.col("scope").alias("cluster_name"), "file", "stem").distinct()
 
 
 @register("scan_logs")
 def q_scan_logs(spark, sf_dir):
     """Run logs derived from the events, written as text files, read back
     with line numbers."""
-    from ..sources.logs import scan_logs
-    from .staging import stage_logs
+    return logs.scan_logs(spark, staging.stage_logs(spark, sf_dir), suffix=None)
+
+
+@register("context_sink")
+def q_context_sink(spark, sf_dir):
+    """The resolved context written as a table and read back."""
+    path = scratch_path(spark, f"sinks/context-{uuid.uuid4().hex}")
+    logs.write_context(_fleet(spark, sf_dir).context, path)
+    return logs.read_clusters(spark, path)
 
-    return scan_logs(spark, stage_logs(spark, sf_dir), suffix=None)
+
+@register("cluster_table")
+def q_cluster_table(spark, sf_dir):
+    """A table by cluster, some clusters replaced (a new VLAN id), some
+    removed, the others untouched."""
+    path = scratch_path(spark, f"sinks/identity-{uuid.uuid4().hex}")
+    rows = _fleet(spark, sf_dir).identity
+    k = F.regexp_extract("cluster_name", "([0-9]+)", 1).cast("bigint")
+    logs.write_clusters(rows, path)
+    logs.replace_clusters(spark, rows.where(k % 5 == 3).withColumn("vlan_id", F.lit("7")), path)
+    logs.remove_clusters(spark, rows.where(k % 7 == 2), path)
+    return logs.read_clusters(spark, path)
 
 
 # ============================================================== streaming
 @register("readiness_stream")
 def q_readiness_stream(spark, sf_dir):
-    """L4 as Structured Streaming over the events file: per-run state in
-    update mode, upserted per micro-batch; the current state evaluated against
-    the deadline. Equals the batch ``time_to_available`` once input is read."""
-    from ..streaming import readiness as stream
-
-    table = stream.run_time_to_available(spark, stream.poll_stream(spark, sf_dir))
+    """L4 as Structured Streaming over the events file: a session of polls per
+    run, written when it is over, evaluated against the deadline. Equals the
+    batch ``time_to_available`` once the input has ended."""
+    table = stream.run_time_to_available(spark, stream.poll_stream(spark, sf_dir), TIMEOUT_MINUTES)
     return stream.current_time_to_available(spark, table, TIMEOUT_MINUTES)
 
 
+@register("poll_buckets_stream")
+def q_poll_buckets_stream(spark, sf_dir):
+    """L5 as Structured Streaming, all windows final."""
+    return stream.poll_buckets_table(spark, stream.run_poll_buckets(spark, stream.poll_stream(spark, sf_dir)))
+
+
 __all__ = ["QUERIES", "register", "F", "J"]

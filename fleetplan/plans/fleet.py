@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import address, config, dns, nodes
+from ..session import write_table
 from ..sources.fixed_values import CODE_DEFAULTS
 from . import views
 
@@ -32,7 +33,7 @@ class Fleet:
     @cached_property
     def docs(self) -> DataFrame:
         """Cluster documents, one row per cluster (cluster_name, doc)."""
-        return views.cluster_docs(self.seed)
+        return config.redacted_documents(views.cluster_docs(self.seed))
 
     @cached_property
     def clusters(self) -> DataFrame:
@@ -75,6 +76,10 @@ class Fleet:
     def host_tools(self) -> DataFrame:
         return views.host_tools(self.spark, self.sf_dir)
 
+    @cached_property
+    def spoke(self) -> DataFrame:
+        return views.spoke(self.seed)
+
     @cached_property
     def polls(self) -> DataFrame:
         return views.polls(self.spark, self.sf_dir)
@@ -92,44 +97,34 @@ class Fleet:
     def identity(self) -> DataFrame:
         return config.fleet_identity(self.docs)
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        """The merged profile of every site, with code defaults, written once."""
+        return config.stored_profiles(config.site_profiles(self.defaults, self.sites, self.env, CODE_DEFAULTS))
+
     @cached_property
     def effective(self) -> DataFrame:
         """C1 + C3: layers merged, reference keys resolved."""
-        return config.merge_layers(self.docs, self.defaults, self.sites, self.env)
+        return config.merge_layers(self.docs, self.defaults, self.sites, profiles=self.profiles.where("layer <> 'code'"))
 
     @cached_property
     def settings(self) -> DataFrame:
         """Wide settings row per cluster (C1 + C3 + C5 for the planning keys)."""
-        return config.merge_settings(self.docs, self.defaults, self.sites, self.env)
+        return config.merge_settings(self.docs, self.defaults, self.sites, profiles=self.profiles)
 
     def materialize(self) -> "Fleet":
-        """Cut lineage at the cluster documents and at the per-cluster settings
-        table, which every output reads: each is written once as a table in the
-        shared folder named by ``spark.checkpoint.dir`` (it survives executor
-        loss; never a local checkpoint) and read back. Later tables of this
-        fleet read the stored rows, so no derivation is recomputed or inlined."""
-        from ..session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(self.spark)
-        for name in ("docs", "identity", "effective", "settings", "settings_long", "fleet", "plan", "nodes",
-                     "records", "clusters", "context"):
+        """Cut lineage at the per-cluster settings table, which holds the
+        documents too and which every output reads: it is written once as a
+        table in the shared folder named by ``spark.checkpoint.dir`` (it survives
+        executor loss; never a local checkpoint) and read back."""
+        derived = ("docs", "identity", "effective", "settings", "settings_long", "fleet", "plan", "nodes", "records", "clusters", "context")
+        settings = write_table(self.settings, "settings")
+        for name in derived:
             self.__dict__.pop(name, None)
-        self.__dict__["docs"] = self._write_table(self.docs, "docs")
-        self.__dict__["settings"] = self._write_table(self.settings, "settings")
+        self.__dict__["settings"] = settings
+        self.__dict__["docs"] = settings.select("cluster_name", "doc")
         return self
 
-    def _write_table(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` as a parquet table under the shared checkpoint folder and
-        read it back (one computation, unlike an RDD checkpoint that recomputes
-        for the write); the reads get column pruning."""
-        import uuid
-
-        from ..session import scratch_path
-
-        path = scratch_path(self.spark, f"fleet/{name}-{uuid.uuid4().hex}")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
     # addressing and roster ------------------------------------------------------
     @cached_property
     def fleet(self) -> DataFrame:
@@ -151,9 +146,13 @@ class Fleet:
     @cached_property
     def settings_long(self) -> DataFrame:
         """Effective configuration with code defaults, long form."""
-        return config.merge_layers(self.docs, self.defaults, self.sites, self.env, code_defaults=CODE_DEFAULTS)
+        return config.merge_layers(self.docs, self.defaults, self.sites, profiles=self.profiles)
 
     @cached_property
     def context(self) -> DataFrame:
-        ident = self.fleet.select("cluster_name", "name", "segment", "vlan_id")
-        return config.build_context(self.settings_long, self.plan, ident)
+        return config.build_context(self.plan, self.profiles)
+
+    @cached_property
+    def supplied(self) -> DataFrame:
+        """Variable files as supplied (C7 with the fixture's defects)."""
+        return views.supplied_variables(config.variables_long(self.plan))

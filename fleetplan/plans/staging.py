@@ -1,6 +1,6 @@
 """Stage file inputs derived from the driver tables, so the file sources are
-exercised on data that grows with the tables: cluster documents as JSON files
-and run logs as text files, written under the shared checkpoint folder.
+exercised on data that grows with the tables: cluster documents as JSON or YAML,
+run logs as text, artifacts as files, written under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -10,30 +10,52 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.runs import LINES_PER_CHUNK
 from ..session import scratch_path
-from ..sources.documents import write_documents
+from ..sources.documents import document_line, write_documents
 from . import views
 
 
-def stage_cluster_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Write one JSON document per cluster; returns the folder."""
-    path = scratch_path(spark, f"staged/cluster-docs-{uuid.uuid4().hex}")
-    layer = views.cluster_layer(views.fleet_seed(spark, sf_dir))
-    write_documents(layer, path, "cluster_name")
+def _path(spark: SparkSession, name: str) -> str:
+    return scratch_path(spark, f"staged/{name}-{uuid.uuid4().hex}")
+
+
+def stage_cluster_documents(spark: SparkSession, sf_dir: str, fmt: str = "json") -> str:
+    """Write every cluster's document, many to a file; returns the folder. The
+    YAML form is flow style, with bare keys. Every 45th has a second document
+    line that breaks off, as a cut write would leave it."""
+    path = _path(spark, f"cluster-docs-{fmt}")
+    seed = views.fleet_seed(spark, sf_dir)
+    docs = views.cluster_docs(seed)
+    if fmt == "json":
+        write_documents(docs, path, "cluster_name")
+    else:
+        entries = F.transform(F.map_entries("doc"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+        text = F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+        docs.select(document_line(F.col("cluster_name"), text).alias("value")).write.text(path)
+    broken = seed.where(F.col("k") % 45 == 9).select(document_line(F.col("cluster_name"), F.lit('{"site": ["x",')).alias("value"))
+    broken.write.mode("append").text(path)
     return path
 
 
 def stage_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Write each cluster's run log as one text file in line order (a log file
-    is one file by nature); returns the folder."""
-    path = scratch_path(spark, f"staged/logs-{uuid.uuid4().hex}")
-    lines: DataFrame = views.log_lines(spark, sf_dir)
+    """Write the run logs as text, each cluster's in numbered parts of 4096 line
+    numbers, so that a long log is written by many tasks; returns the folder."""
+    path = _path(spark, "logs")
+    lines: DataFrame = views.log_lines(spark, sf_dir).withColumn("part_no", F.expr(f"line_no div {LINES_PER_CHUNK}"))
     (
-        lines.repartition("cluster_name")
-        .sortWithinPartitions("cluster_name", "line_no")
-        .select("cluster_name", F.col("text").alias("value"))
-        .write.mode("overwrite")
-        .partitionBy("cluster_name")
+        lines.repartition("cluster_name", "part_no")
+        .sortWithinPartitions("cluster_name", "part_no", "line_no")
+        .select("cluster_name", "part_no", F.col("text").alias("value"))
+        .write.partitionBy("cluster_name", "part_no")
         .text(path)
     )
     return path
+
+
+def stage_artifacts(spark: SparkSession, sf_dir: str) -> str:
+    """Write the artifacts as files ``<cluster>/<file>/...``; returns the folder."""
+    path = _path(spark, "artifacts")
+    files = views.artifacts(views.fleet_seed(spark, sf_dir)).withColumn("value", F.lit("x"))
+    files.repartition("cluster_name").write.partitionBy("cluster_name", "file").text(path)
+    return path

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
-from ..functions.joins import dim_join
 from ..sources.fixed_values import DEFAULTS_DOCUMENT
 
 
@@ -38,7 +37,8 @@ def _kv(key: str, value: Column) -> Column:
 
 
 def fleet_seed(spark: SparkSession, sf_dir: str, base: str = "customer") -> DataFrame:
-    """One row per cluster: k, cluster_name, site, segment, vlan_id, nation."""
+    """One row per cluster: k, cluster_name (the document's file), name (what the
+    document says: another one in a tenth of them), site, segment, vlan_id, nation."""
     if base == "customer":
         src = _read(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("k"),
@@ -57,18 +57,24 @@ def fleet_seed(spark: SparkSession, sf_dir: str, base: str = "customer") -> Data
         raise ValueError(base)
     k = F.col("k")
     stem = F.concat(F.col("tag"), F.lit("-"), k.cast("string"))
-    return src.select(
-        k,
+    file = (
         F.when(k % 50 == 0, F.col("alt_name"))
         .when(k % 50 == 1, F.concat(stem, F.lit("-")))
         .when(k % 50 == 2, F.concat(stem, F.lit("-way-too-long-name-xx")))
         .otherwise(stem)
-        .alias("cluster_name"),
+    )
+    return src.select(
+        k,
+        file.alias("cluster_name"),
+        F.when(k % 10 == 6, F.concat(F.lit("n-"), file)).otherwise(file).alias("name"),
         F.when(k % 50 == 4, F.lit(None).cast("string"))
         .when(k % 40 == 3, F.lit("site-99"))
         .otherwise(F.concat(F.lit("site-"), F.col("nation").cast("string")))
         .alias("site"),
-        F.when(
+        F.when(k % 90 == 17, F.lit("fd00::/64"))
+        .when(k % 90 == 37, F.lit("10.300.0.0/24"))
+        .when(k % 90 == 57, F.lit("255.255.255.200/25"))
+        .when(
             k % 10 != 0,
             F.concat(
                 F.lit("10."),
@@ -91,7 +97,7 @@ def cluster_docs(seed: DataFrame) -> DataFrame:
     k = F.col("k")
     vlan_text = (F.lit(100) + k % 3900).cast("string")
     entries = [
-        _entry("cluster_name", J.quote(F.col("cluster_name"))),
+        _entry("cluster_name", J.quote(F.col("name"))),
         _entry("site", J.quote(F.col("site"))),
         _entry(
             "segment",
@@ -316,7 +322,38 @@ def runs(spark: SparkSession, sf_dir: str, seed: DataFrame) -> DataFrame:
         F.lit(45).alias("csr_timeout"),
         F.concat(F.lit("bastion-"), (k % 10).cast("string")).alias("host"),
     )
-    return dim_join(flagged, seed.select("k", "cluster_name"), "k").drop("k")
+    # one row per cluster on both sides of the key but the runs: a plain join
+    return flagged.join(seed.select("k", "cluster_name"), "k").drop("k")
+
+
+def spoke(seed: DataFrame) -> DataFrame:
+    """What each provisioned cluster answers: ``(cluster_name, server, ca_data)``;
+    every 19th has not answered."""
+    return seed.where(F.col("k") % 19 != 0).select(
+        "cluster_name",
+        F.concat(F.lit("https://api."), F.col("name"), F.lit(".example.local:6443")).alias("server"),
+        F.base64(F.encode(F.concat(F.lit("CA of "), F.col("name")), "UTF-8")).alias("ca_data"),
+    )
+
+
+def supplied_variables(variables: DataFrame) -> DataFrame:
+    """Variable files as supplied: the rendered ones with what people do to
+    them: a required one dropped, an undeclared one added, a count changed, a
+    list broken. By the number in the cluster's file name."""
+    k = F.regexp_extract("cluster_name", "([0-9]+)", 1).cast("bigint")
+    name = F.col("variable")
+    value = (
+        F.when((k % 37 == 8) & (name == "control_plane_count"), F.lit("5"))
+        .when((k % 41 == 9) & (name == "infra_ips"), F.lit("10.0.0.1"))
+        .otherwise(F.col("value"))
+    )
+    dropped = (k % 29 == 3) & (name == "base_domain")
+    extra = F.struct(F.lit("ssh_public_key_path").alias("variable"), F.lit("/root/key").alias("value"))
+    rows = F.array(
+        F.when(~dropped, F.struct(name.alias("variable"), value.alias("value"))),
+        F.when((k % 31 == 5) & (name == "cluster_id"), extra),
+    )
+    return variables.select("cluster_name", F.inline(F.array_compact(rows)))
 
 
 def artifacts(seed: DataFrame) -> DataFrame:
@@ -430,14 +467,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     message = (
         F.when(t == "error", F.concat(F.lit("Command failed (rc="), (eid % 5 + 1).cast("string"), F.lit("): oc get csr -o json")))
-        .when(warn, F.concat(F.lit("Failed to approve CSR csr-"), eid.cast("string"), F.lit(", will retry")))
+        .when(warn, F.concat(F.lit("approval of csr-"), eid.cast("string"), F.lit(" did not go through")))
         .when(
             t == "signup",
             F.concat(F.lit("Approving "), (eid % 3 + 1).cast("string"), F.lit(" pending CSR(s): ['csr-"), eid.cast("string"), F.lit("']")),
         )
         .when(t == "click", F.concat(F.lit("  stdout: certificatesigningrequest/csr-"), eid.cast("string"), F.lit(" approved")))
-        .when(t == "view", F.lit("Cluster not yet available, sleeping 30s..."))
-        .otherwise(F.concat(F.lit("Cluster is Available! (took "), F.floor(F.col("value") * 10).cast("bigint").cast("string"), F.lit("s)")))
+        .when(t == "view", F.lit("waiting for the cluster"))
+        .otherwise(F.concat(F.lit("cluster up (took "), F.floor(F.col("value") * 10).cast("bigint").cast("string"), F.lit("s)")))
     )
     head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ["), F.rpad(level, 7, " "), F.lit("] "), message)
     lines = F.array(

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fleetplan") -> SparkSession:
@@ -55,3 +56,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a Parquet table under the shared checkpoint folder and
+    read back: computed once, lineage ends there."""
+    path = scratch_path(df.sparkSession, f"fleet/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,103 +1,123 @@
 """Configuration documents as rows (S1) and file listings.
 
-A layer store is a folder of documents, one per scope (cluster, site) or a
-single one (defaults). Two layouts are read:
+Two layouts are read:
 
-* ``<root>/<scope_col>=<id>/<file>.json`` (what ``write_documents`` writes;
-  Spark discovers the scope as a partition column), and
-* ``<root>/<id>.json`` or ``<id>.yaml`` (file stem = scope id).
+* one document per file, ``<root>/<id>.json`` or ``<id>.yaml`` (the file stem is
+  the scope id), as people write them;
+* many documents per file: lines of ``<scope id> TAB <document>``, the id
+  URL-encoded, the document on one line (JSON or flow YAML). This is what
+  ``write_documents`` writes, and what a fleet of millions of clusters needs.
 
 Values keep the three states apart: absent key (no row), explicit null (the
-text ``null``), and any other JSON text. JSON documents are parsed by Spark
+text ``null``), and any other JSON text; secret values are replaced here, before
+anything else sees them. JSON documents are parsed by Spark
 (``map<string,variant>`` keeps ``"1"`` and ``1`` apart); YAML documents are
-parsed per partition in ``mapInPandas``, one file per row.
+parsed per partition in ``mapInPandas``. A document that doesn't parse, or is
+not a mapping, is not dropped in silence: ``bad_documents`` lists it.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
 
 _STEM = r"([^/]+?)\.(json|ya?ml)$"
+_GLOB = {"json": "*.json", "yaml": "*.y*ml"}
 
 
-def _scope_from_path(path_col):
-    return F.url_decode(F.regexp_extract(path_col, _STEM, 1))
+def _read_raw(spark: SparkSession, path: str, scope: str, fmt: str, many: bool) -> DataFrame:
+    """(<scope>, value): the text of every document. The scope is text whatever
+    it looks like ('007' stays '007')."""
+    if many:
+        line = F.split("value", "\t", 2)
+        rows = spark.read.text(path).where(F.col("value") != "")
+        return rows.select(F.url_decode(line[0]).alias(scope), F.coalesce(F.get(line, F.lit(1)), F.lit("")).alias("value"))
+    files = spark.read.option("pathGlobFilter", _GLOB[fmt]).text(path, wholetext=True)
+    return files.select(F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), _STEM, 1)).alias(scope), "value")
 
 
-def scan_documents(spark: SparkSession, path: str, scope: str) -> DataFrame:
-    """JSON documents under ``path``, one row per file: (<scope>, doc MAP key
-    -> JSON text). Parsed by Spark (``map<string,variant>`` keeps ``"1"`` and
-    ``1`` apart and an explicit null as ``null``); no shuffle."""
-    raw = spark.read.option("wholetext", True).text(path).withColumn("__path", F.col("_metadata.file_path"))
-    if scope not in raw.columns:
-        raw = raw.withColumn(scope, _scope_from_path(F.col("__path")))
-    parsed = F.from_json(F.col("value"), "map<string,variant>")
-    return raw.select(scope, F.transform_values(parsed, lambda k, v: F.to_json(v)).alias("doc")).where(
-        F.col("doc").isNotNull()
-    )
+def _parse_json(raw: DataFrame, scope: str) -> DataFrame:
+    parsed = F.from_json("value", "map<string,variant>")
+    doc = F.transform_values(parsed, lambda k, v: F.to_json(v))
+    blank = F.trim("value") == ""
+    return raw.select(scope, F.when(blank, F.create_map().cast("map<string,string>")).otherwise(doc).alias("doc"))
+
+
+def _parse_yaml(raw: DataFrame, scope: str) -> DataFrame:
+    def parse(batches):
+        import pandas as pd
+        import yaml
+
+        def document(text):
+            try:
+                doc = yaml.safe_load(text)
+            except yaml.YAMLError:
+                return None
+            if doc is None:
+                return {}
+            if not isinstance(doc, dict):
+                return None
+            return {str(k): json.dumps(v, separators=(",", ":"), ensure_ascii=False, default=str) for k, v in doc.items()}
+
+        for batch in batches:
+            yield pd.DataFrame({"scope": batch["scope"], "doc": [document(t) for t in batch["value"]]})
+
+    rows = raw.select(F.col(scope).alias("scope"), "value").mapInPandas(parse, "scope string, doc map<string,string>")
+    return rows.withColumnRenamed("scope", scope)
+
+
+def _documents(spark: SparkSession, path: str, scope: str, fmt: str, many: bool) -> DataFrame:
+    if fmt not in _GLOB:
+        raise ValueError(fmt)
+    parse = _parse_json if fmt == "json" else _parse_yaml
+    return parse(_read_raw(spark, path, scope, fmt, many), scope)
+
 
+def scan_documents(spark: SparkSession, path: str, scope: str, fmt: str = "json", many: bool = False) -> DataFrame:
+    """Documents under ``path``, one row each: (<scope>, doc MAP key -> JSON
+    text), secret values replaced. No shuffle; bad documents are left out (see
+    ``bad_documents``)."""
+    docs = _documents(spark, path, scope, fmt, many).where(F.col("doc").isNotNull())
+    return docs.select(scope, J.redacted_document("doc").alias("doc"))
 
-def scan_layers(spark: SparkSession, path: str, scope: str | None = None, fmt: str = "json") -> DataFrame:
+
+def bad_documents(spark: SparkSession, path: str, scope: str, fmt: str = "json", many: bool = False) -> DataFrame:
+    """Documents under ``path`` that don't parse or are not mappings:
+    (<scope>, problem)."""
+    bad = _documents(spark, path, scope, fmt, many).where(F.col("doc").isNull())
+    return bad.select(scope, F.lit("malformed").alias("problem"))
+
+
+def scan_layers(spark: SparkSession, path: str, scope: str | None = None, fmt: str = "json", many: bool = False) -> DataFrame:
     """Rows ``(<scope>, key, value)`` for every top-level key of every
     document under ``path``; ``scope=None`` for a single-document layer
     (defaults) gives ``(key, value)``. An empty document gives no rows."""
-    if fmt == "json":
-        docs = scan_documents(spark, path, scope or "__scope")
-        rows = docs.select(*([scope] if scope else []), F.explode("doc").alias("key", "value"))
-        return rows
-    if fmt == "yaml":
-        return _scan_yaml(spark, path, scope)
-    raise ValueError(fmt)
+    docs = scan_documents(spark, path, scope or "__scope", fmt, many)
+    return docs.select(*([scope] if scope else []), F.explode("doc").alias("key", "value"))
 
 
-def _scan_yaml(spark: SparkSession, path: str, scope: str | None) -> DataFrame:
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.y*ml")
-        .load(path)
-        .select("path", "content")
-    )
-    out_scope = scope or "__scope"
+def document_line(scope: Column, document: Column) -> Column:
+    """One line of the many-documents layout."""
+    return F.concat(F.url_encode(scope), F.lit("\t"), document)
 
-    def parse(batches):
-        import pandas as pd
-        import yaml
 
-        for pdf in batches:
-            rows = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                doc = yaml.safe_load(bytes(content).decode("utf-8")) or {}
-                if not isinstance(doc, dict):
-                    continue
-                for k, v in doc.items():
-                    rows.append((p, str(k), json.dumps(v, separators=(",", ":"), ensure_ascii=False, default=str)))
-            yield pd.DataFrame(rows, columns=["path", "key", "value"])
-
-    parsed = files.mapInPandas(parse, "path string, key string, value string")
-    cols = [_scope_from_path(F.col("path")).alias(out_scope)] if scope else []
-    return parsed.select(*cols, "key", "value")
-
-
-def write_documents(layer: DataFrame, path: str, scope: str) -> None:
-    """Write a long layer ``(scope, key, value)`` as one JSON document per
-    scope, partitioned by the scope column (keys sorted). A scope's document
-    is one group, bounded by the size of one configuration document."""
-    member = F.concat(J.quote(F.col("key")), F.lit(":"), F.col("value"))
-    docs = layer.groupBy(scope).agg(
-        F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(member)), ","), F.lit("}")).alias("value")
-    )
-    docs.write.mode("overwrite").partitionBy(scope).text(path)
+def write_documents(docs: DataFrame, path: str, scope: str) -> None:
+    """Write document rows (<scope>, doc MAP key -> JSON text) in the
+    many-documents layout, keys sorted: as many files as partitions."""
+    member = F.transform(F.array_sort(F.map_entries("doc")), lambda e: F.concat(J.quote(e["key"]), F.lit(":"), e["value"]))
+    text = F.concat(F.lit("{"), F.array_join(member, ","), F.lit("}"))
+    docs.select(document_line(F.col(scope), text).alias("value")).write.text(path)
 
 
-def list_artifacts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+def list_artifacts(spark: SparkSession, path: str, glob: str = "*", folders: bool = False) -> DataFrame:
     """Files under ``path`` matching ``glob``: (path, scope, file, stem), scope
-    being the parent folder (a cluster's work folder). Only the path column is
-    selected, so file contents are never read."""
+    being the parent folder (a cluster's work folder). With ``folders``, what a
+    partitioned write left: ``cluster_name=<scope>/file=<file>/<part>``. Only the
+    path column is selected, so file contents are never read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
@@ -105,9 +125,9 @@ def list_artifacts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame
         .load(path)
         .select("path")
     )
-    return files.select(
-        "path",
-        F.url_decode(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)).alias("scope"),
-        F.url_decode(F.regexp_extract("path", r"([^/]+)$", 1)).alias("file"),
-        F.url_decode(F.regexp_extract("path", r"([^/]+?)(\.[^./]*)?$", 1)).alias("stem"),
-    )
+    if folders:
+        part = lambda name: F.url_decode(F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1)))
+        scope, file = part("cluster_name"), part("file")
+    else:
+        scope, file = (F.url_decode(F.regexp_extract("path", p, 1)) for p in (r"([^/]+)/[^/]+$", r"([^/]+)$"))
+    return files.select("path", scope.alias("scope"), file.alias("file"), F.regexp_extract(file, r"^(.+?)(\.[^.]*)?$", 1).alias("stem"))

@@ -140,5 +140,43 @@ ROLES: list[tuple[str, str, str]] = [
 # --- FIXED VALUES: keys never written to a table sink ------------------------
 SECRET_KEYS = ["pull_secret", "ssh_key", "vcenter_password", "argocd_hub_token", "additional_trust_bundle"]
 
+REDACTED = '"<redacted>"'  # stands for any secret value; presence is all that is kept
+
+# --- FIXED VALUES: variable <- context key, for plain string variables --------
+STRING_VARIABLES: list[tuple[str, str]] = [
+    ("vsphere_server", "vcenter"),
+    ("vsphere_user", "vcenter_user"),
+    ("vsphere_cluster", "vsphere_cluster"),
+    ("vsphere_datacenter", "datacenter"),
+    ("vsphere_datastore_cluster", "vsphere_datastore_cluster"),
+    ("vsphere_dvs_name", "vsphere_dvs_name"),
+    ("vsphere_folder", "vsphere_folder"),
+    ("vm_template", "vm_template"),
+    ("vm_network", "vm_network"),
+    ("cluster_id", "cluster_name"),
+    ("base_domain", "base_domain"),
+    ("machine_cidr", "machine_network_cidr"),
+    ("gateway_ip", "gateway"),
+    ("bootstrap_ip", "bootstrap_ip"),
+]
+
+# --- FIXED VALUES: secret inputs: item, profile key of the path, default path, environment name
+SECRET_SOURCES: list[tuple[str, str, str, str | None]] = [
+    ("pull_secret", "pull_secret_path", "config/pull-secret.json", "PULL_SECRET"),
+    ("ssh_key", "ssh_public_key_path", "~/.ssh/id_rsa.pub", "SSH_PUBLIC_KEY"),
+    ("trust_bundle", "additional_trust_bundle_path", "config/additional-trust-bundle.pem", None),
+]
+
+# --- FIXED VALUES: labels, phases, patterns of the tool ----------------------
+SECRET_TYPE_LABEL = "argocd.argoproj.io/secret-type=cluster"
+ALLOCATION_ENDPOINT = "/api/allocate-vlan"
+PHASES = ["preflight", "destroy", "network", "templates", "ignition", "dns", "terraform", "csr", "argocd", "save_context"]
+LOG_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \[([A-Z]+) *\] (.*)$"
+LOG_FACTS: list[tuple[str, str]] = [
+    ("took_seconds", r"took (\d+)s"),
+    ("rc", r"rc=(\d+)"),
+    ("pending_count", r"Approving (\d+) pending"),
+]
+
 # --- FIXED VALUES: log levels and their order --------------------------------
 LOG_LEVELS: list[tuple[str, int]] = [("DEBUG", 10), ("INFO", 20), ("WARNING", 30), ("ERROR", 40), ("CRITICAL", 50)]

@@ -6,60 +6,96 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scans import ordinal_within
+from ..session import write_table
 from .fixed_values import SECRET_KEYS
 
 LOG_SUFFIX = "-bootstrap.log"
 
 
 def scan_logs(spark: SparkSession, path: str, suffix: str | None = LOG_SUFFIX) -> DataFrame:
-    """Read run logs as (cluster_name, line_no, text), line_no 1-based in file
-    order. The cluster is the file name without ``suffix`` (``<cluster>-
-    bootstrap.log``, the tool's layout) or, with ``suffix=None``, the
-    ``cluster_name=<id>`` folder a partitioned write produces.
+    """Read run logs as (cluster_name, line_no, text), line_no 1-based in order.
+    The cluster is the file name without ``suffix`` (``<cluster>-bootstrap.log``,
+    the tool's layout) or, with ``suffix=None``, the folders of a partitioned
+    write, ``cluster_name=<id>/part_no=<n>``, read in the order of the numbers.
 
     Files are read line by line and stay splittable: a line's position is its
     split's start offset, then its position within the split; the ordinal is
     computed per split (``ordinal_within`` with the split as chunk) plus the
-    line counts of the file's earlier splits. A huge log is spread over many
-    tasks."""
-    reader = spark.read.option("pathGlobFilter", f"*{suffix}") if suffix else spark.read
-    raw = reader.text(path)
+    line counts of the earlier splits. A huge log is spread over many tasks."""
+    path_name = F.col("_metadata.file_path")
     if suffix:
-        cluster = F.url_decode(F.regexp_replace(F.col("_metadata.file_name"), f"{suffix.replace('.', '[.]')}$", ""))
+        raw = spark.read.option("pathGlobFilter", f"*{suffix}").text(path)
+        cluster = F.regexp_replace(F.col("_metadata.file_name"), f"{suffix.replace('.', '[.]')}$", "")
+        part = F.lit(0).cast("bigint")
     else:
-        cluster = F.col("cluster_name")
-    lines = (
-        raw.select(
-            "value",
-            cluster.alias("__cluster"),
-            F.col("_metadata.file_name").alias("__file"),
-            F.col("_metadata.file_block_start").alias("__split"),
-            F.monotonically_increasing_id().alias("__pos"),
-        )
-    )
-    numbered = ordinal_within(lines, ["__cluster", "__file"], ["__split", "__pos"], F.col("__split"), "line_no")
-    return numbered.select(
-        F.col("__cluster").alias("cluster_name"),
-        "line_no",
-        F.col("value").alias("text"),
+        # taken from the path, not from partition columns: '007' stays text
+        raw = spark.read.option("recursiveFileLookup", "true").text(path)
+        cluster = F.regexp_extract(path_name, "/cluster_name=([^/]+)/", 1)
+        part = F.regexp_extract(path_name, "/part_no=([0-9]+)/", 1).cast("bigint")
+    lines = raw.select(
+        "value",
+        # file paths are URIs, and a partitioned write escapes names once more
+        F.url_decode(cluster if suffix else F.url_decode(cluster)).alias("__cluster"),
+        F.struct(part.alias("part"), F.col("_metadata.file_block_start").alias("start")).alias("__split"),
+        F.monotonically_increasing_id().alias("__pos"),
     )
+    numbered = ordinal_within(lines, ["__cluster"], ["__split", "__pos"], F.col("__split"), "line_no")
+    return numbered.select(F.col("__cluster").alias("cluster_name"), "line_no", F.col("value").alias("text"))
+
+
+def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn("bucket", F.pmod(F.xxhash64("cluster_name"), F.lit(buckets)).cast("int"))
+
+
+def write_clusters(df: DataFrame, path: str, buckets: int = 64) -> None:
+    """Rows with a ``cluster_name`` as a Parquet table of ``buckets`` folders by a
+    hash of the name: the number of files doesn't grow with the clusters."""
+    _bucketed(df, buckets).repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_clusters(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
 
 
-def write_context(context: DataFrame, path: str) -> None:
-    """Write the resolved context per cluster, keeping only values that are
-    not null and never a secret key (a stated deviation: the tool dumps its
-    secrets). Partitioned by cluster; rewriting some clusters leaves the others
-    (dynamic partition overwrite, see ``replace_clusters``)."""
+def context_rows(context: DataFrame) -> DataFrame:
+    """What is kept of the resolved context: values that are not null, and
+    never a secret key (a stated deviation: the tool dumps its secrets)."""
     keep = context.where((F.col("value") != "null") & ~F.col("key").isin(*SECRET_KEYS))
-    replace_clusters(keep.select("cluster_name", "key", "value"), path)
+    return keep.select("cluster_name", "key", "value")
 
 
-def replace_clusters(df: DataFrame, path: str) -> None:
-    """Per-cluster state isolation: overwrite only the cluster partitions
-    present in ``df``; other clusters' partitions are untouched."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("cluster_name")
-        .parquet(path)
-    )
+def write_context(context: DataFrame, path: str, buckets: int = 64) -> None:
+    """Write the resolved context of every cluster."""
+    write_clusters(context_rows(context), path, buckets)
+
+
+def _rewrite(spark: SparkSession, path: str, gone: DataFrame, added: DataFrame | None, buckets: int) -> None:
+    """Rewrite the buckets that ``gone`` (cluster names) falls into: the old rows
+    of other clusters, and ``added``. The new rows are stored before the old
+    ones are touched, and a bucket that becomes empty is removed."""
+    gone = _bucketed(gone.select("cluster_name").distinct(), buckets)
+    touched = [r["bucket"] for r in gone.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+    rows = old.join(gone.drop("bucket"), "cluster_name", "left_anti").select(*old.columns)
+    if added is not None:
+        rows = rows.unionByName(_bucketed(added, buckets))
+    rows = write_table(rows, "rewrite")
+    left = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
+    rows.repartition(buckets, "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    context = spark.sparkContext
+    for bucket in set(touched) - set(left):
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={bucket}")
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def replace_clusters(spark: SparkSession, df: DataFrame, path: str, buckets: int = 64) -> None:
+    """Per-cluster state isolation: the rows of the clusters in ``df`` take
+    the place of what the table holds of them; other clusters stay."""
+    _rewrite(spark, path, df, df, buckets)
+
+
+def remove_clusters(spark: SparkSession, clusters: DataFrame, path: str, buckets: int = 64) -> None:
+    """Remove the rows of the given clusters; other clusters stay."""
+    _rewrite(spark, path, clusters, None, buckets)

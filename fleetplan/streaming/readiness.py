@@ -3,13 +3,16 @@
 Polls arrive as a stream (here: the events table read as a file stream and
 turned into poll snapshots by the same projection as the batch view).
 
-* L4: per-run state (first poll, first good and available poll) in update
-  mode; every micro-batch upserts the changed runs into a table under the
-  checkpoint folder (``foreachBatch``, each batch in its own folder, so a
-  retried batch rewrites the same folder). The current state is the latest
-  row per run, an aggregate over that table.
-* L5: polls per run per 30-second window, with a watermark, in append mode
-  to a parquet sink: a window is written once the watermark passes it.
+* L4: a run is a session of polls: it is over once it hasn't polled for as long
+  as its deadline. Per session, the first poll and the first good and available
+  one; a session is written once, when the watermark passes its end, and its
+  state goes with it. The table only ever gets one row per finished session.
+* L5: polls per run per 30-second window, in append mode to a Parquet sink: a
+  window is written once the watermark passes it.
+
+The watermark follows the data, so the last windows and sessions stay open while
+nothing later arrives. For an input that has ended, ``finish`` lets one closing
+poll of no run come in after it, far in the future: all that is open closes.
 
 Event time is ``polled_at`` cast to TIMESTAMP (the session time zone is UTC),
 because a watermark needs a TIMESTAMP column.
@@ -36,49 +39,61 @@ def poll_stream(spark: SparkSession, events_dir: str, file_glob: str = "events.p
     return polls_from_events(ev).withColumn("polled_at", F.col("polled_at").cast("timestamp"))
 
 
-def _state(polls: DataFrame) -> DataFrame:
-    scored = availability(parse_csr_snapshots(polls))
-    return scored.groupBy("run_id").agg(
-        F.min("polled_at").alias("started_at"),
-        F.min(F.when(F.col("good") & F.col("available"), F.col("polled_at"))).alias("first_available"),
-    )
-
+def _run(spark: SparkSession, polls: DataFrame, shape, root: str, watermark: str, finish: bool) -> str:
+    """Run ``shape(polls)`` in append mode to the end of the available input;
+    with ``finish``, once more with the closing poll. Returns the output folder."""
+    closing, out = os.path.join(root, "closing"), os.path.join(root, "out")
+    none = spark.createDataFrame([], polls.schema)
+    none.write.mode("append").parquet(closing)
+    both = polls.unionByName(spark.readStream.schema(polls.schema).parquet(closing))
+
+    def to_end() -> None:
+        writer = shape(both.withWatermark("polled_at", watermark)).writeStream.outputMode("append").format("parquet")
+        query = writer.option("path", out).option("checkpointLocation", os.path.join(root, "checkpoint")).trigger(availableNow=True).start()
+        query.awaitTermination()
+
+    to_end()
+    if finish:
+        values = {f.name: F.lit(None).cast(f.dataType) for f in polls.schema.fields} | {"polled_at": F.lit("9000-01-01").cast("timestamp")}
+        spark.range(1).select(*[values[c].alias(c) for c in polls.columns]).write.mode("append").parquet(closing)
+        to_end()
+    return out
 
-def run_time_to_available(spark: SparkSession, polls: DataFrame, root: str | None = None, watermark: str = "1 hour") -> str:
-    """Run the L4 state stream to the end of the available input
-    (``availableNow``); returns the folder of the upsert table."""
-    root = root or scratch_path(spark, f"streams/readiness-{uuid.uuid4().hex}")
-    table = os.path.join(root, "state")
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(
-            os.path.join(table, f"batch={batch_id}")
+def run_time_to_available(
+    spark: SparkSession,
+    polls: DataFrame,
+    timeout_minutes: int = READINESS_TIMEOUT_MINUTES,
+    root: str | None = None,
+    watermark: str = "1 hour",
+    finish: bool = True,
+) -> str:
+    """L4 as a stream: one row per finished session (run_id, started_at,
+    first_available); returns the table's folder."""
+
+    def sessions(rows: DataFrame) -> DataFrame:
+        scored = availability(parse_csr_snapshots(rows))
+        window = F.session_window("polled_at", f"{int(timeout_minutes)} minutes").alias("session")
+        found = scored.groupBy("run_id", window).agg(
+            F.min("polled_at").alias("started_at"),
+            F.min(F.when(F.col("good") & F.col("available"), F.col("polled_at"))).alias("first_available"),
         )
+        return found.select("run_id", "started_at", "first_available")
 
-    q = (
-        _state(polls.withWatermark("polled_at", watermark))
-        .writeStream.outputMode("update")
-        .foreachBatch(upsert)
-        .option("checkpointLocation", os.path.join(root, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return table
+    return _run(spark, polls, sessions, root or scratch_path(spark, f"streams/readiness-{uuid.uuid4().hex}"), watermark, finish)
 
 
 def current_time_to_available(spark: SparkSession, table: str, timeout_minutes: int = READINESS_TIMEOUT_MINUTES) -> DataFrame:
-    """Latest state per run from the upsert table, evaluated against the
-    deadline: same columns and rules as the batch ``time_to_available``."""
-    rows = spark.read.parquet(table)
-    latest = rows.groupBy("run_id").agg(
-        F.max_by(F.struct("started_at", "first_available"), F.col("batch_id")).alias("s")
-    )
+    """Each run's first session, evaluated against the deadline: same columns
+    and rules as the batch ``time_to_available``. What is available before the
+    deadline is in the first session: it ends only after as long a silence."""
+    rows = spark.read.parquet(table).where(F.col("run_id").isNotNull())
+    per_run = rows.groupBy("run_id").agg(F.min(F.struct("started_at", "first_available")).alias("s"))
     start, first = F.col("s.started_at"), F.col("s.first_available")
     deadline = start + F.expr(f"INTERVAL {int(timeout_minutes)} MINUTES")
     in_time = first.isNotNull() & (first < deadline)
     micros = F.unix_micros(first) - F.unix_micros(start)
-    return latest.select(
+    return per_run.select(
         "run_id",
         start.cast("timestamp_ntz").alias("started_at"),
         F.when(in_time, first.cast("timestamp_ntz")).alias("available_at"),
@@ -88,24 +103,18 @@ def current_time_to_available(spark: SparkSession, table: str, timeout_minutes:
 
 
 def run_poll_buckets(
-    spark: SparkSession, polls: DataFrame, root: str | None = None, seconds: int = POLL_SECONDS, watermark: str = "1 hour"
+    spark: SparkSession, polls: DataFrame, root: str | None = None, seconds: int = POLL_SECONDS, watermark: str = "1 hour", finish: bool = True
 ) -> str:
     """L5 as a stream: polls per run per window, appended once final."""
-    root = root or scratch_path(spark, f"streams/poll-buckets-{uuid.uuid4().hex}")
-    out = os.path.join(root, "buckets")
-    counts = (
-        polls.withWatermark("polled_at", watermark)
-        .groupBy("run_id", F.window("polled_at", f"{seconds} seconds").alias("w"))
-        .agg(F.count(F.lit(1)).alias("polls"))
-        .select("run_id", F.col("w.start").alias("window_start"), "polls")
-    )
-    q = (
-        counts.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", os.path.join(root, "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return out
+
+    def counts(rows: DataFrame) -> DataFrame:
+        window = F.window("polled_at", f"{seconds} seconds").alias("w")
+        return rows.groupBy("run_id", window).agg(F.count(F.lit(1)).alias("polls")).select("run_id", F.col("w.start").alias("window_start"), "polls")
+
+    return _run(spark, polls, counts, root or scratch_path(spark, f"streams/poll-buckets-{uuid.uuid4().hex}"), watermark, finish)
+
+
+def poll_buckets_table(spark: SparkSession, table: str) -> DataFrame:
+    """The windows written so far, with the batch form's columns."""
+    rows = spark.read.parquet(table).where(F.col("run_id").isNotNull())
+    return rows.select("run_id", F.col("window_start").cast("timestamp_ntz").alias("window_start"), "polls")

@@ -57,16 +57,16 @@ def seed_sql(base: str = "customer") -> str:
         src = ("SELECT o_orderkey AS k, 'ord' || lower(o_orderstatus) AS tag, CAST(o_custkey % 25 AS INTEGER) AS nation, "
                "'Order#' || o_orderkey AS alt_name FROM orders")
     return f"""
-SELECT k, nation,
-  CASE WHEN k % 50 = 0 THEN alt_name
-       WHEN k % 50 = 1 THEN tag || '-' || k || '-'
-       WHEN k % 50 = 2 THEN tag || '-' || k || '-way-too-long-name-xx'
-       ELSE tag || '-' || k END AS cluster_name,
+SELECT k, nation, file AS cluster_name, CASE WHEN k % 10 = 6 THEN 'n-' || file ELSE file END AS name,
   CASE WHEN k % 50 = 4 THEN NULL WHEN k % 40 = 3 THEN 'site-99' ELSE 'site-' || nation END AS site,
-  CASE WHEN k % 10 <> 0 THEN '10.' || ((k // 256) % 256) || '.' || (k % 256) || '.77/' ||
+  CASE WHEN k % 90 = 17 THEN 'fd00::/64' WHEN k % 90 = 37 THEN '10.300.0.0/24' WHEN k % 90 = 57 THEN '255.255.255.200/25'
+       WHEN k % 10 <> 0 THEN '10.' || ((k // 256) % 256) || '.' || (k % 256) || '.77/' ||
        CASE WHEN k % 10 = 5 THEN '28' ELSE '24' END END AS segment,
   CAST(CASE WHEN k % 10 NOT IN (0, 3) THEN 100 + k % 3900 END AS BIGINT) AS vlan_id
-FROM ({src}) s"""
+FROM (SELECT *, CASE WHEN k % 50 = 0 THEN alt_name
+       WHEN k % 50 = 1 THEN tag || '-' || k || '-'
+       WHEN k % 50 = 2 THEN tag || '-' || k || '-way-too-long-name-xx'
+       ELSE tag || '-' || k END AS file FROM ({src}) s) t"""
 
 
 view("seed", [], seed_sql())
@@ -81,7 +81,7 @@ def _kv_union(src: str, scope: str, entries: list[tuple[str, str, str]]) -> str:
 
 
 view("clusters", ["seed"], _kv_union("seed", "cluster_name", [
-    ("cluster_name", q("cluster_name"), ""),
+    ("cluster_name", q("name"), ""),
     ("site", q("site"), ""),
     ("segment", f"CASE WHEN segment IS NOT NULL THEN {q('segment')} WHEN k % 20 = 10 THEN 'null' END", ""),
     ("vlan_id", "CAST(vlan_id AS VARCHAR)", ""),
@@ -91,7 +91,7 @@ view("clusters", ["seed"], _kv_union("seed", "cluster_name", [
     ("control_plane_memory", "'32768'", "k % 6 = 0"),
     ("infra_memory", "'\"32G\"'", "k % 23 = 0"),
     ("argocd_hub_api_url", q("'https://api.hub-' || (k % 7) || '.example.local:6443'"), "k % 3 = 0"),
-    ("argocd_hub_token", q("'token-' || k"), "k % 6 = 0"),
+    ("argocd_hub_token", "'\"<redacted>\"'", "k % 6 = 0"),
     ("argocd_hub_token_env", q("'HUB_TOKEN_' || (k % 4)"), "k % 6 = 3"),
     ("argocd_namespace", "'\"gitops\"'", "k % 5 = 0"),
     ("argocd_insecure_skip_tls", "'true'", "k % 7 = 0"),
@@ -165,7 +165,7 @@ WHERE rn = 1""")
 
 view("env_refs", ["prof0", "env"], f"""
 SELECT p.site, regexp_replace(p.key, '_env$', '') AS key, {txt('p.value')} AS env_name,
-  '"' || coalesce(e.value, '') || '"' AS value, coalesce(e.value, '') <> '' AS resolved
+  CASE WHEN coalesce(e.value, '') <> '' THEN '"<redacted>"' ELSE '""' END AS value, coalesce(e.value, '') <> '' AS resolved
 FROM prof0 p LEFT JOIN env e ON e.name = {txt('p.value')}
 WHERE p.key LIKE '%\\_env' ESCAPE '\\'""")
 
@@ -251,7 +251,7 @@ SELECT *, CASE WHEN addr IS NOT NULL AND plen IS NOT NULL THEN addr & mask0 END
           CASE WHEN addr IS NOT NULL AND plen IS NOT NULL THEN mask0 END AS mask
 FROM (SELECT *, CASE WHEN plen IS NOT NULL THEN 4294967296 - (CAST(1 AS BIGINT) << (32 - plen)) END AS mask0
   FROM (SELECT *, CAST(CASE WHEN sfx IS NULL THEN 32
-                 WHEN regexp_matches(sfx, '^[0-9]{{1,10}}$') THEN CASE WHEN CAST(sfx AS BIGINT) <= 32 THEN CAST(sfx AS BIGINT) END
+                 WHEN regexp_matches(sfx, '^[0-9]+$') THEN CASE WHEN regexp_matches(sfx, '^0*([0-9]|[12][0-9]|3[0-2])$') THEN CAST(right('0' || sfx, 2) AS BIGINT) END
                  ELSE (SELECT {mask_prefix} FROM (SELECT {ip_to_long('sfx')} AS m)) END AS INTEGER) AS plen
     FROM (SELECT *, {ip_to_long("CASE WHEN strpos(" + col + ", '/') > 0 THEN split_part(" + col + ", '/', 1) ELSE " + col + " END")} AS addr,
                  CASE WHEN strpos({col}, '/') > 0 THEN substr({col}, strpos({col}, '/') + 1) END AS sfx
@@ -266,30 +266,44 @@ def at(off: str) -> str:
     return f"(CASE WHEN net + ({off}) >= 0 AND net + ({off}) < 4294967296 THEN net + ({off}) END)"
 
 
-view("plan", ["fleet"], f"""
+# V1 to V3: the tool exits before planning a cluster that fails one of them.
+view("allowed", ["identity", "sites", "settings"], f"""
+SELECT i.cluster_name FROM identity i JOIN settings s ON s.cluster_name = i.cluster_name
+WHERE coalesce(i.name, '') <> '' AND length(i.name) <= 27 AND regexp_full_match(i.name, '[\\p{{L}}\\p{{N}}-]*')
+  AND NOT starts_with(i.name, '-') AND NOT ends_with(i.name, '-')
+  AND coalesce(i.site, '') <> '' AND i.site IN (SELECT site FROM sites) AND {truthy('s.vm_network')}""")
+
+# a plan exists only if every address does: an address outside IPv4 ends the run
+view("plan", ["planned"], """
+SELECT * FROM planned WHERE net IS NOT NULL AND gateway IS NOT NULL AND bootstrap_ip IS NOT NULL
+  AND len(list_filter(list_concat(list_concat(infra_ips, control_plane_ips), compute_ips), lambda a: a IS NULL)) = 0""")
+view("planned", ["fleet", "allowed"], f"""
 SELECT *, {long_to_ip('net')} AS network, prefix AS prefix_length, {long_to_ip('mask')} AS netmask,
   {long_to_ip(at("CAST(" + txt('gateway_offset') + " AS INTEGER)"))} AS gateway,
   {long_to_ip(at("CAST(" + txt('bootstrap_ip_offset') + " AS INTEGER)"))} AS bootstrap_ip,
   list_transform({offsets('infra_ip_offsets')}, lambda o: {long_to_ip(at('o'))}) AS infra_ips,
   list_transform({offsets('control_plane_ip_offsets')}, lambda o: {long_to_ip(at('o'))}) AS control_plane_ips,
   list_transform({offsets('compute_ip_offsets')}, lambda o: {long_to_ip(at('o'))}) AS compute_ips
-FROM ({cidr_cte("(SELECT * FROM fleet WHERE segment <> '')", "segment")}) WHERE net IS NOT NULL""")
+FROM ({cidr_cte("(SELECT * FROM fleet WHERE cluster_name IN (SELECT cluster_name FROM allowed))", "segment")})""")
 
 ROLE_LABELS = [("bootstrap", "bootstrap"), ("control_plane", "control-plane"), ("compute", "compute"), ("infra", "infra")]
 
 view("nodes", ["plan"], f"""
 SELECT cluster_name, role, ordinal, fqdn, ip, domain FROM (
   SELECT cluster_name, 'bootstrap' AS role, 0 AS ordinal,
-         cluster_name || '-bootstrap.' || cluster_name || '.' || coalesce({txt('base_domain')}, '') AS fqdn,
-         bootstrap_ip AS ip, cluster_name || '.' || coalesce({txt('base_domain')}, '') AS domain FROM plan
+         name || '-bootstrap.' || name || '.' || coalesce({txt('base_domain')}, '') AS fqdn,
+         bootstrap_ip AS ip, name || '.' || coalesce({txt('base_domain')}, '') AS domain FROM plan
   """ + "".join(f"""
   UNION ALL
   SELECT cluster_name, '{r}', CAST(i AS INTEGER),
-         cluster_name || '-{lab}-' || printf('%02d', i) || '.' || cluster_name || '.' || coalesce({txt('base_domain')}, ''),
-         ips[i], cluster_name || '.' || coalesce({txt('base_domain')}, '')
+         name || '-{lab}-' || printf('%02d', i) || '.' || name || '.' || coalesce({txt('base_domain')}, ''),
+         ips[i], name || '.' || coalesce({txt('base_domain')}, '')
   FROM plan, LATERAL (SELECT {r}_ips AS ips) x, range(1, len({r}_ips) + 1) t(i)""" for r, lab in ROLE_LABELS[1:]) + ")")
 
 
+_ONCE = {"effective", "settings", "plan", "planned", "context", "ctx_wide", "variables", "supplied", "headed", "parsed"}
+
+
 def with_views(names: list[str], body: str) -> str:
     order: list[str] = []
 
@@ -302,7 +316,8 @@ def with_views(names: list[str], body: str) -> str:
 
     for n in names:
         visit(n)
-    ctes = ",\n".join(f"{n} AS ({V[n][1]})" for n in order)
+    # what is read several times is computed once
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in _ONCE else ''}({V[n][1]})" for n in order)
     return f"WITH {ctes}\n{body}"
 
 
@@ -424,6 +439,12 @@ SELECT o.o_orderkey AS run_id, s.cluster_name, o.o_orderkey % 13 = 0 AS destroy,
   o.o_orderkey % 11 = 0 AS skip_argocd, 45 AS csr_timeout, 'bastion-' || (o.o_orderkey % 10) AS host
 FROM orders o JOIN seed s ON s.k = o.o_custkey""")
 
+query("check_plan", ["planned"], """
+SELECT cluster_name, CASE WHEN segment = '' THEN 'no_segment' WHEN contains(segment, ':') THEN 'ipv6_segment'
+    WHEN net IS NULL THEN 'invalid_cidr' ELSE 'address_out_of_range' END AS rule, segment AS detail
+FROM planned WHERE net IS NULL OR gateway IS NULL OR bootstrap_ip IS NULL
+  OR len(list_filter(list_concat(list_concat(infra_ips, control_plane_ips), compute_ips), lambda a: a IS NULL)) > 0""")
+
 query("check_conditional", ["runs", "settings"], f"""
 SELECT r.run_id, r.cluster_name, 'dns_url_missing' AS rule, 'wildcard_dns_api_url' AS detail
 FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND NOT skip_dns AND NOT {TR('s.wildcard_dns_api_url')}
@@ -528,11 +549,11 @@ FROM (SELECT *,
   CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'WARNING'
        WHEN event_type IN ('view', 'click') THEN 'DEBUG' ELSE 'INFO' END AS level,
   CASE WHEN event_type = 'error' THEN 'Command failed (rc=' || (event_id % 5 + 1) || '): oc get csr -o json'
-       WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'Failed to approve CSR csr-' || event_id || ', will retry'
+       WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'approval of csr-' || event_id || ' did not go through'
        WHEN event_type = 'signup' THEN 'Approving ' || (event_id % 3 + 1) || ' pending CSR(s): [''csr-' || event_id || ''']'
        WHEN event_type = 'click' THEN '  stdout: certificatesigningrequest/csr-' || event_id || ' approved'
-       WHEN event_type = 'view' THEN 'Cluster not yet available, sleeping 30s...'
-       ELSE 'Cluster is Available! (took ' || CAST(floor(value * 10) AS BIGINT) || 's)' END AS message
+       WHEN event_type = 'view' THEN 'waiting for the cluster'
+       ELSE 'cluster up (took ' || CAST(floor(value * 10) AS BIGINT) || 's)' END AS message
   FROM events)
 UNION ALL SELECT 'cluster-' || user_id, event_id * 2 + 1, 'stderr: connection refused' FROM events WHERE event_type = 'error'""")
 
@@ -544,14 +565,19 @@ SELECT cluster_name, line_no, s AS is_start,
   CASE WHEN s THEN regexp_extract(text, '{LOGP}', 3) ELSE text END AS message
 FROM (SELECT *, regexp_matches(text, '{LOGP}') AS s FROM log_lines)""")
 query("parse_logs", ["parsed"], "SELECT * FROM parsed")
-query("log_at_least_info", ["parsed"], "SELECT cluster_name, line_no, level FROM parsed WHERE level IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL')")
-query("join_multiline", ["parsed"], """
-SELECT cluster_name, start_line, max(CASE WHEN is_start THEN logged_at END) AS logged_at,
-  max(CASE WHEN is_start THEN level END) AS level, string_agg(message, chr(10) ORDER BY line_no) AS message,
-  count(*) AS n_lines
+view("headed", ["parsed"], """
+SELECT m.cluster_name, h.line_no AS start_line, m.line_no, h.logged_at, h.level, m.message
 FROM (SELECT *, max(CASE WHEN is_start THEN line_no END) OVER (PARTITION BY cluster_name ORDER BY line_no
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS start_line FROM parsed)
-WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line""")
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head FROM parsed) m
+LEFT JOIN parsed h ON h.cluster_name = m.cluster_name AND h.line_no = m.head""")
+query("log_at_least_info", ["headed"], "SELECT cluster_name, line_no, level FROM headed WHERE level IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL')")
+query("message_sizes", ["headed"], """
+SELECT cluster_name, start_line, any_value(logged_at) AS logged_at, any_value(level) AS level, count(*) AS n_lines
+FROM headed WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line""")
+query("message_texts", ["headed"], """
+SELECT cluster_name, start_line, string_agg(message, chr(10) ORDER BY line_no) AS message
+FROM headed WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line HAVING count(*) <= 1000""")
+query("join_multiline", ["headed"], "SELECT * FROM headed")
 _FACTS = [("took_seconds", "took (\\d+)s"), ("rc", "rc=(\\d+)"), ("pending_count", "Approving (\\d+) pending")]
 query("log_facts", ["parsed"], "\nUNION ALL ".join(
     [f"SELECT cluster_name, line_no, '{n}' AS fact, CAST(regexp_extract(message, '{p}', 1) AS BIGINT) AS value FROM parsed "
@@ -611,14 +637,17 @@ SELECT run_id, cluster_name, src AS token_source, src <> 'none' AS registrable F
   LEFT JOIN env e ON e.name = coalesce({txt('s.argocd_hub_token_env')}, '')
   WHERE NOT destroy AND NOT skip_terraform AND NOT skip_argocd AND {TR('s.argocd_hub_api_url')})""")
 query("registration_candidates", ["reg_candidates"], "SELECT * FROM reg_candidates")
-query("registration_records", ["reg_candidates", "settings"], f"""
-SELECT run_id, 'cluster-' || c.cluster_name AS secret_name, coalesce({txt('s.argocd_namespace')}, 'argocd') AS namespace,
-  'argocd.argoproj.io/secret-type=cluster' AS label,
-  'https://api.' || c.cluster_name || '.' || coalesce({txt('s.base_domain')}, '') || ':6443' AS server,
+view("spoke", ["seed"], """
+SELECT cluster_name, 'https://api.' || name || '.example.local:6443' AS server, to_base64(encode('CA of ' || name)) AS ca_data
+FROM seed WHERE k % 19 <> 0""")
+query("registration_records", ["reg_candidates", "settings", "spoke"], f"""
+SELECT run_id, 'cluster-' || s.name AS secret_name, coalesce({txt('s.argocd_namespace')}, 'argocd') AS namespace,
+  'argocd.argoproj.io/secret-type=cluster' AS label, p.server,
   {TR('s.argocd_insecure_skip_tls')} AS insecure,
-  '{{"tlsClientConfig": {{"insecure": ' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN 'true' ELSE 'false' END ||
-  ', "caData": "' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN '' ELSE to_base64(encode('CA of ' || c.cluster_name)) END || '"}}}}' AS config_json
-FROM reg_candidates c JOIN settings s ON s.cluster_name = c.cluster_name WHERE registrable""")
+  CASE WHEN p.server IS NOT NULL THEN '{{"tlsClientConfig":{{"insecure":' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN 'true' ELSE 'false' END ||
+  ',"caData":"' || CASE WHEN {TR('s.argocd_insecure_skip_tls')} THEN '' ELSE p.ca_data END || '"}}}}' END AS config_json
+FROM reg_candidates c JOIN settings s ON s.cluster_name = c.cluster_name
+LEFT JOIN spoke p ON p.cluster_name = c.cluster_name WHERE registrable""")
 
 # ============================================================== context, variables, lookups
 MIR_S = '[{"source":"VARCHAR","mirror":"VARCHAR"}]'
@@ -641,7 +670,7 @@ FROM (
   UNION ALL SELECT cluster_name, 'trust_bundle', coalesce({txt('additional_trust_bundle_path')}, 'config/additional-trust-bundle.pem'), NULL FROM settings
 ) x LEFT JOIN host_files f USING (path) LEFT JOIN env e ON e.name = x.env_name""")
 
-view("inventory", ["nation", "seed"] if False else ["seed"], """
+view("inventory", ["seed"], """
 SELECT 'datacenter' AS kind, NULL AS datacenter_id, 'DC-' || n_name AS name, 'datacenter-' || n_nationkey AS id, NULL AS switch_id,
   NULL AS guest_id, NULL AS thin FROM nation
 UNION ALL SELECT 'compute_cluster', 'datacenter-' || n_nationkey, 'Cluster-' || n_nationkey, 'domain-c' || n_nationkey, NULL, NULL, NULL FROM nation
@@ -691,12 +720,12 @@ query("inventory_issues", ["inv_all"], "\nUNION ALL ".join(
      for obj, ref, n in [("datacenter", "r_dc", "n_dc")] + [(k, f"r_{o}", f"n_{o}") for k, _, o in _KINDS]]))
 
 # ============================================================== context (C4) and what reads it
-view("context", ["fleet", "settings_long", "plan", "settings"], """
+view("context", ["effective", "plan"], """
 SELECT cluster_name, key, value, source FROM (
   SELECT *, row_number() OVER (PARTITION BY cluster_name, key ORDER BY rank DESC) AS rn FROM (
-    SELECT cluster_name, 'cluster_name' AS key, '"' || name || '"' AS value, 'base' AS source, 0 AS rank FROM fleet
-    UNION ALL SELECT cluster_name, 'timestamp', '"1970-01-01T00:00:00Z"', 'base', 0 FROM fleet
-    UNION ALL SELECT cluster_name, key, value, 'profile', 1 FROM settings_long
+    SELECT cluster_name, 'cluster_name' AS key, '"' || name || '"' AS value, 'base' AS source, 0 AS rank FROM plan
+    UNION ALL SELECT cluster_name, 'timestamp', '"1970-01-01T00:00:00Z"', 'base', 0 FROM plan
+    UNION ALL SELECT cluster_name, key, value, 'profile', 1 FROM effective WHERE cluster_name IN (SELECT cluster_name FROM plan)
     UNION ALL SELECT cluster_name, k, v, 'plan', 2 FROM plan, (SELECT unnest([
         {'k': 'network', 'v': '"' || network || '/' || prefix_length || '"'},
         {'k': 'machine_network_cidr', 'v': '"' || network || '/' || prefix_length || '"'},
@@ -707,17 +736,14 @@ SELECT cluster_name, key, value, source FROM (
         {'k': 'control_plane_ips', 'v': CAST(to_json(control_plane_ips) AS VARCHAR)},
         {'k': 'bootstrap_ip', 'v': '"' || bootstrap_ip || '"'},
         {'k': 'compute_ips', 'v': CAST(to_json(compute_ips) AS VARCHAR)}], recursive := true))
-    UNION ALL SELECT cluster_name, 'segment', '"' || segment || '"', 'explicit', 3 FROM fleet
-    UNION ALL SELECT cluster_name, 'vlan_id', coalesce('"' || vlan_id || '"', 'null'), 'explicit', 3 FROM fleet
-    UNION ALL SELECT f.cluster_name, 'vm_network', s.vm_network, 'explicit', 3 FROM fleet f JOIN settings s USING (cluster_name)
-      WHERE s.vm_network IS NOT NULL
-    UNION ALL SELECT cluster_name, 'ignition_dir', '"clusters/' || name || '/ignition"', 'explicit', 3 FROM fleet WHERE name IS NOT NULL
-    UNION ALL SELECT f.cluster_name, 'cluster_network_cidr', coalesce(s.cluster_network_cidr, '"10.132.0.0/14"'), 'explicit', 3
-      FROM fleet f JOIN settings s USING (cluster_name)
-    UNION ALL SELECT f.cluster_name, 'cluster_network_host_prefix', coalesce(s.cluster_network_host_prefix, '23'), 'explicit', 3
-      FROM fleet f JOIN settings s USING (cluster_name)
-    UNION ALL SELECT f.cluster_name, 'service_network_cidr', coalesce(s.service_network_cidr, '"172.31.0.0/16"'), 'explicit', 3
-      FROM fleet f JOIN settings s USING (cluster_name)))
+    UNION ALL SELECT cluster_name, 'segment', '"' || segment || '"', 'explicit', 3 FROM plan
+    UNION ALL SELECT cluster_name, 'vlan_id', coalesce('"' || vlan_id || '"', 'null'), 'explicit', 3 FROM plan
+    UNION ALL SELECT cluster_name, 'vm_network', vm_network, 'explicit', 3 FROM plan
+    UNION ALL SELECT cluster_name, 'ignition_dir', '"clusters/' || name || '/ignition"', 'explicit', 3 FROM plan
+    UNION ALL SELECT p.cluster_name, d.k, coalesce(e.value, d.v), 'explicit', 3
+      FROM plan p CROSS JOIN (VALUES ('cluster_network_cidr', '"10.132.0.0/14"'), ('cluster_network_host_prefix', '23'),
+        ('service_network_cidr', '"172.31.0.0/16"')) d(k, v)
+      LEFT JOIN effective e ON e.cluster_name = p.cluster_name AND e.key = d.k))
 WHERE rn = 1""")
 query("config_context", ["context"], "SELECT * FROM context")
 
@@ -768,24 +794,31 @@ view("variables", ["ctx_wide"], "\nUNION ALL ".join(
 query("config_variables", ["variables"], "SELECT * FROM variables")
 
 view("contract", [], "SELECT * FROM " + _values(VARIABLE_CONTRACT, ["variable", "type", "required", "dflt"]))
-query("check_contract", ["variables", "contract"], """
+view("supplied", ["variables"], """
+SELECT cluster_name, variable, CASE WHEN k % 37 = 8 AND variable = 'control_plane_count' THEN '5'
+    WHEN k % 41 = 9 AND variable = 'infra_ips' THEN '10.0.0.1' ELSE value END AS value
+FROM (SELECT *, CAST(regexp_extract(cluster_name, '([0-9]+)', 1) AS BIGINT) AS k FROM variables)
+WHERE NOT (k % 29 = 3 AND variable = 'base_domain')
+UNION ALL SELECT cluster_name, 'ssh_public_key_path', '/root/key' FROM ctx_wide
+WHERE CAST(regexp_extract(cluster_name, '([0-9]+)', 1) AS BIGINT) % 31 = 5""")
+query("check_contract", ["supplied", "contract"], """
 SELECT cluster_name, variable, rule FROM (
   SELECT v.cluster_name, v.variable,
     CASE WHEN c.variable IS NULL THEN 'undeclared'
          WHEN c.required AND v.value IS NULL THEN 'missing_required'
          WHEN c.type = 'number' AND TRY_CAST(v.value AS DOUBLE) IS NULL THEN 'not_a_number'
-         WHEN c.type = 'list(string)' AND NOT coalesce(json_valid(v.value) AND json_type(v.value) = 'ARRAY', FALSE) THEN 'not_a_list'
+         WHEN c.type = 'list(string)' AND NOT coalesce(json_valid(v.value) AND json_type(CASE WHEN json_valid(v.value) THEN v.value END) = 'ARRAY', FALSE) THEN 'not_a_list'
     END AS rule
-  FROM variables v LEFT JOIN contract c ON c.variable = v.variable)
+  FROM supplied v LEFT JOIN contract c ON c.variable = v.variable)
 WHERE rule IS NOT NULL
 UNION ALL
-SELECT w.cluster_name, c.variable, 'missing_required' FROM (SELECT DISTINCT cluster_name FROM variables) w, contract c
-WHERE c.required AND NOT EXISTS (SELECT 1 FROM variables v WHERE v.cluster_name = w.cluster_name AND v.variable = c.variable)""")
-query("check_counts", ["variables"], """
+SELECT w.cluster_name, c.variable, 'missing_required' FROM (SELECT DISTINCT cluster_name FROM supplied) w, contract c
+WHERE c.required AND NOT EXISTS (SELECT 1 FROM supplied v WHERE v.cluster_name = w.cluster_name AND v.variable = c.variable)""")
+query("check_counts", ["supplied"], """
 SELECT cluster_name, r || '_count' AS rule, r || '_count' AS detail FROM (
-  SELECT cluster_name, regexp_replace(variable, '_count$', '') AS r, TRY_CAST(value AS INTEGER) AS n FROM variables WHERE variable LIKE '%\\_count' ESCAPE '\\') c
-JOIN (SELECT cluster_name, regexp_replace(variable, '_ips$', '') AS r, len(CAST(json(value) AS VARCHAR[])) AS m
-      FROM variables WHERE variable LIKE '%\\_ips' ESCAPE '\\') l USING (cluster_name, r)
+  SELECT cluster_name, r, max(CASE WHEN variable = r || '_count' THEN TRY_CAST(value AS INTEGER) END) AS n,
+    max(CASE WHEN variable = r || '_ips' AND json_valid(value) THEN json_array_length(CASE WHEN json_valid(value) THEN value ELSE '[]' END) END) AS m
+  FROM supplied CROSS JOIN (VALUES ('control_plane'), ('compute'), ('infra')) t(r) GROUP BY cluster_name, r)
 WHERE coalesce(n, -1) <> coalesce(m, -1)""")
 
 query("config_install", ["context", "settings", "host_files"], f"""
@@ -808,7 +841,7 @@ LEFT JOIN host_files f ON f.path = coalesce({txt('s.additional_trust_bundle_path
 
 query("node_specs", ["sized", "plan", "inv_all"], f"""
 SELECT n.cluster_name, n.role, n.ordinal, n.fqdn, split_part(n.fqdn, '.', 1) AS vm_name, x.ip,
-  coalesce({txt('p.vsphere_folder')}, '') || '/' || n.cluster_name AS folder, n.cluster_name AS resource_pool,
+  coalesce({txt('p.vsphere_folder')}, '') || '/' || p.name AS folder, p.name AS resource_pool,
   n.num_cpus, n.memory_mb, n.disk_gb,
   'ip=' || x.ip || '::' || p.gateway || ':' || p.netmask || ':' || split_part(n.fqdn, '.', 1) || ':ens192:none:' ||
     CAST(json(p.dns_servers) AS VARCHAR[])[1] AS kargs,
@@ -819,8 +852,19 @@ LEFT JOIN inv_all i ON i.cluster_name = n.cluster_name""")
 
 # ============================================================== file sources (round trips)
 query("scan_layers", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
+query("scan_layers_yaml", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
+query("bad_documents", ["seed"], """
+SELECT cluster_name, 'malformed' AS problem, f AS format FROM seed, (VALUES ('json'), ('yaml')) t(f) WHERE k % 45 = 9""")
+query("list_artifacts", ["artifacts"], "SELECT cluster_name, file, regexp_replace(file, '\\.[^.]*$', '') AS stem FROM artifacts")
+query("context_sink", ["context"], """
+SELECT cluster_name, key, value FROM context WHERE value <> 'null'
+  AND key NOT IN ('pull_secret', 'ssh_key', 'vcenter_password', 'argocd_hub_token', 'additional_trust_bundle')""")
+query("cluster_table", ["identity"], """
+SELECT cluster_name, name, site, segment, CASE WHEN k % 5 = 3 THEN '7' ELSE vlan_id END AS vlan_id
+FROM (SELECT *, CAST(regexp_extract(cluster_name, '([0-9]+)', 1) AS BIGINT) AS k FROM identity) WHERE k % 7 <> 2""")
 query("scan_logs", ["log_lines"], """
 SELECT cluster_name, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY line_no) AS BIGINT) AS line_no, text FROM log_lines""")
 
 # ============================================================== streaming (same answer as batch L4)
 Q["readiness_stream"] = Q["time_to_available"]
+Q["poll_buckets_stream"] = Q["poll_buckets"]

@@ -1,9 +1,14 @@
 """Hand-worked goldens from the tool's one concrete example (FIXTURES.md §2):
-the example cluster on site-a with the global defaults, no VLAN id."""
+the example cluster on site-a with the global defaults, no VLAN id. Its file is
+called example-cluster.yaml, its name is my-cluster-01."""
+
+import os
+import tempfile
 
 from pyspark.sql import functions as F
 
 from fleetplan.operators import address, config, dns, nodes, runs
+from fleetplan.sources.documents import scan_documents
 from fleetplan.sources.fixed_values import DEFAULTS_DOCUMENT
 
 SITE_A = [
@@ -32,7 +37,10 @@ CLUSTER = [
 def _example(spark):
     defaults = spark.createDataFrame(DEFAULTS_DOCUMENT, "key string, value string")
     sites = spark.createDataFrame([("site-a", k, v) for k, v in SITE_A], "site string, key string, value string")
-    clusters = spark.createDataFrame([("my-cluster-01", k, v) for k, v in CLUSTER], "cluster_name string, key string, value string")
+    folder = tempfile.mkdtemp(prefix="fleetplan-example-")
+    with open(os.path.join(folder, "example-cluster.yaml"), "w") as file:
+        file.writelines(f"{k}: {v}\n" for k, v in CLUSTER)
+    clusters = scan_documents(spark, folder, "cluster_name", "yaml")
     env = spark.createDataFrame([("VSPHERE_PASSWORD", "secret")], "name string, value string")
     settings = config.merge_settings(clusters, defaults, sites, env)
     allocs = spark.createDataFrame([], "cluster_name string, site string, segment string, vlan_id bigint")
@@ -43,6 +51,7 @@ def _example(spark):
 def test_plan_matches_expectation_table(spark):
     settings, plan = _example(spark)
     row = plan.collect()[0]
+    assert (row.cluster_name, row.name) == ("example-cluster", "my-cluster-01")
     assert (row.network, row.prefix_length, row.netmask) == ("10.0.5.0", 24, "255.255.255.0")
     assert (row.gateway, row.bootstrap_ip) == ("10.0.5.254", "10.0.5.7")
     assert row.infra_ips == ["10.0.5.1", "10.0.5.2", "10.0.5.3"]
@@ -88,7 +97,8 @@ def test_roster_and_records(spark):
 def test_password_reference_resolved_but_not_exposed(spark):
     settings, _ = _example(spark)
     row = settings.collect()[0]
-    assert row.vcenter_password == '"secret"'  # resolved in the settings row
+    assert row.vcenter_password == '"<redacted>"'  # there, but not its value
+    assert '"secret"' not in str(row)
     exposed = nodes.size_nodes(_example(spark)[1]).columns
     assert "vcenter_password" not in exposed
 

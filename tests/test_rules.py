@@ -2,15 +2,16 @@
 precedence, readiness rules, diff properties, chunked scans."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetplan.functions import ipv4
+from fleetplan.functions import ipv4, jsonvalue
 from fleetplan.functions.scans import ordinal_within
 from fleetplan.operators import address, config, readiness, runs, validate
-from fleetplan.sources.fixed_values import DEFAULTS_DOCUMENT
+from fleetplan.sources.fixed_values import DEFAULTS_DOCUMENT, VARIABLE_CONTRACT
 
 
 @pytest.mark.parametrize(
@@ -35,10 +36,18 @@ def test_normalize_cidr(spark, cidr, network, prefix, netmask):
     assert (row.network, row.prefix_length, row.netmask) == (network, prefix, netmask)
 
 
+PLAN_ROW = (
+    "cluster_name string, name string, site string, site_known boolean, vm_network string, segment string, gateway_offset string, "
+    "infra_ip_offsets string, control_plane_ip_offsets string, bootstrap_ip_offset string, compute_ip_offsets string"
+)
+
+
+def _fleet_row(segment, gateway="254", infra="[1]", name="c", known=True, network='"v"'):
+    return ("c", name, "s", known, network, segment, gateway, infra, "[4]", "7", "[]")
+
+
 def test_gateway_outside_small_segment(spark):
-    df = spark.createDataFrame([("c", "10.0.5.130/28", "254", "[1]", "[4]", "7", "[]")],
-                               "cluster_name string, segment string, gateway_offset string, infra_ip_offsets string, "
-                               "control_plane_ip_offsets string, bootstrap_ip_offset string, compute_ip_offsets string")
+    df = spark.createDataFrame([_fleet_row("10.0.5.130/28")], PLAN_ROW)
     row = address.plan_addresses(df).collect()[0]
     assert row.gateway == "10.0.6.126"
     assert row.all_in_segment is False
@@ -46,6 +55,58 @@ def test_gateway_outside_small_segment(spark):
     assert addrs["gateway"] is False and addrs["infra"] is True
 
 
+@pytest.mark.parametrize(
+    "row,rule",
+    [
+        (_fleet_row(""), "no_segment"),
+        (_fleet_row("fd00::/64"), "ipv6_segment"),
+        (_fleet_row("10.300.0.0/24"), "invalid_cidr"),
+        (_fleet_row("255.255.255.200/25"), "address_out_of_range"),
+        (_fleet_row("10.0.5.0/24", infra="[1,-200000000]"), "address_out_of_range"),
+        (_fleet_row("10.0.5.0/24", gateway='"x"'), "address_out_of_range"),
+        (_fleet_row("10.0.5.0/00000000024"), None),
+        (_fleet_row("10.0.5.0/24", name="-c"), "refused"),
+        (_fleet_row("10.0.5.0/24", known=False), "refused"),
+        (_fleet_row("10.0.5.0/24", network="null"), "refused"),
+    ],
+)
+def test_no_plan_for_refused_clusters(spark, row, rule):
+    plan = address.plan_addresses(spark.createDataFrame([row], PLAN_ROW))
+    planned = address.addresses(plan).count()
+    assert (planned > 0) == (rule is None)
+    assert [r.rule for r in address.check_plan(plan).collect()] == ([] if rule in (None, "refused") else [rule])
+
+
+def test_quoting_is_json(spark):
+    texts = ["plain", 'a"b\\c', "x\ny\t\x01", "é[]", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.q for r in df.select(jsonvalue.quote("t").alias("q")).collect()]
+    assert [None if q is None else json.loads(q) for q in got] == texts
+
+
+def test_messages_keep_their_continuation_lines(spark):
+    text = ["before", "2024-01-01 00:00:00 [ERROR  ] a", "stderr: b", "2024-01-01 00:00:01 [DEBUG  ] c", "more", "2024-01-01 00:00:02 [INFO   ] d"]
+    lines = spark.createDataFrame([("x", i * 3000, t) for i, t in enumerate(text)], "cluster_name string, line_no long, text string")
+    messages = runs.join_multiline(runs.parse_logs(lines))
+    rows = messages.orderBy("line_no").collect()
+    assert [r.start_line for r in rows] == [None, 3000, 3000, 9000, 9000, 15000]
+    assert [r.line_no for r in runs.at_least(messages, "INFO").orderBy("line_no").collect()] == [3000, 6000, 15000]
+    assert {r.start_line: r.n_lines for r in runs.message_sizes(messages).collect()} == {3000: 2, 9000: 2, 15000: 1}
+    assert {r.start_line: r.message for r in runs.message_texts(messages, 1).collect()} == {15000: "d"}
+
+
+def test_supplied_variables_can_fail(spark):
+    good = [(n, '["a"]' if t == "list(string)" else "1") for n, t, _, _ in VARIABLE_CONTRACT]
+    bad = [(n, v) for n, v in good if n != "base_domain"] + [("own", "1")]
+    bad = [(n, {"infra_memory": "32G", "infra_ips": "x", "compute_count": "7"}.get(n, v)) for n, v in bad]
+    rows = [("a", n, v) for n, v in good] + [("b", n, v) for n, v in bad]
+    supplied = spark.createDataFrame(rows, "cluster_name string, variable string, value string")
+    found = {(r.cluster_name, r.variable, r.rule) for r in validate.check_contract(supplied).collect()}
+    rules = {"base_domain": "missing_required", "own": "undeclared", "infra_memory": "not_a_number", "infra_ips": "not_a_list"}
+    assert found == {("b", n, r) for n, r in rules.items()}
+    assert {(r.cluster_name, r.rule) for r in validate.check_counts(supplied).collect()} == {("b", "compute_count"), ("b", "infra_count")}
+
+
 def test_address_beyond_range_is_null(spark):
     df = spark.createDataFrame([(4294967290,)], "n bigint")
     row = df.select(ipv4.to_text(ipv4.address_at(F.col("n"), F.lit(10))).alias("a")).collect()[0]
@@ -92,7 +153,7 @@ def test_reference_keys(spark):
         [("PW", "pw"), ("CLUSTER_TOKEN", "t")],
     )
     # site-level reference overwrites the site's own base key
-    assert eff["vcenter_password"] == ('"pw"', "env")
+    assert eff["vcenter_password"] == ('"<redacted>"', "env")
     # unresolved reference gives empty text
     assert eff["missing"] == ('""', "env")
     # cluster-level references are not resolved

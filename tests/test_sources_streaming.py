@@ -3,24 +3,38 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fleetplan.operators import readiness
+from fleetplan.operators import config, readiness
 from fleetplan.plans import staging, views
-from fleetplan.sources.documents import list_artifacts, scan_layers
-from fleetplan.sources.logs import replace_clusters, scan_logs, write_context
+from fleetplan.sources.documents import bad_documents, list_artifacts, scan_layers
+from fleetplan.sources.logs import read_clusters, remove_clusters, replace_clusters, scan_logs, write_context
 from fleetplan.streaming import readiness as stream
 from tests.conftest import SF_SMALL
 
 
-def test_documents_round_trip(spark):
-    path = staging.stage_cluster_documents(spark, SF_SMALL)
-    back = scan_layers(spark, path, "cluster_name")
-    orig = views.cluster_layer(views.fleet_seed(spark, SF_SMALL))
+@pytest.mark.parametrize("fmt", ["json", "yaml"])
+def test_documents_round_trip(spark, fmt):
+    path = staging.stage_cluster_documents(spark, SF_SMALL, fmt)
+    back = scan_layers(spark, path, "cluster_name", fmt, many=True)
+    docs = config.redacted_documents(views.cluster_docs(views.fleet_seed(spark, SF_SMALL)))
+    orig = docs.select("cluster_name", F.explode("doc").alias("key", "value"))
     assert back.exceptAll(orig).count() == 0 and orig.exceptAll(back).count() == 0
 
 
+@pytest.mark.parametrize("fmt,text", [("json", '{"site": "a"'), ("json", "[1, 2]"), ("yaml", "site: [a"), ("yaml", "- a\n- b\n")])
+def test_bad_documents_are_listed(spark, fmt, text):
+    d = tempfile.mkdtemp(prefix="fleetplan-bad-")
+    for name, content in [("007", text), ("good", "{}" if fmt == "json" else "site: a\nvcenter_password: pw\n")]:
+        with open(os.path.join(d, f"{name}.{fmt}"), "w") as fh:
+            fh.write(content)
+    assert [tuple(r) for r in bad_documents(spark, d, "cluster_name", fmt).collect()] == [("007", "malformed")]
+    rows = {r.key: r.value for r in scan_layers(spark, d, "cluster_name", fmt).collect()}
+    assert rows == ({} if fmt == "json" else {"site": '"a"', "vcenter_password": '"<redacted>"'})
+
+
 def test_yaml_documents_keep_three_states(spark):
     d = tempfile.mkdtemp(prefix="fleetplan-yaml-")
     with open(os.path.join(d, "my-cluster-01.yaml"), "w") as fh:
@@ -77,23 +91,30 @@ def test_sinks_drop_secrets_and_isolate_clusters(spark):
         [("a", "k", '"v"'), ("a", "vcenter_password", '"s"'), ("a", "n", "null"), ("b", "k", '"w"')],
         "cluster_name string, key string, value string",
     )
-    write_context(ctx, d)
-    assert sorted((r.cluster_name, r.key) for r in spark.read.parquet(d).collect()) == [("a", "k"), ("b", "k")]
-    replace_clusters(spark.createDataFrame([("a", "k", '"new"')], "cluster_name string, key string, value string"), d)
-    got = sorted((r.cluster_name, r.value) for r in spark.read.parquet(d).collect())
-    assert got == [("a", '"new"'), ("b", '"w"')]
+    write_context(ctx, d, 8)
+    names = lambda: sorted((r.cluster_name, r.value) for r in read_clusters(spark, d).collect())
+    assert names() == [("a", '"v"'), ("b", '"w"')]
+    schema = "cluster_name string, key string, value string"
+    replace_clusters(spark, spark.createDataFrame([("a", "k", '"new"'), ("c", "k", '"x"')], schema), d, 8)
+    assert names() == [("a", '"new"'), ("b", '"w"'), ("c", '"x"')]
+    remove_clusters(spark, spark.createDataFrame([("a",), ("zz",)], "cluster_name string"), d, 8)
+    assert names() == [("b", '"w"'), ("c", '"x"')]
+    assert len([f for f in os.listdir(d) if f.startswith("bucket=")]) <= 2
 
 
 def test_streaming_equals_batch(spark):
-    table = stream.run_time_to_available(spark, stream.poll_stream(spark, SF_SMALL))
+    table = stream.run_time_to_available(spark, stream.poll_stream(spark, SF_SMALL), 2880)
     st = stream.current_time_to_available(spark, table, 2880)
     bt = readiness.time_to_available(views.polls(spark, SF_SMALL), 2880)
     assert st.count() == bt.count() and st.exceptAll(bt).count() == 0
 
     out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL))
-    sb = spark.read.parquet(out)
-    bb = readiness.poll_buckets(views.polls(spark, SF_SMALL)).withColumn("window_start", F.col("window_start").cast("timestamp"))
-    assert sb.exceptAll(bb).count() == 0  # every emitted window is final and right
-    missing = bb.exceptAll(sb)
-    last = bb.groupBy("run_id").agg(F.max("window_start").alias("window_start"))
-    assert missing.join(last, ["run_id", "window_start"], "left_anti").count() == 0  # only still-open windows wait
+    sb = stream.poll_buckets_table(spark, out)
+    bb = readiness.poll_buckets(views.polls(spark, SF_SMALL))
+    assert sb.exceptAll(bb).count() == 0 and bb.exceptAll(sb).count() == 0
+
+
+def test_unfinished_windows_wait(spark):
+    out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL), finish=False)
+    sb, bb = stream.poll_buckets_table(spark, out), readiness.poll_buckets(views.polls(spark, SF_SMALL))
+    assert sb.exceptAll(bb).count() == 0 and 0 < sb.count() < bb.count()
