@@ -22,10 +22,17 @@ SPACES = " \t\n\x0b\x0c\r"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def importable(spark: SparkSession) -> None:
+#: Arrow batches of texts hold at most so many bytes, which bounds a Python worker's memory.
+BATCH_BYTES = 16 << 20
+
+
+def prepare(spark: SparkSession) -> None:
     """Let Python workers of a local session import this package, whatever the
-    driver's working folder is. On a cluster the package is installed or sent
-    with ``--py-files`` and this changes nothing that matters."""
+    driver's working folder is (on a cluster the package is installed or sent
+    with ``--py-files``), and keep Arrow batches small."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(key).rstrip("b")) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     paths = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
@@ -83,6 +90,13 @@ def rank_encoding(path: str, special: tuple[tuple[str, int], ...] = ()) -> tikto
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
+def evaluated_once(column: Column) -> Column:
+    """``column``, marked as non-deterministic: a filter on it stays above the
+    projection that computes it, instead of being pushed below with the whole
+    expression copied into it (and into each lambda that refers to a part)."""
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n`` (null for a null id)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(n)

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetplan.llm import bpe, chat, langid, neardup, packing, pii, quality, rules, secret_scan, topk
-from fleetplan.llm.common import importable
+from fleetplan.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
