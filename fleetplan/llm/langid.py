@@ -30,7 +30,7 @@ class Settings:
     sets the temperature and the rejection limit, the rest is learned from."""
 
     sample_rows: int = 4000
-    buckets: int = 1 << 15
+    buckets: int = 1 << 17
     dim: int = 16
     sizes: tuple[int, ...] = (2, 3, 4)
     epochs: int = 4
@@ -43,11 +43,11 @@ class Settings:
 
 @dataclass(frozen=True)
 class Model:
-    """Class scores by bucket, with the temperature applied."""
+    """Class scores by bucket, with the temperature applied. There is no bias:
+    a text whose n-grams are unknown speaks for no language, however frequent."""
 
     labels: tuple[str, ...]
     scores: np.ndarray
-    bias: np.ndarray
     reject_below: float
     sizes: tuple[int, ...]
 
@@ -56,7 +56,7 @@ class Model:
         grams = ngrams(text, self.sizes, len(self.scores))
         if grams is None:
             return None
-        return softmax(mean_rows(self.scores, grams) + self.bias)
+        return softmax(mean_rows(self.scores, grams))
 
 
 @lru_cache(maxsize=1)
@@ -121,7 +121,7 @@ def fit(texts: Sequence[str], langs: Sequence[str], settings: Settings = Setting
             rows.append((found.astype(np.int32), (count / count.sum()).astype(np.float32), lang))
     names = tuple(sorted({lang for *_, lang in rows}))
     if not names:
-        return Model((), np.zeros((settings.buckets, 0)), np.zeros(0), 1.0, settings.sizes)
+        return Model((), np.zeros((settings.buckets, 0)), 1.0, settings.sizes)
     data = [(found, share, names.index(lang)) for found, share, lang in rows]
     rng = np.random.default_rng(settings.seed)
     held = rng.random(len(data)) < settings.calibration_share
@@ -130,7 +130,6 @@ def fit(texts: Sequence[str], langs: Sequence[str], settings: Settings = Setting
     learn = np.flatnonzero(~held)
     table = rng.normal(0, 0.1, (settings.buckets, settings.dim))
     out = np.zeros((settings.dim, len(names)))
-    bias = np.zeros(len(names))
     step, steps = 0, settings.epochs * len(learn)
     for _ in range(settings.epochs):
         for i in rng.permutation(learn):
@@ -138,20 +137,23 @@ def fit(texts: Sequence[str], langs: Sequence[str], settings: Settings = Setting
             rate = settings.rate * (1 - step / steps)
             step += 1
             vector = weight @ table[grams]
-            error = softmax(vector @ out + bias)
+            error = softmax(vector @ out)
             error[y] -= 1
             back = out @ error
             out -= rate * 0.05 * np.outer(vector, error)
-            bias -= rate * 0.001 * error
             table[grams] -= rate * np.outer(weight, back)
     scores = table @ out
+    seen = np.zeros(settings.buckets, bool)
+    for grams, _, _ in data:
+        seen[grams] = True
+    scores[~seen] = 0  # nothing is known of these: they speak for no language
     check = np.flatnonzero(held) if held.any() else learn
-    logits = np.array([data[i][1] @ scores[data[i][0]] + bias for i in check])
+    logits = np.array([data[i][1] @ scores[data[i][0]] for i in check])
     truth = np.array([data[i][2] for i in check])
     heat = _temperature(logits, truth)
     sure = np.array([softmax(x / heat).max() for x in logits])
     limit = min(settings.most_rejection, float(np.quantile(sure, settings.rejected_share)))
-    return Model(names, (scores / heat).astype(np.float32), bias / heat, limit, settings.sizes)
+    return Model(names, (scores / heat).astype(np.float32), limit, settings.sizes)
 
 
 def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:

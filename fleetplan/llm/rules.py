@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetplan.llm.common import fresh
+from fleetplan.llm.common import evaluated_once, fresh
 
 WINDOW = 3
 # Patterns: white space, symbols, the rest of a word from its first letter on, runs of capitals.
@@ -94,7 +94,8 @@ def count_measures(docs: DataFrame, text: str = "text", into: str = "counts") ->
         "n_letter_words": F.regexp_count(F.col(body), F.lit(LETTER_ON)),
         "n_capital_runs": F.regexp_count(F.col(body), F.lit(CAPITALS)),
     }
-    return step.withColumn(into, F.struct(*[counts[c].cast("long").alias(c) for c in COUNTS])).drop(body, words, lines, grams)
+    counted = F.struct(*[counts[c].cast("long").alias(c) for c in COUNTS])
+    return step.withColumn(into, evaluated_once(counted)).drop(body, words, lines, grams)
 
 
 def _failed(rule: Rule) -> Column:
