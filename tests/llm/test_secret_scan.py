@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 import pytest
 
@@ -97,3 +99,43 @@ def test_other_columns_pass(spark):
     docs = X.documents(spark, TEXTS)
     out = S.find_secrets(docs, into="secrets")
     assert out.columns == [*docs.columns, "secrets"] and out.count() == docs.count()
+
+
+ALNUM = string.ascii_letters + string.digits
+GLUE = [("", ""), ("/home/user/documents/projects/", ""), ("/api/v1/resources/download/", "/index"), ("production_database_connection_key=", ""), ("the-production-key-", "_old")]
+
+
+def share_found(alphabet, n, before="", after="", seed=1, trials=200):
+    """The share of random strings that random spans cover to 0.9 or more."""
+    rng, hits = random.Random(seed), 0
+    for _ in range(trials):
+        text = f"see {before}{''.join(rng.choice(alphabet) for _ in range(n))}{after} end"
+        a = 4 + len(before)
+        _, spans = S.scan_text(text, S.public_tokenizers.path(S.DEFAULT_VOCAB))
+        hits += sum(max(0, min(e, a + n) - max(b, a)) for b, e, _ in spans) >= 0.9 * n
+    return hits / trials
+
+
+@pytest.mark.parametrize("before, after", GLUE)
+def test_secrets_behind_paths_and_names(before, after):
+    for n in (20, 24, 32, 40):
+        assert share_found(ALNUM, n, before, after) >= 0.97, n
+    assert share_found(ALNUM + "-_", 40, before, after) >= 0.9
+    assert share_found(ALNUM, 32, "productionDatabaseKey") >= 0.95
+
+
+@pytest.mark.parametrize("before, after", GLUE)
+def test_secrets_of_one_case(before, after):
+    for n, least in ((20, 0.8), (24, 0.8), (32, 0.9), (64, 0.97)):
+        assert share_found(string.ascii_lowercase, n, before, after) >= least, n
+        assert share_found(string.ascii_uppercase, n, before, after) >= least, n
+
+
+def test_words_and_known_forms_in_longer_runs_stay():
+    text = (
+        "/home/user/documents/projects/internationalization production_database_connection_key=unconfigured Geschwindigkeitsbegrenzungen "
+        "Arbeitsunfähigkeitsbescheinigung BEFEHLSZEILENOPTIONEN epätavallisuudestaan verantwoordelijkheidsgevoel "
+        "/objects/123e4567-E89B-12d3-a456-426614174000/content sha1-DA39A3EE5E6B4B0D3255BFEF95601890AFD80709/files "
+        "/reports/2024-01-15-12-30-45-00/monthly-summary"
+    )
+    assert S.scan_text(text, S.public_tokenizers.path(S.DEFAULT_VOCAB))[1] == []
