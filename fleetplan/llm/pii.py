@@ -31,6 +31,23 @@ ROUNDS = 8
 CHAR_PASSES = 3
 FIRST_YEAR, LAST_YEAR = 1900, 2099
 
+# Lengths of bank accounts by country. A match may not go on into the next word.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_core() -> str:
+    """Accounts of their country's length, in groups of four; then others."""
+    alike = []
+    for n, codes in IBAN_LENGTHS.items():
+        last = f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else ""
+        alike.append(f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{last}(?![0-9A-Za-z])")
+    return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(alike)}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)"
+
+
 # Fixed patterns of the formats, in the order in which they are tried.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 FORMATS = {
@@ -40,7 +57,7 @@ FORMATS = {
     "ssn": (r"(?<![0-9-])", r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}", r"(?![0-9]|-[0-9])"),
     "phone": (r"(?<![0-9A-Za-z+(.-])", r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}", r"(?![0-9])"),
     "foreign_phone": (r"(?<![0-9A-Za-z+])", r"\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}", r"(?![0-9])"),
-    "iban": (r"(?<![0-9A-Za-z])", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?", r"(?![0-9A-Za-z])"),
+    "iban": (r"(?<![0-9A-Za-z])", _iban_core(), r"(?![0-9A-Za-z])"),
     "card": (r"(?<![0-9A-Za-z])", r"(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})", r"(?![0-9A-Za-z])"),
 }
 KINDS = tuple(FORMATS)

@@ -150,3 +150,25 @@ def test_no_value_of_the_corpus_survives(spark):
         n += len(values)
         assert not [v for v in values if v.rstrip(".") in r.text]
     assert n > 50
+
+
+def account(country, length):
+    """A valid account of a country, with a made-up number."""
+    body = "".join(str(i * 7 % 10) for i in range(length - 4))
+    rest = int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+    return f"{country}{98 - rest:02d}{body}"
+
+
+def test_accounts_before_other_words(spark):
+    """Of every length, spaced or not, before a word or number in capitals."""
+    plain = [account(codes.split()[0], n) for n, codes in P.IBAN_LENGTHS.items()] + ["BE68539007547034", "ES9121000418450200051332", "AT611904300234573201"]
+    values = plain + [" ".join(v[i : i + 4] for i in range(0, len(v), 4)) for v in plain]
+    tails = ["BIC GKCCBEBB", "NOW", "2024", "7", "A1", "and on"]
+    cases = [(v, t) for v in values for t in tails]
+    got = masked(spark, [f"pay {v} {t}" for v, t in cases])
+    for i, (value, tail) in enumerate(cases):
+        new = got[i].text
+        assert got[i].n_iban == 1 and new.startswith("pay ") and new.endswith(f" {tail}") and value not in new, (value, tail, new)
+        assert len(new) == len(f"pay {value} {tail}")
+    by_value = {v: {got[i].text[4 : 4 + len(v)] for i, (w, _) in enumerate(cases) if w == v} for v in values}
+    assert all(len(x) == 1 for x in by_value.values())
