@@ -48,6 +48,25 @@ def _iban_core() -> str:
     return rf"(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(alike)}|[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)"
 
 
+# Digits after the country code (least, most), by code. Numbers that don't fit go by the limits of E.164.
+PHONE_DIGITS = {
+    (6, 8): "352|960", (7, 7): "220|354", (7, 8): "373|376|423|506|961", (8, 8): "45|47|53|65|216|356|357|370|371|372|374|502|503|504|505|507|686|852|853|965|968|973|974|975|976|993",
+    (7, 9): "353|359", (8, 9): "32|36|41|51|66|93|213|355|377|381|385|386|387|389|591|593|595|855|962|971|972",
+    (9, 9): "27|31|33|34|40|48|56|61|84|94|212|218|221|233|251|254|255|256|260|263|351|375|380|382|420|421|886|963|966|967|970|992|994|995|996|998",
+    (9, 10): "44|46|81|92|234", (8, 10): "20|57|60|63|64|82|95|856", (10, 10): "1|7|30|52|58|90|91|98|225|880|964|977", (10, 11): "54|55|86",
+    (9, 11): "39|49|62|358", (9, 12): "43",
+}
+_LONE = r"(?<![0-9]{3} \(?[0-9]{1,2})"  # where lengths vary, a lone short number behind is another one
+_NEXT_DIGIT = r"\)?[ .-]?\(?[0-9]"  # with what may stand before it
+
+
+def _foreign_phone_core() -> str:
+    """Numbers of their country's length, the trunk 0 in brackets not counted;
+    then others of 8 to 15 digits. Neither ends within a group of digits."""
+    alike = "|".join(rf"(?:{codes})(?:[ .-]?\(0\))?(?:{_NEXT_DIGIT}){{{a},{b}}}(?![0-9]){_LONE if a < b else ''}" for (a, b), codes in PHONE_DIGITS.items())
+    return rf"\+(?:{alike}|[1-9](?:{_NEXT_DIGIT}){{7,14}})"
+
+
 # Fixed patterns of the formats, in the order in which they are tried.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 FORMATS = {
@@ -55,8 +74,8 @@ FORMATS = {
     "ip": (r"(?<![0-9.])", rf"{_OCTET}(?:\.{_OCTET}){{3}}", r"(?![0-9]|\.[0-9])"),
     "date": (r"(?<![0-9./-])", r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{4})", r"(?![0-9]|[./-][0-9])"),
     "ssn": (r"(?<![0-9-])", r"(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}", r"(?![0-9]|-[0-9])"),
-    "phone": (r"(?<![0-9A-Za-z+(.-])", r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}", r"(?![0-9])"),
-    "foreign_phone": (r"(?<![0-9A-Za-z+])", r"\+[1-9][0-9]{0,2}(?:[ .-]?\(?[0-9]{1,4}\)?){2,5}", r"(?![0-9])"),
+    "phone": (r"(?<![0-9A-Za-z+-])(?<![0-9][(.])", r"(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\)[ .-]?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}", r"(?![0-9])"),
+    "foreign_phone": (r"(?<![0-9A-Za-z+])", _foreign_phone_core(), r"(?![0-9])"),
     "iban": (r"(?<![0-9A-Za-z])", _iban_core(), r"(?![0-9A-Za-z])"),
     "card": (r"(?<![0-9A-Za-z])", r"(?:[0-9]{13,19}|(?:[0-9]{4}[ -]){3}[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})", r"(?![0-9A-Za-z])"),
 }

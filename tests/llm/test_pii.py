@@ -172,3 +172,32 @@ def test_accounts_before_other_words(spark):
         assert len(new) == len(f"pay {value} {tail}")
     by_value = {v: {got[i].text[4 : 4 + len(v)] for i, (w, _) in enumerate(cases) if w == v} for v in values}
     assert all(len(x) == 1 for x in by_value.values())
+
+
+def test_phones_before_other_numbers(spark):
+    """A phone is taken alone, and is the same wherever it stands."""
+    phones = ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 30 12345678", "+33 1 23 45 67 89", "+45 12 34 56 78", "+351 212 345 678", "+86 138 1234 5678", "+81-3-1234-5678", "+7 (495) 123-45-67", "+39 06 1234 5678"]
+    tails = ["here", "2024", "1200 and more", "7 days", "4111 1111 1111 1111", "10.5 kg", "(12)"]
+    got = masked(spark, [f"call {p} {t}" for p in phones for t in tails])
+    card_now = got[tails.index("4111 1111 1111 1111")].text[-19:]
+    for i, (phone_, tail) in enumerate((p, t) for p in phones for t in tails):
+        new, alone = got[i].text, got[i - i % len(tails)].text
+        length = len(f"call {phone_}")
+        assert got[i].n_foreign_phone == 1 and phone_ not in new and new[:length] == alone[:length], (phone_, tail, new)
+        assert new[length + 1 :] == (card_now if "4111" in tail else tail), (phone_, tail, new)
+    assert card_now != "4111 1111 1111 1111"
+
+
+def test_national_phones_behind_brackets_and_dots(spark):
+    texts = ["(212-555-0100)", "tel.212-555-0100", "((212) 555-0100)", "212-555-0100", "3.212-555-0100", "5(212-555-0100"]
+    got = masked(spark, texts)
+    new = phone("212-555-0100")
+    assert [got[i].text for i in range(len(texts))] == [f"({new})", f"tel.{new}", f"({phone('(212) 555-0100')})", new, *texts[4:]]
+
+
+def test_other_foreign_phones_stay_found(spark):
+    """Codes without a plan, and numbers that are longer or shorter than theirs."""
+    texts = ["+999 123 456 789", "+44 20 7946 09581", "+49 30 1234 5678901", "+33 1 2345 67", "+1 555 010 9999"]
+    got = masked(spark, texts)
+    for i, t in enumerate(texts):
+        assert got[i].n_foreign_phone == 1 and len(got[i].text) == len(t) and got[i].text[-6:] != t[-6:]
