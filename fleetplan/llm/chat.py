@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetplan.llm.common import rank_encoding, stored
+from fleetplan.llm.common import ordinary_ids, rank_encoding, stored
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -139,7 +139,7 @@ def _nodes(paths: DataFrame, ranks: str) -> DataFrame:
                 ids, loss = [], []
                 for role, text in zip(roles, texts, strict=True):
                     # Marks and text are encoded apart, so that the mask ends with a token.
-                    before, body, after = map(encoding.encode_ordinary, parts(role, text))
+                    before, body, after = (ordinary_ids(encoding, x) for x in parts(role, text))
                     start = len(ids) + len(before)
                     ids += [*before, *body, *after]
                     if role == TRAINED and body:

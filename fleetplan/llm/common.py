@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
@@ -90,6 +91,28 @@ def rank_encoding(path: str, special: tuple[tuple[str, int], ...] = ()) -> tikto
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=dict(special))
 
 
+#: White space as the engine's pattern has it (Python's ``\\s`` has more), in runs long enough to matter.
+_LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
+def ordinary_ids(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The text's ids, without special tokens. The pattern engine refuses a very
+    long run of white space; such runs are then merged apart, but for the last
+    character before other text, which the pattern leaves to that text."""
+    try:
+        return encoding.encode_ordinary(text)
+    except BaseException as error:
+        if not isinstance(error, Exception) and type(error).__name__ != "PanicException":
+            raise
+    ids, at = [], 0
+    for m in _LONG_BLANK.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        ids += encoding.encode_ordinary(text[at : m.start()])
+        ids += encoding._encode_single_piece(text[m.start() : end])
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def evaluated_once(column: Column) -> Column:
     """``column``, marked as non-deterministic: a filter on it stays above the
     projection that computes it, instead of being pushed below with the whole

@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from fleetplan.llm import chat as C
-from fleetplan.llm.common import rank_encoding
+from fleetplan.llm.common import ordinary_ids, rank_encoding
 from tests.llm import fixtures as X
 
 SCHEMA = "conv_id long, turn long, role string, text string, node string, tree int"
@@ -100,3 +100,26 @@ def test_any_texts_and_roles_read_back(turns):
 @given(PIECES)
 def test_escaping_leaves_no_control_string(text):
     assert not any(c in C.escape(text) for c in C.CONTROL) and C.unescape(C.escape(text)) == text
+
+
+def test_very_long_white_space(spark):
+    """The pattern engine refuses a million blanks; the turn is encoded all the same."""
+    rows = [(0, 0, "user", "see" + " " * 1_000_000 + "there"), (0, 1, "assistant", "\n" * 1_000_000), (1, 0, "user", "plain")]
+    assert {r[0]: tuple(r)[1:] for r in C.formatted_conversations(conversations(spark, rows)).collect()} == brute(rows)
+
+
+def test_blanks_encoded_apart_give_the_same_ids():
+    encoding = rank_encoding(C.public_tokenizers.path(C.RANKS))
+
+    class Refusing:
+        _encode_single_piece = staticmethod(encoding._encode_single_piece)
+
+        def encode_ordinary(self, text):
+            if len(text) > 15_000:
+                raise ValueError
+            return encoding.encode_ordinary(text)
+
+    for blanks in (" " * 20_000, "\n" * 20_001, " \n\t" * 7_000, "\u3000" * 10_001):
+        for before, after in (("abc", "def"), ("", ""), ("x  y", "\n"), ("", "9.")):
+            text = before + blanks + after
+            assert ordinary_ids(Refusing(), text) == encoding.encode_ordinary(text)
