@@ -151,15 +151,24 @@ def fit(texts: Sequence[str], n_chars: Sequence[int | None], quality: Sequence[i
     return Machine(bias, weights, factors, edges, settings.buckets, settings.accept)
 
 
+def one_row_each(rows: DataFrame) -> DataFrame:
+    """One row of each ``doc_id``: the least by a hash of the others, chosen in
+    each task before rows are sent on."""
+    names = [c for c in rows.columns if c != "doc_id"]
+    first = F.min_by(F.struct(*names), F.xxhash64(*names)).alias("first")
+    return rows.groupBy("doc_id").agg(first).select("doc_id", "first.*")
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> Machine:
     """A machine from at most ``sample_rows`` labelled documents whose id meets
     ``learn``. The labelled ids are sampled first; only their texts are read
-    into the model. Of several labels of one id, the lowest counts."""
+    into the model. Of several labels of one id, the lowest counts; of several
+    rows, the one of the lowest hash."""
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & learn).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen, order = bounded_sample(marked.select("doc_id"), settings.sample_rows)
     ids = marked.where(chosen).orderBy(order, "doc_id").limit(settings.sample_rows)
     # At most sample_rows ids and numbers: a proven bound.
-    rows = docs.select("doc_id", "text", "n_chars").join(F.broadcast(ids), "doc_id").orderBy("doc_id", "text").toPandas()
+    rows = one_row_each(docs.select("doc_id", "text", "n_chars").join(F.broadcast(ids), "doc_id")).orderBy("doc_id").toPandas()
     texts = rows["text"].fillna("").tolist()
     return fit(texts, _lengths(rows["n_chars"]), rows["quality"].tolist(), settings)
 

@@ -47,3 +47,17 @@ def test_filter_keeps_columns(spark):
     machine = Q.train(docs, spark.read.parquet(f"{X.SF}/labels.parquet"), F.lit(True))
     kept = Q.keep_good(docs, machine)
     assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+def test_training_reads_one_row_of_each_id(spark, monkeypatch):
+    """However often a sampled id is repeated, one of its rows is read, the same each time."""
+    rows = [(1, f"copy {i}", i) for i in range(300)] + [(2, "other", None), (2, "other", None), (3, None, None), (4, "not labelled", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 9)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda texts, lengths, good, settings: seen.append((texts, lengths, good)))
+    for n in (1, 7):
+        Q.train(docs.repartition(n), labels, F.lit(True))
+    texts, lengths, good = seen[0]
+    assert seen[0] == seen[1] and len(texts) == 3 and good == [1, 0, 1]
+    assert (1, texts[0], lengths[0]) in rows and texts[1:] == ["other", ""]
