@@ -12,6 +12,7 @@ until no gap is left or a round gains nothing (then its result is dropped).
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -32,11 +33,12 @@ VOCAB, RANKS, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", (("<|endof
 
 @dataclass(frozen=True)
 class Settings:
-    """``deal`` is the number of pieces that a task packs at once."""
+    """``deal`` is the number of pieces that a task packs at once. With
+    ``rounds``, no more rounds than that are made, whatever they gain."""
 
     capacity: int = 1024
     deal: int = 20_000
-    rounds: int = 4
+    rounds: int | None = None
 
 
 # --- tokens ----------------------------------------------------------------
@@ -166,7 +168,7 @@ def _round(rows: DataFrame, number: int, groups: int, settings: Settings) -> Dat
         out["offset"] = before - before[first][into]
         out["fill"] = np.bincount(into, weights=length).astype(np.int64)[into]
         # The numbers of a round and a group lie apart from all others'.
-        out["sequence_id"] = ((number * (1 << 24) + int(group["deal"].iloc[0])) << 32) + into
+        out["sequence_id"] = (number << 48) + (int(group["deal"].iloc[0]) << 24) + into
         out["gap"] = int(into.max()) + 1 - bound
         return out
 
@@ -197,7 +199,8 @@ def pack(parts: DataFrame, settings: Settings = Settings()) -> DataFrame:
         return done
     # Uniform by hash: a group holds about ``deal`` pieces, whatever the data.
     packed = stored(_round(rest, 0, deal(left), settings), "packing-round-0")
-    for number in range(1, settings.rounds):
+    # Each round has fewer sequences than the last one, so this ends.
+    for number in itertools.count(1) if settings.rounds is None else range(1, settings.rounds):
         open_ = (F.col("gap") > 0) & (F.col("fill") < capacity)
         pool = packed.where(open_)
         was = pool.agg(F.count("*").alias("pieces"), F.countDistinct("sequence_id").alias("sequences")).first()

@@ -107,3 +107,13 @@ def test_empty_and_equal_rows(spark):
     assert K.packed_documents(X.empty(spark)).count() == 0
     parts = spark.createDataFrame([(1, 0, 0, 512, 7)] * 8, "doc_id long, piece int, start long, length long, ids_crc32 long")
     assert check(K.pack(parts).collect()) == 4
+
+
+def test_exchange_goes_on_while_it_gains(spark):
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(200, 600, 1500).tolist()
+    parts = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(4)
+    limited = check(K.pack(parts, K.Settings(deal=60, rounds=4)).collect())
+    rows = K.pack(parts, K.Settings(deal=60)).collect()
+    assert check(rows) < limited, (check(rows), limited)
+    assert sorted(r.length for r in rows) == sorted(lengths) and len({r.doc_id for r in rows}) == 1500
