@@ -128,4 +128,24 @@ FROM b
 """
 
 
-ORACLE = {"op5_chat": OP5, "op6_topk": OP6, "op7_near_dedup": OP7, "op9_quality_rules": _op9()}
+OP12 = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), drawn AS (
+  SELECT doc_id, t, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) % (length(t) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (length(t) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+         WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), parts AS (
+  SELECT *, least(x, y) AS a, greatest(x, y) - least(x, y) AS b,
+    substring(t, 1, least(x, y)) AS p, substring(t, least(x, y) + 1, greatest(x, y) - least(x, y)) AS m, substring(t, greatest(x, y) + 1) AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
+ORACLE = {"op5_chat": OP5, "op6_topk": OP6, "op7_near_dedup": OP7, "op9_quality_rules": _op9(), "op12_infill": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetplan.llm import bpe, chat, langid, neardup, packing, pii, quality, rules, secret_scan, topk
+from fleetplan.llm import bpe, chat, infill, langid, neardup, packing, pii, quality, repair, rules, secret_scan, sentencepieces, topk
 from fleetplan.llm.common import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,4 +39,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": lambda s, d: packing.packed_documents(table(s, d, "documents")),
     "op9_quality_rules": lambda s, d: rules.verdicts(table(s, d, "documents")),
     "op10_quality_classifier": lambda s, d: quality.scores(table(s, d, "documents"), table(s, d, "labels")),
+    "op11_sentencepiece": lambda s, d: sentencepieces.digests(table(s, d, "documents")),
+    "op12_infill": lambda s, d: infill.digests(table(s, d, "documents")),
+    "op13_repair": lambda s, d: repair.repairs(table(s, d, "conversations")),
 }
