@@ -19,7 +19,7 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import public_tokenizers
@@ -42,10 +42,14 @@ MODEL_TYPE, UNKNOWN_SURFACE = 3, 44
 CHARACTER_MAP, DUMMY_PREFIX, EXTRA_SPACES = 2, 3, 4
 DEFAULT_SURFACE = " ⁇ "
 
-#: Merged words that a worker process remembers, and the longest such word.
-REMEMBERED, WORD = 1 << 18, 64
-#: Ids that are written as text at once.
-CHUNK = 1 << 16
+#: Merged words that a worker process remembers (twice so many at most), and the longest such word.
+REMEMBERED, WORD = 1 << 19, 64
+#: Characters that are cut into words, and ids that are written as text, at once.
+SLICE, CHUNK = 1 << 20, 1 << 16
+#: The place of a pair that is no piece.
+NEVER = 1 << 30
+#: Stands before a word whose marks are written out (a word without its mark holds none).
+BARE = MARK
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -73,6 +77,26 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         at += size
 
 
+class Remembered(dict):
+    """Results of a function by word: those of the last ``REMEMBERED`` new words,
+    and of the words before them that have come up again."""
+
+    def __init__(self, of: Callable[[str], bytes]):
+        super().__init__()
+        self._of, self._old = of, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self._old.get(word)
+        if found is None:
+            found = self._of(word)
+        if len(word) <= WORD:
+            if len(self) >= REMEMBERED:
+                self._old = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Agenda:
     """Encoder and decoder for a model file of the merge type with byte pieces.
     Models of another type, or with user-defined or unused pieces, are an error."""
@@ -97,15 +121,16 @@ class Agenda:
         self._place = {t: place[self.library.get_score(i)] for t, i in self.ids.items()}
         byte = {t: i for i, (t, k) in enumerate(zip(texts, types, strict=True)) if k == BYTE}
         self._bytes = [byte[f"<0x{b:02X}>"] for b in range(256)]
-        crossing = any(MARK in t.lstrip(MARK) for t in self.ids)
-        self._word = re.compile("(?s).+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self._crossing = any(MARK in t.lstrip(MARK) for t in self.ids)
+        self._word = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+        self._cut = re.compile(r"(?!)" if self._crossing else f"[^{MARK}](?={MARK})")
         self.end = self.library.eos_id()
         self.decimal = [str(i) for i in range(len(pieces))]
         surface = trainer.get(UNKNOWN_SURFACE, DEFAULT_SURFACE.encode())
         self._surface = [self._shown(t, k, surface) for t, k in zip(texts, types, strict=True)]
         self._silent = {i for i, k in enumerate(types) if k == CONTROL}
         self._marked = {i for t, i in self.ids.items() if t.startswith(MARK)}
-        self._known: dict[str, array] = {}
+        self._known = Remembered(lambda word: self.word_ids(word[1:] if word[:1] == BARE else MARK + word))
 
     @staticmethod
     def _shown(text: str, kind: int, unknown: bytes) -> bytes:
@@ -119,63 +144,101 @@ class Agenda:
         return self._prefix + text.replace(" ", MARK) if text else ""
 
     def merged(self, word: str) -> list[str]:
-        """The symbols that are left of a word when no pair can be merged."""
+        """The symbols that are left of a word when no pair can be merged. The
+        agenda of a long word is a heap; that of a short one a list with a place
+        for each pair of neighbours, from which the least is taken."""
+        return self._merged_short(word) if len(word) <= WORD else self._merged_long(word)
+
+    def _merged_short(self, word: str) -> list[str]:
+        symbol, place = list(word), self._place.get
+        agenda = [place(a + b, NEVER) for a, b in zip(word, word[1:], strict=False)]
+        best = min(agenda, default=NEVER)
+        while best < NEVER:
+            left = agenda.index(best)
+            text = symbol[left] + symbol.pop(left + 1)
+            symbol[left] = text
+            del agenda[left]
+            if left < len(agenda):
+                agenda[left] = place(text + symbol[left + 1], NEVER)
+            if left:
+                agenda[left - 1] = place(symbol[left - 1] + text, NEVER)
+            best = min(agenda, default=NEVER)
+        return symbol
+
+    def _merged_long(self, word: str) -> list[str]:
         n = len(word)
         symbol: list[str] = list(word)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        place = self._place
-        agenda = [(at, i, 2) for i in range(n - 1) if (at := place.get(word[i : i + 2])) is not None]
+        place, push, pop = self._place.get, heapq.heappush, heapq.heappop
+        agenda = [(at, i, 2) for i in range(n - 1) if (at := place(word[i : i + 2])) is not None]
         heapq.heapify(agenda)
-
-        def add(left: int, right: int) -> None:
-            text = symbol[left] + symbol[right]
-            if (at := place.get(text)) is not None:
-                heapq.heappush(agenda, (at, left, len(text)))
-
         while agenda:
-            _, left, size = heapq.heappop(agenda)
-            right = after[left]
-            if not symbol[left] or right >= n or len(symbol[left]) + len(symbol[right]) != size:
+            _, left, size = pop(agenda)
+            right, text = after[left], symbol[left]
+            if not text or right >= n:
+                continue
+            text += symbol[right]
+            if len(text) != size:
                 continue  # one of the two has been merged since
-            symbol[left] += symbol[right]
-            symbol[right] = ""
-            after[left] = beyond = after[right]
-            if beyond < n:
-                before[beyond] = left
-                add(left, beyond)
-            if before[left] >= 0:
-                add(before[left], left)
+            symbol[left], symbol[right] = text, ""
+            after[left] = right = after[right]
+            if right < n:
+                before[right] = left
+                joined = text + symbol[right]
+                if (at := place(joined)) is not None:
+                    push(agenda, (at, left, len(joined)))
+            left = before[left]
+            if left >= 0:
+                joined = symbol[left] + text
+                if (at := place(joined)) is not None:
+                    push(agenda, (at, left, len(joined)))
         return [s for s in symbol if s]
 
-    def _word_ids(self, word: str) -> array:
+    def word_ids(self, word: str) -> bytes:
+        """The ids of a word, as 32-bit integers."""
         ids = array("i")
         for symbol in self.merged(word):
             known = self.ids.get(symbol)
             ids.extend([known] if known is not None else map(self._bytes.__getitem__, symbol.encode()))
-        return ids
+        return ids.tobytes()
+
+    def _slices(self, text: str) -> Iterator[str]:
+        """A text in slices of about ``SLICE`` characters, cut before marks
+        that follow another character, so that no word is cut."""
+        at = 0
+        while len(text) - at > SLICE and (cut := self._cut.search(text, at + SLICE)):
+            yield text[at : cut.end()]
+            at = cut.end()
+        yield text[at:]
 
     def encode(self, text: str, end: bool = True) -> array:
         """The ids of a text, with the end id after them."""
-        out, known = array("i"), self._known
-        for match in self._word.finditer(self.normalised(text)):
-            word = match[0]
-            ids = known.get(word)
-            if ids is None:
-                ids = self._word_ids(word)
-                if len(word) <= WORD:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[word] = ids
-            out.extend(ids)
+        out = array("i")
+        for part in self._slices(self.normalised(text)):
+            out.frombytes(b"".join(map(self._known.__getitem__, self._words(part))))
         if end:
             out.append(self.end)
         return out
 
+    def _words(self, part: str) -> list[str]:
+        """The words that are merged apart. Single marks, by far the commonest
+        case, need no pattern; a word then stands without its mark, and a word
+        that has other marks, or none, is written with ``BARE`` before it."""
+        if self._crossing:
+            return [BARE + part] if part else []
+        if part[:1] == MARK and part[-1] != MARK and MARK + MARK not in part:
+            words = part.split(MARK)
+            del words[0]
+            return words
+        return [BARE + w for w in self._word.findall(part)]
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: marks become spaces, the one that encoding puts
         first goes, control pieces show nothing, and byte pieces that are not
         UTF-8 become one replacement character each."""
-        cuts = [at for at, i in enumerate(ids) if i in self._silent]
+        if len(ids) and ids[-1] in self._silent:
+            ids = ids[:-1]
+        cuts = [] if self._silent.isdisjoint(ids) else [at for at, i in enumerate(ids) if i in self._silent]
         parts = [ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True)]
         data = [b"".join(map(self._surface.__getitem__, part)) for part in parts]
         first = next((n for n, part in enumerate(parts) if len(part)), None)

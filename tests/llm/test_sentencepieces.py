@@ -32,6 +32,14 @@ def test_random_texts():
     same(["", " ", "  ", "▁", "\n", "<s></s><unk><0x41>", "a" * 50_000, "ab" * 100_000, " " * 50_000, "the " * 20_000])
 
 
+def test_both_agendas_merge_alike():
+    rng = random.Random(5)
+    agenda = S.codec(PATH)
+    for _ in range(3000):
+        word = "".join(rng.choices("abthein▁▁▁ro", k=rng.randint(1, 40)))
+        assert agenda._merged_short(word) == agenda._merged_long(word), word
+
+
 def test_equal_scores_merge_from_the_left():
     same([" " * n + "x" for n in range(70)] + ["a" + " " * n for n in range(70)])
 
@@ -57,7 +65,13 @@ def test_words_are_forgotten_at_the_bound(monkeypatch):
     agenda = S.Agenda(PATH)
     text = " ".join(f"word{i}" for i in range(50))
     assert agenda.encode(text).tolist() == LIBRARY.encode(text, add_eos=True)
-    assert len(agenda._known) <= 3
+    assert len(agenda._known) <= 3 and len(agenda._known._old) <= 3
+
+
+def test_long_texts_are_cut_between_words(monkeypatch):
+    monkeypatch.setattr(S, "SLICE", 7)
+    rng = random.Random(4)
+    same(["".join(rng.choices("abthe   \n▁é", k=rng.randint(0, 80))) for _ in range(3000)])
 
 
 def test_other_files_are_refused(tmp_path):
