@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 from ..functions import ipv4 as ip
 from ..functions import jsonvalue as J
 from ..sources.fixed_values import ALLOCATION_ENDPOINT
-from .validate import planning_allowed
+from .validate import identity_allowed, planning_allowed
 
 # --------------------------------------------------------------------------- N1
 def allocation_requests(fleet: DataFrame) -> DataFrame:
     """Requests for clusters without a segment: (cluster_name, site, vrf,
     endpoint). ``fleet`` is the wide settings row (code defaults folded in, so
-    an absent vrf is 'default')."""
+    an absent vrf is 'default'). Refused clusters ask for nothing; the network
+    name is read after the request, so it is not asked for here."""
     url = J.as_text("vlan_manager_url")
-    return fleet.where(F.col("segment") == "").select(
+    return fleet.where((F.col("segment") == "") & identity_allowed()).select(
         "cluster_name",
         "site",
         J.as_text("vlan_manager_vrf").alias("vrf"),

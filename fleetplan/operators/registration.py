@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 from ..functions import jsonvalue as J
 from ..functions.joins import dim_join
 from ..sources.fixed_values import SECRET_TYPE_LABEL
+from .validate import identity_allowed
 
 
 def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -> DataFrame:
     """H1/H2: runs that reach registration (not destroy, provisioning not
     skipped, registration not skipped, hub URL truthy) and their token source:
     'plain' (a truthy token value), else 'env' (the named variable is set and
-    non-empty), else 'none' (not registrable). Columns: run_id, cluster_name,
-    token_source, registrable."""
-    f = fleet.select(
+    non-empty), else 'none' (not registrable). Runs on refused clusters reach
+    nothing. Columns: run_id, cluster_name, token_source, registrable."""
+    f = fleet.where(identity_allowed()).select(
         "cluster_name",
         J.truthy("argocd_hub_api_url").alias("__hub"),
         J.truthy("argocd_hub_token").alias("__plain"),

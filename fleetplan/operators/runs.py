@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonvalue as J
 from ..functions.scans import running_max_within
 from ..sources.fixed_values import LOG_FACTS, LOG_LEVELS, LOG_LINE, PHASES
+from .validate import identity_allowed
 
 LINES_PER_CHUNK = 4096
 
@@ -22,11 +23,12 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     """Phases of every run in order with an ``enabled`` flag. Destroy
     short-circuits; the readiness loop and hub registration run inside the
     provisioning phase, so skipping it skips them; registration also needs a
-    truthy hub URL. Columns: run_id, ordinal, phase, enabled."""
-    hub = fleet.select("cluster_name", J.truthy("argocd_hub_api_url").alias("__hub"))
+    truthy hub URL. A run on a refused cluster ends before its first phase and
+    has no rows. Columns: run_id, ordinal, phase, enabled."""
+    hub = fleet.where(identity_allowed()).select("cluster_name", J.truthy("argocd_hub_api_url").alias("__hub"))
     # per-cluster table on its unique key: a plain join (AQE broadcasts it when
     # small at run time and splits a run-heavy cluster with its skew handling)
-    j = runs.join(hub, "cluster_name", "left")
+    j = runs.join(hub, "cluster_name")
     live = ~F.col("destroy")
     tf = live & ~F.col("skip_terraform")
     flags = [
@@ -38,7 +40,7 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
         live & ~F.col("skip_dns"),
         tf,
         tf & ~F.col("skip_csr"),
-        tf & ~F.col("skip_argocd") & F.coalesce(F.col("__hub"), F.lit(False)),
+        tf & ~F.col("skip_argocd") & F.col("__hub"),
         live,
     ]
     entries = F.array(
@@ -50,14 +52,16 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- P2
 def parse_logs(lines: DataFrame) -> DataFrame:
     """Split ``yyyy-MM-dd HH:mm:ss [LEVEL  ] message`` lines; a line without
-    the prefix continues the previous message (is_start = false).
+    the prefix, or with a time that there is not (a 13th month), continues the
+    previous message (is_start = false).
     Adds logged_at (TIMESTAMP_NTZ), level, message, is_start."""
     text = F.col("text")
-    start = text.rlike(LOG_LINE)
+    at = F.regexp_extract(text, LOG_LINE, 1).try_cast("timestamp_ntz")  # '' where the pattern doesn't match: NULL
+    start = F.coalesce(at.isNotNull(), F.lit(False))
     return lines.withColumns(
         {
             "is_start": start,
-            "logged_at": F.when(start, F.to_timestamp_ntz(F.regexp_extract(text, LOG_LINE, 1), F.lit("yyyy-MM-dd HH:mm:ss"))),
+            "logged_at": at,
             "level": F.when(start, F.regexp_extract(text, LOG_LINE, 2)),
             "message": F.when(start, F.regexp_extract(text, LOG_LINE, 3)).otherwise(text),
         }
@@ -96,14 +100,17 @@ def message_sizes(messages: DataFrame) -> DataFrame:
     )
 
 
-def message_texts(messages: DataFrame, max_lines: int = 1000) -> DataFrame:
-    """A bounded view: the lines of each message joined by newline, of messages
-    of at most ``max_lines`` lines; longer ones are left as lines."""
-    short = message_sizes(messages).where(F.col("n_lines") <= max_lines).select("cluster_name", "start_line")
-    lines = messages.join(short, ["cluster_name", "start_line"]).groupBy("cluster_name", "start_line").agg(
+def message_texts(messages: DataFrame, part_lines: int = 1000) -> DataFrame:
+    """The lines of each message joined by newline, in parts of ``part_lines``
+    lines: (cluster_name, start_line, part from 1, message). Most messages are
+    one part; a message of millions of lines is spread over many rows and tasks.
+    The parts of a message, joined by newline in order, are the whole of it."""
+    # by line number: where numbers are missing, parts are shorter, never longer
+    part = F.expr(f"(line_no - start_line) div {int(part_lines)} + 1")
+    lines = messages.where(F.col("start_line").isNotNull()).groupBy("cluster_name", "start_line", part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("line_no", "message"))).alias("__lines")
     )
-    return lines.select("cluster_name", "start_line", F.array_join("__lines.message", "\n").alias("message"))
+    return lines.select("cluster_name", "start_line", "part", F.array_join("__lines.message", "\n").alias("message"))
 
 
 def at_least(messages: DataFrame, level: str = "INFO") -> DataFrame:
@@ -117,11 +124,11 @@ def at_least(messages: DataFrame, level: str = "INFO") -> DataFrame:
 # --------------------------------------------------------------------------- P5
 def log_facts(parsed: DataFrame) -> DataFrame:
     """Facts in messages as rows (cluster_name, line_no, fact, value): elapsed
-    seconds, exit codes, pending counts (BIGINT), and the stream (stdout /
-    stderr) of captured command output (value NULL, fact names the stream)."""
+    seconds, exit codes, pending counts (BIGINT, NULL for a number beyond it),
+    and the stream (stdout / stderr) of captured command output (value NULL, fact names the stream)."""
     msg = F.col("message")
     entries = [
-        F.struct(F.lit(name).alias("fact"), F.when(msg.rlike(pat), F.regexp_extract(msg, pat, 1).cast("bigint")).alias("value"),
+        F.struct(F.lit(name).alias("fact"), F.when(msg.rlike(pat), F.regexp_extract(msg, pat, 1).try_cast("bigint")).alias("value"),
                  msg.rlike(pat).alias("__hit"))
         for name, pat in LOG_FACTS
     ]

@@ -25,13 +25,20 @@ def _violations(df: DataFrame, keys: list[str], rules: list[tuple[str, object, o
     return df.select(*keys, F.inline(entries)).where(F.col("rule").isNotNull())
 
 
-def planning_allowed() -> Column:
-    """Whether a wide settings row passes V1 to V3, so that the tool would go on
-    to plan it: a good name, the required keys, a known site."""
+def identity_allowed() -> Column:
+    """Whether the tool would start a run on a wide settings row at all: a good
+    name and a site that is given and known. A run on any other cluster ends
+    before its first phase, so it needs no tools and asks for nothing."""
     name, site = F.coalesce(F.col("name"), F.lit("")), F.coalesce(F.col("site"), F.lit(""))
     good = (name != "") & (F.char_length(name) <= NAME_MAX_CHARS) & name.rlike(NAME_PATTERN)
     good = good & ~name.startswith("-") & ~name.endswith("-")
-    return good & (site != "") & F.col("site_known") & J.truthy("vm_network")
+    return good & (site != "") & F.col("site_known")
+
+
+def planning_allowed() -> Column:
+    """Whether a wide settings row passes V1 to V3, so that the tool would go on
+    to plan it: a run may start, and the network that planning needs is named."""
+    return identity_allowed() & J.truthy("vm_network")
 
 
 def check_names(identity: DataFrame) -> DataFrame:
@@ -74,9 +81,10 @@ def check_sites(identity: DataFrame, sites: DataFrame) -> DataFrame:
 
 def check_conditional(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     """V4: a run that creates DNS needs a wildcard DNS URL; a cluster without a
-    segment needs a VLAN manager URL. Destroy runs need neither.
+    segment needs a VLAN manager URL. Destroy runs need neither, and runs on
+    refused clusters never come to it.
     Columns: run_id, cluster_name, rule, detail."""
-    f = fleet.select(
+    f = fleet.where(identity_allowed()).select(
         "cluster_name",
         F.col("segment").alias("__own_segment"),
         J.truthy("wildcard_dns_api_url").alias("__dns_ok"),
@@ -136,8 +144,9 @@ def check_counts(supplied: DataFrame) -> DataFrame:
 def required_tools(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     """Binaries each run needs: (run_id, cluster_name, host, label, tool).
     ``oc`` is needed when the readiness loop runs or a hub URL is set, whatever
-    skip_argocd says; destroy runs go through the same check."""
-    f = fleet.select(
+    skip_argocd says; destroy runs go through the same check, runs on refused
+    clusters don't get there."""
+    f = fleet.where(identity_allowed()).select(
         "cluster_name",
         F.coalesce(J.as_text("openshift_install_bin"), F.lit("openshift-install-4.20")).alias("__install"),
         F.coalesce(J.as_text("terraform_bin"), F.lit("terraform")).alias("__tf"),

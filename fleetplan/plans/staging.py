@@ -23,7 +23,9 @@ def _path(spark: SparkSession, name: str) -> str:
 def stage_cluster_documents(spark: SparkSession, sf_dir: str, fmt: str = "json") -> str:
     """Write every cluster's document, many to a file; returns the folder. The
     YAML form is flow style, with bare keys. Every 45th has a second document
-    line that breaks off, as a cut write would leave it."""
+    line that breaks off, as a cut write would leave it; others have lines under
+    an id that doesn't decode, with an impossible date or a value that JSON has
+    no form for (YAML), or with a repeated key (JSON)."""
     path = _path(spark, f"cluster-docs-{fmt}")
     seed = views.fleet_seed(spark, sf_dir)
     docs = views.cluster_docs(seed)
@@ -33,8 +35,13 @@ def stage_cluster_documents(spark: SparkSession, sf_dir: str, fmt: str = "json")
         entries = F.transform(F.map_entries("doc"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
         text = F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
         docs.select(document_line(F.col("cluster_name"), text).alias("value")).write.text(path)
-    broken = seed.where(F.col("k") % 45 == 9).select(document_line(F.col("cluster_name"), F.lit('{"site": ["x",')).alias("value"))
-    broken.write.mode("append").text(path)
+    line = lambda rest, text: F.when(F.col("k") % 45 == rest, document_line(F.col("cluster_name"), F.lit(text)))
+    lines = [line(9, '{"site": ["x",'), F.when(F.col("k") % 45 == 10, F.concat(F.lit('a%zz-'), F.col("k").cast("string"), F.lit('\t{"x": 1}')))]
+    if fmt == "yaml":
+        lines += [line(11, "{x: 2026-13-45}"), line(12, "{x: .nan}"), line(14, "{x: !!binary aGk=}")]
+    else:
+        lines.append(F.when(F.col("k") % 45 == 13, document_line(F.concat(F.col("cluster_name"), F.lit("-twice")), F.lit('{"x": 1, "y": "a", "x": 2}'))))
+    seed.select(F.explode(F.array_compact(F.array(*lines))).alias("value")).write.mode("append").text(path)
     return path
 
 

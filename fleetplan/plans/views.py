@@ -454,7 +454,8 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run log lines ``(cluster_name, line_no, text)``, one file per user;
-    an error writes a second line without a timestamp."""
+    an error writes a second line without a timestamp. Some exit codes are
+    beyond any number, some lines have a time that there is not."""
     ev = _events(spark, sf_dir)
     t = F.col("event_type")
     eid = F.col("event_id")
@@ -466,7 +467,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.lit("INFO"))
     )
     message = (
-        F.when(t == "error", F.concat(F.lit("Command failed (rc="), (eid % 5 + 1).cast("string"), F.lit("): oc get csr -o json")))
+        F.when((t == "error") & (eid % 41 == 3), F.lit("Command failed (rc=99999999999999999999): oc get csr -o json"))
+        .when(t == "error", F.concat(F.lit("Command failed (rc="), (eid % 5 + 1).cast("string"), F.lit("): oc get csr -o json")))
         .when(warn, F.concat(F.lit("approval of csr-"), eid.cast("string"), F.lit(" did not go through")))
         .when(
             t == "signup",
@@ -476,7 +478,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(t == "view", F.lit("waiting for the cluster"))
         .otherwise(F.concat(F.lit("cluster up (took "), F.floor(F.col("value") * 10).cast("bigint").cast("string"), F.lit("s)")))
     )
-    head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" ["), F.rpad(level, 7, " "), F.lit("] "), message)
+    time = F.when((t == "view") & (eid % 37 == 5), F.lit("2026-13-45 10:00:00")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    head = F.concat(time, F.lit(" ["), F.rpad(level, 7, " "), F.lit("] "), message)
     lines = F.array(
         F.struct((eid * 2).alias("line_no"), head.alias("text")),
         F.struct((eid * 2 + 1).alias("line_no"), F.when(t == "error", F.lit("stderr: connection refused")).alias("text")),

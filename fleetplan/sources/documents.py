@@ -12,12 +12,16 @@ Values keep the three states apart: absent key (no row), explicit null (the
 text ``null``), and any other JSON text; secret values are replaced here, before
 anything else sees them. JSON documents are parsed by Spark
 (``map<string,variant>`` keeps ``"1"`` and ``1`` apart); YAML documents are
-parsed per partition in ``mapInPandas``. A document that doesn't parse, or is
-not a mapping, is not dropped in silence: ``bad_documents`` lists it.
+parsed per partition in ``mapInPandas``. Of a key that a document repeats, the
+last value counts (a JSON value that repeats one inside is a bad document). A
+document that doesn't parse, is not a mapping, holds a value that JSON has no
+form for (``.nan``, binary), or stands under an id that doesn't decode, is not
+dropped in silence, and stops nothing: ``bad_documents`` lists it.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,14 +39,24 @@ def _read_raw(spark: SparkSession, path: str, scope: str, fmt: str, many: bool)
     if many:
         line = F.split("value", "\t", 2)
         rows = spark.read.text(path).where(F.col("value") != "")
-        return rows.select(F.url_decode(line[0]).alias(scope), F.coalesce(F.get(line, F.lit(1)), F.lit("")).alias("value"))
+        named = F.try_url_decode(line[0])
+        text = F.coalesce(F.get(line, F.lit(1)), F.lit(""))
+        # an id that doesn't decode is kept as it stands, without its document
+        return rows.select(F.coalesce(named, line[0]).alias(scope), F.when(named.isNotNull(), text).alias("value"))
     files = spark.read.option("pathGlobFilter", _GLOB[fmt]).text(path, wholetext=True)
-    return files.select(F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), _STEM, 1)).alias(scope), "value")
+    stem = F.regexp_extract(F.col("_metadata.file_path"), _STEM, 1)
+    # a plus sign stands for itself in a path
+    return files.select(F.url_decode(F.replace(stem, F.lit("+"), F.lit("%2B"))).alias(scope), "value")
 
 
 def _parse_json(raw: DataFrame, scope: str) -> DataFrame:
     parsed = F.from_json("value", "map<string,variant>")
-    doc = F.transform_values(parsed, lambda k, v: F.to_json(v))
+    entries = F.map_entries(parsed)
+    later = lambda i: F.slice(F.map_keys(parsed), i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0)))
+    last = F.filter(entries, lambda e, i: ~F.array_contains(later(i), e["key"]))
+    repeated = F.size(F.array_distinct(F.map_keys(parsed))) < F.size(parsed)
+    once = F.when(repeated, F.map_from_entries(last)).otherwise(parsed)
+    doc = F.transform_values(once, lambda k, v: F.to_json(v))
     blank = F.trim("value") == ""
     return raw.select(scope, F.when(blank, F.create_map().cast("map<string,string>")).otherwise(doc).alias("doc"))
 
@@ -52,16 +66,23 @@ def _parse_yaml(raw: DataFrame, scope: str) -> DataFrame:
         import pandas as pd
         import yaml
 
+        def as_json(value):
+            if isinstance(value, datetime.date):  # and times with it
+                return str(value)
+            raise TypeError(type(value).__name__)
+
         def document(text):
+            if text is None:
+                return None
             try:
                 doc = yaml.safe_load(text)
-            except yaml.YAMLError:
-                return None
-            if doc is None:
-                return {}
-            if not isinstance(doc, dict):
+                if doc is None:
+                    return {}
+                if not isinstance(doc, dict):
+                    return None
+                return {str(k): json.dumps(v, separators=(",", ":"), ensure_ascii=False, allow_nan=False, default=as_json) for k, v in doc.items()}
+            except (yaml.YAMLError, ValueError, TypeError, RecursionError):  # an impossible date, a value without a JSON form, deep nesting
                 return None
-            return {str(k): json.dumps(v, separators=(",", ":"), ensure_ascii=False, default=str) for k, v in doc.items()}
 
         for batch in batches:
             yield pd.DataFrame({"scope": batch["scope"], "doc": [document(t) for t in batch["value"]]})

@@ -266,12 +266,15 @@ def at(off: str) -> str:
     return f"(CASE WHEN net + ({off}) >= 0 AND net + ({off}) < 4294967296 THEN net + ({off}) END)"
 
 
-# V1 to V3: the tool exits before planning a cluster that fails one of them.
-view("allowed", ["identity", "sites", "settings"], f"""
-SELECT i.cluster_name FROM identity i JOIN settings s ON s.cluster_name = i.cluster_name
-WHERE coalesce(i.name, '') <> '' AND length(i.name) <= 27 AND regexp_full_match(i.name, '[\\p{{L}}\\p{{N}}-]*')
+# the tool ends a run before its first phase on a cluster without a good name or a known site
+view("gated", ["identity", "sites"], """
+SELECT cluster_name FROM identity i
+WHERE coalesce(i.name, '') <> '' AND length(i.name) <= 27 AND regexp_full_match(i.name, '[\\p{L}\\p{N}-]*')
   AND NOT starts_with(i.name, '-') AND NOT ends_with(i.name, '-')
-  AND coalesce(i.site, '') <> '' AND i.site IN (SELECT site FROM sites) AND {truthy('s.vm_network')}""")
+  AND coalesce(i.site, '') <> '' AND i.site IN (SELECT site FROM sites)""")
+# V1 to V3: the tool exits before planning a cluster that fails one of them.
+view("allowed", ["gated", "settings"], f"""
+SELECT s.cluster_name FROM settings s WHERE s.cluster_name IN (SELECT cluster_name FROM gated) AND {truthy('s.vm_network')}""")
 
 # a plan exists only if every address does: an address outside IPv4 ends the run
 view("plan", ["planned"], """
@@ -344,10 +347,10 @@ SELECT cluster_name, segment, {long_to_ip('net')} AS network, prefix AS prefix_l
        net IS NOT NULL AS valid
 FROM ({cidr_cte("(SELECT cluster_name, segment FROM fleet)", "segment")})""")
 
-query("allocation_requests", ["settings"], f"""
+query("allocation_requests", ["settings", "gated"], f"""
 SELECT cluster_name, site, {txt('vlan_manager_vrf')} AS vrf,
        regexp_replace({txt('vlan_manager_url')}, '/+$', '') || '/api/allocate-vlan' AS endpoint
-FROM settings WHERE segment = ''""")
+FROM settings WHERE segment = '' AND cluster_name IN (SELECT cluster_name FROM gated)""")
 
 query("apply_allocations", ["fleet"], "SELECT cluster_name, segment, vlan_id, segment_source FROM fleet")
 
@@ -438,6 +441,7 @@ SELECT o.o_orderkey AS run_id, s.cluster_name, o.o_orderkey % 13 = 0 AS destroy,
   o.o_orderkey % 3 = 0 AS skip_terraform, o.o_orderkey % 5 = 0 AS skip_csr, o.o_orderkey % 7 = 0 AS skip_ignition,
   o.o_orderkey % 11 = 0 AS skip_argocd, 45 AS csr_timeout, 'bastion-' || (o.o_orderkey % 10) AS host
 FROM orders o JOIN seed s ON s.k = o.o_custkey""")
+view("live_runs", ["runs", "gated"], "SELECT r.* FROM runs r WHERE r.cluster_name IN (SELECT cluster_name FROM gated)")
 
 query("check_plan", ["planned"], """
 SELECT cluster_name, CASE WHEN segment = '' THEN 'no_segment' WHEN contains(segment, ':') THEN 'ipv6_segment'
@@ -445,26 +449,26 @@ SELECT cluster_name, CASE WHEN segment = '' THEN 'no_segment' WHEN contains(segm
 FROM planned WHERE net IS NULL OR gateway IS NULL OR bootstrap_ip IS NULL
   OR len(list_filter(list_concat(list_concat(infra_ips, control_plane_ips), compute_ips), lambda a: a IS NULL)) > 0""")
 
-query("check_conditional", ["runs", "settings"], f"""
+query("check_conditional", ["live_runs", "settings"], f"""
 SELECT r.run_id, r.cluster_name, 'dns_url_missing' AS rule, 'wildcard_dns_api_url' AS detail
-FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND NOT skip_dns AND NOT {TR('s.wildcard_dns_api_url')}
+FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND NOT skip_dns AND NOT {TR('s.wildcard_dns_api_url')}
 UNION ALL SELECT r.run_id, r.cluster_name, 'vlan_url_missing', 'vlan_manager_url'
-FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND s.segment = '' AND NOT {TR('s.vlan_manager_url')}""")
+FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT destroy AND s.segment = '' AND NOT {TR('s.vlan_manager_url')}""")
 
 view("host_tools", [], """
 SELECT 'bastion-' || s_suppkey AS host, t.tool FROM supplier,
   (VALUES (0, '/usr/local/bin/openshift-install-4.20'), (1, '/usr/local/bin/terraform'), (2, 'oc')) t(i, tool)
 WHERE (s_suppkey + t.i) % 4 <> 0""")
 
-query("missing_tools", ["runs", "settings", "host_tools"], f"""
+query("missing_tools", ["live_runs", "settings", "host_tools"], f"""
 SELECT * FROM (
   SELECT r.run_id, r.cluster_name, r.host, 'openshift-install' AS label,
          coalesce({txt('s.openshift_install_bin')}, 'openshift-install-4.20') AS tool
-  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_ignition
+  FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_ignition
   UNION ALL SELECT r.run_id, r.cluster_name, r.host, 'terraform', coalesce({txt('s.terraform_bin')}, 'terraform')
-  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_terraform
+  FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE NOT skip_terraform
   UNION ALL SELECT r.run_id, r.cluster_name, r.host, 'oc', 'oc'
-  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE (NOT skip_csr AND NOT skip_terraform) OR {TR('s.argocd_hub_api_url')}
+  FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name WHERE (NOT skip_csr AND NOT skip_terraform) OR {TR('s.argocd_hub_api_url')}
 ) n WHERE NOT EXISTS (SELECT 1 FROM host_tools h WHERE h.host = n.host AND h.tool = n.tool)""")
 
 # ============================================================== readiness
@@ -537,18 +541,19 @@ _PH = [
     ("terraform", "NOT destroy AND NOT skip_terraform"), ("csr", "NOT destroy AND NOT skip_terraform AND NOT skip_csr"),
     ("argocd", "NOT destroy AND NOT skip_terraform AND NOT skip_argocd AND hub"), ("save_context", "NOT destroy"),
 ]
-view("runs_hub", ["runs", "settings"], f"""
-SELECT r.*, coalesce({TR('s.argocd_hub_api_url')}, FALSE) AS hub FROM runs r LEFT JOIN settings s ON s.cluster_name = r.cluster_name""")
+view("runs_hub", ["live_runs", "settings"], f"""
+SELECT r.*, {TR('s.argocd_hub_api_url')} AS hub FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name""")
 query("phase_plan", ["runs_hub"], "\nUNION ALL ".join(
     f"SELECT run_id, {i + 1} AS ordinal, '{p}' AS phase, ({cond}) AS enabled FROM runs_hub" for i, (p, cond) in enumerate(_PH)))
 
 view("log_lines", [], """
 SELECT 'cluster-' || user_id AS cluster_name, event_id * 2 AS line_no,
-  strftime(ts, '%Y-%m-%d %H:%M:%S') || ' [' || rpad(level, 7, ' ') || '] ' || message AS text
+  CASE WHEN event_type = 'view' AND event_id % 37 = 5 THEN '2026-13-45 10:00:00' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END || ' [' || rpad(level, 7, ' ') || '] ' || message AS text
 FROM (SELECT *,
   CASE WHEN event_type = 'error' THEN 'ERROR' WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'WARNING'
        WHEN event_type IN ('view', 'click') THEN 'DEBUG' ELSE 'INFO' END AS level,
-  CASE WHEN event_type = 'error' THEN 'Command failed (rc=' || (event_id % 5 + 1) || '): oc get csr -o json'
+  CASE WHEN event_type = 'error' AND event_id % 41 = 3 THEN 'Command failed (rc=99999999999999999999): oc get csr -o json'
+       WHEN event_type = 'error' THEN 'Command failed (rc=' || (event_id % 5 + 1) || '): oc get csr -o json'
        WHEN event_type = 'signup' AND event_id % 5 = 0 THEN 'approval of csr-' || event_id || ' did not go through'
        WHEN event_type = 'signup' THEN 'Approving ' || (event_id % 3 + 1) || ' pending CSR(s): [''csr-' || event_id || ''']'
        WHEN event_type = 'click' THEN '  stdout: certificatesigningrequest/csr-' || event_id || ' approved'
@@ -563,7 +568,7 @@ SELECT cluster_name, line_no, s AS is_start,
   CASE WHEN s THEN strptime(regexp_extract(text, '{LOGP}', 1), '%Y-%m-%d %H:%M:%S') END AS logged_at,
   CASE WHEN s THEN regexp_extract(text, '{LOGP}', 2) END AS level,
   CASE WHEN s THEN regexp_extract(text, '{LOGP}', 3) ELSE text END AS message
-FROM (SELECT *, regexp_matches(text, '{LOGP}') AS s FROM log_lines)""")
+FROM (SELECT *, regexp_matches(text, '{LOGP}') AND TRY_CAST(regexp_extract(text, '{LOGP}', 1) AS TIMESTAMP) IS NOT NULL AS s FROM log_lines)""")
 query("parse_logs", ["parsed"], "SELECT * FROM parsed")
 view("headed", ["parsed"], """
 SELECT m.cluster_name, h.line_no AS start_line, m.line_no, h.logged_at, h.level, m.message
@@ -575,12 +580,12 @@ query("message_sizes", ["headed"], """
 SELECT cluster_name, start_line, any_value(logged_at) AS logged_at, any_value(level) AS level, count(*) AS n_lines
 FROM headed WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line""")
 query("message_texts", ["headed"], """
-SELECT cluster_name, start_line, string_agg(message, chr(10) ORDER BY line_no) AS message
-FROM headed WHERE start_line IS NOT NULL GROUP BY cluster_name, start_line HAVING count(*) <= 1000""")
+SELECT cluster_name, start_line, (line_no - start_line) // 1000 + 1 AS part, string_agg(message, chr(10) ORDER BY line_no) AS message
+FROM headed WHERE start_line IS NOT NULL GROUP BY ALL""")
 query("join_multiline", ["headed"], "SELECT * FROM headed")
 _FACTS = [("took_seconds", "took (\\d+)s"), ("rc", "rc=(\\d+)"), ("pending_count", "Approving (\\d+) pending")]
 query("log_facts", ["parsed"], "\nUNION ALL ".join(
-    [f"SELECT cluster_name, line_no, '{n}' AS fact, CAST(regexp_extract(message, '{p}', 1) AS BIGINT) AS value FROM parsed "
+    [f"SELECT cluster_name, line_no, '{n}' AS fact, TRY_CAST(regexp_extract(message, '{p}', 1) AS BIGINT) AS value FROM parsed "
      f"WHERE regexp_matches(message, '{p}')" for n, p in _FACTS]
     + [f"SELECT cluster_name, line_no, '{s}', CAST(NULL AS BIGINT) FROM parsed WHERE starts_with(ltrim(message), '{s}:')"
        for s in ("stdout", "stderr")]))
@@ -629,11 +634,11 @@ SELECT cluster_name, coalesce({txt('site_name')}, site) AS site, segment, gatewa
   coalesce(nullif(array_to_string(compute_ips, ', '), ''), '(none)') AS compute FROM plan""")
 
 # ============================================================== registration
-view("reg_candidates", ["runs", "settings", "env"], f"""
+view("reg_candidates", ["live_runs", "settings", "env"], f"""
 SELECT run_id, cluster_name, src AS token_source, src <> 'none' AS registrable FROM (
   SELECT r.run_id, r.cluster_name,
     CASE WHEN {TR('s.argocd_hub_token')} THEN 'plain' WHEN coalesce(e.value <> '', FALSE) THEN 'env' ELSE 'none' END AS src
-  FROM runs r JOIN settings s ON s.cluster_name = r.cluster_name
+  FROM live_runs r JOIN settings s ON s.cluster_name = r.cluster_name
   LEFT JOIN env e ON e.name = coalesce({txt('s.argocd_hub_token_env')}, '')
   WHERE NOT destroy AND NOT skip_terraform AND NOT skip_argocd AND {TR('s.argocd_hub_api_url')})""")
 query("registration_candidates", ["reg_candidates"], "SELECT * FROM reg_candidates")
@@ -851,10 +856,13 @@ JOIN plan p ON p.cluster_name = n.cluster_name
 LEFT JOIN inv_all i ON i.cluster_name = n.cluster_name""")
 
 # ============================================================== file sources (round trips)
-query("scan_layers", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
+query("scan_layers", ["clusters", "seed"], """
+SELECT cluster_name, key, value FROM clusters
+UNION ALL SELECT cluster_name || '-twice', u.key, u.value FROM seed, (VALUES ('x', '2'), ('y', '"a"')) u(key, value) WHERE k % 45 = 13""")
 query("scan_layers_yaml", ["clusters"], "SELECT cluster_name, key, value FROM clusters")
 query("bad_documents", ["seed"], """
-SELECT cluster_name, 'malformed' AS problem, f AS format FROM seed, (VALUES ('json'), ('yaml')) t(f) WHERE k % 45 = 9""")
+SELECT CASE WHEN k % 45 = 10 THEN 'a%zz-' || k ELSE cluster_name END AS cluster_name, 'malformed' AS problem, f AS format
+FROM seed, (VALUES ('json'), ('yaml')) t(f) WHERE k % 45 IN (9, 10) OR (f = 'yaml' AND k % 45 IN (11, 12, 14))""")
 query("list_artifacts", ["artifacts"], "SELECT cluster_name, file, regexp_replace(file, '\\.[^.]*$', '') AS stem FROM artifacts")
 query("context_sink", ["context"], """
 SELECT cluster_name, key, value FROM context WHERE value <> 'null'

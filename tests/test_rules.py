@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetplan.functions import ipv4, jsonvalue
 from fleetplan.functions.scans import ordinal_within
-from fleetplan.operators import address, config, readiness, runs, validate
+from fleetplan.operators import address, config, readiness, registration, runs, validate
 from fleetplan.sources.fixed_values import DEFAULTS_DOCUMENT, VARIABLE_CONTRACT
 
 
@@ -92,7 +92,56 @@ def test_messages_keep_their_continuation_lines(spark):
     assert [r.start_line for r in rows] == [None, 3000, 3000, 9000, 9000, 15000]
     assert [r.line_no for r in runs.at_least(messages, "INFO").orderBy("line_no").collect()] == [3000, 6000, 15000]
     assert {r.start_line: r.n_lines for r in runs.message_sizes(messages).collect()} == {3000: 2, 9000: 2, 15000: 1}
-    assert {r.start_line: r.message for r in runs.message_texts(messages, 1).collect()} == {15000: "d"}
+    parts = {(r.start_line, r.part): r.message for r in runs.message_texts(messages).collect()}
+    assert parts == {(3000, 1): "a", (3000, 4): "stderr: b", (9000, 1): "c", (9000, 4): "more", (15000, 1): "d"}
+
+
+def test_long_messages_come_in_parts(spark):
+    text = ["2024-01-01 00:00:00 [ERROR  ] 0", *map(str, range(1, 2503))]
+    lines = spark.createDataFrame([("x", i + 7, t) for i, t in enumerate(text)], "cluster_name string, line_no long, text string")
+    parts = runs.message_texts(runs.join_multiline(runs.parse_logs(lines))).orderBy("part").collect()
+    assert [r.part for r in parts] == [1, 2, 3]
+    assert "\n".join(r.message for r in parts) == "\n".join(map(str, range(2503)))
+
+
+def test_bad_log_lines_stop_nothing(spark):
+    text = ["2024-01-01 00:00:00 [INFO   ] a", "2026-13-45 10:00:00 [INFO   ] x", "2024-02-30 10:00:00 [INFO   ] y", "2024-01-01 25:00:00 [INFO   ] z",
+            "2024-01-01 00:00:09 [ERROR  ] failed (rc=99999999999999999999)", "2024-01-01 00:00:10 [ERROR  ] failed (rc=7)", "", None]
+    lines = spark.createDataFrame([("x", i, t) for i, t in enumerate(text)], "cluster_name string, line_no long, text string")
+    parsed = runs.parse_logs(lines)
+    assert [r.is_start for r in parsed.orderBy("line_no").collect()] == [True, False, False, False, True, True, False, False]
+    assert {r.line_no: r.start_line for r in runs.join_multiline(parsed).collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 4, 5: 5, 6: 5, 7: 5}
+    assert {(r.line_no, r.fact): r.value for r in runs.log_facts(parsed).collect()} == {(4, "rc"): None, (5, "rc"): 7}
+
+
+REFUSED = [("long", "a" * 28, "s", True), ("sign", "a_b", "s", True), ("edge", "-a", "s", True), ("none", None, "s", True), ("empty", "", "s", True),
+           ("no-site", "a", None, True), ("unknown", "a", "t", False)]
+
+
+def test_refused_clusters_do_nothing(spark):
+    """A run on a refused cluster ends before its first phase; a missing network
+    name ends it later, after the segment is asked for."""
+    fleet = spark.createDataFrame(
+        [(c, name, site, known, '"v"', *["", '"u"', '"http://x"', '"tok"', None, None, None, None, "null"]) for c, name, site, known in REFUSED]
+        + [("good", "good", "s", True, None, "", '"u"', '"http://x"', '"tok"', None, None, None, None, "null")],
+        "cluster_name string, name string, site string, site_known boolean, vm_network string, segment string, vlan_manager_vrf string, "
+        "argocd_hub_api_url string, argocd_hub_token string, argocd_hub_token_env string, openshift_install_bin string, terraform_bin string, "
+        "wildcard_dns_api_url string, vlan_manager_url string",
+    )
+    flags = ("destroy", "skip_dns", "skip_terraform", "skip_csr", "skip_ignition", "skip_argocd")
+    todo = spark.createDataFrame([(i, c, "h", *[False] * 6) for i, c in enumerate([*[r[0] for r in REFUSED], "good"])],
+                                 "run_id long, cluster_name string, host string, " + ", ".join(f"{f} boolean" for f in flags))
+    env = spark.createDataFrame([], "name string, value string")
+    tools = spark.createDataFrame([], "host string, tool string")
+    last = len(REFUSED)
+    assert [r.cluster_name for r in address.allocation_requests(fleet).collect()] == ["good"]
+    assert {r.run_id for r in runs.phase_plan(todo, fleet).collect()} == {last}
+    assert {r.cluster_name for r in validate.required_tools(todo, fleet).collect()} == {"good"}
+    assert {r.cluster_name for r in validate.missing_tools(todo, fleet, tools).collect()} == {"good"}
+    assert {r.cluster_name for r in validate.check_conditional(todo, fleet).collect()} == {"good"}
+    assert [r.run_id for r in registration.registration_candidates(todo, fleet, env).collect()] == [last]
+    assert address.addresses(address.plan_addresses(fleet.withColumns({k: F.lit("1") for k in ("gateway_offset", "bootstrap_ip_offset")}).withColumns(
+        {k: F.lit("[1]") for k in ("infra_ip_offsets", "control_plane_ip_offsets", "compute_ip_offsets")}).withColumn("segment", F.lit("10.0.0.0/24")))).count() == 0
 
 
 def test_supplied_variables_can_fail(spark):
