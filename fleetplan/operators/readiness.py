@@ -115,6 +115,27 @@ def time_to_available(polls: DataFrame, timeout_minutes: int = READINESS_TIMEOUT
     )
 
 
+def silence_alarms(polls: DataFrame, silence_minutes: int = READINESS_TIMEOUT_MINUTES) -> DataFrame:
+    """L4, the alarm form: a run that has not been seen available and doesn't
+    poll for ``silence_minutes`` raises one alarm at that deadline, none if it
+    polls again by then. A poll after the deadline begins a new episode, which
+    may raise its own. The stream form (``streaming.alarms``) gives the same.
+
+    Columns: run_id, started_at and last_poll of the episode, polls (good or
+    not), alarm_at."""
+    scored = availability(parse_csr_snapshots(polls))
+    window = F.session_window("polled_at", f"{int(silence_minutes)} minutes").alias("episode")
+    episodes = scored.groupBy("run_id", window).agg(
+        F.min("polled_at").alias("started_at"),
+        F.max("polled_at").alias("last_poll"),
+        F.count(F.lit(1)).alias("polls"),
+        F.bool_or(F.col("good") & F.col("available")).alias("__available"),
+    )
+    return episodes.where(~F.col("__available")).select(
+        "run_id", "started_at", "last_poll", "polls", F.col("episode.end").alias("alarm_at")
+    )
+
+
 # --------------------------------------------------------------------------- L5
 def poll_buckets(polls: DataFrame, seconds: int = POLL_SECONDS) -> DataFrame:
     """L5 (batch form): polls per run per tumbling window of the poll cadence:

@@ -17,6 +17,7 @@ from ..functions import jsonvalue as J
 from ..operators import address, config, dns, nodes, readiness, registration, runs, validate
 from ..session import scratch_path, write_table
 from ..sources import documents, logs
+from ..streaming import alarms, late
 from ..streaming import readiness as stream
 from . import staging
 from .fleet import Fleet
@@ -446,14 +447,43 @@ def q_readiness_stream(spark, sf_dir):
     """L4 as Structured Streaming over the events file: a session of polls per
     run, written when it is over, evaluated against the deadline. Equals the
     batch ``time_to_available`` once the input has ended."""
-    table = stream.run_time_to_available(spark, stream.poll_stream(spark, sf_dir), TIMEOUT_MINUTES)
+    table = stream.run_time_to_available(spark, stream.poll_stream(spark, sf_dir), TIMEOUT_MINUTES, finish=True)
     return stream.current_time_to_available(spark, table, TIMEOUT_MINUTES)
 
 
 @register("poll_buckets_stream")
 def q_poll_buckets_stream(spark, sf_dir):
     """L5 as Structured Streaming, all windows final."""
-    return stream.poll_buckets_table(spark, stream.run_poll_buckets(spark, stream.poll_stream(spark, sf_dir)))
+    return stream.poll_buckets_table(spark, stream.run_poll_buckets(spark, stream.poll_stream(spark, sf_dir), finish=True))
+
+
+SILENCE_MINUTES = 720
+
+
+@register("silence_alarms")
+def q_silence_alarms(spark, sf_dir):
+    """L4, the alarm form, in batch."""
+    return readiness.silence_alarms(_fleet(spark, sf_dir).polls, SILENCE_MINUTES)
+
+
+@register("silence_alarms_stream")
+def q_silence_alarms_stream(spark, sf_dir):
+    """L4, the alarm form, with event-time timers, the input at its end."""
+    table = alarms.run_silence_alarms(spark, stream.poll_stream(spark, sf_dir), SILENCE_MINUTES, finish=True)
+    return alarms.alarms_table(spark, table, SILENCE_MINUTES)
+
+
+@register("late_polls")
+def q_late_polls(spark, sf_dir):
+    """Polls that come in over several arrivals, a tenth of them one arrival
+    later, each routed as in time or late."""
+    root = scratch_path(spark, f"streams/late-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"staged/arrivals-{uuid.uuid4().hex}")
+    for arrival in range(staging.ARRIVALS):
+        staging.stage_arrival(spark, sf_dir, path, arrival)
+        polls = stream.poll_stream(spark, path, "*.parquet")
+        late.route_late(spark, polls, root=root)
+    return late.routed(spark, root, polls).select("run_id", "poll_id", "late")
 
 
 __all__ = ["QUERIES", "register", "F", "J"]

@@ -60,6 +60,18 @@ def stage_logs(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+ARRIVALS = 6  # of five days each
+
+
+def stage_arrival(spark: SparkSession, sf_dir: str, path: str, arrival: int) -> None:
+    """Append to ``path`` the events that come in with one arrival: those of its
+    five days, without every tenth, and the tenth that the arrival before it left
+    out (the last arrival leaves out none, and has what is later)."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    slot = F.expr("(dayofmonth(ts) - 1) div 5") + F.when(F.col("event_id") % 10 == 3, 1).otherwise(0)
+    events.where(F.least(slot, F.lit(ARRIVALS - 1)) == arrival).write.mode("append").parquet(path)
+
+
 def stage_artifacts(spark: SparkSession, sf_dir: str) -> str:
     """Write the artifacts as files ``<cluster>/<file>/...``; returns the folder."""
     path = _path(spark, "artifacts")

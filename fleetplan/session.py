@@ -58,6 +58,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _hadoop(spark, path)
+    return files.exists(at)
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file at ``path`` (nothing happens where it is there already)."""
+    files, at = _hadoop(spark, path)
+    files.createNewFile(at)
+
+
 def write_table(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a Parquet table under the shared checkpoint folder and
     read back: computed once, lineage ends there."""

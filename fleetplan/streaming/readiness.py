@@ -11,8 +11,10 @@ turned into poll snapshots by the same projection as the batch view).
   window is written once the watermark passes it.
 
 The watermark follows the data, so the last windows and sessions stay open while
-nothing later arrives. For an input that has ended, ``finish`` lets one closing
-poll of no run come in after it, far in the future: all that is open closes.
+nothing later arrives; a later call on the same root goes on with them. Only for
+an input that has ended for good, ``finish`` lets one closing poll of no run come
+in after it, far in the future: all that is open closes. After that every poll
+would be late, so a finished root is refused.
 
 Event time is ``polled_at`` cast to TIMESTAMP (the session time zone is UTC),
 because a watermark needs a TIMESTAMP column.
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.readiness import availability, parse_csr_snapshots
 from ..plans.views import polls_from_events
-from ..session import scratch_path
+from ..session import exists, mark, scratch_path
 from ..sources.fixed_values import POLL_SECONDS, READINESS_TIMEOUT_MINUTES
 
 
@@ -41,8 +43,12 @@ def poll_stream(spark: SparkSession, events_dir: str, file_glob: str = "events.p
 
 def _run(spark: SparkSession, polls: DataFrame, shape, root: str, watermark: str, finish: bool) -> str:
     """Run ``shape(polls)`` in append mode to the end of the available input;
-    with ``finish``, once more with the closing poll. Returns the output folder."""
+    with ``finish``, once more with the closing poll. Returns the output folder.
+    A root whose finish has begun can only be finished, a finished one not used."""
     closing, out = os.path.join(root, "closing"), os.path.join(root, "out")
+    begun, finished = os.path.join(root, "finish-begun"), os.path.join(root, "finished")
+    if exists(spark, finished) or (exists(spark, begun) and not finish):
+        raise ValueError(f"the input of {root} was declared to have ended; start a new root")
     none = spark.createDataFrame([], polls.schema)
     none.write.mode("append").parquet(closing)
     both = polls.unionByName(spark.readStream.schema(polls.schema).parquet(closing))
@@ -54,9 +60,11 @@ def _run(spark: SparkSession, polls: DataFrame, shape, root: str, watermark: str
 
     to_end()
     if finish:
+        mark(spark, begun)
         values = {f.name: F.lit(None).cast(f.dataType) for f in polls.schema.fields} | {"polled_at": F.lit("9000-01-01").cast("timestamp")}
         spark.range(1).select(*[values[c].alias(c) for c in polls.columns]).write.mode("append").parquet(closing)
         to_end()
+        mark(spark, finished)
     return out
 
 
@@ -66,7 +74,7 @@ def run_time_to_available(
     timeout_minutes: int = READINESS_TIMEOUT_MINUTES,
     root: str | None = None,
     watermark: str = "1 hour",
-    finish: bool = True,
+    finish: bool = False,
 ) -> str:
     """L4 as a stream: one row per finished session (run_id, started_at,
     first_available); returns the table's folder."""
@@ -103,7 +111,7 @@ def current_time_to_available(spark: SparkSession, table: str, timeout_minutes:
 
 
 def run_poll_buckets(
-    spark: SparkSession, polls: DataFrame, root: str | None = None, seconds: int = POLL_SECONDS, watermark: str = "1 hour", finish: bool = True
+    spark: SparkSession, polls: DataFrame, root: str | None = None, seconds: int = POLL_SECONDS, watermark: str = "1 hour", finish: bool = False
 ) -> str:
     """L5 as a stream: polls per run per window, appended once final."""
 

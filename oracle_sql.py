@@ -876,3 +876,18 @@ SELECT cluster_name, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY
 # ============================================================== streaming (same answer as batch L4)
 Q["readiness_stream"] = Q["time_to_available"]
 Q["poll_buckets_stream"] = Q["poll_buckets"]
+query("silence_alarms", ["avail"], """
+SELECT run_id, min(polled_at) AS started_at, max(polled_at) AS last_poll, count(*) AS polls, max(polled_at) + INTERVAL 720 MINUTE AS alarm_at
+FROM (SELECT *, sum(CASE WHEN pause IS NULL OR pause > INTERVAL 720 MINUTE THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY polled_at, poll_id) AS episode
+      FROM (SELECT *, polled_at - lag(polled_at) OVER (PARTITION BY run_id ORDER BY polled_at, poll_id) AS pause FROM avail))
+GROUP BY run_id, episode HAVING NOT bool_or(good AND available)""")
+Q["silence_alarms_stream"] = Q["silence_alarms"]
+view("arrivals", [], """
+SELECT a.*, max(latest) AS before
+FROM (SELECT user_id AS run_id, event_id AS poll_id, ts,
+        least((day(ts) - 1) // 5 + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END, 5) AS arrival FROM events) a
+LEFT JOIN (SELECT least((day(ts) - 1) // 5 + CASE WHEN event_id % 10 = 3 THEN 1 ELSE 0 END, 5) AS arrival, max(ts) AS latest
+           FROM events GROUP BY 1) m ON m.arrival < a.arrival
+GROUP BY ALL""")
+query("late_polls", ["arrivals"], """
+SELECT run_id, poll_id, coalesce(ts <= before - INTERVAL 1 HOUR, FALSE) AS late FROM arrivals""")

@@ -134,18 +134,18 @@ def test_sinks_drop_secrets_and_isolate_clusters(spark):
 
 
 def test_streaming_equals_batch(spark):
-    table = stream.run_time_to_available(spark, stream.poll_stream(spark, SF_SMALL), 2880)
+    table = stream.run_time_to_available(spark, stream.poll_stream(spark, SF_SMALL), 2880, finish=True)
     st = stream.current_time_to_available(spark, table, 2880)
     bt = readiness.time_to_available(views.polls(spark, SF_SMALL), 2880)
     assert st.count() == bt.count() and st.exceptAll(bt).count() == 0
 
-    out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL))
+    out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL), finish=True)
     sb = stream.poll_buckets_table(spark, out)
     bb = readiness.poll_buckets(views.polls(spark, SF_SMALL))
     assert sb.exceptAll(bb).count() == 0 and bb.exceptAll(sb).count() == 0
 
 
 def test_unfinished_windows_wait(spark):
-    out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL), finish=False)
+    out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL))
     sb, bb = stream.poll_buckets_table(spark, out), readiness.poll_buckets(views.polls(spark, SF_SMALL))
     assert sb.exceptAll(bb).count() == 0 and 0 < sb.count() < bb.count()
