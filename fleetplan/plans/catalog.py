@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from ..functions import jsonvalue as J
 from ..operators import address, config, dns, nodes, readiness, registration, runs, validate
 from ..session import scratch_path, write_table
-from ..sources import documents, logs
+from ..sources import documents, files, logs
 from ..streaming import alarms, late
+from ..streaming import logs as log_stream
 from ..streaming import readiness as stream
 from . import staging
 from .fleet import Fleet
@@ -406,6 +407,30 @@ def q_bad_documents(spark, sf_dir):
     return one.unionByName(two)
 
 
+@register("cluster_files")
+def q_cluster_files(spark, sf_dir):
+    """S1 in the tool's layout: one YAML file per cluster; a file that doesn't
+    parse is one row with its problem."""
+    path = scratch_path(spark, f"staged/cluster-files-{uuid.uuid4().hex}")
+    for half in (0, 1):
+        staging.stage_cluster_files(spark, sf_dir, path, half)
+    docs = files.document_files(spark, path, "cluster_name")
+    return docs.select("cluster_name", "problem", F.explode_outer("doc").alias("key", "value"))
+
+
+@register("cluster_files_stream")
+def q_cluster_files_stream(spark, sf_dir):
+    """The same as a stream, over two arrivals of files."""
+    root = scratch_path(spark, f"streams/cluster-files-{uuid.uuid4().hex}")
+    for half in (0, 1):
+        staging.stage_cluster_files(spark, sf_dir, f"{root}/in", half)
+        docs = files.document_files(spark, f"{root}/in", "cluster_name", stream=True)
+        writer = docs.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    docs = spark.read.schema(docs.schema).parquet(f"{root}/out")
+    return docs.select("cluster_name", "problem", F.explode_outer("doc").alias("key", "value"))
+
+
 @register("list_artifacts")
 def q_list_artifacts(spark, sf_dir):
     """Artifact files, listed by path."""
@@ -420,6 +445,18 @@ def q_scan_logs(spark, sf_dir):
     return logs.scan_logs(spark, staging.stage_logs(spark, sf_dir), suffix=None)
 
 
+@register("log_files_stream")
+def q_log_files_stream(spark, sf_dir):
+    """S5 and P4 as a stream: logs in the tool's layout that grow three times,
+    their messages joined over the micro-batches."""
+    path = scratch_path(spark, f"staged/log-files-{uuid.uuid4().hex}")
+    root = None
+    for stage in range(staging.LOG_STAGES):
+        staging.stage_log_files(spark, sf_dir, path, stage)
+        root = log_stream.run_log_messages(spark, path, root)
+    return log_stream.log_messages(spark, root)
+
+
 @register("context_sink")
 def q_context_sink(spark, sf_dir):
     """The resolved context written as a table and read back."""

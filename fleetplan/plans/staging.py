@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..operators.runs import LINES_PER_CHUNK
 from ..session import scratch_path
 from ..sources.documents import document_line, write_documents
+from ..sources.logs import LOG_SUFFIX
 from . import views
 
 
@@ -72,6 +73,59 @@ def stage_arrival(spark: SparkSession, sf_dir: str, path: str, arrival: int) ->
     events.where(F.least(slot, F.lit(ARRIVALS - 1)) == arrival).write.mode("append").parquet(path)
 
 
+def _write_files(files: DataFrame, path: str, append: bool = False) -> None:
+    """Write rows (name, content BINARY) as files under ``path``; rows of one
+    name one after the other, as they come."""
+
+    def write(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        store, root = pafs.FileSystem.from_uri(path)
+        store.create_dir(root)
+        open_file = store.open_append_stream if append else store.open_output_stream
+        name, file = None, None
+        for batch in batches:
+            for n, content in zip(batch["name"], batch["content"], strict=True):
+                if n != name:
+                    if file:
+                        file.close()
+                    name, file = n, open_file(f"{root}/{n}")
+                file.write(content)
+            yield pd.DataFrame({"n": [len(batch)]})
+        if file:
+            file.close()
+
+    files.mapInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+
+
+def stage_cluster_files(spark: SparkSession, sf_dir: str, path: str, half: int) -> None:
+    """Write the documents of every other cluster (``half`` 0 or 1) in the
+    tool's layout, one YAML file each, block style. Every 45th has a file
+    beside it that breaks off, every 45th one that isn't UTF-8."""
+    seed = views.fleet_seed(spark, sf_dir).where(F.col("k") % 2 == half)
+    lines = F.transform(F.map_entries("doc"), lambda e: F.concat(e["key"], F.lit(": "), e["value"], F.lit("\n")))
+    good = views.cluster_docs(seed).select("cluster_name", F.array_join(lines, "").cast("binary").alias("content"))
+    beside = lambda rest, tail, content: seed.where(F.col("k") % 45 == rest).select(
+        F.concat("cluster_name", F.lit(tail)).alias("cluster_name"), content.alias("content")
+    )
+    files = good.unionByName(beside(9, "-cut", F.lit("site: [x").cast("binary"))).unionByName(beside(11, "-bytes", F.unhex(F.lit("783A20FF"))))
+    _write_files(files.select(F.concat("cluster_name", F.lit(".yaml")).alias("name"), "content"), path)
+
+
+LOG_STAGES = 3
+
+
+def stage_log_files(spark: SparkSession, sf_dir: str, path: str, stage: int) -> None:
+    """Append a third of the run logs, by line number, to files in the tool's
+    layout, ``<cluster>-bootstrap.log``."""
+    lines = views.log_lines(spark, sf_dir)
+    last = lines.agg(F.max("line_no")).first()[0] or 0
+    part = F.least(F.expr(f"line_no * {LOG_STAGES} div {last + 1}"), F.lit(LOG_STAGES - 1))
+    rows = lines.where(part == stage).repartition("cluster_name").sortWithinPartitions("cluster_name", "line_no")
+    _write_files(rows.select(F.concat("cluster_name", F.lit(LOG_SUFFIX)).alias("name"), F.concat("text", F.lit("\n")).cast("binary").alias("content")), path, append=True)
+
+
 def stage_artifacts(spark: SparkSession, sf_dir: str) -> str:
     """Write the artifacts as files ``<cluster>/<file>/...``; returns the folder."""
     path = _path(spark, "artifacts")

@@ -58,6 +58,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name)
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers of a local session import this package, whatever the
+    driver's working folder is (on a cluster it is installed, or sent with
+    ``--py-files``)."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
+
+
 def _hadoop(spark: SparkSession, path: str):
     """The file system of a path, and the path for it."""
     context = spark.sparkContext

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.readiness import availability, parse_csr_snapshots
-from ..session import scratch_path
+from ..session import importable, scratch_path
 from ..sources.fixed_values import READINESS_TIMEOUT_MINUTES
 from . import readiness
 
@@ -125,6 +125,7 @@ def run_silence_alarms(
     """Alarms of a stream of polls, to the end of the available input; returns
     the table's folder. A later call with the same ``root`` goes on where this
     one ended. ``finish`` as in ``streaming.readiness``."""
+    importable(spark)
     silence = int(silence_minutes) * 60_000_000
 
     def alarms(rows: DataFrame) -> DataFrame:

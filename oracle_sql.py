@@ -304,7 +304,7 @@ SELECT cluster_name, role, ordinal, fqdn, ip, domain FROM (
   FROM plan, LATERAL (SELECT {r}_ips AS ips) x, range(1, len({r}_ips) + 1) t(i)""" for r, lab in ROLE_LABELS[1:]) + ")")
 
 
-_ONCE = {"effective", "settings", "plan", "planned", "context", "ctx_wide", "variables", "supplied", "headed", "parsed"}
+_ONCE = {"effective", "settings", "plan", "planned", "context", "ctx_wide", "variables", "supplied", "headed", "parsed", "file_parsed"}
 
 
 def with_views(names: list[str], body: str) -> str:
@@ -563,18 +563,32 @@ FROM (SELECT *,
 UNION ALL SELECT 'cluster-' || user_id, event_id * 2 + 1, 'stderr: connection refused' FROM events WHERE event_type = 'error'""")
 
 LOGP = "^(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}) \\[([A-Z]+) *\\] (.*)$"
-view("parsed", ["log_lines"], f"""
+
+
+def _parsed(src: str) -> str:
+    return f"""
 SELECT cluster_name, line_no, s AS is_start,
   CASE WHEN s THEN strptime(regexp_extract(text, '{LOGP}', 1), '%Y-%m-%d %H:%M:%S') END AS logged_at,
   CASE WHEN s THEN regexp_extract(text, '{LOGP}', 2) END AS level,
   CASE WHEN s THEN regexp_extract(text, '{LOGP}', 3) ELSE text END AS message
-FROM (SELECT *, regexp_matches(text, '{LOGP}') AND TRY_CAST(regexp_extract(text, '{LOGP}', 1) AS TIMESTAMP) IS NOT NULL AS s FROM log_lines)""")
-query("parse_logs", ["parsed"], "SELECT * FROM parsed")
-view("headed", ["parsed"], """
+FROM (SELECT *, regexp_matches(text, '{LOGP}') AND TRY_CAST(regexp_extract(text, '{LOGP}', 1) AS TIMESTAMP) IS NOT NULL AS s FROM {src})"""
+
+
+def _headed(src: str) -> str:
+    return f"""
 SELECT m.cluster_name, h.line_no AS start_line, m.line_no, h.logged_at, h.level, m.message
 FROM (SELECT *, max(CASE WHEN is_start THEN line_no END) OVER (PARTITION BY cluster_name ORDER BY line_no
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head FROM parsed) m
-LEFT JOIN parsed h ON h.cluster_name = m.cluster_name AND h.line_no = m.head""")
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS head FROM {src}) m
+LEFT JOIN {src} h ON h.cluster_name = m.cluster_name AND h.line_no = m.head"""
+
+
+view("parsed", ["log_lines"], _parsed("log_lines"))
+query("parse_logs", ["parsed"], "SELECT * FROM parsed")
+view("headed", ["parsed"], _headed("parsed"))
+view("file_lines", ["log_lines"], """
+SELECT cluster_name, CAST(row_number() OVER (PARTITION BY cluster_name ORDER BY line_no) AS BIGINT) AS line_no, text FROM log_lines""")
+view("file_parsed", ["file_lines"], _parsed("file_lines"))
+query("log_files_stream", ["file_parsed"], _headed("file_parsed"))
 query("log_at_least_info", ["headed"], "SELECT cluster_name, line_no, level FROM headed WHERE level IN ('INFO', 'WARNING', 'ERROR', 'CRITICAL')")
 query("message_sizes", ["headed"], """
 SELECT cluster_name, start_line, any_value(logged_at) AS logged_at, any_value(level) AS level, count(*) AS n_lines
@@ -863,6 +877,10 @@ query("scan_layers_yaml", ["clusters"], "SELECT cluster_name, key, value FROM cl
 query("bad_documents", ["seed"], """
 SELECT CASE WHEN k % 45 = 10 THEN 'a%zz-' || k ELSE cluster_name END AS cluster_name, 'malformed' AS problem, f AS format
 FROM seed, (VALUES ('json'), ('yaml')) t(f) WHERE k % 45 IN (9, 10) OR (f = 'yaml' AND k % 45 IN (11, 12, 14))""")
+query("cluster_files", ["clusters", "seed"], """
+SELECT cluster_name, key, value, CAST(NULL AS VARCHAR) AS problem FROM clusters
+UNION ALL SELECT cluster_name || CASE WHEN k % 45 = 9 THEN '-cut' ELSE '-bytes' END, NULL, NULL, 'malformed' FROM seed WHERE k % 45 IN (9, 11)""")
+Q["cluster_files_stream"] = Q["cluster_files"]
 query("list_artifacts", ["artifacts"], "SELECT cluster_name, file, regexp_replace(file, '\\.[^.]*$', '') AS stem FROM artifacts")
 query("context_sink", ["context"], """
 SELECT cluster_name, key, value FROM context WHERE value <> 'null'
