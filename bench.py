@@ -4,8 +4,8 @@
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is fully executed (written to a no-op sink) and timed end to end,
 planning included; the value is the sum over the queries. The per-cluster
-settings table is checkpointed once (its own timed step) and the planning
-queries after it read the checkpoint, as a job reusing it would.
+settings and the address plan are checkpointed once (their own timed step) and
+the queries after it read the checkpoint, as a job reusing it would.
 """
 
 from __future__ import annotations
@@ -39,9 +39,13 @@ def headline(spark, sf_dir):
         kept["records"] = write_table(old, "bench-recorded")
         return kept["records"]
 
+    def supplied():
+        kept["supplied"] = write_table(f.supplied, "bench-supplied")
+        return kept["supplied"]
+
     return {
-        # the per-cluster settings table, with the documents, written once
-        # (timed here); every later query reads it
+        # the per-cluster settings, with the documents, and the address plan,
+        # written once (timed here); every later query reads them
         "fleet_checkpoint": lambda: f.materialize().settings,
         "effective_config": lambda: f.effective,
         "address_plan": lambda: address.addresses(f.plan),
@@ -53,8 +57,10 @@ def headline(spark, sf_dir):
         "check_plan": lambda: address.check_plan(f.plan),
         "context": lambda: f.context,
         "variables": lambda: config.variables_long(f.plan),
-        "check_contract": lambda: validate.check_contract(f.supplied),
-        "check_counts": lambda: validate.check_counts(f.supplied),
+        # the variable files as supplied: an input, written once (timed here)
+        "supplied": supplied,
+        "check_contract": lambda: validate.check_contract(kept["supplied"]),
+        "check_counts": lambda: validate.check_counts(kept["supplied"]),
         "install": lambda: config.to_install_struct(f.plan, f.files),
         "phase_plan": lambda: runs.phase_plan(c.runs, c.settings),
         "missing_tools": lambda: validate.missing_tools(c.runs, c.settings, c.host_tools),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import ipv4 as ip
 from ..functions import jsonvalue as J
 from ..sources.fixed_values import ALLOCATION_ENDPOINT
-from .validate import identity_allowed, planning_allowed
+from .validate import planning_allowed, started
 
 # --------------------------------------------------------------------------- N1
 def allocation_requests(fleet: DataFrame) -> DataFrame:
@@ -23,11 +23,12 @@ def allocation_requests(fleet: DataFrame) -> DataFrame:
     an absent vrf is 'default'). Refused clusters ask for nothing; the network
     name is read after the request, so it is not asked for here."""
     url = J.as_text("vlan_manager_url")
-    return fleet.where((F.col("segment") == "") & identity_allowed()).select(
-        "cluster_name",
-        "site",
-        J.as_text("vlan_manager_vrf").alias("vrf"),
-        F.concat(F.regexp_replace(url, "/+$", ""), F.lit(ALLOCATION_ENDPOINT)).alias("endpoint"),
+    return started(
+        fleet.where(F.col("segment") == ""),
+        cluster_name=F.col("cluster_name"),
+        site=F.col("site"),
+        vrf=J.as_text("vlan_manager_vrf"),
+        endpoint=F.concat(F.regexp_replace(url, "/+$", ""), F.lit(ALLOCATION_ENDPOINT)),
     )
 
 

@@ -9,6 +9,8 @@ Only the inventory lookup joins another table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,22 +214,20 @@ def datacenters(index: DataFrame) -> DataFrame:
     )
 
 
-def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Look up inventory ids by name within the cluster's datacenter (the port
-    group also on the switch). ``fleet``: wide settings rows. Returns (ids,
-    issues):
+INVENTORY_IDS = ("datacenter_id", *[out for _, _, out in INVENTORY_LOOKUPS], "guest_id", "thin_provisioned")
 
-    ids: cluster_name, datacenter_id, compute_cluster_id, datastore_cluster_id,
-    dvs_id, network_id, template_id, guest_id, thin_provisioned (NULL where the
-    lookup failed); issues: cluster_name, object, name, problem ('missing' or
-    'ambiguous').
+
+def _looked_up(fleet: DataFrame, inv: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``cluster_name``, the ``carry`` columns and ``INVENTORY_IDS`` of each wide
+    row, with what each id was looked up by (``__ref_...``) and why it is missing
+    (``__problem_...``).
 
     Structural objects come in one small row per datacenter; all of a cluster's
     lookups in it are map reads. Port groups, as many as clusters, are one plain
     join on (datacenter, switch, name)."""
     keys = ["datacenter"] + [k for _, k, _ in INVENTORY_LOOKUPS]
     index = inventory_index(inv)
-    f = fleet.select("cluster_name", *[J.as_text(k).alias(f"__ref_{k}") for k in keys])
+    f = fleet.select("cluster_name", *carry, *[J.as_text(k).alias(f"__ref_{k}") for k in keys])
     places = datacenters(index.where(F.col("kind") != "network"))
     f = dim_join(f.withColumn("__dc", F.col("__ref_datacenter")), places, "__dc", "left", row_key="cluster_name")
     problem = lambda ref, n: F.when(F.col(ref).isNull() | n.isNull(), F.lit("missing")).when(n > 1, F.lit("ambiguous"))
@@ -242,13 +242,23 @@ def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, Data
     )
     f = f.join(ports, ["datacenter_id", "dvs_id", "__ref_vm_network"], "left")
     f = f.withColumns({"network_id": F.when(F.col("__n") == 1, F.col("__id")), "__problem_network_id": problem("__ref_vm_network", F.col("__n"))})
-    outs = ["datacenter_id"] + [o for _, _, o in INVENTORY_LOOKUPS]
     found = F.col("template_id").isNotNull()
-    ids = f.select(
-        "cluster_name", *outs,
-        F.when(found, F.col("__template_id.guest_id")).alias("guest_id"),
-        F.when(found, F.col("__template_id.thin")).alias("thin_provisioned"),
-    )
+    return f.withColumns({"guest_id": F.when(found, F.col("__template_id.guest_id")), "thin_provisioned": F.when(found, F.col("__template_id.thin"))})
+
+
+def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Look up inventory ids by name within the cluster's datacenter (the port
+    group also on the switch). ``fleet``: wide settings rows. Returns (ids,
+    issues):
+
+    ids: cluster_name, datacenter_id, compute_cluster_id, datastore_cluster_id,
+    dvs_id, network_id, template_id, guest_id, thin_provisioned (NULL where the
+    lookup failed); issues: cluster_name, object, name, problem ('missing' or
+    'ambiguous')."""
+    f = _looked_up(fleet, inv)
+    ids = f.select("cluster_name", *INVENTORY_IDS)
+    keys = ["datacenter"] + [k for _, k, _ in INVENTORY_LOOKUPS]
+    outs = ["datacenter_id"] + [o for _, _, o in INVENTORY_LOOKUPS]
     objects = ["datacenter"] + [k for k, _, _ in INVENTORY_LOOKUPS]
     issue = lambda obj, key, o: F.struct(F.lit(obj).alias("object"), F.col(f"__ref_{key}").alias("name"), F.col(f"__problem_{o}").alias("problem"))
     rows = F.array(*[issue(obj, key, o) for obj, key, o in zip(objects, keys, outs, strict=True)])
@@ -259,15 +269,16 @@ def resolve_inventory(fleet: DataFrame, inv: DataFrame) -> tuple[DataFrame, Data
 def node_specs(plan: DataFrame, inv: DataFrame) -> DataFrame:
     """One placement row per VM: VM name (first label), folder
     ``<vsphere_folder>/<name>``, resource pool (the name), sizing, boot
-    arguments and inventory ids."""
-    ids, _ = resolve_inventory(plan, inv)
-    withids = plan.join(ids, "cluster_name", "left").withColumns(
+    arguments and inventory ids. The ids are looked up in the plan's own row."""
+    wide = plan.withColumns(
         {
             "folder": F.concat(text_or_empty("vsphere_folder"), F.lit("/"), F.col("name")),
             "__size": sizing_by_role(),
             "__dns1": F.try_element_at(J.as_str_array("dns_servers"), F.lit(1)),
         }
     )
+    own = ("name", "base_domain", "net", "folder", "__size", "gateway", "netmask", "__dns1", "bootstrap_offset", *[c for _, c in ROLE_OFFSETS])
+    withids = _looked_up(wide, inv, own)
     carry = [
         "name", "folder", "__size", "gateway", "netmask", "__dns1", "datacenter_id", "compute_cluster_id",
         "datastore_cluster_id", "network_id", "template_id", "guest_id", "thin_provisioned",

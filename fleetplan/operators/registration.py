@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonvalue as J
 from ..functions.joins import dim_join
 from ..sources.fixed_values import SECRET_TYPE_LABEL
-from .validate import identity_allowed
+from .validate import started
 
 
 def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -> DataFrame:
@@ -19,11 +19,12 @@ def registration_candidates(runs: DataFrame, fleet: DataFrame, env: DataFrame) -
     'plain' (a truthy token value), else 'env' (the named variable is set and
     non-empty), else 'none' (not registrable). Runs on refused clusters reach
     nothing. Columns: run_id, cluster_name, token_source, registrable."""
-    f = fleet.where(identity_allowed()).select(
-        "cluster_name",
-        J.truthy("argocd_hub_api_url").alias("__hub"),
-        J.truthy("argocd_hub_token").alias("__plain"),
-        F.coalesce(J.as_text("argocd_hub_token_env"), F.lit("")).alias("__env_name"),
+    f = started(
+        fleet,
+        cluster_name=F.col("cluster_name"),
+        __hub=J.truthy("argocd_hub_api_url"),
+        __plain=J.truthy("argocd_hub_token"),
+        __env_name=F.coalesce(J.as_text("argocd_hub_token_env"), F.lit("")),
     )
     live = runs.where(~F.col("destroy") & ~F.col("skip_terraform") & ~F.col("skip_argocd"))
     j = live.join(f, "cluster_name").where(F.col("__hub"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonvalue as J
 from ..functions.scans import running_max_within
 from ..sources.fixed_values import LOG_FACTS, LOG_LEVELS, LOG_LINE, PHASES
-from .validate import identity_allowed
+from .validate import started
 
 LINES_PER_CHUNK = 4096
 
@@ -25,7 +25,7 @@ def phase_plan(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     provisioning phase, so skipping it skips them; registration also needs a
     truthy hub URL. A run on a refused cluster ends before its first phase and
     has no rows. Columns: run_id, ordinal, phase, enabled."""
-    hub = fleet.where(identity_allowed()).select("cluster_name", J.truthy("argocd_hub_api_url").alias("__hub"))
+    hub = started(fleet, cluster_name=F.col("cluster_name"), __hub=J.truthy("argocd_hub_api_url"))
     # per-cluster table on its unique key: a plain join (AQE broadcasts it when
     # small at run time and splits a run-heavy cluster with its skew handling)
     j = runs.join(hub, "cluster_name")

@@ -35,6 +35,14 @@ def identity_allowed() -> Column:
     return good & (site != "") & F.col("site_known")
 
 
+def started(fleet: DataFrame, **columns: Column) -> DataFrame:
+    """``columns`` of the clusters that a run may start on. They come out of a
+    generator: a filter would be pushed below the projections that compute the
+    name and the site, with all of them copied into it."""
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return fleet.select(F.inline(F.when(identity_allowed(), F.array(row))))
+
+
 def planning_allowed() -> Column:
     """Whether a wide settings row passes V1 to V3, so that the tool would go on
     to plan it: a run may start, and the network that planning needs is named."""
@@ -84,11 +92,12 @@ def check_conditional(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     segment needs a VLAN manager URL. Destroy runs need neither, and runs on
     refused clusters never come to it.
     Columns: run_id, cluster_name, rule, detail."""
-    f = fleet.where(identity_allowed()).select(
-        "cluster_name",
-        F.col("segment").alias("__own_segment"),
-        J.truthy("wildcard_dns_api_url").alias("__dns_ok"),
-        J.truthy("vlan_manager_url").alias("__vlan_ok"),
+    f = started(
+        fleet,
+        cluster_name=F.col("cluster_name"),
+        __own_segment=F.col("segment"),
+        __dns_ok=J.truthy("wildcard_dns_api_url"),
+        __vlan_ok=J.truthy("vlan_manager_url"),
     )
     j = runs.join(f, "cluster_name")
     live = ~F.col("destroy")
@@ -107,37 +116,41 @@ def check_contract(supplied: DataFrame, contract: Sequence[tuple[str, str, bool,
     declared contract: required ones present, numbers parse, lists parse;
     undeclared names are reported. Columns: cluster_name, variable, rule.
 
-    One aggregate by cluster (its variables file, a few dozen rows), then every
-    rule inside that row."""
+    What a value breaks is known from its row alone. Which required names a
+    cluster lacks takes one bit each, put together before the shuffle: a cluster
+    is eight bytes there."""
     names = {kind: [n for n, t, _, _ in contract if t == kind] for kind in ("number", "list(string)")}
-    required = F.array(*[F.lit(n) for n, _, needed, _ in contract if needed])
-    declared = [n for n, *_ in contract]
-    given = supplied.groupBy("cluster_name").agg(F.collect_list(F.struct("variable", "value")).alias("__given"))
-    v = lambda x: x["value"]
-    rule = lambda x: (
-        F.when(~x["variable"].isin(*declared), F.lit("undeclared"))
-        .when(F.array_contains(required, x["variable"]) & v(x).isNull(), F.lit("missing_required"))
-        .when(x["variable"].isin(*names["number"]) & v(x).try_cast("double").isNull(), F.lit("not_a_number"))
-        .when(x["variable"].isin(*names["list(string)"]) & F.from_json(v(x), "array<string>").isNull(), F.lit("not_a_list"))
-    )
-    found = F.transform("__given", lambda x: F.struct(x["variable"].alias("variable"), rule(x).alias("rule")))
-    absent = F.transform(
-        F.array_except(required, F.transform("__given", lambda x: x["variable"])),
-        lambda n: F.struct(n.alias("variable"), F.lit("missing_required").alias("rule")),
+    required = [n for n, _, needed, _ in contract if needed]
+    name, value = F.col("variable"), F.col("value")
+    rule = (
+        F.when(~name.isin(*[n for n, *_ in contract]), F.lit("undeclared"))
+        .when(name.isin(*required) & value.isNull(), F.lit("missing_required"))
+        .when(name.isin(*names["number"]) & value.try_cast("double").isNull(), F.lit("not_a_number"))
+        .when(name.isin(*names["list(string)"]) & J.as_str_array(value).isNull(), F.lit("not_a_list"))
     )
-    return given.select("cluster_name", F.inline(F.concat(F.filter(found, lambda x: x["rule"].isNotNull()), absent)))
+    broken = supplied.select("cluster_name", "variable", rule.alias("rule")).where(F.col("rule").isNotNull())
+    bit = F.lit(None).cast("bigint")
+    for i, n in enumerate(required):
+        bit = F.when(name == n, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    given = supplied.groupBy("cluster_name").agg(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")).alias("__given"))
+    lacks = F.array_compact(F.array(*[F.when(F.col("__given").bitwiseAND(F.lit(1 << i).cast("bigint")) == 0, F.lit(n)) for i, n in enumerate(required)]))
+    missing = given.select("cluster_name", F.explode(lacks).alias("variable"), F.lit("missing_required").alias("rule"))
+    return broken.unionByName(missing)
 
 
 def check_counts(supplied: DataFrame) -> DataFrame:
     """V7: supplied counts equal the lengths of the supplied lists. A count or a
-    list that is missing or doesn't parse differs from one that is there."""
-    value = lambda name: F.max(F.when(F.col("variable") == name, F.col("value")))
+    list that is missing or doesn't parse differs from one that is there.
+
+    Each value becomes a number in its row, before the aggregate."""
     roles = ("control_plane", "compute", "infra")
-    sides = [x for r in roles for x in (value(f"{r}_count").alias(f"{r}_count"), value(f"{r}_ips").alias(f"{r}_ips"))]
-    rows = supplied.groupBy("cluster_name").agg(*sides)
-    count = lambda r: F.coalesce(F.col(f"{r}_count").try_cast("int"), F.lit(-1))
-    length = lambda r: F.coalesce(F.size(J.as_str_array(f"{r}_ips")), F.lit(-1))
-    rules = [(f"{r}_count", count(r) != length(r), f"{r}_count") for r in roles]
+    name, value = F.col("variable"), F.col("value")
+    sides = supplied.where(name.isin(*[f"{r}_{side}" for r in roles for side in ("count", "ips")])).select(
+        "cluster_name", "variable", F.when(name.endswith("_count"), value.try_cast("int")).otherwise(F.size(J.as_str_array("value"))).alias("__n")
+    )
+    number = lambda n: F.coalesce(F.max(F.when(name == n, F.col("__n"))), F.lit(-1)).alias(n)
+    rows = sides.groupBy("cluster_name").agg(*[number(f"{r}_{side}") for r in roles for side in ("count", "ips")])
+    rules = [(f"{r}_count", F.col(f"{r}_count") != F.col(f"{r}_ips"), f"{r}_count") for r in roles]
     return _violations(rows, ["cluster_name"], rules)
 
 
@@ -146,11 +159,12 @@ def required_tools(runs: DataFrame, fleet: DataFrame) -> DataFrame:
     ``oc`` is needed when the readiness loop runs or a hub URL is set, whatever
     skip_argocd says; destroy runs go through the same check, runs on refused
     clusters don't get there."""
-    f = fleet.where(identity_allowed()).select(
-        "cluster_name",
-        F.coalesce(J.as_text("openshift_install_bin"), F.lit("openshift-install-4.20")).alias("__install"),
-        F.coalesce(J.as_text("terraform_bin"), F.lit("terraform")).alias("__tf"),
-        J.truthy("argocd_hub_api_url").alias("__hub"),
+    f = started(
+        fleet,
+        cluster_name=F.col("cluster_name"),
+        __install=F.coalesce(J.as_text("openshift_install_bin"), F.lit("openshift-install-4.20")),
+        __tf=F.coalesce(J.as_text("terraform_bin"), F.lit("terraform")),
+        __hub=J.truthy("argocd_hub_api_url"),
     )
     j = runs.join(f, "cluster_name")
     need = F.array(

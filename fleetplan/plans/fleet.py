@@ -113,16 +113,19 @@ class Fleet:
         return config.merge_settings(self.docs, self.defaults, self.sites, profiles=self.profiles)
 
     def materialize(self) -> "Fleet":
-        """Cut lineage at the per-cluster settings table, which holds the
-        documents too and which every output reads: it is written once as a
-        table in the shared folder named by ``spark.checkpoint.dir`` (it survives
-        executor loss; never a local checkpoint) and read back."""
+        """Cut lineage at the per-cluster settings, which hold the documents too,
+        and at the address plan made from them: what every output reads. Each is
+        written once as a table in the shared folder named by
+        ``spark.checkpoint.dir`` (it survives executor loss; never a local
+        checkpoint) and read back. Outputs then plan and compile their own
+        expressions alone."""
         derived = ("docs", "identity", "effective", "settings", "settings_long", "fleet", "plan", "nodes", "records", "clusters", "context")
         settings = write_table(self.settings, "settings")
         for name in derived:
             self.__dict__.pop(name, None)
         self.__dict__["settings"] = settings
         self.__dict__["docs"] = settings.select("cluster_name", "doc")
+        self.__dict__["plan"] = write_table(self.plan, "plan")
         return self
 
     # addressing and roster ------------------------------------------------------

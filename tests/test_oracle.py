@@ -61,7 +61,7 @@ def test_joins_without_broadcast_give_the_same(spark, duck, name, monkeypatch):
 
 def test_stored_tables_hold_no_secret(spark):
     fleet = Fleet(spark, SF_SMALL).materialize()
-    for table in (fleet.settings, fleet.docs, fleet.profiles):
+    for table in (fleet.settings, fleet.docs, fleet.profiles, fleet.plan):
         assert not [r for r in table.collect() if SECRETS.search(str(r).replace("'", "\n"))]
 
 
