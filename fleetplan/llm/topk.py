@@ -150,12 +150,12 @@ def _block_counts(rows: DataFrame, size: int) -> DataFrame:
 
 def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
     """Rows of one length in blocks of about ``size``: ``dims``, the block's
-    number, ids and the vectors end to end. Placing is by a hash of the row."""
+    number, ids, row numbers and the vectors end to end. Placing is by a hash of the row."""
     placed = rows.withColumn("dims", F.size("v")).join(F.broadcast(_block_counts(rows, size)), "dims")
-    placed = placed.withColumn(name, F.pmod(F.xxhash64("vec_id", "v"), F.col("n")))
+    placed = placed.withColumn(name, F.pmod(F.xxhash64("vec_id", "row"), F.col("n")))
     # A block holds about ``size`` vectors, whatever the data: a bounded group.
-    block = placed.groupBy("dims", name).agg(F.sort_array(F.collect_list(F.struct("vec_id", "v"))).alias("members"))
-    return block.select("dims", name, F.col("members.vec_id").alias(f"{name}_ids"), F.flatten("members.v").alias(f"{name}_v"))
+    block = placed.groupBy("dims", name).agg(F.sort_array(F.collect_list(F.struct("vec_id", "row", "v"))).alias("members"))
+    return block.select("dims", name, F.col("members.vec_id").alias(f"{name}_ids"), F.col("members.row").alias(f"{name}_rows"), F.flatten("members.v").alias(f"{name}_v"))
 
 
 def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, query_block: int = 512) -> DataFrame:
@@ -167,42 +167,40 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, quer
     rows, reads blocks of queries against it, and passes on k rows for each
     query. Blocks hold a bounded number of rows and are spread by hash, so equal
     vectors and hot labels don't gather. Vectors of different lengths never
-    meet. Where rows repeat an id, one of them (the least vector) asks, none of
-    them is an answer to it, and all are candidates of other queries. An empty
-    table gives no rows.
+    meet. Rows that repeat an id are rows of their own: each asks, with its own
+    ``k`` result rows, and may answer the others. An empty table gives no rows.
     """
-    kept = stored(rows, "topk-vectors")
+    # The row number is written with the rows, so it stays what it is from here on.
+    kept = stored(rows.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     tasks = 2 * (kept.count() // block + 1)
     # Explicit partition counts: merging small partitions would put all blocks into one task.
     indexed = _blocks(kept, block, "c").repartition(tasks, "dims", "c")
-    asked = kept.where(is_query).groupBy("vec_id").agg(F.min("v").alias("v"))
-    queries = stored(_blocks(asked, query_block, "q"), "topk-queries").join(F.broadcast(_block_counts(kept, block)), "dims")
+    queries = stored(_blocks(kept.where(is_query), query_block, "q"), "topk-queries").join(F.broadcast(_block_counts(kept, block)), "dims")
     copies = queries.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n")
     units = indexed.join(copies.repartition(tasks, "dims", "c"), ["dims", "c"])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, index = None, None
         for batch in batches:
-            for dims, c, c_ids, c_v, q_ids, q_v in batch[["dims", "c", "c_ids", "c_v", "q_ids", "q_v"]].itertuples(index=False):
+            for dims, c, c_ids, c_rows, c_v, q_ids, q_rows, q_v in batch[["dims", "c", "c_ids", "c_rows", "c_v", "q_ids", "q_rows", "q_v"]].itertuples(index=False):
                 if held != (dims, c):
                     held, index = (dims, c), BitSlices.build(np.asarray(c_v, np.int64).reshape(-1, dims))
-                ids, own = np.asarray(c_ids), np.asarray(q_ids)
+                ids, place = np.asarray(c_ids), {row: at for at, row in enumerate(c_rows)}
                 out = []
-                for q, vector in zip(own, np.asarray(q_v, np.int64).reshape(-1, dims), strict=True):
-                    a, b = np.searchsorted(ids, [q, q + 1])
+                for q, row, vector in zip(q_ids, q_rows, np.asarray(q_v, np.int64).reshape(-1, dims), strict=True):
                     skip = None
-                    if a < b:
+                    if row in place:
                         marked = np.zeros((1, len(index.full) * 64), np.uint8)
-                        marked[0, a:b] = 1
+                        marked[0, place[row]] = 1
                         skip = _pack(marked)[0]
                     at, value = index.top(vector, k, ids, skip)
-                    out.append(pd.DataFrame({"query_id": q, "vec_id": ids[at], "score": value}))
+                    out.append(pd.DataFrame({"query_row": row, "query_id": q, "vec_id": ids[at], "score": value}))
                 if out:
                     yield pd.concat(out, ignore_index=True).astype("int64")
 
-    found = units.mapInPandas(search, "query_id long, vec_id long, score long")
+    found = units.mapInPandas(search, "query_row long, query_id long, vec_id long, score long")
     # The rank filter keeps k rows for each query before the shuffle as well.
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
