@@ -10,6 +10,7 @@ windows are tested too.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import itertools
 import re
@@ -88,11 +89,26 @@ def _known(run: str) -> bool:
     return bool(NUMBER.fullmatch(run) or UUID.fullmatch(run) or (len(run) in DIGEST_LENGTHS and HEX_ANY.fullmatch(run)))
 
 
-def _free(start: int, end: int, text: str, taken: Sequence[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """What ``taken``, identifiers and digests leave of a run."""
+def _cover(spans: Sequence[tuple[int, int, str]]) -> tuple[list[int], list[int]]:
+    """The starts and the ends of the disjoint ranges that ``spans``, ordered by
+    start, cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, b, _ in spans:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(b, ends[-1])
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def _free(start: int, end: int, text: str, cover: tuple[list[int], list[int]]) -> list[tuple[int, int]]:
+    """What the ranges of ``cover``, identifiers and digests leave of a run."""
     inside = [(start + m.start(), start + m.end()) for m in KNOWN_PART.finditer(text[start:end])]
+    first, last = bisect.bisect_right(cover[1], start), bisect.bisect_left(cover[0], end)
     out, at = [], start
-    for a, b in sorted([*inside, *((a, b) for a, b, _ in taken if a < end and start < b)]):
+    for a, b in sorted([*inside, *zip(cover[0][first:last], cover[1][first:last], strict=True)]):
         out.append((at, a))
         at = max(at, b)
     return [*out, (at, end)]
@@ -139,30 +155,45 @@ def _stretches(run: str, tokens: Sequence[int], test: Efficiency) -> list[tuple[
     return out
 
 
-def _grown(run: str, a: int, b: int) -> tuple[int, int]:
-    """A stretch moved out to the next separators, and beyond them over parts
-    that mix classes: a secret may hold separators itself."""
-    at = [(m.start(), m.end()) for m in PART.finditer(run)]
-    a, b = (next((p for p, q in at if p <= a < q), a), next((q for p, q in at if p < b <= q), b))
-    for p, q in reversed(at):
-        if a - 1 <= q <= a and MIXED.search(run[p:q]):
-            a = p
-    for p, q in at:
-        if b <= p <= b + 1 and MIXED.search(run[p:q]):
-            b = q
-    return a, b
+class _Growth:
+    """Moves a stretch of a run out to the next separators, and beyond them over
+    parts that mix classes: a secret may hold separators itself. How far that
+    goes from each part is worked out once for the run."""
+
+    def __init__(self, run: str):
+        parts = [(m.start(), m.end(), bool(MIXED.search(m[0]))) for m in PART.finditer(run)]
+        self.starts, self.ends, self.mixed = map(list, zip(*parts, strict=True)) if parts else ([], [], [])
+        self.lead, self.tail = list(self.starts), list(self.ends)
+        for i in range(1, len(parts)):
+            self.lead[i] = self._left(self.starts[i], i - 1)
+        for i in range(len(parts) - 2, -1, -1):
+            self.tail[i] = self._right(self.ends[i], i + 1)
+
+    def _left(self, a: int, i: int) -> int:
+        """Where a stretch from ``a`` begins, part ``i`` being the last before it."""
+        return self.lead[i] if i >= 0 and self.ends[i] >= a - 1 and self.mixed[i] else a
+
+    def _right(self, b: int, i: int) -> int:
+        return self.tail[i] if i < len(self.starts) and self.starts[i] <= b + 1 and self.mixed[i] else b
+
+    def of(self, a: int, b: int) -> tuple[int, int]:
+        i = bisect.bisect_right(self.starts, a) - 1
+        begin = self.lead[i] if i >= 0 and a < self.ends[i] else self._left(a, i)
+        j = bisect.bisect_left(self.ends, b)
+        end = self.tail[j] if j < len(self.ends) and self.starts[j] < b else self._right(b, j)
+        return begin, end
 
 
 def random_spans(text: str, taken: Sequence[tuple[int, int, str]], encoding: tiktoken.Encoding, test: Efficiency) -> list[tuple[int, int, str]]:
-    """Spans of low token efficiency that meet no span in ``taken``: whole runs,
-    or else their parts between separators and their stretches."""
+    """Spans of low token efficiency that meet no span in ``taken`` (ordered by
+    start): whole runs, or else their parts between separators and their stretches."""
 
     def few(run: str, n_tokens: int) -> bool:
         return len(run) <= test.limit(run) * n_tokens
 
-    found = []
+    found, cover = [], _cover(taken)
     for m in re.finditer(rf"[A-Za-z0-9+/_=-]{{{test.min_chars},}}", text):
-        for start, end in _free(m.start(), m.end(), text, taken):
+        for start, end in _free(m.start(), m.end(), text, cover):
             run = text[start:end]
             if len(run) < test.min_chars or _known(run):
                 continue
@@ -174,7 +205,8 @@ def random_spans(text: str, taken: Sequence[tuple[int, int, str]], encoding: tik
             low = [(a, b) for a, b in parts if not _known(run[a:b]) and few(run[a:b], len(encoding.encode_ordinary(run[a:b])))]
             merged: list[list[int]] = []
             low += _stretches(run, [len(encoding.decode_single_token_bytes(i)) for i in ids], test)
-            for a, b in sorted(_grown(run, a, b) for a, b in low):
+            grown = _Growth(run) if low else None
+            for a, b in sorted(grown.of(a, b) for a, b in low):
                 if merged and a < merged[-1][1]:
                     merged[-1][1] = max(b, merged[-1][1])
                 else:
@@ -200,8 +232,9 @@ def find_secrets(docs: DataFrame, text: str = "text", into: str = "secrets", voc
     array of (kind, start, end) with code-point offsets, end exclusive.
 
     A null text counts as empty; null, empty and clean texts get empty arrays.
-    Repeated rows are scanned as they come; other columns pass unread. The
-    vocabulary file must lie at ``vocab`` on every executor.
+    Repeated rows are scanned as they come; other columns pass unread, but a
+    column named ``into`` is replaced. The vocabulary file must lie at ``vocab``
+    on every executor.
     """
     path = vocab or public_tokenizers.path(DEFAULT_VOCAB)
 
