@@ -3,8 +3,9 @@
 The distinct words of one batch of a partition become one long array of
 symbols with links to the neighbours. An index maps each rank (a mergeable
 pair) to the positions where it occurs. Active ranks are applied in ascending
-order, each to all of its positions at once; a merge changes at most two
-neighbouring pairs, and those positions are added to the lists of their ranks.
+order, each to all of its positions at once (to one in each word, where the new
+symbol may make a pair of lower rank); a merge changes at most two neighbouring
+pairs, and those positions are added to the lists of their ranks.
 Positions that have gone stale are recognised when their rank is applied.
 """
 
@@ -79,6 +80,10 @@ class PairIndexBpe:
         self._left, self._right = pairs.T
         self._order = np.argsort(keys, kind="stable")
         self._keys = keys[self._order]
+        # Ranks whose new symbol is in no pair of the same or a lower rank: their merges don't depend on each other.
+        least = np.full(self._base, len(keys), np.int64)
+        np.minimum.at(least, pairs, np.arange(len(pairs))[:, None])
+        self._settled = least[self._into] > np.arange(len(pairs))
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, -1 where the pair never merges."""
@@ -144,15 +149,22 @@ class PairIndexBpe:
         while active:
             rank = heapq.heappop(active)
             found = lists.pop(rank)
-            at = np.unique(np.concatenate(found)) if len(found) > 1 else np.sort(found[0])
+            at = np.unique(np.concatenate(found))
             right = after[at]
             valid = (right >= 0) & (symbol[at] == self._left[rank]) & (symbol[right] == self._right[rank])
             at = at[valid]
             if not len(at):
                 continue
-            # One merge for each word, the leftmost: a merge may make a pair of lower rank.
-            first = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
-            later, at = at[~first], at[first]
+            if self._settled[rank]:
+                # Of pairs that overlap (aaa), every other one from the left.
+                fresh_start = np.concatenate([[True], at[1:] != right[valid][:-1]])
+                place = np.arange(len(at))
+                at = at[(place - np.maximum.accumulate(np.where(fresh_start, place, 0))) % 2 == 0]
+                later = at[:0]
+            else:
+                # One merge for each word, the leftmost: a merge may make a pair of lower rank.
+                first = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
+                later, at = at[~first], at[first]
             right = after[at]
             symbol[at] = self._into[rank]
             symbol[right] = -1
@@ -211,7 +223,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", vocab: str |
     Null and empty texts, and texts of white space, give an empty array.
     Special tokens of the vocabulary are recognised inside texts. Whole texts
     are encoded, repeated rows alike; other columns pass unread. An Arrow batch
-    (64 MB by Spark's default) bounds the memory of a task.
+    (16 MB in the registered query) bounds the memory of a task.
     """
     path = _path(vocab)
     run = text_frame(lambda texts: {"ids": [x.astype(np.int64) for x in codec(path).encode(texts)]}, "ids array<long>")

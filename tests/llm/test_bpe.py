@@ -42,6 +42,21 @@ def test_merges_within_a_word_go_one_by_one():
     same(["".join(p) * k for p in (("a", "b"), ("th", "e"), ("in", "g"), ("s", "s", "t")) for k in range(1, 40)])
 
 
+def test_long_words():
+    rng = random.Random(2)
+    same(["".join(rng.choices(alphabet, k=200_000)) for alphabet in ("abcdefghijklmnopqrstuvwxyz", "aab", "th", "é")])
+
+
+def test_merging_one_by_one_gives_the_same():
+    """Vocabularies whose new symbols may make lower ranks merge one place of a
+    word at a time; here that must make no difference."""
+    careful = B.PairIndexBpe(PATH)
+    careful._settled[:] = False
+    rng = random.Random(3)
+    texts = ["".join(rng.choices("aabtheing", k=rng.randint(1, 80))) for _ in range(300)]
+    assert [x.tolist() for x in careful.encode(texts)] == expected(texts) == [x.tolist() for x in B.codec(PATH).encode(texts)]
+
+
 def test_documents(spark):
     texts = ["Hello World", "", None, X.prose(4000), "Ünïcode straße ﬁ 12 <|endoftext|>"]
     got = {r.doc_id: r for r in B.digests(X.documents(spark, texts)).collect()}
