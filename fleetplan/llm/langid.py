@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetplan.llm.common import bounded_sample, fresh, remainder
+from fleetplan.llm.common import bounded_sample, fresh, one_row_each, remainder
 
 UNKNOWN = "und"
 
@@ -168,11 +168,13 @@ def _temperature(logits: np.ndarray, truth: np.ndarray) -> float:
 
 def sample(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> pd.DataFrame:
     """At most ``sample_rows`` labelled rows for which ``learn`` holds, picked by
-    a hash of the id: the same rows however the table is partitioned."""
-    rows = docs.where(F.col("lang").isNotNull() & learn)
-    chosen, order = bounded_sample(rows.select("doc_id"), settings.sample_rows)
-    picked = rows.where(chosen & F.col("text").isNotNull()).select("text", "lang", order.alias("at"), "doc_id")
-    return picked.orderBy("at", "doc_id", "text", "lang").limit(settings.sample_rows).select("text", "lang").toPandas()
+    a hash of the id, one row of each id: the same rows however the table is
+    partitioned. Rows without an id count as one id."""
+    rows = docs.where(F.col("lang").isNotNull() & learn).select("doc_id", "text", "lang")
+    chosen, order = bounded_sample(rows.select("doc_id").distinct(), settings.sample_rows)
+    # About sample_rows ids are left, and one row of each, before anything is sorted.
+    picked = one_row_each(rows.where(chosen & F.col("text").isNotNull()))
+    return picked.orderBy(order, "doc_id").limit(settings.sample_rows).select("text", "lang").toPandas()
 
 
 def train(docs: DataFrame, learn: Column, settings: Settings = Settings()) -> Model:

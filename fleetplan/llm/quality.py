@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetplan.llm.common import bounded_sample, fresh, remainder
+from fleetplan.llm.common import bounded_sample, fresh, one_row_each, remainder
 
 SYMBOLS = "#*$%&|<>"
 STATISTICS = (
@@ -151,14 +151,6 @@ def fit(texts: Sequence[str], n_chars: Sequence[int | None], quality: Sequence[i
     return Machine(bias, weights, factors, edges, settings.buckets, settings.accept)
 
 
-def one_row_each(rows: DataFrame) -> DataFrame:
-    """One row of each ``doc_id``: the least by a hash of the others, chosen in
-    each task before rows are sent on."""
-    names = [c for c in rows.columns if c != "doc_id"]
-    first = F.min_by(F.struct(*names), F.xxhash64(*names)).alias("first")
-    return rows.groupBy("doc_id").agg(first).select("doc_id", "first.*")
-
-
 def train(docs: DataFrame, labels: DataFrame, learn: Column, settings: Settings = Settings()) -> Machine:
     """A machine from at most ``sample_rows`` labelled documents whose id meets
     ``learn``. The labelled ids are sampled first; only their texts are read

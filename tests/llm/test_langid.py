@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -57,3 +59,43 @@ def test_the_sample_does_not_depend_on_partitions(spark):
     one = L.sample(docs.repartition(7), F.lit(True), few)
     two = L.sample(docs.coalesce(1), F.lit(True), few)
     assert len(one) == 60 and one.equals(two)
+
+
+def test_a_repeated_id_is_sampled_once(spark):
+    docs = spark.read.parquet(f"{X.SF}/documents.parquet").select("doc_id", "text", "lang")
+    few = L.Settings(sample_rows=60)
+    copies = spark.range(2000).select(F.lit(10_000_019).alias("doc_id"), F.concat(F.lit("copy "), "id").alias("text"), F.lit("en").alias("lang"))
+    nameless = copies.withColumn("doc_id", F.lit(None).cast("long"))
+    got = L.sample(docs.unionByName(copies).unionByName(nameless), F.lit(True), few)
+    assert len(got) == 60 and got["text"].str.startswith("copy ").sum() <= 2
+
+
+def plain_buckets(text, sizes, buckets):
+    """The letter n-grams of a text and the bucket of each, one by one."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    marked = [0, *(code for word in words for code in [*map(ord, word), 0])]
+    out = []
+    for n in sizes:
+        for i in range(len(marked) - n + 1):
+            gram = marked[i : i + n]
+            if 0 in gram[1:-1]:
+                continue
+            value = n
+            for code in gram:
+                value = (value * 0x9E3779B97F4A7C15 + code) % 2**64
+            value = (value ^ (value >> 29)) * 0xBF58476D1CE4E5B9 % 2**64
+            out.append((value >> 40) % buckets)
+    return out
+
+
+def test_predictions_match_plain_means_over_n_grams(spark):
+    docs = spark.read.parquet(f"{X.SF}/documents.parquet").select("doc_id", "text", "lang")
+    model = L.train(docs, F.lit(True))
+    odd = X.documents(spark, ["the and of a", " le chat, et la 12 souris!", "x", "Das ist gut", "ÀÉÎ ß", "a  b\nc"]).select("doc_id", "text", "lang")
+    few = docs.orderBy("doc_id").limit(40).unionByName(odd.withColumn("doc_id", F.col("doc_id") + 10_000_000))
+    for row in L.predict(few.where("text IS NOT NULL"), model).collect():
+        found = plain_buckets(row.text, model.sizes, len(model.scores))
+        total = [math.exp(sum(float(model.scores[b][k]) for b in found) / len(found)) for k in range(len(model.labels))]
+        best = max(range(len(total)), key=total.__getitem__)
+        assert row.language.lang_pred == model.labels[best]
+        assert abs(row.language.score - total[best] / sum(total)) < 1e-6
