@@ -11,12 +11,18 @@ resolved exactly (by id).
 Signs: components are stored with an offset that makes them non-negative, and a
 negative weight reads the complement of the slices. Both change all scores of a
 query by the same amount, which is taken off at the end.
+
+A block has as many slices as its largest component needs. Blocks of ordinary
+components count in 64-bit integers; one with components that might not fit
+counts in Python's, which have no limit.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -25,9 +31,8 @@ from pyspark.sql import functions as F
 
 from fleetplan.llm.common import stored
 
-LIMIT = 1 << 24  # components stay below it, and
-LONGEST = 1 << 14  # vectors have at most so many, so that scores fit a long
-ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
+LONG = 1 << 63
+KEY_BYTES = 288  # twice a double's largest exponent and the scale, with room for long vectors
 
 
 @dataclass(frozen=True)
@@ -70,7 +75,8 @@ class BitSlices:
         while column < planes or len(carry):
             parts = [carry]
             for b in range(min(self.bits, column + 1)):
-                chosen = (weight >> (column - b)) & 1 if column - b < 63 else weight * 0
+                shift = column - b
+                chosen = (weight >> shift) & 1 if shift < 63 or weight.dtype == object else weight * 0
                 parts.append(self.slices[(first + b)[chosen.astype(bool)]])
             level, carries = np.concatenate(parts), []
             while len(level) > 1:
@@ -112,10 +118,11 @@ class BitSlices:
         if len(rows) + len(border) > k:  # all of the border have one score
             border = border[np.argsort(ids[border], kind="stable")][: k - len(rows)]
         rows = np.concatenate([rows, border])
-        value = np.full(len(rows), base, np.int64)
+        exact = np.int64 if len(scores) < 62 and abs(base) < LONG // 2 else object
+        value = np.full(len(rows), base, exact)
         for b, plane in enumerate(scores):
-            value += ((plane[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64) << b
-        order = np.lexsort((ids[rows], -value))
+            value += ((plane[rows >> 6] >> (rows & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64).astype(exact) << b
+        order = np.array(sorted(range(len(rows)), key=lambda i: (-int(value[i]), ids[rows[i]])), np.int64)
         return rows[order], value[order]
 
 
@@ -127,41 +134,62 @@ def _rows(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.astype("<u8").view(np.uint8), bitorder="little"))
 
 
-def quantised(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = 256) -> DataFrame:
-    """``vec_id`` and ``v``, each component x as floor(scale * x), x as double.
+def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
+    """``vec_id`` and ``v``, the components as they are stored, of the vectors that take part.
 
     Left out are null and empty vectors, vectors with a null or non-finite
-    component, and rows without an id. A component of 2^24 or more, or more than
-    2^14 components, are an error: scores might not fit a long.
+    component, and rows without an id.
     """
     x = F.col(embedding)
-    usable = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double")) != float("inf")), F.lit(False)))
-    rows = vectors.where(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0) & usable)
-    whole = lambda e: F.floor(e.cast("double") * F.lit(float(scale)))
-    fits = lambda v: (F.abs(v) < F.lit(float(LIMIT))) & (F.size(x) <= LONGEST)
-    checked = lambda v: F.when(fits(v), v.cast("int")).otherwise(F.raise_error(F.lit("a vector is too large")).cast("int"))
-    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, lambda e: checked(whole(e))).alias("v"))
+    finite = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e.cast("double")) != float("inf")), F.lit(False)))
+    rows = vectors.where(F.col(vec_id).isNotNull() & x.isNotNull() & (F.size(x) > 0) & finite)
+    return rows.select(F.col(vec_id).cast("long").alias("vec_id"), x.alias("v"))
+
+
+def quantised(components: np.ndarray, dims: int, scale: int = 256) -> np.ndarray:
+    """Vectors end to end as integer rows, each component x as floor(scale * x),
+    x as double: 64-bit integers, or Python's where a sum of them might not fit."""
+    x = np.asarray(components, np.float64).reshape(-1, dims)
+    if np.abs(x).max(initial=0) * scale * dims < LONG // 4:
+        return np.floor(x * scale).astype(np.int64)
+    whole = [math.floor(Fraction(t) * scale) for t in x.ravel().tolist()]
+    out = np.empty(len(whole), object)
+    out[:] = whole
+    return out.reshape(-1, dims)
+
+
+def _ranked(value: np.ndarray) -> tuple[list[int], list[int], list[bytes | None]]:
+    """Scores as columns that sort alike: whether one is above or below a long's
+    range, the long within it, and big-endian bytes of the others."""
+    beyond = [(int(v) >= LONG) - (int(v) < -LONG) for v in value]
+    within = [0 if far else int(v) for v, far in zip(value, beyond, strict=True)]
+    half = 1 << (8 * KEY_BYTES - 1)
+    return beyond, within, [(int(v) + half).to_bytes(KEY_BYTES, "big") if far else None for v, far in zip(value, beyond, strict=True)]
 
 
 def _block_counts(rows: DataFrame, size: int) -> DataFrame:
-    """How many blocks each vector length takes: at most ``LONGEST`` rows."""
-    return rows.groupBy(F.size("v").alias("dims")).agg(F.ceil(F.count("*") / size).cast("long").alias("n"))
+    """How many blocks each vector length takes, a row for each length that
+    occurs. It is written, so that Spark knows its size and broadcasts it only
+    where that is small."""
+    return stored(rows.groupBy(F.size("v").alias("dims")).agg(F.ceil(F.count("*") / size).cast("long").alias("n")), "topk-blocks")
 
 
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows of one length in blocks of about ``size``: ``dims``, the block's
+def _blocks(rows: DataFrame, counts: DataFrame, name: str) -> DataFrame:
+    """Rows of one length in as many blocks as ``counts`` says: ``dims``, the block's
     number, ids, row numbers and the vectors end to end. Placing is by a hash of the row."""
-    placed = rows.withColumn("dims", F.size("v")).join(F.broadcast(_block_counts(rows, size)), "dims")
+    placed = rows.withColumn("dims", F.size("v")).join(counts, "dims")
     placed = placed.withColumn(name, F.pmod(F.xxhash64("vec_id", "row"), F.col("n")))
-    # A block holds about ``size`` vectors, whatever the data: a bounded group.
+    # A block holds about the size counted with, whatever the data: a bounded group.
     block = placed.groupBy("dims", name).agg(F.sort_array(F.collect_list(F.struct("vec_id", "row", "v"))).alias("members"))
     return block.select("dims", name, F.col("members.vec_id").alias(f"{name}_ids"), F.col("members.row").alias(f"{name}_rows"), F.flatten("members.v").alias(f"{name}_v"))
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, query_block: int = 512) -> DataFrame:
-    """For each query row of ``rows`` (``vec_id``, ``v`` from :func:`quantised`)
-    its ``k`` rows of the highest integer inner product, itself excluded, ties to
-    the smaller id: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score``.
+def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, query_block: int = 512, scale: int = 256) -> DataFrame:
+    """For each query row of ``rows`` (``vec_id``, ``v`` from :func:`usable`)
+    its ``k`` rows of the highest inner product of quantised components (by
+    ``scale``), itself excluded, ties to the smaller id: ``query_id``, ``rank``
+    (from 1), ``vec_id``, ``score``. Ranks are exact for all finite components; a
+    score beyond a long is NULL in its column, which is a long by contract.
 
     Every query meets every row, block by block: a task indexes one block of
     rows, reads blocks of queries against it, and passes on k rows for each
@@ -174,8 +202,10 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, quer
     kept = stored(rows.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     tasks = 2 * (kept.count() // block + 1)
     # Explicit partition counts: merging small partitions would put all blocks into one task.
-    indexed = _blocks(kept, block, "c").repartition(tasks, "dims", "c")
-    queries = stored(_blocks(kept.where(is_query), query_block, "q"), "topk-queries").join(F.broadcast(_block_counts(kept, block)), "dims")
+    counts = _block_counts(kept, block)
+    indexed = _blocks(kept, counts, "c").repartition(tasks, "dims", "c")
+    asked = kept.where(is_query)
+    queries = stored(_blocks(asked, _block_counts(asked, query_block), "q"), "topk-queries").join(counts, "dims")
     copies = queries.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).drop("n")
     units = indexed.join(copies.repartition(tasks, "dims", "c"), ["dims", "c"])
 
@@ -184,26 +214,29 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 5, block: int = 8192, quer
         for batch in batches:
             for dims, c, c_ids, c_rows, c_v, q_ids, q_rows, q_v in batch[["dims", "c", "c_ids", "c_rows", "c_v", "q_ids", "q_rows", "q_v"]].itertuples(index=False):
                 if held != (dims, c):
-                    held, index = (dims, c), BitSlices.build(np.asarray(c_v, np.int64).reshape(-1, dims))
+                    held, index = (dims, c), BitSlices.build(quantised(c_v, dims, scale))
                 ids, place = np.asarray(c_ids), {row: at for at, row in enumerate(c_rows)}
                 out = []
-                for q, row, vector in zip(q_ids, q_rows, np.asarray(q_v, np.int64).reshape(-1, dims), strict=True):
+                for q, row, vector in zip(q_ids, q_rows, quantised(q_v, dims, scale), strict=True):
                     skip = None
                     if row in place:
                         marked = np.zeros((1, len(index.full) * 64), np.uint8)
                         marked[0, place[row]] = 1
                         skip = _pack(marked)[0]
                     at, value = index.top(vector, k, ids, skip)
-                    out.append(pd.DataFrame({"query_row": row, "query_id": q, "vec_id": ids[at], "score": value}))
+                    beyond, within, key = _ranked(value)
+                    found = {"query_row": row, "query_id": q, "vec_id": ids[at], "beyond": beyond, "score": within, "key": key}
+                    out.append(pd.DataFrame(found, index=range(len(at))))
                 if out:
-                    yield pd.concat(out, ignore_index=True).astype("int64")
+                    yield pd.concat(out, ignore_index=True)
 
-    found = units.mapInPandas(search, "query_row long, query_id long, vec_id long, score long")
+    found = units.mapInPandas(search, "query_row long, query_id long, vec_id long, beyond int, score long, key binary")
     # The rank filter keeps k rows for each query before the shuffle as well.
-    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_row").orderBy(F.desc("beyond"), F.desc("score"), F.desc("key"), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", F.when(F.col("beyond") == 0, F.col("score")).alias("score"))
 
 
 def nearest(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """The search of ``embeddings``: queries are the ids divisible by ``every``."""
-    return top_k(quantised(vectors), F.col("vec_id") % every == 0, k)
+    return top_k(usable(vectors), F.col("vec_id") % every == 0, k)

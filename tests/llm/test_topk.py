@@ -20,7 +20,7 @@ def brute(rows, is_query, k):
 
 def search(spark, rows, every=5, k=5, **sizes):
     table = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], "vec_id long, embedding array<float>, score int, rank string").repartition(3)
-    out = T.top_k(T.quantised(table), F.col("vec_id") % every == 0, k, **sizes)
+    out = T.top_k(T.usable(table), F.col("vec_id") % every == 0, k, **sizes)
     rows = [tuple(r) for r in out.collect()]
     assert out.columns == ["query_id", "rank", "vec_id", "score"]
     return sorted(rows)
@@ -54,9 +54,25 @@ def test_fewer_rows_than_k_and_none(spark):
     assert search(spark, [(0, [1.0])]) == [] == search(spark, [])
 
 
-def test_too_large_components_are_refused(spark):
-    with pytest.raises(Exception, match="too large"):
-        search(spark, [(0, [1e30]), (5, [1.0])])
+def test_components_of_any_finite_size(spark):
+    rng = np.random.default_rng(9)
+    far = lambda: [float(np.float32(rng.normal() * 10.0 ** rng.integers(-3, 38))) for _ in range(4)]
+    rows = [(i, far()) for i in range(60)] + [(100 + i, [float(np.float32(x)) for x in rng.normal(0, 1e5, 4)]) for i in range(30)]
+    rows += [(200, [65536.0, 0.0, 0.0, 0.0]), (205, [3.4028234663852886e38] * 4), (206, [-3.4028234663852886e38] * 4), (207, [3.4028234663852886e38] * 4), (210, [0.0] * 4)]
+    rows += [(300, [70000.0, -1.0]), (301, [65537.0, 2.5]), (305, [-1.0, 1e6])]  # of another length: they meet each other only
+    fits = lambda s: s if -(1 << 63) <= s < 1 << 63 else None
+    want = [(q, r, i, fits(s)) for q, r, i, s in brute(rows, lambda q: q % 5 == 0, 5)]
+    order = lambda t: t[:3]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    for sizes in ({}, {"block": 16, "query_block": 7}):
+        got = [tuple(r) for r in T.top_k(T.usable(table), F.col("vec_id") % 5 == 0, 5, **sizes).collect()]
+        assert sorted(got, key=order) == sorted(want, key=order)
+    assert None in {t[3] for t in want} and any(t[3] for t in want)
+
+
+def test_long_vectors(spark):
+    rows = [(0, [1.0] * 20000), (1, [0.5] * 20000), (2, [-1.0] * 20000)]
+    assert search(spark, rows) == brute(rows, lambda q: q % 5 == 0, 5)
 
 
 @pytest.mark.parametrize("reach", [1, 3, 300, 1 << 20])
