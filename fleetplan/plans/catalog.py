@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
-from ..operators import address, config, dns, nodes, readiness, registration, runs, validate
+from ..operators import address, config, digests, dns, nodes, readiness, registration, runs, validate
 from ..session import scratch_path, write_table
 from ..sources import documents, files, logs
 from ..streaming import alarms, late
@@ -296,6 +296,14 @@ def q_diff_records(spark, sf_dir):
     return runs.diff_state(desired, recorded, ["cluster_name", "name"], mode="keys_only")
 
 
+@register("diff_state_digest")
+def q_diff_state_digest(spark, sf_dir):
+    """P7 by a digest tree: the answer of ``diff_state``."""
+    desired = write_table(nodes.size_nodes(_fleet(spark, sf_dir).plan), "desired-nodes")
+    recorded = write_table(_recorded_nodes(desired), "recorded-nodes")
+    return digests.diff_by_digest(desired, recorded, ["cluster_name", "fqdn"], ["num_cpus", "memory_mb", "disk_gb"])
+
+
 @register("summary")
 def q_summary(spark, sf_dir):
     return runs.summary(_fleet(spark, sf_dir).plan)

@@ -71,7 +71,7 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop(spark: SparkSession, path: str):
     """The file system of a path, and the path for it."""
     context = spark.sparkContext
     at = context._jvm.org.apache.hadoop.fs.Path(path)
@@ -79,13 +79,13 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, at = _hadoop(spark, path)
+    files, at = hadoop(spark, path)
     return files.exists(at)
 
 
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file at ``path`` (nothing happens where it is there already)."""
-    files, at = _hadoop(spark, path)
+    files, at = hadoop(spark, path)
     files.createNewFile(at)
 
 

@@ -1,4 +1,4 @@
-"""Run logs (S5) and table sinks."""
+"""Run logs (S5) and the context sink."""
 
 from __future__ import annotations
 
@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scans import ordinal_within
-from ..session import write_table
+from .clusters import read_clusters, remove_clusters, replace_clusters, write_clusters
 from .fixed_values import SECRET_KEYS
 
+__all__ = ["context_rows", "read_clusters", "remove_clusters", "replace_clusters", "scan_logs", "write_clusters", "write_context"]
+
 LOG_SUFFIX = "-bootstrap.log"
 
 
@@ -43,20 +45,6 @@ def scan_logs(spark: SparkSession, path: str, suffix: str | None = LOG_SUFFIX) -
     return numbered.select(F.col("__cluster").alias("cluster_name"), "line_no", F.col("value").alias("text"))
 
 
-def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64("cluster_name"), F.lit(buckets)).cast("int"))
-
-
-def write_clusters(df: DataFrame, path: str, buckets: int = 64) -> None:
-    """Rows with a ``cluster_name`` as a Parquet table of ``buckets`` folders by a
-    hash of the name: the number of files doesn't grow with the clusters."""
-    _bucketed(df, buckets).repartition(buckets, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def read_clusters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("bucket")
-
-
 def context_rows(context: DataFrame) -> DataFrame:
     """What is kept of the resolved context: values that are not null, and
     never a secret key (a stated deviation: the tool dumps its secrets)."""
@@ -67,35 +55,3 @@ def context_rows(context: DataFrame) -> DataFrame:
 def write_context(context: DataFrame, path: str, buckets: int = 64) -> None:
     """Write the resolved context of every cluster."""
     write_clusters(context_rows(context), path, buckets)
-
-
-def _rewrite(spark: SparkSession, path: str, gone: DataFrame, added: DataFrame | None, buckets: int) -> None:
-    """Rewrite the buckets that ``gone`` (cluster names) falls into: the old rows
-    of other clusters, and ``added``. The new rows are stored before the old
-    ones are touched, and a bucket that becomes empty is removed."""
-    gone = _bucketed(gone.select("cluster_name").distinct(), buckets)
-    touched = [r["bucket"] for r in gone.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    if not touched:
-        return
-    old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
-    rows = old.join(gone.drop("bucket"), "cluster_name", "left_anti").select(*old.columns)
-    if added is not None:
-        rows = rows.unionByName(_bucketed(added, buckets))
-    rows = write_table(rows, "rewrite")
-    left = [r["bucket"] for r in rows.select("bucket").distinct().collect()]
-    rows.repartition(buckets, "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    context = spark.sparkContext
-    for bucket in set(touched) - set(left):
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={bucket}")
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def replace_clusters(spark: SparkSession, df: DataFrame, path: str, buckets: int = 64) -> None:
-    """Per-cluster state isolation: the rows of the clusters in ``df`` take
-    the place of what the table holds of them; other clusters stay."""
-    _rewrite(spark, path, df, df, buckets)
-
-
-def remove_clusters(spark: SparkSession, clusters: DataFrame, path: str, buckets: int = 64) -> None:
-    """Remove the rows of the given clusters; other clusters stay."""
-    _rewrite(spark, path, clusters, None, buckets)

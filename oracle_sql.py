@@ -634,6 +634,7 @@ FROM sized d FULL OUTER JOIN (
   UNION ALL SELECT cluster_name, 'old-' || fqdn, num_cpus, memory_mb, disk_gb
   FROM (SELECT *, ordinal + length(cluster_name) AS r FROM sized) WHERE r % 13 = 0) a
 ON d.cluster_name = a.cluster_name AND d.fqdn = a.fqdn""")
+Q["diff_state_digest"] = Q["diff_state"]
 view("fwd", ["nodes"], "SELECT cluster_name, fqdn AS name, ip AS value FROM nodes")
 query("diff_records", ["fwd"], """
 SELECT coalesce(d.cluster_name, a.cluster_name) AS cluster_name, coalesce(d.name, a.name) AS name,
