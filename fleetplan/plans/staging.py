@@ -10,12 +10,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.runs import LINES_PER_CHUNK
 from ..session import scratch_path
 from ..sources.documents import document_line, write_documents
 from ..sources.logs import LOG_SUFFIX
 from . import views
 
+#: What a partitioned write calls a folder without a name.
+NO_NAME = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"staged/{name}-{uuid.uuid4().hex}")
@@ -47,17 +49,13 @@ def stage_cluster_documents(spark: SparkSession, sf_dir: str, fmt: str = "json")
 
 
 def stage_logs(spark: SparkSession, sf_dir: str) -> str:
-    """Write the run logs as text, each cluster's in numbered parts of 4096 line
-    numbers, so that a long log is written by many tasks; returns the folder."""
+    """Write the run logs as text in the many-logs layout, in the order of
+    cluster and line, so that a long log is written by many tasks and the number
+    of files doesn't grow with the clusters; returns the folder."""
     path = _path(spark, "logs")
-    lines: DataFrame = views.log_lines(spark, sf_dir).withColumn("part_no", F.expr(f"line_no div {LINES_PER_CHUNK}"))
-    (
-        lines.repartition("cluster_name", "part_no")
-        .sortWithinPartitions("cluster_name", "part_no", "line_no")
-        .select("cluster_name", "part_no", F.col("text").alias("value"))
-        .write.partitionBy("cluster_name", "part_no")
-        .text(path)
-    )
+    lines = views.log_lines(spark, sf_dir).withColumn("cluster_name", F.coalesce("cluster_name", F.lit(NO_NAME)))
+    sorted_lines = lines.repartitionByRange("cluster_name", "line_no").sortWithinPartitions("cluster_name", "line_no")
+    sorted_lines.select(document_line(F.col("cluster_name"), F.col("text")).alias("value")).write.text(path)
     return path
 
 
@@ -84,12 +82,14 @@ def _write_files(files: DataFrame, path: str, append: bool = False) -> None:
         store, root = pafs.FileSystem.from_uri(path)
         store.create_dir(root)
         open_file = store.open_append_stream if append else store.open_output_stream
-        name, file = None, None
+        name, file, folder = None, None, root
         for batch in batches:
             for n, content in zip(batch["name"], batch["content"], strict=True):
                 if n != name:
                     if file:
                         file.close()
+                    if (parent := f"{root}/{n}".rpartition("/")[0]) != folder:
+                        store.create_dir(folder := parent)
                     name, file = n, open_file(f"{root}/{n}")
                 file.write(content)
             yield pd.DataFrame({"n": [len(batch)]})
@@ -126,9 +126,18 @@ def stage_log_files(spark: SparkSession, sf_dir: str, path: str, stage: int) ->
     _write_files(rows.select(F.concat("cluster_name", F.lit(LOG_SUFFIX)).alias("name"), F.concat("text", F.lit("\n")).cast("binary").alias("content")), path, append=True)
 
 
+FOLDERS = 1024  # work folders in one folder, about
+
+
 def stage_artifacts(spark: SparkSession, sf_dir: str) -> str:
-    """Write the artifacts as files ``<cluster>/<file>/...``; returns the folder."""
+    """Write the artifacts as files ``<n>/<cluster>/<file>``, the work folders
+    dealt over numbered folders so that none gets too large; returns the folder.
+    Tasks write their files in place: a commit that moves each of them one after
+    the other takes longer than everything else."""
     path = _path(spark, "artifacts")
-    files = views.artifacts(views.fleet_seed(spark, sf_dir)).withColumn("value", F.lit("x"))
-    files.repartition("cluster_name").write.partitionBy("cluster_name", "file").text(path)
+    seed = views.fleet_seed(spark, sf_dir)
+    folder = F.url_encode(F.coalesce("cluster_name", F.lit(NO_NAME)))
+    spread = F.pmod(F.xxhash64("cluster_name"), F.lit(max(1, seed.count() // FOLDERS))).cast("string")
+    name = F.concat_ws("/", spread, folder, F.url_encode("file"))
+    _write_files(views.artifacts(seed).select(name.alias("name"), F.lit(b"x\n").alias("content")), path)
     return path

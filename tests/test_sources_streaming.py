@@ -149,3 +149,43 @@ def test_unfinished_windows_wait(spark):
     out = stream.run_poll_buckets(spark, stream.poll_stream(spark, SF_SMALL))
     sb, bb = stream.poll_buckets_table(spark, out), readiness.poll_buckets(views.polls(spark, SF_SMALL))
     assert sb.exceptAll(bb).count() == 0 and 0 < sb.count() < bb.count()
+
+
+def test_artifacts_are_files_in_work_folders(spark):
+    path = staging.stage_artifacts(spark, SF_SMALL)
+    got = list_artifacts(spark, path).select("scope", "file")
+    want = views.artifacts(views.fleet_seed(spark, SF_SMALL))
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_listing_by_levels(spark, monkeypatch):
+    from fleetplan.sources import documents
+
+    monkeypatch.setattr(documents, "FOLDERS_PER_TASK", 1)
+    d = tempfile.mkdtemp(prefix="fleetplan-art-")
+    for place in ("top.x", "a/one.x", "a/b c/two.y", "a/b c/.hidden", "_tmp/gone.x", "p=1/_q=2/three.z"):
+        os.makedirs(os.path.dirname(os.path.join(d, place)), exist_ok=True)
+        open(os.path.join(d, place), "w").close()
+    os.makedirs(os.path.join(d, "empty"))
+    got = {r.path: (r.scope, r.file, r.stem) for r in list_artifacts(spark, d, "*.{x,y,z}").collect()}
+    assert got == {
+        f"file:{d}/top.x": (os.path.basename(d), "top.x", "top"),
+        f"file:{d}/a/one.x": ("a", "one.x", "one"),
+        f"file:{d}/a/b c/two.y": ("b c", "two.y", "two"),
+        f"file:{d}/p=1/_q=2/three.z": ("_q=2", "three.z", "three"),
+    }
+
+
+def test_many_logs_to_a_file(spark):
+    path = staging.stage_logs(spark, SF_SMALL)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert 0 < len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = tempfile.mkdtemp(prefix="fleetplan-logs-")
+    for n, lines in [(100000, ["a%2Fb\tlast"]), (2, ["a%2Fb\tone\ttab", "c\tx", "a%2Fb\ttwo"])]:
+        with open(os.path.join(d, f"part-{n:05d}-x.txt"), "w") as file:
+            file.write("\n".join(lines) + "\n")
+    os.makedirs(os.path.join(d, "cluster_name=p%2520q", "part_no=1"))
+    with open(os.path.join(d, "cluster_name=p%2520q", "part_no=1", "part-00000-x.txt"), "w") as file:
+        file.write("plain\n")
+    rows = {tuple(r) for r in scan_logs(spark, d, suffix=None).collect()}
+    assert rows == {("a/b", 1, "one\ttab"), ("a/b", 2, "two"), ("a/b", 3, "last"), ("c", 1, "x"), ("p%20q", 1, "plain")}
