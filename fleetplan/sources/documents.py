@@ -23,11 +23,14 @@ from __future__ import annotations
 
 import datetime
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsonvalue as J
+from ..session import hadoop, importable, write_table
+from .files import stored_at
 
 _STEM = r"([^/]+?)\.(json|ya?ml)$"
 _GLOB = {"json": "*.json", "yaml": "*.y*ml"}
@@ -134,18 +137,58 @@ def write_documents(docs: DataFrame, path: str, scope: str) -> None:
     docs.select(document_line(F.col(scope), text).alias("value")).write.text(path)
 
 
+#: Folders that one task lists.
+FOLDERS_PER_TASK = 512
+_LISTED = "path string, is_file boolean"
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below ``path``: its place under it. Folders are listed level by
+    level, those of a level by as many tasks as they ask for, and a level is a
+    written table, so that no listing passes through the driver. As with Spark's
+    readers, names that begin with a dot or an underscore don't show."""
+    importable(spark)
+    store, root = stored_at(path)
+    root = root.rstrip("/")
+
+    def shown(name: str) -> bool:
+        return not (name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_"))
+
+    def below(batches):
+        import pandas as pd
+        import pyarrow.fs as pafs
+
+        rows = []
+        for folder in (folder for batch in batches for folder in batch["path"]):
+            found = store.get_file_info(pafs.FileSelector(root + folder))
+            rows += [(f.path[len(root) :], f.type == pafs.FileType.File) for f in found if shown(f.base_name)]
+            if len(rows) >= 10000:
+                yield pd.DataFrame(rows, columns=["path", "is_file"])
+                rows = []
+        yield pd.DataFrame(rows, columns=["path", "is_file"]).astype({"is_file": bool})
+
+    level, tasks = spark.createDataFrame([("", False)], _LISTED), 1
+    files = []
+    while tasks:
+        folders = level.where(~F.col("is_file")).select("path").repartition(tasks, "path")
+        level = write_table(folders.mapInPandas(below, _LISTED), "listed")
+        files.append(level.where("is_file").select("path"))
+        tasks = -(-level.where(~F.col("is_file")).count() // FOLDERS_PER_TASK)
+    return reduce(DataFrame.unionByName, files)
+
+
 def list_artifacts(spark: SparkSession, path: str, glob: str = "*", folders: bool = False) -> DataFrame:
-    """Files under ``path`` matching ``glob``: (path, scope, file, stem), scope
-    being the parent folder (a cluster's work folder). With ``folders``, what a
-    partitioned write left: ``cluster_name=<scope>/file=<file>/<part>``. Only the
-    path column is selected, so file contents are never read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-        .load(path)
-        .select("path")
-    )
+    """Files below the folder ``path`` with a name that matches ``glob``: (path,
+    scope, file, stem), scope being the parent folder (a cluster's work folder).
+    With ``folders``, what a partitioned write left:
+    ``cluster_name=<scope>/file=<file>/<part>``. Files are listed, never opened."""
+    store, at = hadoop(spark, path)
+    if not store.exists(at):
+        raise FileNotFoundError(path)
+    matching = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+    base = store.makeQualified(at).toString().rstrip("/")
+    named = F.substring_index("path", "/", -1).rlike(rf"(?s)\A(?:{matching})\z")
+    files = _listed(spark, path).where(named).select(F.concat(F.lit(base), "path").alias("path"))
     if folders:
         part = lambda name: F.url_decode(F.url_decode(F.regexp_extract("path", f"/{name}=([^/]+)/", 1)))
         scope, file = part("cluster_name"), part("file")

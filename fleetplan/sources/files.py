@@ -36,7 +36,7 @@ FILE_COST = 64 << 10  # what opening a file counts as, so that tiny files don't
 BLOCK = 1 << 20
 
 
-def _store(path: str) -> tuple[pafs.FileSystem, str]:
+def stored_at(path: str) -> tuple[pafs.FileSystem, str]:
     if not urlsplit(path).scheme:
         path = os.path.abspath(path)
     return pafs.FileSystem.from_uri(path)
@@ -44,7 +44,7 @@ def _store(path: str) -> tuple[pafs.FileSystem, str]:
 
 def _listed(path: str, suffixes: tuple[str, ...]) -> list[pafs.FileInfo]:
     """The files directly under ``path`` with one of the suffixes, by name."""
-    store, root = _store(path)
+    store, root = stored_at(path)
     found = store.get_file_info(pafs.FileSelector(root, allow_not_found=True))
     return sorted((f for f in found if f.type == pafs.FileType.File and f.base_name.endswith(suffixes)), key=lambda f: f.path)
 
@@ -114,7 +114,7 @@ class _Documents:
         return [Files(paths) for paths in packed(((f.path, f.size or 0) for f in files), self.limit)]
 
     def read(self, partition: Files | None) -> Iterator[tuple]:
-        store, _ = _store(self.path)
+        store, _ = stored_at(self.path)
         for path in partition.paths if partition else ():  # without files Spark asks for one partition of nothing
             scope, problem, doc = os.path.splitext(os.path.basename(path))[0], None, None
             try:
@@ -228,7 +228,7 @@ class LogStreamReader(DataSourceStreamReader):
         return [Stretches(group) for group in packed(((p, p[2] - p[1]) for p in parts), self.limit)]
 
     def read(self, partition: Stretches | None) -> Iterator[tuple]:
-        store, _ = _store(self.path)
+        store, _ = stored_at(self.path)
         for path, start, end in partition.parts if partition else ():
             cluster = os.path.basename(path).removesuffix(self.suffix)
             with store.open_input_file(path) as file:
