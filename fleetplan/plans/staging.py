@@ -136,7 +136,9 @@ def stage_artifacts(spark: SparkSession, sf_dir: str) -> str:
     the other takes longer than everything else."""
     path = _path(spark, "artifacts")
     seed = views.fleet_seed(spark, sf_dir)
-    folder = F.url_encode(F.coalesce("cluster_name", F.lit(NO_NAME)))
+    # readers skip names that begin with a dot or an underscore
+    folder = F.regexp_replace(F.url_encode(F.coalesce("cluster_name", F.lit(NO_NAME))), "^_", "%5F")
+    folder = F.regexp_replace(folder, r"^\.", "%2E")
     spread = F.pmod(F.xxhash64("cluster_name"), F.lit(max(1, seed.count() // FOLDERS))).cast("string")
     name = F.concat_ws("/", spread, folder, F.url_encode("file"))
     _write_files(views.artifacts(seed).select(name.alias("name"), F.lit(b"x\n").alias("content")), path)

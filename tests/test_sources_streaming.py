@@ -158,6 +158,14 @@ def test_artifacts_are_files_in_work_folders(spark):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_artifacts_of_odd_names(spark, monkeypatch):
+    names = [(1, None), (2, "_x"), (4, ".y"), (7, "a/b c+%"), (7, "a/b c+%")]
+    monkeypatch.setattr(views, "fleet_seed", lambda *_: spark.createDataFrame(names, "k long, cluster_name string"))
+    got = {(r.scope, r.file) for r in list_artifacts(spark, staging.stage_artifacts(spark, SF_SMALL)).collect()}
+    scopes = ["__HIVE_DEFAULT_PARTITION__", "_x", ".y", "a/b c+%"]
+    assert got == {(scope, f"terraform.{x}") for scope in scopes for x in ("tfvars", "tfstate")}
+
+
 def test_listing_by_levels(spark, monkeypatch):
     from fleetplan.sources import documents
 
