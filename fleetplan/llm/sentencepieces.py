@@ -9,8 +9,10 @@ byte pieces.
 
 Where no piece has the space mark after another character, a merge never
 crosses from a word into the mark before the next, so each word has its own
-agenda and equal words are merged once. In the registered query every Arrow
-batch is encoded and decoded by the sentencepiece library too, and compared.
+agenda and equal words are merged once. The new words of several texts are merged
+together: their agendas are the rows of a matrix, and each round merges the best
+pair of every row. In the registered query every Arrow batch is encoded and
+decoded by the sentencepiece library too, and compared.
 """
 
 from __future__ import annotations
@@ -19,9 +21,11 @@ import hashlib
 import heapq
 import re
 from array import array
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import filterfalse
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -48,6 +52,12 @@ REMEMBERED, WORD = 1 << 19, 64
 SLICE, CHUNK = 1 << 20, 1 << 16
 #: The place of a pair that is no piece.
 NEVER = 1 << 30
+#: Words that are merged together at once, and the widths of their matrices.
+ROWS, WIDTHS = 1 << 13, (6, 9, 12, 16, 24, 40, WORD)
+#: Fewer words than these are merged one by one.
+FEW = 100
+#: A character that is no piece is a symbol by its code point, above every piece. A pair is a key of two symbols.
+SINGLE, SYMBOL_BITS = 1 << 21, 22
 #: Stands before a word whose marks are written out (a word without its mark holds none).
 BARE = MARK
 
@@ -90,12 +100,22 @@ class Remembered(dict):
         if found is None:
             found = self._of(word)
         if len(word) <= WORD:
-            if len(self) >= REMEMBERED:
-                self._old = dict(self)
-                self.clear()
-            self[word] = found
+            self.remember(word, found)
         return found
 
+    def remember(self, word: str, found: bytes) -> None:
+        if len(self) >= REMEMBERED:
+            self._old = dict(self)
+            self.clear()
+        self[word] = found
+
+    def new(self, slices: Iterable[list[str]]) -> set[str]:
+        """The words that are remembered neither of late nor from before."""
+        found: set[str] = set()
+        for words in slices:
+            found.update(filterfalse(self.__contains__, words))
+        return found.difference(self._old)
+
 
 class Agenda:
     """Encoder and decoder for a model file of the merge type with byte pieces.
@@ -130,7 +150,31 @@ class Agenda:
         self._surface = [self._shown(t, k, surface) for t, k in zip(texts, types, strict=True)]
         self._silent = {i for i, k in enumerate(types) if k == CONTROL}
         self._marked = {i for t, i in self.ids.items() if t.startswith(MARK)}
-        self._known = Remembered(lambda word: self.word_ids(word[1:] if word[:1] == BARE else MARK + word))
+        self._known = Remembered(lambda word: self.word_ids(self._whole(word)))
+        self._index_pairs()
+
+    def _index_pairs(self) -> None:
+        """Every pair of symbols whose joined text is a piece, as arrays in the
+        order of its key: the piece and its place. The symbol of each code point."""
+        symbol = lambda text: self.ids.get(text, SINGLE + ord(text) if len(text) == 1 else None)
+        pairs = []
+        for text, piece in self.ids.items():
+            for cut in range(1, len(text)):
+                left, right = symbol(text[:cut]), symbol(text[cut:])
+                if left is not None and right is not None:
+                    pairs.append((left << SYMBOL_BITS | right, piece, self._place[text]))
+        pairs.sort()
+        pairs.append((1 << 62, 0, NEVER))  # what is beyond the last pair is found here
+        self._pair_key, self._pair_piece, self._pair_place = np.array(pairs, dtype=np.int64).T.copy()
+        self._single = np.arange(SINGLE, SINGLE + 0x110000, dtype=np.int32)
+        for text, piece in self.ids.items():
+            if len(text) == 1:
+                self._single[ord(text)] = piece
+
+    @staticmethod
+    def _whole(word: str) -> str:
+        """A word as it is merged, from the form in which it is remembered."""
+        return word[1:] if word[:1] == BARE else MARK + word
 
     @staticmethod
     def _shown(text: str, kind: int, unknown: bytes) -> bytes:
@@ -194,6 +238,67 @@ class Agenda:
                     push(agenda, (at, left, len(joined)))
         return [s for s in symbol if s]
 
+    def _looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each pair, and the piece that it makes."""
+        key = left.astype(np.int64) << SYMBOL_BITS | right
+        at = np.searchsorted(self._pair_key, key)
+        return np.where(self._pair_key[at] == key, self._pair_place[at], NEVER).astype(np.int32), self._pair_piece[at].astype(np.int32)
+
+    def _merged_together(self, symbol: np.ndarray) -> np.ndarray:
+        """The symbols that are left of each row (a word's symbols, then -1).
+        In each round the best pair of every row is merged, the leftmost among
+        equals; a row without any leaves."""
+        out = np.full_like(symbol, -1)
+        row = np.arange(len(symbol))
+        place, piece = self._looked_up(symbol[:, :-1], symbol[:, 1:])
+        while len(row) and place.shape[1]:
+            left = place.argmin(1)
+            merging = place[np.arange(len(row)), left] < NEVER
+            if not merging.all():
+                out[row[~merging], : symbol.shape[1]] = symbol[~merging]
+                row, left, symbol, place, piece = (x[merging] for x in (row, left, symbol, place, piece))
+            n, width = symbol.shape
+            at, column = np.arange(n), np.arange(width)
+            symbol[at, left] = piece[at, left]
+            symbol = symbol[column != left[:, None] + 1].reshape(n, width - 1)
+            kept = column[:-1] != left[:, None]
+            place, piece = place[kept].reshape(n, width - 2), piece[kept].reshape(n, width - 2)
+            for some, first in ((left > 0, left - 1), (left < width - 2, left)):
+                r, c = at[some], first[some]
+                place[r, c], piece[r, c] = self._looked_up(symbol[r, c], symbol[r, c + 1])
+        out[row, : symbol.shape[1]] = symbol
+        return out
+
+    def learn(self, slices: Iterable[list[str]]) -> None:
+        """Remember the ids of the words (as they are remembered) that are new
+        and not too long; a few are left to be merged alone."""
+        by_size: list[list[str]] = [[] for _ in range(WORD + 2)]
+        for word in self._known.new(slices):
+            by_size[min(len(word) + 1, WORD + 1)].append(word)  # with its mark, or one too many
+        for above, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            some = [word for words in by_size[above + 1 : width + 1] for word in words]
+            for at in range(0, len(some) if len(some) >= FEW else 0, ROWS):
+                self._learn_together(some[at : at + ROWS], width)
+
+    def _learn_together(self, words: list[str], width: int) -> None:
+        texts = [self._whole(word) for word in words]
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        symbol = np.full((len(texts), width), -1, dtype=np.int32)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        symbol[np.arange(width) < size[:, None]] = self._single[points]
+        merged = self._merged_together(symbol)
+        there = merged >= 0
+        data, end = merged[there].astype(np.intc).tobytes(), (there.sum(1).cumsum() * np.intc().itemsize).tolist()
+        for word, odd, start, stop in zip(words, (merged >= SINGLE).any(1).tolist(), [0, *end], end, strict=False):
+            self._known.remember(word, self._spelled(data[start:stop]) if odd else data[start:stop])
+
+    def _spelled(self, symbols: bytes) -> bytes:
+        """The ids of symbols of which some are no piece."""
+        ids = array("i")
+        for symbol in array("i", symbols):
+            ids.extend([symbol] if symbol < SINGLE else map(self._bytes.__getitem__, chr(symbol - SINGLE).encode()))
+        return ids.tobytes()
+
     def word_ids(self, word: str) -> bytes:
         """The ids of a word, as 32-bit integers."""
         ids = array("i")
@@ -213,12 +318,35 @@ class Agenda:
 
     def encode(self, text: str, end: bool = True) -> array:
         """The ids of a text, with the end id after them."""
-        out = array("i")
-        for part in self._slices(self.normalised(text)):
-            out.frombytes(b"".join(map(self._known.__getitem__, self._words(part))))
-        if end:
-            out.append(self.end)
-        return out
+        return next(self.encode_each([text], end))
+
+    def encode_each(self, texts: Iterable[str], end: bool = True) -> Iterator[array]:
+        """The ids of each text. The new words of about ``SLICE`` characters are
+        merged together: those of several texts, or of a slice of a long one."""
+        held: list[tuple[list[str], bool]] = []  # the words of a slice, and whether its text ends there
+        size, out = 0, array("i")
+
+        def joined() -> Iterator[array]:
+            nonlocal out
+            self.learn(words for words, _ in held)
+            for words, last in held:
+                out.frombytes(b"".join(map(self._known.__getitem__, words)))
+                if last:
+                    if end:
+                        out.append(self.end)
+                    yield out
+                    out = array("i")
+            held.clear()
+
+        for text in texts:
+            parts = list(self._slices(self.normalised(text)))
+            for n, part in enumerate(parts, 1):
+                held.append((self._words(part), n == len(parts)))
+                size += len(part)
+                if size >= SLICE:
+                    yield from joined()
+                    size = 0
+        yield from joined()
 
     def _words(self, part: str) -> list[str]:
         """The words that are merged apart. Single marks, by far the commonest
@@ -282,7 +410,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", model: str |
     The model file must lie at ``model`` on every executor.
     """
     path = _path(model)
-    run = text_frame(lambda texts: {"ids": [list(codec(path).encode(t, end)) for t in texts]}, "ids array<int>")
+    run = text_frame(lambda texts: {"ids": [list(ids) for ids in codec(path).encode_each(texts, end)]}, "ids array<int>")
     held = fresh([*docs.columns, into], "pieces")
     return docs.withColumn(held, run(F.col(text))).withColumn(into, F.col(f"{held}.ids")).drop(held)
 
@@ -318,8 +446,7 @@ def digests(docs: DataFrame, model: str | None = None) -> DataFrame:
     def run(texts):
         agenda = codec(path)
         out = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "agrees": []}
-        for text in texts:
-            ids = agenda.encode(text)
+        for text, ids in zip(texts, agenda.encode_each(texts), strict=True):
             back = agenda.decode(ids)
             expected = agenda.library.encode(text, add_eos=True)
             out["n_tokens"].append(len(ids))

@@ -40,6 +40,28 @@ def test_both_agendas_merge_alike():
         assert agenda._merged_short(word) == agenda._merged_long(word), word
 
 
+def test_words_merged_together_are_those_merged_alone(monkeypatch):
+    monkeypatch.setattr(S, "FEW", 1)
+    monkeypatch.setattr(S, "ROWS", 64)
+    rng = random.Random(6)
+    agenda = S.Agenda(PATH)
+    words = list({"".join(rng.choices("abthein\n▁é😀\x00ro", k=rng.randint(1, 70))) for _ in range(4000)})
+    words += [S.BARE + w for w in words] + ["the", "▁", "▁▁", "x" * 63, "x" * 64]
+    agenda.learn([words])
+    assert sorted(agenda._known) == sorted(w for w in set(words) if len(w) < S.WORD)
+    assert [w for w, ids in agenda._known.items() if ids != agenda.word_ids(agenda._whole(w))] == []
+
+
+def test_texts_encoded_together_are_those_encoded_alone(monkeypatch):
+    rng = random.Random(7)
+    texts = ["", *("".join(rng.choices("abthe in  \n▁é", k=rng.randint(0, 90))) for _ in range(3000)), "", "the " * 5000]
+    want = LIBRARY.encode(texts, add_eos=True)
+    assert [ids.tolist() for ids in S.Agenda(PATH).encode_each(texts)] == want
+    monkeypatch.setattr(S, "SLICE", 50)
+    monkeypatch.setattr(S, "FEW", 2)
+    assert [ids.tolist() for ids in S.Agenda(PATH).encode_each(texts)] == want
+
+
 def test_equal_scores_merge_from_the_left():
     same([" " * n + "x" for n in range(70)] + ["a" + " " * n for n in range(70)])
 
