@@ -18,8 +18,10 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 import pyarrow.fs as pafs
@@ -60,6 +62,47 @@ def _no_constant(name: str) -> None:
     raise ValueError(name)
 
 
+#: A line of a block mapping that means the same wherever it stands: a plain key,
+#: then a word, a number, a text in double quotes or a flow list of these, in
+#: printable ASCII without anything that YAML reads in more than one way.
+_SCALAR = r'(?:"[A-Za-z0-9 _.:/#@<>=+-]*"|[A-Za-z0-9][A-Za-z0-9_.-]{0,99})'
+_LINE = re.compile(rf"([a-z][a-z0-9_]{{0,99}}): ({_SCALAR}|\[(?:{_SCALAR}(?:, ?{_SCALAR})*)?\])")
+_TEXT = re.compile(r'"[^"]*"')
+
+
+def _json_text(value: object) -> str:
+    return json.dumps(value, separators=(",", ":"), ensure_ascii=False, allow_nan=False, default=_as_json)
+
+
+@lru_cache(maxsize=1 << 14)
+def _simple_value(text: str) -> str:
+    import yaml
+
+    return _json_text(yaml.safe_load(text))
+
+
+@lru_cache(maxsize=1 << 12)
+def _simple_key(text: str) -> str:
+    import yaml
+
+    return str(yaml.safe_load(text))
+
+
+def _simple_document(text: str) -> dict[str, str] | None:
+    """What the YAML parser makes of a document of simple lines alone, each value
+    parsed once; None for any other document, and for one that doesn't parse."""
+    found = {}
+    for line in text.removesuffix("\n").split("\n"):
+        if not (m := _LINE.fullmatch(line)):
+            return None
+        key, value = m.groups()
+        try:
+            found[_simple_key(key)] = value if _TEXT.fullmatch(value) else _simple_value(value)
+        except Exception:  # the whole document says what is wrong
+            return None
+    return found
+
+
 def parsed_document(data: bytes, fmt: str) -> dict[str, str] | None:
     """Top-level keys of a document with their JSON texts; None where it
     doesn't parse, is not a mapping, or holds a value without a JSON form. Of
@@ -70,12 +113,14 @@ def parsed_document(data: bytes, fmt: str) -> dict[str, str] | None:
         text = data.decode("utf-8-sig")
         if not text.strip():
             return {}
+        if fmt == "yaml" and (simple := _simple_document(text)) is not None:
+            return simple
         doc = json.loads(text, parse_constant=_no_constant) if fmt == "json" else yaml.safe_load(text)
         if doc is None and fmt == "yaml":
             return {}
         if not isinstance(doc, dict):
             return None
-        return {str(k): json.dumps(v, separators=(",", ":"), ensure_ascii=False, allow_nan=False, default=_as_json) for k, v in doc.items()}
+        return {str(k): _json_text(v) for k, v in doc.items()}
     except (yaml.YAMLError, ValueError, TypeError, RecursionError):
         return None
 

@@ -35,6 +35,36 @@ def test_one_row_for_each_file(spark):
     assert rows == {n: (good.get(n), None if n in good else "malformed") for n in contents}
 
 
+def test_simple_documents_are_what_the_parser_makes_of_them(monkeypatch):
+    rng = random.Random(3)
+    values = ['"a-1"', '""', '"x # y"', "12", "0o7", "017", "1_000", "1.5", "1e3", "yes", "null", "true", "No", "2026-01-02", "2026-13-45", "0x1F", "1.", "a.b", "x-", '"32G"',
+              "[]", "[8,9]", "[8, 9]", '["10.1.2.3","b"]', "[a]", "[1.5, yes]", "{}", "[[1]]", "~", ".nan", "'q'", "a: b", "a #c", "x ", '"a\\n"', '"é"', "12:30:00", "- a", "&a", "*a", "!!str x", "|", "", "[x", "9" * 5000, "1:2", "=", "<<"]
+    keys = ["site", "x", "yes", "null", "n", "a1", "on", "y", "y_", "e1", '"q"', "A", "1"]
+    simple = whole = 0
+    for _ in range(6000):
+        lines = [f"{rng.choice(keys)}: {rng.choice(values[:25] if rng.random() < 0.8 else values)}" for _ in range(rng.randint(1, 4))]
+        text = "\n".join(lines) + rng.choice(("", "\n", "\n", "\n\n"))
+        got = files.parsed_document(text.encode(), "yaml")
+        simple += files._simple_document(text) is not None
+        with monkeypatch.context() as m:
+            m.setattr(files, "_simple_document", lambda text: None)
+            want = files.parsed_document(text.encode(), "yaml")
+        assert got == want and list(got or ()) == list(want or ()), text
+        whole += want is not None
+    assert 500 < simple <= whole
+
+
+def test_plain_files_need_no_whole_parse(monkeypatch):
+    import yaml
+
+    asked = []
+    monkeypatch.setattr(yaml, "safe_load", lambda text, load=yaml.safe_load: asked.append(text) or load(text))
+    for k in range(300):
+        want = {"cluster_name": f'"machinery-{k}"', "segment": f'"10.0.{k % 256}.77/24"', "offsets": "[8,9]", "vlan_id": "7"}
+        assert files.parsed_document(f'cluster_name: "machinery-{k}"\nsegment: "10.0.{k % 256}.77/24"\noffsets: [8,9]\nvlan_id: 7\n'.encode(), "yaml") == want
+    assert len(asked) < 20
+
+
 def test_json_files(spark):
     d = _folder("json")
     for name, content in {"a": '{"x": 1, "y": "1", "x": {"b": 1, "b": 2}}', "b": '{"x": NaN}', "c": "[1]", "d": '{"x": '}.items():
