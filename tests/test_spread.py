@@ -1,5 +1,6 @@
 """Clusters are spread over tasks by their number, and their settings made once."""
 
+from fleetplan.operators import address, config, nodes
 from fleetplan.plans import views
 from fleetplan.plans.fleet import Fleet
 from fleetplan.session import ensure_checkpoint_dir
@@ -23,3 +24,17 @@ def test_settings_are_written_once_by_many_tasks(spark, monkeypatch):
     files = fleet.settings.inputFiles()
     assert len(files) > 5 and all(ensure_checkpoint_dir(spark) in f for f in files)
     assert {f for f in fleet.plan.inputFiles() if "/settings-" in f} == set(files)
+
+
+def test_refused_clusters_of_one_name_do_not_multiply_in_the_plan(spark, tmp_path):
+    # every 50th cluster takes its name from c_name, which no run may start on
+    for name in ("nation", "region"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    rows = spark.range(0, 4000).selectExpr("id AS c_custkey", "'Customer#1' AS c_name", "0 AS c_nationkey", "'MACHINERY' AS c_mktsegment")
+    rows.write.parquet(str(tmp_path / "customer.parquet"))
+    fleet = Fleet(spark, str(tmp_path))
+    assert fleet.plan.count() <= 4000
+    whole = address.plan_addresses(fleet.fleet)
+    assert whole.count() > 4000
+    for made in (lambda plan: nodes.name_nodes(plan), address.check_plan, lambda plan: config.variables_long(plan)):
+        assert made(fleet.plan).exceptAll(made(whole)).count() == made(whole).exceptAll(made(fleet.plan)).count() == 0
