@@ -21,9 +21,11 @@ import hashlib
 import heapq
 import re
 from array import array
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
-from itertools import filterfalse
+from itertools import accumulate, compress
+from operator import not_
 
 import numpy as np
 import public_tokenizers
@@ -109,12 +111,17 @@ class Remembered(dict):
             self.clear()
         self[word] = found
 
-    def new(self, slices: Iterable[list[str]]) -> set[str]:
+    def remember_each(self, words: Sequence[str], found: Iterable[bytes]) -> None:
+        """Remember results of as many words, at once where there is room for them."""
+        if len(self) + len(words) <= REMEMBERED:
+            self.update(zip(words, found, strict=True))
+            return
+        for word, each in zip(words, found, strict=True):
+            self.remember(word, each)
+
+    def new(self, slices: Iterable[Iterable[str]]) -> set[str]:
         """The words that are remembered neither of late nor from before."""
-        found: set[str] = set()
-        for words in slices:
-            found.update(filterfalse(self.__contains__, words))
-        return found.difference(self._old)
+        return set().union(*slices).difference(self._old).difference(self)
 
 
 class Agenda:
@@ -149,6 +156,7 @@ class Agenda:
         surface = trainer.get(UNKNOWN_SURFACE, DEFAULT_SURFACE.encode())
         self._surface = [self._shown(t, k, surface) for t, k in zip(texts, types, strict=True)]
         self._silent = {i for i, k in enumerate(types) if k == CONTROL}
+        self._is_silent = np.array([k == CONTROL for k in types])
         self._marked = {i for t, i in self.ids.items() if t.startswith(MARK)}
         self._known = Remembered(lambda word: self.word_ids(self._whole(word)))
         self._index_pairs()
@@ -269,19 +277,19 @@ class Agenda:
         out[row, : symbol.shape[1]] = symbol
         return out
 
-    def learn(self, slices: Iterable[list[str]]) -> None:
+    def learn(self, slices: Iterable[Iterable[str]]) -> None:
         """Remember the ids of the words (as they are remembered) that are new
         and not too long; a few are left to be merged alone."""
-        by_size: list[list[str]] = [[] for _ in range(WORD + 2)]
-        for word in self._known.new(slices):
-            by_size[min(len(word) + 1, WORD + 1)].append(word)  # with its mark, or one too many
-        for above, width in zip((0, *WIDTHS), WIDTHS, strict=False):
-            some = [word for words in by_size[above + 1 : width + 1] for word in words]
-            for at in range(0, len(some) if len(some) >= FEW else 0, ROWS):
-                self._learn_together(some[at : at + ROWS], width)
+        by_size = sorted(self._known.new(slices), key=len)
+        start = 0
+        for width in WIDTHS:
+            end = bisect_left(by_size, width, start, key=len)  # a word with its mark, or one too many, fits the width
+            for at in range(start, end if end - start >= FEW else start, ROWS):
+                self._learn_together(by_size[at : min(at + ROWS, end)], width)
+            start = end
 
     def _learn_together(self, words: list[str], width: int) -> None:
-        texts = [self._whole(word) for word in words]
+        texts = [word[1:] if word[:1] == BARE else MARK + word for word in words]
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         symbol = np.full((len(texts), width), -1, dtype=np.int32)
         points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -289,8 +297,10 @@ class Agenda:
         merged = self._merged_together(symbol)
         there = merged >= 0
         data, end = merged[there].astype(np.intc).tobytes(), (there.sum(1).cumsum() * np.intc().itemsize).tolist()
-        for word, odd, start, stop in zip(words, (merged >= SINGLE).any(1).tolist(), [0, *end], end, strict=False):
-            self._known.remember(word, self._spelled(data[start:stop]) if odd else data[start:stop])
+        found = list(map(data.__getitem__, map(slice, [0, *end[:-1]], end)))
+        for odd in np.flatnonzero((merged >= SINGLE).any(1)).tolist():
+            found[odd] = self._spelled(found[odd])
+        self._known.remember_each(words, found)
 
     def _spelled(self, symbols: bytes) -> bytes:
         """The ids of symbols of which some are no piece."""
@@ -323,14 +333,22 @@ class Agenda:
     def encode_each(self, texts: Iterable[str], end: bool = True) -> Iterator[array]:
         """The ids of each text. The new words of about ``SLICE`` characters are
         merged together: those of several texts, or of a slice of a long one."""
-        held: list[tuple[list[str], bool]] = []  # the words of a slice, and whether its text ends there
+        words: list[str] = []  # the words of the slices held
+        held: list[tuple[int, bool]] = []  # the number of words of a slice, and whether its text ends there
         size, out = 0, array("i")
 
         def joined() -> Iterator[array]:
             nonlocal out
-            self.learn(words for words, _ in held)
-            for words, last in held:
-                out.frombytes(b"".join(map(self._known.__getitem__, words)))
+            # Each word is looked up once; those not found are learned and filled in.
+            found = list(map(self._known.get, words))
+            absent = list(compress(range(len(words)), map(not_, found)))
+            if absent:
+                self.learn([map(words.__getitem__, absent)])
+                for at in absent:
+                    found[at] = self._known[words[at]]
+            words.clear()
+            for start, (n, last) in zip(accumulate((n for n, _ in held), initial=0), held, strict=False):
+                out.frombytes(b"".join(found[start : start + n]))
                 if last:
                     if end:
                         out.append(self.end)
@@ -341,7 +359,9 @@ class Agenda:
         for text in texts:
             parts = list(self._slices(self.normalised(text)))
             for n, part in enumerate(parts, 1):
-                held.append((self._words(part), n == len(parts)))
+                some = self._words(part)
+                words.extend(some)
+                held.append((len(some), n == len(parts)))
                 size += len(part)
                 if size >= SLICE:
                     yield from joined()
@@ -366,7 +386,11 @@ class Agenda:
         UTF-8 become one replacement character each."""
         if len(ids) and ids[-1] in self._silent:
             ids = ids[:-1]
-        cuts = [] if self._silent.isdisjoint(ids) else [at for at, i in enumerate(ids) if i in self._silent]
+        if isinstance(ids, array):  # looked at without an object for each id
+            silent = bool(self._is_silent[np.frombuffer(ids, np.intc)].any()) if ids else False
+        else:
+            silent = not self._silent.isdisjoint(ids)
+        cuts = [] if not silent else [at for at, i in enumerate(ids) if i in self._silent]
         parts = [ids[a:b] for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, len(ids)], strict=True)]
         data = [b"".join(map(self._surface.__getitem__, part)) for part in parts]
         first = next((n for n, part in enumerate(parts) if len(part)), None)

@@ -62,6 +62,18 @@ def test_texts_encoded_together_are_those_encoded_alone(monkeypatch):
     assert [ids.tolist() for ids in S.Agenda(PATH).encode_each(texts)] == want
 
 
+def test_only_new_words_are_learned(monkeypatch):
+    agenda, learned = S.Agenda(PATH), []
+    learn = agenda.learn
+    monkeypatch.setattr(agenda, "learn", lambda slices: learn([learned.extend(words) or words for words in map(list, slices)]))
+    texts = [" ".join(f"word{i}" for i in range(n, n + 200)) for n in (0, 100)] + ["", "x" * 100]
+    want = LIBRARY.encode(texts, add_eos=True)
+    assert [ids.tolist() for ids in agenda.encode_each(texts[:1])] == want[:1] and len(learned) == 200
+    assert [ids.tolist() for ids in agenda.encode_each(texts)] == want and len(learned) == 200 + 100 + 1
+    assert [ids.tolist() for ids in agenda.encode_each(texts[:3])] == want[:3] and len(learned) == 301
+    assert [agenda.decode(ids) for ids in agenda.encode_each(texts)] == LIBRARY.decode(want)
+
+
 def test_equal_scores_merge_from_the_left():
     same([" " * n + "x" for n in range(70)] + ["a" + " " * n for n in range(70)])
 
