@@ -1,9 +1,14 @@
 """Clusters are spread over tasks by their number, and their settings made once."""
 
-from fleetplan.operators import address, config, nodes
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from fleetplan.operators import address, config, nodes, validate
 from fleetplan.plans import views
 from fleetplan.plans.fleet import Fleet
 from fleetplan.session import ensure_checkpoint_dir
+from fleetplan.sources.fixed_values import VARIABLE_CONTRACT
 
 from .conftest import SF_SMALL
 
@@ -38,3 +43,24 @@ def test_refused_clusters_of_one_name_do_not_multiply_in_the_plan(spark, tmp_pat
     assert whole.count() > 4000
     for made in (lambda plan: nodes.name_nodes(plan), address.check_plan, lambda plan: config.variables_long(plan)):
         assert made(fleet.plan).exceptAll(made(whole)).count() == made(whole).exceptAll(made(fleet.plan)).count() == 0
+
+
+def test_supplied_variables_are_made_once_for_the_contract(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def passed(value):
+        made.add(1)
+        return value
+
+    number = next(n for n, kind, *_ in VARIABLE_CONTRACT if kind == "number")
+    values = {n: "[]" if kind == "list(string)" else "1" for n, kind, *_ in VARIABLE_CONTRACT}
+    rows = [("good", n, v) for n, v in values.items()]
+    rows += [("twice", n, "x" if n == number else v) for n, v in values.items()] * 2
+    rows += [("other", "nobody_knows", "1"), (None, None, None)]
+    through = F.udf(passed, "string").asNondeterministic()
+    supplied = spark.createDataFrame(rows, "cluster_name string, variable string, value string").withColumn("variable", through("variable"))
+    found = Counter((r.cluster_name, r.variable, r.rule) for r in validate.check_contract(supplied).collect())
+    assert made.value == len(rows)
+    required = [n for n, _, needed, _ in VARIABLE_CONTRACT if needed]
+    missing = {(cluster, n, "missing_required"): 1 for cluster in ("other", None) for n in required}
+    assert found == Counter({("twice", number, "not_a_number"): 2, ("other", "nobody_knows", "undeclared"): 1, **missing})
