@@ -1,14 +1,16 @@
 """Clusters are spread over tasks by their number, and their settings made once."""
 
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
 
+from fleetplan.functions import jsonvalue as J
 from fleetplan.operators import address, config, nodes, validate
 from fleetplan.plans import views
 from fleetplan.plans.fleet import Fleet
 from fleetplan.session import ensure_checkpoint_dir
-from fleetplan.sources.fixed_values import VARIABLE_CONTRACT
+from fleetplan.sources.fixed_values import REDACTED, SECRET_KEYS, VARIABLE_CONTRACT
 
 from .conftest import SF_SMALL
 
@@ -64,3 +66,25 @@ def test_supplied_variables_are_made_once_for_the_contract(spark):
     required = [n for n, _, needed, _ in VARIABLE_CONTRACT if needed]
     missing = {(cluster, n, "missing_required"): 1 for cluster in ("other", None) for n in required}
     assert found == Counter({("twice", number, "not_a_number"): 2, ("other", "nobody_knows", "undeclared"): 1, **missing})
+
+
+def test_document_values_are_computed_once(spark):
+    rows = spark.createDataFrame([(1, "x", None), (2, None, "null"), (3, None, None)], "k int, a string, b string")
+    docs = rows.select("k", views._document(("a", J.quote("a")), ("b", F.col("b"))).alias("doc"))
+    assert {r.k: r.doc for r in docs.collect()} == {1: {"a": '"x"'}, 2: {"b": "null"}, 3: {}}
+    made = config.redacted_documents(views.cluster_docs(views.fleet_seed(spark, SF_SMALL)))
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    # seven values are quoted; the lambda reads a finished map and holds none of them
+    assert plan.count("regexp_replace(") == 7 and re.search(r"transform_values\(doc#\d+, ", plan)
+
+
+def test_only_documents_with_secrets_are_rewritten(spark):
+    secret = {k: '"s"' for k in SECRET_KEYS}
+    rows = [("all", {**secret, "site": '"a"'}), ("empty", {SECRET_KEYS[0]: '""', "x": "null"}), ("none", {"site": '"a"', "y": None}), ("blank", {}), ("null", None)]
+    docs = config.redacted_documents(spark.createDataFrame(rows, "cluster_name string, doc map<string,string>"))
+    expected = dict(rows) | {"all": dict.fromkeys(SECRET_KEYS, REDACTED) | {"site": '"a"'}}
+    assert {r.cluster_name: r.doc for r in docs.collect()} == expected
