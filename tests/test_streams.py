@@ -3,8 +3,11 @@ polls, roots whose input goes on or has ended."""
 
 import datetime as dt
 import os
+import random
 import tempfile
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,6 +93,98 @@ def test_alarms_over_several_calls(spark):
     assert out() == {(1, 1), (2, 2), (3, 2)}
 
 
+def test_episodes_of_many_runs_at_once():
+    rng = random.Random(4)
+    made = []
+    for _ in range(2000):
+        start = rng.randrange(5000)
+        made.append((rng.choice([-3, 0, 8, 2**62]), start, start + rng.choice([0, 0, 0, 90]), rng.randrange(1, 4), rng.random() < 0.1))
+    want = []
+    for run, start, last, polls, seen in sorted(made):
+        if want and want[-1][0] == run and start - want[-1][2] <= 10:
+            _, first, before, n, had = want.pop()
+            want.append((run, first, max(before, last), n + polls, had or seen))
+        else:
+            want.append((run, start, last, polls, seen))
+    assert alarms.joined(np.array(made, alarms.OPEN), 10).tolist() == want
+    assert len(want) > 50
+
+
+class _Group:
+    """The state, timers and watermark of one group, as its processor sees them."""
+
+    def __init__(self):
+        self.value, self.timers, self.now, self.calls = None, set(), 0, 0
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def clear(self):
+        self.value = None
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+    def fire(self, processor, watermark):
+        """Alarms that come with a watermark; Spark fires the timers before it."""
+        self.now, out = watermark, []
+        for at in sorted(t for t in self.timers if t < watermark):
+            info = type("Info", (), {"getExpiryTimeInMs": lambda _, at=at: at})()
+            out += [r for rows in processor.handleExpiredTimer((0,), self, info) for r in rows.itertuples(index=False, name=None)]
+            self.timers.discard(at)
+        return out
+
+
+def test_a_group_of_runs_costs_one_timer_and_one_state():
+    """Runs with many episodes: one read of the state for their polls, one for all
+    alarms of a watermark."""
+    ms, runs = 1000, 300
+    polls = [(run, (run + 100_000 * k) * ms, False, True, True) for k in range(1, 6) for run in range(runs)]
+    chunks = [pd.DataFrame(polls[i : i + 400], columns=["run", "at", "seen", "named", "timed"]) for i in range(0, len(polls), 400)]
+    group, processor = _Group(), alarms.SilenceProcessor(50_000 * ms)
+    processor.init(group)
+    assert list(processor.handleInputRows((0,), iter(chunks), group)) == []
+    assert (group.calls, group.timers) == (1, {150_000})
+    # at a deadline the episode is still open, behind it closed: all of k = 1, and of k = 2 the runs before 7
+    found = group.fire(processor, 250_007)
+    assert sorted(found) == sorted((run, at, at, 1) for run, at, *_ in polls if at < 200_007 * ms)
+    assert (group.calls, group.timers) == (2, {250_007})
+    # late polls stay out, others go on; a run that is seen available raises none
+    more = [(0, 250_007 * ms, False, True, True), (20, 250_020 * ms, False, True, True), (0, 320_000 * ms, True, True, True)]
+    list(processor.handleInputRows((0,), iter([pd.DataFrame(more, columns=chunks[0].columns)]), group))
+    rest = group.fire(processor, 10**9)
+    want = {(run, at): (at, 1) for run, at, *_ in polls if at >= 200_007 * ms}
+    want.pop((0, 300_000 * ms))
+    want.pop((20, 300_020 * ms))
+    want[(20, 200_020 * ms)] = (300_020 * ms, 3)  # pauses of just the allowed silence
+    assert sorted(rest) == sorted((*k, *v) for k, v in want.items())
+    assert group.value is None and group.timers == set()
+
+
+def test_runs_of_one_group_are_told_apart(spark, monkeypatch):
+    """Also runs without a number, polls without a time (counted in the last
+    episode of their run) and numbers that a float can't hold."""
+    monkeypatch.setattr(alarms, "RUN_GROUPS", 1)
+    monkeypatch.setattr(alarms, "POLLS_TO_JOIN", 3)
+    path, big = _folder("group"), 2**53
+    minute = lambda m: None if m is None else T0 + dt.timedelta(minutes=m)
+    polls = [(big, 0, False), (big + 1, 10, False), (big, 30, False), (big + 1, 100, False), (None, 5, False), (0, 7, True), (0, 200, False),
+             (big + 1, None, False), (0, None, True), (4, None, False), (None, None, False)]
+    made = [(run, i, minute(m), GOOD, AV if up else NOT) for i, (run, m, up) in enumerate(polls)]
+    spark.createDataFrame(made, POLL).write.mode("append").parquet(path)
+    table = alarms.run_silence_alarms(spark, _stream(spark, path), 45, finish=True)
+    want = [(big, minute(0), minute(30), 2, minute(75)), (big + 1, minute(10), minute(10), 1, minute(55)), (big + 1, minute(100), minute(100), 2, minute(145))]
+    assert _rows(alarms.alarms_table(spark, table, 45)) == want
+
+
 def test_alarm_stream_equals_batch(spark):
     table = alarms.run_silence_alarms(spark, stream.poll_stream(spark, SF_SMALL), 720, finish=True)
     want = readiness.silence_alarms(views.polls(spark, SF_SMALL), 720)
